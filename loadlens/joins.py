@@ -13,8 +13,8 @@ MAX_BROADCAST_ROWS = 100_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; stops counting one row later."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether ``df`` has at most ``max_rows`` rows."""
+    return df.count() <= max_rows
 
 
 def null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]):

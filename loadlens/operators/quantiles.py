@@ -2,11 +2,12 @@
 
 A percentile here is always a value of the data: the smallest one whose rank reaches ``p * n``.
 
-``sketch`` is one scan with Spark's ``percentile_approx``. ``exact`` never holds a group in one
-task either. A sketch brackets every wanted rank, a second scan counts rows in equal-width cells
-of the brackets (a few thousand counters per group, combined before the shuffle), and a third
-scan counts the distinct values of the one cell each rank falls in. The cell counts cover all
-rows, so the answer stays exact even where a sketch misses its bracket.
+``sketch`` is one scan with Spark's ``percentile_approx``. ``exact`` counts the rows first. Up to
+``SMALL_ROWS`` one scan with ``percentile_disc`` holds all their values. Beyond, no task holds a
+group: a sketch brackets every wanted rank, a second scan counts rows in equal-width cells of the
+brackets (a few thousand counters per group, combined before the shuffle), and a third scan
+counts the distinct values of the one cell each rank falls in. The cell counts cover all rows,
+so the answer stays exact even where a sketch misses its bracket.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from loadlens.joins import attach_groups, null_safe
 
 ACCURACY = 10_000
 CELLS = 1024
+SMALL_ROWS = 1_000_000
 _SCALE = 1_000_000  # probabilities are read to six places, so ranks are whole-number arithmetic
 
 
@@ -157,17 +159,30 @@ def wide(long: DataFrame, names: Mapping[tuple[str, float], str], by: Sequence[s
     )
 
 
-def with_percentiles(
-    stats: DataFrame,
+def grouped_with_percentiles(
     df: DataFrame,
+    by: Sequence[str],
+    aggs: Sequence[Column],
     columns: Mapping[str, Column],
     names: Mapping[tuple[str, float], str],
-    by: Sequence[str],
     accuracy: int = ACCURACY,
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
-    """Add exact percentile columns to a table with one row per group."""
-    probs = sorted({p for _, p in names})
-    pct = wide(exact_percentiles(df, columns, probs, by, accuracy), names, by)
+    """``df.groupBy(by).agg(aggs)`` with exact percentile columns.
+
+    ``columns`` are the measured values, ``names`` maps (column, probability) to output names.
+    """
+    by = list(by)
+    if df.count() <= small_rows:
+        held = df.select("*", *[c.cast("double").alias(f"__q_{n}") for n, c in columns.items()])
+        marks = [
+            F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY `__q_{m}`)").alias(name)
+            for (m, p), name in names.items()
+        ]
+        return held.groupBy(*by).agg(*aggs, *marks)
+    stats = df.groupBy(*by).agg(*aggs)
+    probabilities = sorted({p for _, p in names})
+    pct = wide(exact_percentiles(df, columns, probabilities, by, accuracy), names, by)
     if not by:
         # Both are global aggregates: one row each.
         one = pct.select(F.lit(0).alias("_one"), *names.values())

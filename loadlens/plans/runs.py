@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loadlens.functions.numbers import SECONDS_PER_DAY, ratio, succeeded
 from loadlens.functions.times import elapsed_sec
-from loadlens.operators.quantiles import with_percentiles
+from loadlens.operators.quantiles import SMALL_ROWS, grouped_with_percentiles
 from loadlens.schemas import LATENCY_COLUMNS
 
 
@@ -22,6 +22,7 @@ def run_summary(
     by: Sequence[str] = ("run_label",),
     started: str = "dequeue_ts",
     finished: str = "timestamp",
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """One row per run: rows, wall time, wall throughput, mean and p95 of the three latencies.
 
@@ -31,37 +32,39 @@ def run_summary(
     ok = succeeded()
     wall = elapsed_sec(F.min(started), F.max(finished))
     n = F.count(F.lit(1))
-    stats = pred.groupBy(*by).agg(
+    aggs = [
         n.alias("num_requests"),
         F.count_if(ok).alias("success_count"),
         F.count_if(~ok).alias("error_count"),
         wall.alias("wall_time_sec"),
         ratio(n, wall).alias("wall_throughput_req_per_sec"),
         *[F.avg(F.when(ok, F.col(c))).alias(f"{_short(c)}_mean_ms") for c in LATENCY_COLUMNS],
-    )
+    ]
     measured = {c: F.when(ok, F.col(c)) for c in LATENCY_COLUMNS}
     names = {(c, 0.95): f"{_short(c)}_p95_ms" for c in LATENCY_COLUMNS}
-    return with_percentiles(stats, pred, measured, names, by)
+    return grouped_with_percentiles(pred, by, aggs, measured, names, small_rows=small_rows)
 
 
-def run_view(pred: DataFrame, by: str = "run_label") -> DataFrame:
+def run_view(
+    pred: DataFrame, by: str = "run_label", small_rows: int = SMALL_ROWS
+) -> DataFrame:
     """Busy-time view of runs used by the cross-run plans; successful rows only."""
     rows = pred.filter(succeeded())
     n = F.count(F.lit(1))
     busy = F.sum("inference_time_ms") / 1000
-    stats = rows.groupBy(by).agg(
+    aggs = [
         n.alias("num_requests"),
         busy.alias("busy_sec"),
         ratio(n, busy).alias("throughput_per_sec"),
         F.avg("inference_time_ms").alias("mean_ms"),
-    )
-    value = {"v": F.col("inference_time_ms")}
-    return with_percentiles(stats, rows, value, {("v", 0.95): "p95_ms"}, [by])
+    ]
+    value, names = {"v": F.col("inference_time_ms")}, {("v", 0.95): "p95_ms"}
+    return grouped_with_percentiles(rows, [by], aggs, value, names, small_rows=small_rows)
 
 
-def run_report(pred: DataFrame, by: Sequence[str] = ("run_label",), **columns: str) -> DataFrame:
+def run_report(pred: DataFrame, by: Sequence[str] = ("run_label",), **options) -> DataFrame:
     """Every number of the run report: summary, success rate, serial rate and daily capacity."""
-    summary = run_summary(pred, by, **columns)
+    summary = run_summary(pred, by, **options)
     n_ok = F.col("success_count")
     serial = ratio(n_ok * 1000.0, F.col("inference_mean_ms") * n_ok)
     return summary.select(
@@ -72,7 +75,9 @@ def run_report(pred: DataFrame, by: Sequence[str] = ("run_label",), **columns: s
     )
 
 
-def metric_bundle(pred: DataFrame, by: Sequence[str] = ("run_label",)) -> DataFrame:
+def metric_bundle(
+    pred: DataFrame, by: Sequence[str] = ("run_label",), small_rows: int = SMALL_ROWS
+) -> DataFrame:
     """All metric tables of all runs in long form: by..., metric_table, metric, value.
 
     One aggregation for sums and shares, and one percentile pass over all measured columns,
@@ -93,7 +98,7 @@ def metric_bundle(pred: DataFrame, by: Sequence[str] = ("run_label",)) -> DataFr
     aggs, placed = [], []
 
     def add(table: str, metric: str, column) -> None:
-        aggs.append(column.cast("double").alias(f"{table}.{metric}"))
+        aggs.append(column.cast("double").alias(f"{table}__{metric}"))
         placed.append((table, metric))
 
     for name, column in measured.items():
@@ -108,17 +113,17 @@ def metric_bundle(pred: DataFrame, by: Sequence[str] = ("run_label",)) -> DataFr
     add("error_statistics", "success_pct", ratio(n_ok * 100.0, n))
     add("error_statistics", "error_pct", ratio((n - n_ok) * 100.0, n))
     names = {
-        (c, p): f"{tables[c]}.p{round(p * 100)}"
+        (c, p): f"{tables[c]}__p{round(p * 100)}"
         for c in measured
         for p in ((0.5, 0.95) if c == "report_chars" else (0.5, 0.95, 0.99))
     }
-    placed += [tuple(n.split(".")) for n in names.values()]
-    flat = with_percentiles(pred.groupBy(*by).agg(*aggs), pred, measured, names, by)
+    placed += [tuple(n.split("__")) for n in names.values()]
+    flat = grouped_with_percentiles(pred, by, aggs, measured, names, small_rows=small_rows)
     cells = [
         F.struct(
             F.lit(t).alias("metric_table"),
             F.lit(m).alias("metric"),
-            F.round(F.col(f"`{t}.{m}`"), 2).alias("value"),
+            F.round(F.col(f"{t}__{m}"), 2).alias("value"),
         )
         for t, m in placed
     ]
