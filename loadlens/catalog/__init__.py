@@ -1,6 +1,6 @@
 """Registered queries: each operator on the given tables, next to the SQL that must agree."""
 
-from loadlens.catalog import metrics, requests, runs, timelines
+from loadlens.catalog import metrics, requests, runs, scoring, storage, streams, text, timelines
 from loadlens.catalog.registry import ORACLES, QUERIES
 
 __all__ = [
@@ -9,5 +9,9 @@ __all__ = [
     "metrics",
     "requests",
     "runs",
+    "scoring",
+    "storage",
+    "streams",
+    "text",
     "timelines",
 ]

@@ -19,3 +19,8 @@ def to_body(columns: Sequence[str], keep_nulls: bool = True) -> Column:
     """The named columns as one JSON object."""
     options = {"ignoreNullFields": "false"} if keep_nulls else {}
     return F.to_json(F.struct(*columns), options)
+
+
+def embedded(content: Column | str) -> Column:
+    """Bytes as one line of base64; Spark's own function breaks long values into lines."""
+    return F.translate(F.base64(content), "\r\n", "")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadlens.functions import numbers, paths, times
+from loadlens.functions import messages, numbers, paths, times
 from loadlens.operators.reports import with_markup
 from loadlens.operators.sampling import first_n
 
@@ -26,7 +26,7 @@ def gallery_rows(
     ms = F.coalesce(F.col("inference_time_ms"), F.lit(0.0))
     sec = ms / 1000.0
     shown = with_markup(rows, "report_text", "report_html")
-    extra = [F.base64(content).alias("image_base64")] if content else []
+    extra = [messages.embedded(content).alias("image_base64")] if content else []
     return shown.select(
         "file_path",
         paths.study_id("file_path").alias("study_id"),
