@@ -174,9 +174,9 @@ def gallery_rows(spark, sf_dir) -> DataFrame:
     r"""SELECT concat('/scans/IM-', lpad(CAST(doc_id AS VARCHAR), 4, '0'), '.png') AS file_path,
   concat('IM-', lpad(CAST(doc_id AS VARCHAR), 4, '0')) AS study_id,
   concat('CXR-TRAIN-IM-', lpad(CAST(doc_id AS VARCHAR), 4, '0')) AS case_id,
-  'January 01, 2024' AS report_date, round(n_chars / 1000.0, 2) AS latency_sec,
-  CASE WHEN n_chars < 5000 THEN 'fast' WHEN n_chars < 15000 THEN 'medium' ELSE 'slow' END AS latency_class,
-  round(1000.0 / n_chars, 2) AS throughput_per_sec, source AS device,
+  'January 01, 2024' AS report_date, round(n_chars / 100.0, 2) AS latency_sec,
+  CASE WHEN n_chars < 500 THEN 'fast' WHEN n_chars < 1500 THEN 'medium' ELSE 'slow' END AS latency_class,
+  round(100.0 / n_chars, 2) AS throughput_per_sec, source AS device,
   to_base64(encode(text)) AS image_base64
 FROM documents""",
 )
@@ -185,7 +185,7 @@ def gallery_all_rows(spark, sf_dir) -> DataFrame:
         "concat('/scans/IM-', lpad(CAST(doc_id AS STRING), 4, '0'), '.png') AS file_path",
         "text AS report_text",
         "TIMESTAMP'2024-01-01 12:00:00' AS timestamp",
-        "CAST(n_chars AS DOUBLE) AS inference_time_ms",
+        "CAST(n_chars * 10 AS DOUBLE) AS inference_time_ms",
         "concat(source, '-80GB') AS gpu_used",
         "CAST(text AS BINARY) AS content",
     )

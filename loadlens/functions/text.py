@@ -140,24 +140,26 @@ def _tagged(kind: Column, line: Column) -> Column:
     )
 
 
-def report_markup(lines: Column) -> Column:
-    """Markup of classified lines; a list opens and closes where runs of bullets do."""
-    kept = F.filter(lines, lambda x: x["kind"] != "skip")
+def without_skipped(lines: Column) -> Column:
+    return F.filter(lines, lambda x: x["kind"] != "skip")
+
+
+def report_markup(kept: Column) -> Column:
+    """Markup of the kept lines; a list opens and closes where runs of bullets do."""
     edge = F.array(F.struct(F.lit("blank").alias("kind"), F.lit("").alias("line")))
+    none = F.array().cast("array<string>")
     # Each line next to the one before it; the closing edge ends a list on the last line.
     pieces = F.zip_with(
         F.concat(kept, edge),
         F.concat(edge, kept),
         lambda here, before: F.concat(
             F.when(
-                (before["kind"] == "bullet") & (here["kind"] != "bullet"),
-                F.array(F.lit("</ul>")),
-            ).otherwise(F.array().cast("array<string>")),
+                (before["kind"] == "bullet") & (here["kind"] != "bullet"), F.array(F.lit("</ul>"))
+            ).otherwise(none),
             F.when(
-                (before["kind"] != "bullet") & (here["kind"] == "bullet"),
-                F.array(F.lit("<ul>")),
-            ).otherwise(F.array().cast("array<string>")),
+                (before["kind"] != "bullet") & (here["kind"] == "bullet"), F.array(F.lit("<ul>"))
+            ).otherwise(none),
             F.array_compact(F.array(_tagged(here["kind"], here["line"]))),
         ),
     )
-    return F.array_join(F.flatten(pieces), "\n")
+    return strip(F.array_join(F.flatten(pieces), "\n"))

@@ -17,15 +17,21 @@ def report_lines(df: DataFrame, column: str = "report_text", keep: Sequence[str]
 
 
 def with_markup(df: DataFrame, column: str = "report_text", name: str = "report_html") -> DataFrame:
-    """Add the cleaned report. Lines are classified in a step of their own, so only once."""
+    """Add the cleaned report, with fixed texts for failed and for empty ones.
+
+    Each stage is a column of its own, used more than once by the next: Spark then evaluates it
+    once per row instead of writing it into every place of use.
+    """
     t = F.col(column)
-    lined = df.withColumn("_lines", text.classified_lines(column))
-    body = text.strip(text.report_markup(F.col("_lines")))
     failed = t.isNull() | (t == "") | (t == "Error")
-    made = F.when(failed, F.lit(text.FAILED_HTML)).otherwise(
-        F.coalesce(F.nullif(body, F.lit("")), F.lit(text.EMPTY_HTML))
+    staged = df.withColumn("_kept", text.without_skipped(text.classified_lines(column)))
+    staged = staged.withColumn("_body", text.report_markup(F.col("_kept")))
+    made = (
+        F.when(failed, F.lit(text.FAILED_HTML))
+        .when(F.col("_body") == "", F.lit(text.EMPTY_HTML))
+        .otherwise(F.col("_body"))
     )
-    return lined.withColumn(name, made).drop("_lines")
+    return staged.withColumn(name, made).drop("_kept", "_body")
 
 
 def classify(df: DataFrame, column: str = "raw_text") -> DataFrame:
