@@ -243,6 +243,7 @@ def dense_order_numbers(spark, sf_dir) -> DataFrame:
         rows.select(*order, "l_extendedprice", "l_returnflag"),
         [*order, "l_extendedprice"],
         ["l_returnflag"],
+        small_rows=0,
     )
     return out.select("l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate_us", "seq")
 
@@ -280,6 +281,21 @@ def balanced_sample_large(spark, sf_dir) -> DataFrame:
     return out.drop("file_path")
 
 
+@query(
+    "balanced_sample_huge",
+    """SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber, l_partkey,
+  l_suppkey, l_extendedprice) <= 12000""",
+)
+def balanced_sample_huge(spark, sf_dir) -> DataFrame:
+    rows = table(spark, sf_dir, "lineitem")
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    out = sampling.balanced_sample(
+        rows.select(*order, "l_returnflag"), 12000, "l_returnflag", order
+    )
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
+
+
 @query(
     "two_class_sample",
     f"""WITH {P} SELECT request_id, true_label FROM P WHERE true_label IN ('view', 'click')

@@ -142,7 +142,7 @@ def stream_score(spark, sf_dir) -> DataFrame:
     )
     scorer = Scorer(double_value, lambda: 3.0)
     listing = _asset_files(spark, sf_dir).drop("content")
-    out = score_stream(rows, listing, scorer, ["inference_time_ms", "kind"], ["page_id"])
+    out = score_stream(rows, listing, scorer, ["inference_time_ms", "kind"], ["page_id"], 4)
     return sinks.run_to_table(out, "score").select(
         "request_id", "page_id", "report_text", "error_message"
     )

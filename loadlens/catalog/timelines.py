@@ -35,9 +35,9 @@ SELECT run, request_id, inference_time_ms, mean_latency_ms,
        ELSE (done_us - s) / 1000000.0 END AS x FROM S"""
 
 
-def _adaptive_rows(spark, sf_dir, run, span: float) -> DataFrame:
+def _adaptive_rows(spark, sf_dir, run, span: float, **sizes) -> DataFrame:
     rows = predictions(spark, sf_dir).withColumn("run", run)
-    out = timeline.timeline_adaptive(rows, ["run"], min_span_sec=span)
+    out = timeline.timeline_adaptive(rows, ["run"], min_span_sec=span, **sizes)
     return out.withColumn("mean_latency_ms", F.round("mean_latency_ms", 6))
 
 
@@ -54,7 +54,7 @@ def timeline_adaptive(spark, sf_dir) -> DataFrame:
 def timeline_sequence(spark, sf_dir) -> DataFrame:
     hour = F.expr("CAST(unix_micros(ingest_ts) DIV 3600000000 AS STRING)")
     run = F.concat("gpu_used", F.lit("/"), hour)
-    return _adaptive_rows(spark, sf_dir, run, 3300.0)
+    return _adaptive_rows(spark, sf_dir, run, 3300.0, small_rows=0)
 
 
 _ELAPSED = f"""{P}, E AS (SELECT run_label, inference_time_ms AS y,

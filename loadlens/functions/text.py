@@ -38,7 +38,11 @@ FAILED_HTML = (
 )
 EMPTY_HTML = "<p>No report content available.</p>"
 
-_BLANKS = r"[\s\p{Z}]"
+# What counts as blank around a line or word.
+_BLANK_CHARS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(
+    chr(c) for c in [*range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+)
+_BLANKS = f"[{_BLANK_CHARS}]+"
 
 
 def _c(x: Column | str) -> Column:
@@ -46,7 +50,7 @@ def _c(x: Column | str) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, f"^{_BLANKS}+|{_BLANKS}+$", "")
+    return F.trim(text, F.lit(_BLANK_CHARS))
 
 
 def error_text(kind: Column | str, message: Column | str) -> Column:
@@ -60,7 +64,7 @@ def clip(text: Column | str, n: int = 100) -> Column:
 
 def first_token(text: Column | str) -> Column:
     """First word, upper case, without dots and commas around it; NULL if there is none."""
-    word = F.get(F.split(strip(_c(text)), f"{_BLANKS}+"), F.lit(0))
+    word = F.get(F.split(strip(_c(text)), _BLANKS), F.lit(0))
     return F.when(word != "", F.regexp_replace(F.upper(word), r"^[.,]+|[.,]+$", ""))
 
 

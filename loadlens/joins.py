@@ -32,10 +32,10 @@ def attach_groups(
 ) -> DataFrame:
     """Add per-group columns to every row (inner join on ``by``, NULL keys included).
 
-    ``groups`` is computed once and kept; if its checked row count allows, it is broadcast, so the
-    rows do not move and a hot group stays spread out. Beyond the bound it is a shuffle join,
-    whose hot partitions adaptive execution splits. ``known_small`` skips the check where the
-    size follows from the plan, e.g. one row of a global aggregate per requested column.
+    If the checked row count of ``groups`` allows, they are kept and broadcast, so the rows do not
+    move and a hot group stays spread out. Beyond the bound it is a shuffle join, whose hot
+    partitions adaptive execution splits. ``known_small`` skips the check where the size follows
+    from the plan, e.g. one row of a global aggregate per requested column.
     """
     renamed = groups.select(
         *[F.col(k).alias(f"__g_{k}") for k in by],
@@ -47,5 +47,7 @@ def attach_groups(
         renamed = renamed.persist()
         if fits_broadcast(renamed, max_rows):
             renamed = F.broadcast(renamed)
+        else:
+            renamed.unpersist()
     joined = rows.join(renamed, null_safe(rows, renamed, [(k, f"__g_{k}") for k in by]))
     return joined.drop(*[f"__g_{k}" for k in by])

@@ -17,18 +17,25 @@ def _keyed(df: DataFrame, path: str = "file_path") -> DataFrame:
     return df.withColumn("_key", normalize_path(path))
 
 
-def match_assets(requests: DataFrame, listing: DataFrame) -> DataFrame:
+def match_assets(requests: DataFrame, listing: DataFrame, salts: int = 1) -> DataFrame:
     """Requests whose file exists, with the listing's columns; no file bytes involved.
 
-    Repeated requests for one file all stay. Spark picks the strategy: rows are narrow, and the
-    partition of a much requested file is split at run time.
+    Repeated requests for one file all stay. Spark picks the strategy: rows are narrow, and
+    adaptive execution splits the partition of a much requested file. Streams lack that; for
+    them ``salts`` spreads each file's requests over as many copies of its listing row.
     """
     extra = [c for c in listing.columns if c not in ("file_path", "content")]
     clash = [c for c in extra if c in requests.columns]
     if clash:
         raise ValueError(f"both sides have {clash}")
     files = _keyed(listing).select("_key", F.col("file_path").alias("asset_path"), *extra)
-    return _keyed(requests).join(files, "_key").select(*requests.columns, "asset_path", *extra)
+    wanted, keys = _keyed(requests), ["_key"]
+    if salts > 1:
+        keys = ["_key", "_salt"]
+        spread = F.pmod(F.xxhash64(*requests.columns), F.lit(salts)).cast("int")
+        wanted = wanted.withColumn("_salt", spread)
+        files = files.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return wanted.join(files, keys).select(*requests.columns, "asset_path", *extra)
 
 
 def missing_assets(requests: DataFrame, listing: DataFrame) -> DataFrame:

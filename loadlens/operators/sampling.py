@@ -13,6 +13,8 @@ from loadlens.operators.sequence import dense_sequence
 # Up to this k Spark itself keeps only k rows per group and task before the shuffle
 # (spark.sql.optimizer.windowGroupLimitThreshold).
 _GROUP_LIMIT = 1000
+# Up to this k each class is first cut within 256 parts; beyond, all rows are numbered.
+_SALTED_LIMIT = 10_000
 _SALTS = 256
 # Sorting this many rows in one task is fine; larger ladders number the rows in parallel.
 _SINGLE_TASK_ROWS = 1_000_000
@@ -28,8 +30,12 @@ def balanced_sample(df: DataFrame, per_class: int, label: str, order: Sequence[s
 
     A class may hold most of the rows. For small samples each task sends at most ``per_class``
     rows per class. For larger ones every class is first cut within 256 parts, so one task
-    sees at most ``256 * per_class`` rows of it.
+    sees at most ``256 * per_class`` rows of it. Very large ones number the sorted rows of all
+    tasks, so that no task sees a class.
     """
+    if per_class > _SALTED_LIMIT:
+        numbered = dense_sequence(df, order, [label], name="_rn")
+        return numbered.filter(F.col("_rn") <= per_class).drop("_rn")
 
     def first_of(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
         w = Window.partitionBy(*keys).orderBy(*order)

@@ -16,7 +16,8 @@ def score_stream(
     scorer: Scorer,
     inputs: Sequence[str] = (),
     carry: Sequence[str] = (),
+    salts: int = 1,
 ) -> DataFrame:
     """Stream-static inner join on the normalised path, then the batch scorer. No state is kept."""
-    matched = match_assets(requests, listing)
+    matched = match_assets(requests, listing, salts)
     return score(matched, scorer, inputs, carry)
