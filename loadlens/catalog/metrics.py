@@ -11,9 +11,9 @@ from loadlens.operators import labels, metrics
 from loadlens.plans.runs import metric_bundle
 
 
-def _stats(column: str, unit: str = "ms", percentiles=(50, 95, 99)) -> str:
-    parts = [f"round({f}({column}), 2)" for f in ("avg", "min", "max")]
-    parts += [f"round(quantile_disc({column}, {p / 100}), 2)" for p in percentiles]
+def _stats(column: str, unit: str = "ms", percentiles=(50, 95, 99), digits: int = 2) -> str:
+    parts = [f"round({f}({column}), {digits})" for f in ("avg", "min", "max")]
+    parts += [f"round(quantile_disc({column}, {p / 100}), {digits})" for p in percentiles]
     names = ["mean", "min", "max", *[f"p{p}" for p in percentiles]]
     return ", ".join(
         f"CAST({e} AS DOUBLE) AS {n}_{unit}" for e, n in zip(parts, names, strict=True)
@@ -70,14 +70,13 @@ def price_percentiles_by_flag(spark, sf_dir) -> DataFrame:
 
 @query(
     "latency_by_user",
-    f"WITH {P}, U AS (SELECT *, event_user FROM (SELECT P.*, split_part(file_path, '_', 2) "
-    "AS event_user FROM P)) "
-    f"SELECT event_user, {_stats('inference_time_ms')} FROM U WHERE error_message IS NULL "
+    f"WITH {P}, U AS (SELECT *, split_part(file_path, '_', 2) AS event_user FROM P) "
+    f"SELECT event_user, {_stats('inference_time_ms', digits=9)} FROM U WHERE error_message IS NULL "
     "GROUP BY event_user",
 )
 def latency_by_user(spark, sf_dir) -> DataFrame:
     rows = predictions(spark, sf_dir).withColumn("event_user", F.split("file_path", "_")[1])
-    return metrics.latency_stats(rows, by=["event_user"])
+    return metrics.latency_stats(rows, by=["event_user"], digits=9)
 
 
 # The way for large data, whatever the size.

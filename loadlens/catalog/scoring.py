@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 from loadlens.catalog.registry import query
 from loadlens.catalog.views import P, predictions, table
 from loadlens.operators import reports, scoring
+from loadlens.operators.partitions import spread_for_scoring
 
 
 def double_value(model: float, rows: pd.DataFrame) -> list[str]:
     """Model times value, in hundredths; a row of type error fails its micro-batch."""
-    if (rows["kind"] == "error").any():
+    if "error" in rows["kind"].tolist():
         raise ValueError("cannot read image")
-    cents = (rows["inference_time_ms"] * 100).round().astype("int64") * int(model)
-    return cents.astype(str).tolist()
+    return [str(round(ms * 100) * int(model)) for ms in rows["inference_time_ms"].tolist()]
 
 
 def no_model() -> float:
@@ -36,6 +36,8 @@ _KEPT = [
 
 def _scored(spark, sf_dir, init, micro_batch: int = 1) -> DataFrame:
     rows = predictions(spark, sf_dir).withColumn("kind", F.split("file_path", "/")[2])
+    # Scoring is what takes time, so its tasks follow the rows and not the input's files.
+    rows = spread_for_scoring(rows, rows.count(), spark.sparkContext.defaultParallelism)
     scorer = scoring.Scorer(double_value, init, micro_batch, device="cpu-test")
     return scoring.score(rows, scorer, ["inference_time_ms", "kind"], ["run_label"])
 

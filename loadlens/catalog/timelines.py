@@ -27,7 +27,7 @@ def timeline_rows(spark, sf_dir) -> DataFrame:
 def _adaptive(runs: str, span: float) -> str:
     return f"""WITH {P}, Q AS (SELECT {runs} AS run, request_id, done_us, inference_time_ms FROM P),
 S AS (SELECT *, min(done_us) OVER (PARTITION BY run) AS s, max(done_us) OVER (PARTITION BY run) AS e,
-  round(avg(inference_time_ms) OVER (PARTITION BY run), 6) AS mean_latency_ms,
+  round(avg(inference_time_ms) OVER (PARTITION BY run), 9) AS mean_latency_ms,
   row_number() OVER (PARTITION BY run ORDER BY done_us, request_id) AS rn FROM Q)
 SELECT run, request_id, inference_time_ms, mean_latency_ms,
   CASE WHEN (e - s) / 1000000.0 < {span} THEN 'Image Number' ELSE 'Time Elapsed (sec)' END AS x_label,
@@ -38,7 +38,7 @@ SELECT run, request_id, inference_time_ms, mean_latency_ms,
 def _adaptive_rows(spark, sf_dir, run, span: float, **sizes) -> DataFrame:
     rows = predictions(spark, sf_dir).withColumn("run", run)
     out = timeline.timeline_adaptive(rows, ["run"], min_span_sec=span, **sizes)
-    return out.withColumn("mean_latency_ms", F.round("mean_latency_ms", 6))
+    return out.withColumn("mean_latency_ms", F.round("mean_latency_ms", 9))
 
 
 @query("timeline_adaptive", _adaptive("run_label", 1.0))

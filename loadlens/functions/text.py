@@ -68,21 +68,21 @@ def first_token(text: Column | str) -> Column:
     return F.when(word != "", F.regexp_replace(F.upper(word), r"^[.,]+|[.,]+$", ""))
 
 
-def parsed_label(text: Column | str) -> Column:
-    """Struct (prediction, confidence) read from the first word of a classifier's answer.
+def label_of(token: Column | str) -> Column:
+    """Struct (prediction, confidence) for the first word of a classifier's answer.
 
     The longer class name is looked for first; a word that merely contains a class name counts.
-    Text without any word is an error of the scorer.
+    No word at all is an error of the scorer.
     """
-    token = first_token(text)
+    t = _c(token)
 
     def pair(prediction: str, confidence: str) -> Column:
         return F.struct(F.lit(prediction).alias("prediction"), F.lit(confidence).alias("confidence"))
 
     return (
-        F.when(token.isNull(), pair("ERROR", "N/A"))
-        .when(token.contains("PNEUMONIA"), pair("PNEUMONIA", "HIGH"))
-        .when(token.contains("NORMAL"), pair("NORMAL", "HIGH"))
+        F.when(t.isNull(), pair("ERROR", "N/A"))
+        .when(t.contains("PNEUMONIA"), pair("PNEUMONIA", "HIGH"))
+        .when(t.contains("NORMAL"), pair("NORMAL", "HIGH"))
         .otherwise(pair("UNKNOWN", "LOW"))
     )
 

@@ -15,14 +15,15 @@ REQUIRED = ("file_path", "request_id", "ingest_ts")
 
 
 def parse_bodies(raw: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Flat request columns of every message; all NULL where the body is not JSON."""
-    fields = schemas.REQUEST_MESSAGE.fieldNames()
+    """Flat request columns of every message; all NULL where the body is not JSON.
+
+    A generator of one row: later filters stay above it, so a body is parsed once. As a plain
+    column it would be parsed again for each field a filter looks at.
+    """
+    parsed = F.inline_outer(F.array(body_struct(value, schemas.REQUEST_MESSAGE)))
+    names = schemas.REQUEST_MESSAGE.fieldNames()
     return raw.select(
-        *keep, F.col(value), body_struct(value, schemas.REQUEST_MESSAGE).alias("_body")
-    ).select(
-        *keep,
-        F.col(value).cast("string").alias("body"),
-        *[F.col(f"_body.{f}").alias(f) for f in fields],
+        *keep, F.col(value).cast("string").alias("body"), parsed.alias(*names)
     )
 
 

@@ -36,6 +36,6 @@ def with_markup(df: DataFrame, column: str = "report_text", name: str = "report_
 
 def classify(df: DataFrame, column: str = "raw_text") -> DataFrame:
     """Add prediction and confidence read from a classifier's answer."""
-    return df.withColumn("_p", text.parsed_label(column)).select(
-        "*", F.col("_p.prediction"), F.col("_p.confidence")
-    ).drop("_p")
+    named = df.withColumn("_token", text.first_token(column))
+    named = named.withColumn("_p", text.label_of("_token"))
+    return named.select(*df.columns, "_p.prediction", "_p.confidence")
