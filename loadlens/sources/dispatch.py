@@ -28,7 +28,7 @@ class SourceSpec:
 
 def load_requests(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     if spec.object_store:
-        return files.list_unlabelled(spark, spec.object_store, spec.suffixes)
+        return files.list_unlabelled(spark, spec.object_store, spec.suffixes, ignore_case=True)
     if spec.topic:
         if not spec.servers:
             raise ValueError("a topic needs its servers")

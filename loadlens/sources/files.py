@@ -59,10 +59,13 @@ def list_assets(
 
 
 def list_unlabelled(
-    spark: SparkSession, root: str, suffixes: Sequence[str] = (".png",)
+    spark: SparkSession,
+    root: str,
+    suffixes: Sequence[str] = (".png",),
+    ignore_case: bool = False,
 ) -> DataFrame:
     """Requests for every file under ``root``, label unknown."""
-    return _binary(spark, root, suffixes, False).select(
+    return _binary(spark, root, suffixes, ignore_case).select(
         F.col("path").alias("file_path"), F.lit(None).cast("string").alias("true_label")
     )
 
