@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from loadlens.catalog.registry import query
 from loadlens.catalog.views import P, R, predictions, runs
+from loadlens.functions import times
 from loadlens.plans import capacity
 from loadlens.plans import runs as plans
-from loadlens.sources.tables import backfill_summary
+from loadlens.scratch import scratch_path
+from loadlens.sinks.files import write_csv
+from loadlens.sources.tables import backfill_summary, read_summary
 
 
 def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -72,6 +75,42 @@ def run_report(spark, sf_dir) -> DataFrame:
     return _rounded(out.withColumn("daily_capacity", F.round("daily_capacity", 4)))
 
 
+_DATASET = f"""WITH {_SUMMARY} SELECT run_label, num_requests AS num_images,
+  round(wall_time_sec, 6) AS wall_time_sec,
+  round(wall_throughput_req_per_sec, 6) AS wall_throughput_img_per_sec,
+  round(inference_mean_ms, 6) AS mean_latency_ms, round(inference_p95_ms, 6) AS p95_latency_ms,
+  success_count, error_count, CAST(NULL AS DOUBLE) AS overall_accuracy_pct FROM W"""
+
+
+@query("dataset_summary", _DATASET)
+def dataset_summary(spark, sf_dir) -> DataFrame:
+    return _rounded(plans.dataset_summary(predictions(spark, sf_dir)))
+
+
+@query("summary_csv", _DATASET)
+def summary_csv(spark, sf_dir) -> DataFrame:
+    """The summary file written and read back."""
+    path = scratch_path(spark, "summary")
+    write_csv(plans.dataset_summary(predictions(spark, sf_dir)), path, single_file=True)
+    return _rounded(read_summary(spark, path))
+
+
+@query(
+    "demo_summary",
+    f"""WITH {P} SELECT run_label, max(done_us) AS finished_us, true AS s3_enabled,
+  false AS kafka_enabled, count(*) AS total_images, count(*) {_OK} AS success_count,
+  count(*) - count(*) {_OK} AS error_count, round(avg(inference_time_ms) {_OK}, 6) AS mean_latency_ms,
+  quantile_disc(inference_time_ms, 0.95) {_OK} AS p95_latency_ms,
+  quantile_disc(inference_time_ms, 0.99) {_OK} AS p99_latency_ms,
+  round(count(*) {_OK} / (sum(inference_time_ms) {_OK} / 1000), 6) AS throughput_img_per_sec,
+  round((max(done_us) - min(dequeue_us)) / 1000000.0, 6) AS wall_time_sec
+FROM P GROUP BY run_label""",
+)
+def demo_summary(spark, sf_dir) -> DataFrame:
+    out = plans.demo_summary(predictions(spark, sf_dir), True, False)
+    return _rounded(out.withColumn("finished_us", times.micros("timestamp")).drop("timestamp"))
+
+
 _LEVELS = "(SELECT unnest([100, 1000, 10000])::BIGINT AS level)"
 
 

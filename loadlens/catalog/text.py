@@ -60,6 +60,16 @@ def error_count(spark, sf_dir) -> DataFrame:
     return labels.class_report(reports.classify(_answers(spark, sf_dir)))
 
 
+@query(
+    "error_samples",
+    f"""WITH {_PARSED_SQL} SELECT image_id, raw_text FROM C JOIN A USING (image_id)
+WHERE prediction = 'ERROR' ORDER BY image_id LIMIT 5""",
+)
+def error_samples(spark, sf_dir) -> DataFrame:
+    found = labels.error_samples(reports.classify(_answers(spark, sf_dir)))
+    return found.select("image_id", "raw_text")
+
+
 # Reports made from whole documents: frequent words become bold marks, headings, sub-headings and
 # bullets, between the boilerplate the cleaning removes.
 _HEAD = (

@@ -45,6 +45,60 @@ def run_summary(
     return grouped_with_percentiles(pred, by, aggs, measured, names, small_rows=small_rows)
 
 
+def dataset_summary(pred: DataFrame, **options) -> DataFrame:
+    """The run summary in the columns of the summary file; reports carry no accuracy."""
+    return run_summary(pred, **options).select(
+        "run_label",
+        F.col("num_requests").alias("num_images"),
+        "wall_time_sec",
+        F.col("wall_throughput_req_per_sec").alias("wall_throughput_img_per_sec"),
+        F.col("inference_mean_ms").alias("mean_latency_ms"),
+        F.col("inference_p95_ms").alias("p95_latency_ms"),
+        "success_count",
+        "error_count",
+        F.lit(None).cast("double").alias("overall_accuracy_pct"),
+    )
+
+
+def demo_summary(
+    pred: DataFrame,
+    from_store: bool,
+    from_topic: bool,
+    by: Sequence[str] = ("run_label",),
+    started: str = "dequeue_ts",
+    finished: str = "timestamp",
+    small_rows: int = SMALL_ROWS,
+) -> DataFrame:
+    """One row per end-to-end run: what it read from, counts, latencies with p99, serial rate."""
+    by, ok = list(by), succeeded()
+    ms = F.when(ok, F.col("inference_time_ms"))
+    aggs = [
+        F.max(finished).alias("timestamp"),
+        F.count(F.lit(1)).alias("total_images"),
+        F.count_if(ok).alias("success_count"),
+        F.count_if(~ok).alias("error_count"),
+        F.avg(ms).alias("mean_latency_ms"),
+        ratio(F.count_if(ok), F.sum(ms) / 1000).alias("throughput_img_per_sec"),
+        elapsed_sec(F.min(started), F.max(finished)).alias("wall_time_sec"),
+    ]
+    names = {("v", 0.95): "p95_latency_ms", ("v", 0.99): "p99_latency_ms"}
+    out = grouped_with_percentiles(pred, by, aggs, {"v": ms}, names, small_rows=small_rows)
+    return out.select(
+        *by,
+        "timestamp",
+        F.lit(from_store).alias("s3_enabled"),
+        F.lit(from_topic).alias("kafka_enabled"),
+        "total_images",
+        "success_count",
+        "error_count",
+        "mean_latency_ms",
+        "p95_latency_ms",
+        "p99_latency_ms",
+        "throughput_img_per_sec",
+        "wall_time_sec",
+    )
+
+
 def run_view(
     pred: DataFrame, by: str = "run_label", small_rows: int = SMALL_ROWS
 ) -> DataFrame:

@@ -7,11 +7,13 @@ from pyspark.sql.types import StructType
 
 from loadlens.operators.decode import decode_requests
 
-# State of keyed operators belongs on disk at scale; a job sets this before it starts a query.
-STATE_STORE_OPTIONS = {
+# A job sets these before it starts a query: state of keyed operators on disk, and bursts of one
+# key merged within a task before the shuffle.
+STREAM_OPTIONS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    )
+    ),
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 
@@ -36,6 +38,14 @@ def stream_requests(messages: DataFrame, delay: str = "10 minutes") -> DataFrame
     return decode_requests(messages).withWatermark("ingest_ts", delay)
 
 
-def distinct_stream(requests: DataFrame, key: str = "request_id") -> DataFrame:
-    """First arrival per id; ids are remembered only as long as the watermark needs."""
+def distinct_stream(
+    requests: DataFrame, key: str = "request_id", within: str | None = None
+) -> DataFrame:
+    """First arrival per id; ids are remembered only as long as the watermark needs.
+
+    If one id may fill much of the stream, ``within`` names a column its copies differ in, the
+    topic partition say. Copies then leave per value of it first, and few meet in one task.
+    """
+    if within:
+        requests = requests.dropDuplicatesWithinWatermark([key, within])
     return requests.dropDuplicatesWithinWatermark([key])

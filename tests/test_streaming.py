@@ -67,6 +67,23 @@ def test_copies_within_the_watermark_leave(spark, tmp_path):
     live = stream(spark, path).withWatermark("ingest_ts", "10 minutes")
     got = sinks.run_to_table(sreq.distinct_stream(live), "d")
     assert sorted(r.request_id for r in got.collect()) == ["r1", "r2", "r3"]
+    split = stream(spark, path).withWatermark("ingest_ts", "10 minutes")
+    got = sinks.run_to_table(sreq.distinct_stream(split, within="inference_time_ms"), "d2")
+    assert sorted(r.request_id for r in got.collect()) == ["r1", "r2", "r3"]
+
+
+def test_options_are_known_to_spark(spark, tmp_path):
+    path = folder(spark, tmp_path, [[row(1, 0), row(1, 1)], [row(2, 30)]])
+    before = {k: spark.conf.get(k) for k in sreq.STREAM_OPTIONS}
+    try:
+        for name, value in sreq.STREAM_OPTIONS.items():
+            spark.conf.set(name, value)
+        live = stream(spark, path).withWatermark("ingest_ts", "1 minute")
+        out = sinks.run_to_table(windows.session_metrics(live, "5 minutes", ["dev"]), "o")
+        assert [r[3] for r in rows(out)] == [2]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def test_decoding_equals_batch(spark, tmp_path):
