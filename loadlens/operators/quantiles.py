@@ -22,7 +22,7 @@ from loadlens.joins import attach_groups, null_safe
 
 ACCURACY = 10_000
 CELLS = 1024
-SMALL_ROWS = 1_000_000
+SMALL_ROWS = 250_000  # percentile_disc keeps every distinct value; beyond this it is the slower way
 _SCALE = 1_000_000  # probabilities are read to six places, so ranks are whole-number arithmetic
 
 
@@ -36,16 +36,13 @@ def _rank(p: float, n: Column) -> Column:
 
 
 def _long_form(df: DataFrame, columns: Mapping[str, Column], by: Sequence[str]) -> DataFrame:
-    """One row per input row and measured column: by..., _m, _v. NULLs carry no rank."""
-    items = [
-        F.struct(F.lit(name).alias("_m"), value.cast("double").alias("_v"))
-        for name, value in columns.items()
-    ]
-    if len(items) == 1:
-        out = df.select(*by, items[0].alias("_x"))
+    """One row per input row and measured column: by..., _m (its number), _v. NULLs have no rank."""
+    values = [value.cast("double") for value in columns.values()]
+    if len(values) == 1:
+        out = df.select(*by, F.lit(0).alias("_m"), values[0].alias("_v"))
     else:
-        out = df.select(*by, F.explode(F.array(*items)).alias("_x"))
-    return out.select(*by, "_x._m", "_x._v").filter(F.col("_v").isNotNull())
+        out = df.select(*by, F.posexplode(F.array(*values)).alias("_m", "_v"))
+    return out.filter(F.col("_v").isNotNull())
 
 
 def _running(cells: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -72,7 +69,7 @@ def exact_percentiles(
     brackets = rows.groupBy(*keys).agg(
         F.array_sort(F.percentile_approx("_v", [float(c) for c in cuts], accuracy)).alias("_cuts")
     )
-    edges = [F.col("_cuts")[i] for i in range(len(cuts))]
+    edges = [F.get("_cuts", F.lit(i)) for i in range(len(cuts))]
 
     # Zone 2i+1 is the closed bracket of probability i, even zones lie between brackets.
     placed = attach_groups(rows, brackets, keys, known_small=not by)
@@ -115,11 +112,8 @@ def exact_percentiles(
             "_hi",
         )
     )
-    settled = hits.filter(F.col("_lo") == F.col("_hi")).select(*keys, "_p", F.col("_lo").alias("_v"))
-
-    open_cells = hits.filter(F.col("_lo") < F.col("_hi"))
     if by:
-        packed = open_cells.groupBy(*keys).agg(
+        packed = hits.groupBy(*keys).agg(
             F.collect_list(F.struct("_p", "_need", "_lo", "_hi")).alias("_open")
         )
         near = attach_groups(rows, packed, keys)
@@ -130,7 +124,7 @@ def exact_percentiles(
             *keys, F.col("_o._p").alias("_p"), F.col("_o._need").alias("_need"), "_v"
         )
     else:
-        few = F.broadcast(open_cells.withColumnRenamed("_m", "__m"))  # columns * probabilities rows
+        few = F.broadcast(hits.withColumnRenamed("_m", "__m"))  # columns * probabilities rows
         near = rows.join(
             few,
             null_safe(rows, few, [("_m", "__m")])
@@ -144,8 +138,9 @@ def exact_percentiles(
         )
         .select(*keys, "_p", "_v")
     )
-    return settled.unionByName(found).select(
-        *by, F.col("_m").alias("metric"), F.col("_p").alias("p"), F.col("_v").alias("value")
+    metric = F.get(F.array(*[F.lit(name) for name in columns]), F.col("_m"))
+    return found.select(
+        *by, metric.alias("metric"), F.col("_p").alias("p"), F.col("_v").alias("value")
     )
 
 
