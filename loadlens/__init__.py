@@ -1,3 +1,10 @@
 """Load-test analytics for batch scoring requests, expressed as Spark DataFrame operators."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions of this package travel to Python workers as code, so executors need no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

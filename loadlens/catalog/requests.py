@@ -342,13 +342,11 @@ def request_count(spark, sf_dir) -> DataFrame:
 @query(
     "task_counts",
     f"""WITH {P}, C AS (SELECT run_label, count(*) AS n FROM P GROUP BY run_label)
-SELECT run_label, n, CAST(greatest(1, least(64, ceil(n / 200.0))) AS BIGINT) AS tasks FROM C""",
+SELECT run_label, n, CAST(greatest(1, least(64, ceil(n / 200.0))) AS INTEGER) AS tasks FROM C""",
 )
 def task_counts(spark, sf_dir) -> DataFrame:
-    """Task count per run, as one expression over the run sizes."""
     counts = predictions(spark, sf_dir).groupBy("run_label").agg(F.count(F.lit(1)).alias("n"))
-    tasks = F.ceil(F.col("n") / float(partitions.ROWS_PER_TASK))
-    return counts.withColumn("tasks", F.greatest(F.lit(1), F.least(F.lit(64), tasks)))
+    return counts.withColumn("tasks", partitions.tasks_for(F.col("n"), 64))
 
 
 @query(

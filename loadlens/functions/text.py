@@ -5,6 +5,9 @@ Report cleaning works on the array of lines of one row, so it needs neither a sh
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,7 +34,7 @@ BOLD = r"(?d)\*\*(.*?)\*\*"
 SKIP_WORDS = ("radiologist:", "signature:", "okay,", "i will analyze", "here is", "based on")
 SECTION_LINE = r"^(I{1,3}|IV|V|VI)\.?\s+"
 SUBHEAD_LINE = r"^\*?\s*<strong>[^:]+:</strong>"
-BULLET_LINE = r"^[\*\-•]"
+BULLET_MARKS = ("*", "-", "•")
 BULLET_MARK = r"^[\*\-•]\s*"
 FAILED_HTML = (
     "<p><strong>Report generation failed.</strong> Please review image manually.</p>"
@@ -97,18 +100,16 @@ def strip_boilerplate(text: Column | str) -> Column:
     return F.regexp_replace(t, BOLD, "<strong>$1</strong>")
 
 
-def line_kind(line: Column) -> Column:
+def line_kind(line: Column, lowered: Column) -> Column:
     """Class of one stripped line: blank, skip, heading, subheading, bullet, paragraph."""
-    lowered = F.lower(line)
-    unwanted = F.lit(False)
-    for word in SKIP_WORDS:
-        unwanted = unwanted | lowered.contains(word)
+    unwanted = reduce(lambda a, b: a | b, [lowered.contains(word) for word in SKIP_WORDS])
+    bullet = F.when(bullet_text(line) == "", "skip").otherwise("bullet")
     return (
         F.when(line == "", "blank")
         .when(unwanted, "skip")
         .when(line.rlike(SECTION_LINE), "heading")
         .when(line.rlike(SUBHEAD_LINE), "subheading")
-        .when(line.rlike(BULLET_LINE), F.when(bullet_text(line) == "", "skip").otherwise("bullet"))
+        .when(F.left(line, F.lit(1)).isin(*BULLET_MARKS), bullet)
         .otherwise("paragraph")
     )
 
@@ -117,15 +118,20 @@ def bullet_text(line: Column) -> Column:
     return F.regexp_replace(line, BULLET_MARK, "")
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, wherever ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def classified_lines(text: Column | str) -> Column:
     """Array of structs (kind, line), one per line of the cleaned text."""
-    return F.transform(
-        F.split(strip_boilerplate(text), "\n"),
-        lambda raw: F.transform(
-            F.array(strip(raw)),
-            lambda line: F.struct(line_kind(line).alias("kind"), line.alias("line")),
-        )[0],
-    )
+
+    def classified(line: Column) -> Column:
+        kind = _once(F.lower(line), lambda lowered: line_kind(line, lowered))
+        return F.struct(kind.alias("kind"), line.alias("line"))
+
+    lines = F.split(strip_boilerplate(text), "\n")
+    return F.transform(lines, lambda raw: _once(strip(raw), classified))
 
 
 def _tagged(kind: Column, line: Column) -> Column:

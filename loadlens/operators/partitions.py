@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 # Fixed values of the sizing rule.
 ROWS_PER_TASK = 200
@@ -24,6 +25,12 @@ def partitions_for(
     return max(1, min(most, math.ceil(rows / per_task)))
 
 
+def tasks_for(rows: Column, most: int, rows_per_task: int = ROWS_PER_TASK) -> Column:
+    """:func:`partitions_for` at the reference rate, for a column of row counts."""
+    wanted = F.ceil(rows / F.lit(float(rows_per_task))).cast("int")
+    return F.greatest(F.lit(1), F.least(F.lit(most), wanted))
+
+
 def spread_for_scoring(df: DataFrame, rows: int, most: int, **rule) -> DataFrame:
     """Round-robin repartition, so scoring time does not follow the input's file sizes."""
     return df.repartition(partitions_for(rows, most, **rule))

@@ -1,8 +1,9 @@
 """Batched scoring with per-row timing and error capture.
 
 The model is the caller's: ``init`` makes it once per task, ``score`` turns a pandas frame of a
-few rows into one text per row. Python emits whole microseconds and texts only; times and waits
-are derived from them by Spark, so no pandas time zone rule is involved.
+few rows into one text per row. Columns that are only carried along stay Arrow arrays and keep
+their type exactly. Python adds texts and whole microseconds; times and waits are derived from
+them by Spark, so no pandas time zone rule is involved.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from dataclasses import dataclass
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,15 +35,18 @@ class Scorer:
         return self.device() if callable(self.device) else self.device
 
 
-_RAW = [
-    T.StructField("report_text", T.StringType(), False),
-    T.StructField("inference_time_ms", T.DoubleType(), False),
-    T.StructField("batch_size", T.IntegerType(), False),
-    T.StructField("_dequeue_us", T.LongType(), False),
-    T.StructField("_done_us", T.LongType(), False),
-    T.StructField("gpu_used", T.StringType()),
-    T.StructField("error_message", T.StringType()),
-]
+LOAD_FAILED = "Model load failed: "
+_RAW = T.StructType(
+    [
+        T.StructField("report_text", T.StringType()),
+        T.StructField("inference_time_ms", T.DoubleType()),
+        T.StructField("batch_size", T.IntegerType()),
+        T.StructField("_dequeue_us", T.LongType()),
+        T.StructField("_done_us", T.LongType()),
+        T.StructField("gpu_used", T.StringType()),
+        T.StructField("error_message", T.StringType()),
+    ]
+)
 
 
 def _describe(problem: Exception) -> str:
@@ -72,28 +77,31 @@ def _timed_groups(scorer: Scorer, model: Any, batch: pd.DataFrame):
     return texts, millis, errors
 
 
-def _run(scorer: Scorer, carried: Sequence[str], batches: Iterator[pd.DataFrame]):
+def _run(scorer: Scorer, carried: Sequence[str], batches: Iterator[pa.RecordBatch]):
     device = scorer.device_name()
     model, broken = None, None
     try:
         model = scorer.init() if scorer.init else None
     except Exception as e:  # every row of this task then carries the reason
-        broken = f"Model load failed: {e}"
+        broken = f"{LOAD_FAILED}{e}"
     for batch in batches:
-        dequeued, n = scorer.clock(), len(batch)
+        dequeued, n = scorer.clock(), batch.num_rows
         if broken is None:
-            texts, millis, errors = _timed_groups(scorer, model, batch)
+            texts, millis, errors = _timed_groups(scorer, model, batch.to_pandas())
         else:
             texts, millis, errors = [""] * n, [0.0] * n, [broken] * n
-        out = batch[list(carried)].copy()
-        out["report_text"] = texts
-        out["inference_time_ms"] = millis
-        out["batch_size"] = n
-        out["_dequeue_us"] = int(dequeued * 1_000_000)
-        out["_done_us"] = int(scorer.clock() * 1_000_000)
-        out["gpu_used"] = device
-        out["error_message"] = errors
-        yield out
+        done = scorer.clock()
+        added = [
+            pa.array(texts, pa.string()),
+            pa.array(millis, pa.float64()),
+            pa.array([n] * n, pa.int32()),
+            pa.array([int(dequeued * 1_000_000)] * n, pa.int64()),
+            pa.array([int(done * 1_000_000)] * n, pa.int64()),
+            pa.array([device] * n, pa.string()),
+            pa.array(errors, pa.string()),
+        ]
+        kept = [batch.column(c) for c in carried]
+        yield pa.RecordBatch.from_arrays(kept + added, [*carried, *_RAW.names])
 
 
 def score(
@@ -119,22 +127,22 @@ def score(
             for c in ("request_id", "file_path", "true_label")
         ],
         (
-            F.unix_micros(F.col("ingest_ts").cast("timestamp")).cast("string")
+            F.unix_micros(F.col("ingest_ts").cast("timestamp"))
             if "ingest_ts" in fields
-            else F.lit(None).cast("string")
+            else F.lit(None).cast("bigint")
         ).alias("_ingest_us"),
         *[c for c in dict.fromkeys([*inputs, *carry]) if c not in standard],
     )
     extra = [c for c in carry if c not in standard]
     carried = ["request_id", "file_path", "true_label", "_ingest_us", *extra]
-    schema = T.StructType([*[rows.schema[c] for c in carried], *_RAW])
+    schema = T.StructType([*[rows.schema[c] for c in carried], *_RAW.fields])
 
-    def partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _run(scorer, carried, batches)
 
-    raw = rows.mapInPandas(partition, schema)
-    ingest = F.col("_ingest_us").cast("bigint")
-    loaded = ~F.coalesce(F.col("error_message").startswith("Model load failed: "), F.lit(False))
+    raw = rows.mapInArrow(partition, schema)
+    ingest = F.col("_ingest_us")
+    loaded = ~F.coalesce(F.col("error_message").startswith(LOAD_FAILED), F.lit(False))
     wait = F.when(loaded, (F.col("_dequeue_us") - ingest) / 1000.0).otherwise(F.lit(0.0))
     return raw.select(
         "request_id",

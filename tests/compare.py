@@ -75,7 +75,7 @@ def session(cores: int = 8):
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("loadlens")
-        .config("spark.sql.shuffle.partitions", str(cores))
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")

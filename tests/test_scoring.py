@@ -86,6 +86,15 @@ def test_any_rows_out_as_in(spark):
     assert out.filter("word = 'bad'").filter("error_message IS NULL").count() == 0
 
 
+def test_carried_columns_keep_their_values(spark):
+    big = 2**60 + 1
+    df = spark.sql(f"SELECT '/a' AS file_path, CAST({big} AS BIGINT) AS n, CAST(1.10 AS DECIMAL(9,2)) AS d, array(1, NULL) AS xs UNION ALL SELECT '/b', NULL, NULL, NULL")
+    out = score(df, Scorer(lambda m, p: ["t"] * len(p), None, 2), carry=["n", "d", "xs"])
+    got = rows(out.select("file_path", "n", "d", "xs", "true_label"), "file_path")
+    assert got[0][1] == big and str(got[0][2]) == "1.10" and got[0][3] == [1, None]
+    assert got[1][1:] == (None, None, None, None)
+
+
 def test_missing_inputs_are_told_before_the_job(spark):
     with pytest.raises(ValueError, match="nothing"):
         score(table(spark, ["a"]), Scorer(shout), ["nothing"])
