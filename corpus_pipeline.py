@@ -7,7 +7,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlens.llm import common, decontaminate, exact_dedup, simhash
+from loadlens.llm import common, decontaminate, exact_dedup, simhash, toxicity
+from loadlens.llm.catalog import encoded_digests
+
+
+def _toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below one half stay; the score is learned from the labels table."""
+    model = toxicity.train(docs, common.table(spark, sf_dir, "labels"))
+    return docs.filter(toxicity.score(model) < 0.5)
 
 
 def _exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,10 +43,17 @@ def _clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.filter("__hit.n_hit = 0").select(docs.columns)
 
 
+def _encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Tokens of every document left, and the digest of what they decode to."""
+    return encoded_digests(docs)
+
+
 STAGES = [
+    ("toxicity", _toxicity),
     ("exact dedup", _exact),
     ("simhash near-dedup", _near),
     ("benchmark decontamination", _clean),
+    ("byte-level BPE", _encode),
 ]
 
 #: Fingerprints and learned scores have no form in SQL; tests/llm checks the run by brute force.

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlens.llm import decontaminate, exact_dedup, simhash
+from loadlens.llm import bpe, decontaminate, exact_dedup, simhash, toxicity
 from loadlens.llm.common import table
 
 QUERIES: dict = {}
@@ -78,3 +79,33 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(item
        sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)"""
+
+
+@_query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return docs.select(
+        "doc_id",
+        F.expr("coalesce(crc32(CAST(doc_id AS STRING)) % 5 = 0, false)").alias("held_out"),
+        toxicity.score(model).alias("score"),
+    ).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def encoded_digests(docs: DataFrame) -> DataFrame:
+    """What op1 and the last stage of the pipeline return of the encoded texts."""
+    encoded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN)
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(bpe.little_endian(F.col("ids")), 256).alias("ids_sha256"),
+        F.sha2(bpe.decode(F.col("ids"), RANKS), 256).alias("decoded_sha256"),
+    )
+
+
+@_query
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded_digests(table(spark, sf_dir, "documents"))
