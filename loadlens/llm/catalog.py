@@ -3,11 +3,21 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlens.llm import bpe, decontaminate, exact_dedup, simhash, toxicity
-from loadlens.llm.common import table
+from loadlens.llm import (
+    bpe,
+    decontaminate,
+    exact_dedup,
+    html_text,
+    secrets,
+    simhash,
+    token_counts,
+    toxicity,
+    warc,
+)
+from loadlens.llm.common import table, text_of
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -109,3 +119,69 @@ def encoded_digests(docs: DataFrame) -> DataFrame:
 @_query
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_digests(table(spark, sf_dir, "documents"))
+
+
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+TOKEN_LIMIT = 2048
+
+
+@_query
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    counted = docs.select(
+        "doc_id",
+        F.octet_length(text_of("text")).cast("long").alias("n_bytes"),
+        token_counts.token_counts(WORDS).alias("n_tokens"),
+    )
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+def _joined(spans: Column) -> Column:
+    return F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+    )
+
+
+@_query
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = docs.select("doc_id", secrets.find_secrets(secrets.train(docs)).alias("found"))
+
+    def number(kind: str):
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("found", lambda s: s["kind"] != "random")
+    return found.select(
+        "doc_id",
+        number("assign").alias("n_assign"),
+        number("access").alias("n_access"),
+        number("hex").alias("n_hex"),
+        F.sha2(_joined(base), 256).alias("base_sha256"),
+        _joined(F.col("found")).alias("spans"),
+    )
+
+
+@_query
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return pages.select("page_id", "url", html_text.extract_text().alias("text")).withColumn(
+        "n_chars", F.length("text").cast("long")
+    )
+
+
+@_query
+def op7_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op7_warc_round_trip"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h,
+                  max(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages),
+d AS (SELECT *, sha1(h) AS x FROM p)
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
+       (SELECT string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               1 + CAST((CAST('0x' || substr(x, 1 + 5 * (k // 4), 5) AS BIGINT) >> (15 - 5 * (k % 4))) & 31
+               AS INTEGER), 1), '' ORDER BY k) FROM range(32) AS r(k)) AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM d"""
