@@ -11,6 +11,7 @@ from loadlens.llm import (
     decontaminate,
     exact_dedup,
     html_text,
+    quotes,
     secrets,
     simhash,
     token_counts,
@@ -185,3 +186,70 @@ SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
        CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> first THEN first END AS refers_to
 FROM d"""
+
+
+def mail_thread(conversations: DataFrame) -> DataFrame:
+    """Conversations as mail: each turn quotes the turn before it, and that one's quotation."""
+    turns = conversations.filter("conv_id IS NOT NULL AND turn IS NOT NULL").groupBy(
+        "conv_id", "turn"
+    )
+    turns = turns.agg(F.max(text_of("text")).alias("text"))
+    before = [
+        turns.select("conv_id", (F.col("turn") + k).alias("turn"), F.col("text").alias(f"text{k}"))
+        for k in (1, 2)
+    ]
+    sent = turns.join(before[0], ["conv_id", "turn"], "left")
+    sent = sent.join(before[1], ["conv_id", "turn"], "left")
+    parts = [
+        F.when(F.col(f"text{k}") != "", quotes.quote(F.col(f"text{k}"), k)) for k in (2, 1)
+    ]
+    return sent.select("conv_id", "turn", F.concat_ws("\n", *parts, "text").alias("text"))
+
+
+@_query
+def op3_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = quotes.link_quotations(mail_thread(table(spark, sf_dir, "conversations")))
+    return linked.select(
+        F.col("thread").alias("conv_id"),
+        F.col("at").alias("turn"),
+        "n_quotes",
+        "n_linked",
+        F.col("parent").alias("parent_turn"),
+        F.col("root").alias("root_turn"),
+        "depth",
+        F.sha2("text", 256).alias("text_sha256"),
+    )
+
+
+_SPACE = "[ \\t\\n\\x0B\\f\\r]+"
+
+
+def _normal_sql(text: str) -> str:
+    lowered = _LOWER.replace("coalesce(text, '')", text)
+    return f"trim(regexp_replace({lowered}, '{_SPACE}', ' ', 'g'))"
+
+
+#: Every quotation is a whole turn, so it links to the earliest turn with that text or line.
+ORACLES["op3_quotation_links"] = f"""
+WITH RECURSIVE t AS (SELECT conv_id, turn, max(coalesce(text, '')) AS text FROM conversations
+                     WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY ALL),
+u AS (SELECT conv_id, turn, {_normal_sql("text")} AS unit FROM t
+      UNION ALL
+      SELECT conv_id, turn, {_normal_sql("line")} FROM t, unnest(string_split(text, chr(10))) AS l(line)),
+first AS (SELECT conv_id, unit, min(turn) AS source FROM u WHERE unit <> '' GROUP BY ALL),
+q AS (SELECT t.conv_id, t.turn, k, b.text AS quoted, f.source
+      FROM t, unnest([1, 2]) AS n(k) JOIN t AS b ON b.conv_id = t.conv_id AND b.turn = t.turn - k
+      LEFT JOIN first AS f ON f.conv_id = t.conv_id AND f.unit = {_normal_sql("b.text")}
+      WHERE b.text <> ''),
+p AS (SELECT conv_id, turn, count(*) AS n_quotes, count(source) AS n_linked,
+             arg_min(source, k) FILTER (WHERE source IS NOT NULL) AS parent FROM q GROUP BY ALL),
+c AS (SELECT conv_id, turn, parent, 1 AS depth FROM p WHERE parent IS NOT NULL
+      UNION ALL
+      SELECT c.conv_id, c.turn, p.parent, c.depth + 1 FROM c JOIN p
+      ON p.conv_id = c.conv_id AND p.turn = c.parent WHERE p.parent IS NOT NULL),
+r AS (SELECT conv_id, turn, arg_max(parent, depth) AS root, max(depth) AS depth FROM c GROUP BY ALL)
+SELECT t.conv_id, t.turn, coalesce(n_quotes, 0) AS n_quotes, coalesce(n_linked, 0) AS n_linked,
+       parent AS parent_turn, coalesce(root, t.turn) AS root_turn,
+       CAST(coalesce(r.depth, 0) AS BIGINT) AS depth,
+       sha256(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) AS text_sha256
+FROM t LEFT JOIN p USING (conv_id, turn) LEFT JOIN r USING (conv_id, turn)"""
