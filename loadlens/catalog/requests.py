@@ -243,7 +243,6 @@ def dense_order_numbers(spark, sf_dir) -> DataFrame:
         rows.select(*order, "l_extendedprice", "l_returnflag"),
         [*order, "l_extendedprice"],
         ["l_returnflag"],
-        small_rows=0,
     )
     return out.select("l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate_us", "seq")
 
@@ -345,6 +344,7 @@ def request_count(spark, sf_dir) -> DataFrame:
 SELECT run_label, n, CAST(greatest(1, least(64, ceil(n / 200.0))) AS INTEGER) AS tasks FROM C""",
 )
 def task_counts(spark, sf_dir) -> DataFrame:
+    """Tasks of 200 rows, 64 at most: the fixed values of the rule that is asked for."""
     counts = predictions(spark, sf_dir).groupBy("run_label").agg(F.count(F.lit(1)).alias("n"))
     return counts.withColumn("tasks", partitions.tasks_for(F.col("n"), 64))
 
@@ -472,6 +472,26 @@ def iso_parse(spark, sf_dir) -> DataFrame:
     )
 
 
+@query(
+    "iso_parse_odd",
+    f"""WITH {P} SELECT request_id, CASE batch_size WHEN 4 THEN dequeue_us - dequeue_us % 86400000000
+  WHEN 3 THEN dequeue_us END AS parsed_us,
+  strftime(make_timestamp(dequeue_us), '%Y-%m-%dT%H:%M:%S.%f') AS written FROM P""",
+)
+def iso_parse_odd(spark, sf_dir) -> DataFrame:
+    """A bare time, a bare year, a zone-less text and a bare date in turn."""
+    iso = times.iso_text("dequeue_ts")
+    text = (
+        F.when(F.col("batch_size") == 1, F.substring(iso, 11, 9))
+        .when(F.col("batch_size") == 2, F.substring(iso, 1, 4))
+        .when(F.col("batch_size") == 3, iso)
+        .otherwise(F.substring(iso, 1, 10))
+    )
+    return predictions(spark, sf_dir).select(
+        "request_id", F.unix_micros(times.parse_iso(text)).alias("parsed_us"), iso.alias("written")
+    )
+
+
 @query(
     "date_texts",
     f"""WITH {P} SELECT request_id, strftime(make_timestamp(ingest_us), '%B %d, %Y') AS day,

@@ -37,7 +37,7 @@ _KEPT = [
 def _scored(spark, sf_dir, init, micro_batch: int = 1) -> DataFrame:
     rows = predictions(spark, sf_dir).withColumn("kind", F.split("file_path", "/")[2])
     # Scoring is what takes time, so its tasks follow the rows and not the input's files.
-    rows = spread_for_scoring(rows, rows.count(), spark.sparkContext.defaultParallelism)
+    rows = spread_for_scoring(rows, spark.sparkContext.defaultParallelism)
     scorer = scoring.Scorer(double_value, init, micro_batch, device="cpu-test")
     return scoring.score(rows, scorer, ["inference_time_ms", "kind"], ["run_label"])
 

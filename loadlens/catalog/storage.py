@@ -11,11 +11,12 @@ from loadlens.catalog.registry import query
 from loadlens.catalog.requests import _page_listing
 from loadlens.catalog.views import P, predictions, table
 from loadlens.functions import times
-from loadlens.operators import assets, metrics
-from loadlens.plans import ingest
+from loadlens.operators import assets, metrics, scoring
+from loadlens.plans import ingest, job
 from loadlens.scratch import scratch_path
 from loadlens.sinks import files as sinks
 from loadlens.sources import files, tables
+from loadlens.sources.dispatch import SourceSpec, load_requests
 
 _PREDICTIONS = f"""WITH {P} SELECT request_id, file_path, true_label, ingest_us, queue_wait_ms,
   inference_time_ms, batch_size, error_message, run_label FROM P"""
@@ -102,7 +103,30 @@ def metric_csv(spark, sf_dir) -> DataFrame:
 def manifest_requests(spark, sf_dir) -> DataFrame:
     path = scratch_path(spark, "manifest")
     sinks.write_manifest(ingest.manifest(_page_listing(spark, sf_dir), "scans"), path)
-    return tables.read_manifest(spark, path, multi_line=False)
+    return tables.read_manifest(spark, path, "lines")
+
+
+_MANIFEST = "SELECT url AS file_path, split_part(url, '/', 4) AS true_label FROM pages"
+
+
+@query("manifest_lines", _MANIFEST)
+def manifest_lines(spark, sf_dir) -> DataFrame:
+    """The manifest as it is written, through the dispatcher."""
+    path = scratch_path(spark, "manifest")
+    sinks.write_manifest(ingest.manifest(_page_listing(spark, sf_dir), "scans"), path)
+    return load_requests(spark, SourceSpec(manifest=path))
+
+
+@query("manifest_array", _MANIFEST)
+def manifest_array(spark, sf_dir) -> DataFrame:
+    """One JSON array per file, through the dispatcher. A file per site keeps the arrays small."""
+    path = scratch_path(spark, "manifest")
+    entries = ingest.manifest(_page_listing(spark, sf_dir), "scans").select(
+        F.substring_index("local_path", "/", 3).alias("site"), F.struct("*").alias("entry")
+    )
+    arrays = entries.groupBy("site").agg(F.to_json(F.collect_list("entry")).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return load_requests(spark, SourceSpec(manifest=path))
 
 
 def _page_tree(spark, sf_dir) -> str:
@@ -112,7 +136,8 @@ def _page_tree(spark, sf_dir) -> str:
         "html", "element_at(array('train', 'test', 'val'), CAST(page_id % 3 AS INT) + 1) AS split",
         "split(url, '/')[3] AS label",
     )
-    pages.write.partitionBy("split", "label").text(path)
+    # A file for each folder, so that what a file holds is known.
+    pages.repartition("split", "label").write.partitionBy("split", "label").text(path)
     return path
 
 
@@ -145,6 +170,7 @@ def asset_fetch(spark, sf_dir) -> DataFrame:
     """Bytes read by path inside the tasks, without moving any."""
     listing = files.list_assets(spark, _page_tree(spark, sf_dir), (".txt",))
     fetched = assets.fetch_content(listing.select("file_path"), "file_path")
+    fetched = fetched.filter("fetch_error IS NULL")
     return _by_folder(fetched, F.octet_length("content").cast("bigint"))
 
 
@@ -157,6 +183,26 @@ def labelled_tree(spark, sf_dir) -> DataFrame:
     return tree.select("true_label").distinct()
 
 
+@query("unlabelled_listing", _TREE.replace("concat('label=', split_part(url, '/', 4))", "CAST(NULL AS VARCHAR)"))
+def unlabelled_listing(spark, sf_dir) -> DataFrame:
+    """A store without labels, through the dispatcher; sizes from the listing beside it."""
+    tree = _page_tree(spark, sf_dir)
+    found = load_requests(spark, SourceSpec(object_store=tree, suffixes=(".txt",)))
+    sizes = files.list_assets(spark, tree, (".txt",)).select("file_path", "file_size_bytes")
+    folder = F.element_at(F.split("file_path", "/"), -3).alias("split")
+    return (
+        found.join(sizes, "file_path")
+        .groupBy(folder, F.col("true_label").alias("label"))
+        .agg(F.sum("file_size_bytes").alias("bytes"))
+    )
+
+
+@query("view_by_name", f"WITH {P} SELECT run_label, count(*) AS rows FROM P GROUP BY run_label")
+def view_by_name(spark, sf_dir) -> DataFrame:
+    sinks.register_view(predictions(spark, sf_dir), "predictions_by_name")
+    return spark.sql("SELECT run_label, count(*) AS rows FROM predictions_by_name GROUP BY run_label")
+
+
 @query(
     "optional_csv",
     "SELECT lang, count(*) AS rows FROM documents GROUP BY lang",
@@ -170,3 +216,133 @@ def optional_csv(spark, sf_dir) -> DataFrame:
     found = tables.read_optional_csv(spark, path, schema)
     absent = tables.read_optional_csv(spark, f"{path}-absent", schema)
     return found.unionByName(absent).groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _digest(model: None, rows) -> list[str]:
+    """A stand-in scorer that reads the file: the digest of its lines in order."""
+    import hashlib
+
+    made = []
+    for content in rows["content"]:
+        lines = sorted(bytes(content).split(b"\n")[:-1])
+        made.append(hashlib.md5(b"\n".join(lines)).hexdigest())
+    return made
+
+
+_FILES = """L AS (SELECT concat('split=', CASE page_id % 3 WHEN 0 THEN 'train' WHEN 1 THEN 'test'
+  ELSE 'val' END) AS split, concat('label=', split_part(url, '/', 4)) AS label,
+  unnest(string_split(html, chr(10))) AS line FROM pages),
+T AS (SELECT split, label, md5(string_agg(line, chr(10) ORDER BY line COLLATE "binary")) AS digest
+  FROM L GROUP BY ALL)"""
+
+
+def _content_requests(spark, sf_dir):
+    listing = files.list_assets(spark, _page_tree(spark, sf_dir), (".txt",))
+    requests = listing.select(
+        "file_path",
+        F.element_at(F.split("file_path", "/"), -2).alias("true_label"),
+        F.concat(F.lit("req_"), F.crc32(F.col("file_path").cast("binary"))).alias("request_id"),
+        F.current_timestamp().alias("ingest_ts"),
+    )
+    return requests, listing
+
+
+def _scored_files(pred: DataFrame) -> DataFrame:
+    folder = F.split("file_path", "/")
+    return pred.select(
+        F.element_at(folder, -3).alias("split"),
+        F.element_at(folder, -2).alias("label"),
+        F.col("report_text").alias("digest"),
+        "error_message",
+    )
+
+
+_SCORED = f"WITH {_FILES} SELECT split, label, digest, CAST(NULL AS VARCHAR) AS error_message FROM T"
+
+
+@query("score_content", _SCORED)
+def score_content(spark, sf_dir) -> DataFrame:
+    """Requests matched to a listing, their bytes read in the scoring tasks, and scored."""
+    requests, listing = _content_requests(spark, sf_dir)
+    found = job.with_content(requests, listing)
+    return _scored_files(scoring.score(found, scoring.Scorer(_digest), ["content"]))
+
+
+@query("load_test_content", _SCORED)
+def load_test_content(spark, sf_dir) -> DataFrame:
+    """The same as a whole load test, read back from its predictions."""
+    requests, listing = _content_requests(spark, sf_dir)
+    test = job.LoadTest(scratch_path(spark, "job"))
+    return _scored_files(job.run_load_test(requests, scoring.Scorer(_digest), test, listing)["predictions"])
+
+
+def _sized_test(spark, sf_dir, root: str, sizes) -> dict:
+    requests = predictions(spark, sf_dir).select(
+        "request_id", "file_path", "true_label", "ingest_ts", "inference_time_ms"
+    )
+    test = job.LoadTest(root, sizes, inputs=["inference_time_ms"], formats=["parquet"])
+    return job.run_load_test(requests, scoring.Scorer(_cents), test)
+
+
+def _cents(model: None, rows) -> list[str]:
+    return [str(round(ms * 100)) for ms in rows["inference_time_ms"].tolist()]
+
+
+_RUNS = f"""{P}, N AS (SELECT *, row_number() OVER (ORDER BY request_id) AS n FROM P),
+S AS (SELECT * FROM (VALUES (1, 10), (2, 20)) AS t(i, size)),
+Q AS (SELECT concat('run_', lpad(CAST(i AS VARCHAR), 3, '0'), '_', size, 'reqs') AS run_label,
+  strlen(CAST(CAST(round(inference_time_ms * 100) AS BIGINT) AS VARCHAR)) AS chars
+  FROM N JOIN S ON n <= size)"""
+
+
+@query(
+    "load_test_twice",
+    f"""WITH {_RUNS} SELECT run_label, count(*) AS num_requests, count(*) AS success_count,
+  CAST(0 AS BIGINT) AS error_count FROM Q GROUP BY run_label""",
+)
+def load_test_twice(spark, sf_dir) -> DataFrame:
+    """A second test in one root: the summary knows its own runs only."""
+    root = scratch_path(spark, "job")
+    _sized_test(spark, sf_dir, root, [30])
+    summary = _sized_test(spark, sf_dir, root, [10, 20])["load_test_summary"]
+    return summary.select("run_label", "num_requests", "success_count", "error_count")
+
+
+@query(
+    "load_test_tables",
+    f"""WITH {_RUNS} SELECT run_label, round(avg(chars), 2) AS mean_chars,
+  CAST(min(chars) AS DOUBLE) AS min_chars, CAST(max(chars) AS DOUBLE) AS max_chars,
+  CAST(quantile_disc(chars, 0.5) AS DOUBLE) AS p50_chars,
+  CAST(quantile_disc(chars, 0.95) AS DOUBLE) AS p95_chars,
+  count(*) AS total_requests, CAST(1 AS BIGINT) AS num_gpus, 'Success' AS status,
+  count(*) AS count, 100.0 AS percentage FROM Q GROUP BY run_label""",
+)
+def load_test_tables(spark, sf_dir) -> DataFrame:
+    """The tables of the job that no clock decides, side by side."""
+    made = _sized_test(spark, sf_dir, scratch_path(spark, "job"), [10, 20])
+    rates = made["throughput_metrics"].select("run_label", "total_requests", "num_gpus")
+    out = made["report_length_statistics"].join(rates, "run_label")
+    return out.join(made["error_statistics"], "run_label")
+
+
+@query(
+    "sample_test",
+    f"""WITH {P}, S AS (SELECT * FROM P WHERE true_label IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY true_label ORDER BY file_path, request_id) <= 5)
+SELECT false AS s3_enabled, true AS kafka_enabled, count(*) AS total_images,
+  count(*) AS success_count, CAST(0 AS BIGINT) AS error_count FROM S""",
+)
+def sample_test(spark, sf_dir) -> DataFrame:
+    """The balanced-sample job: sample, score, sum up."""
+    rows = predictions(spark, sf_dir).select(
+        "request_id", "file_path", "true_label", "ingest_ts", "inference_time_ms"
+    )
+    made = job.run_sample_test(
+        rows.filter("true_label IS NOT NULL"),
+        scoring.Scorer(_cents),
+        scratch_path(spark, "job"),
+        5,
+        inputs=["inference_time_ms"],
+        from_topic=True,
+    )["demo_summary"]
+    return made.select("s3_enabled", "kafka_enabled", "total_images", "success_count", "error_count")

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loadlens.catalog.metrics import rank_checks
 from loadlens.catalog.registry import query
 from loadlens.catalog.requests import _asset_files
 from loadlens.catalog.scoring import double_value
-from loadlens.catalog.views import P, as_predictions, table
+from loadlens.catalog.views import P, as_predictions, predictions, table
 from loadlens.functions import times
 from loadlens.operators import metrics
 from loadlens.operators.scoring import Scorer
@@ -24,6 +25,7 @@ _CLOSED = "(SELECT max(ingest_us) FROM P) - 600000000"
 
 
 def _stream(spark, sf_dir) -> DataFrame:
+    stream_requests.prepare_session(spark)
     schema = table(spark, sf_dir, "events").schema
     return as_predictions(stream_requests.stream_parquet(spark, sf_dir, schema, "events.parquet"))
 
@@ -92,11 +94,22 @@ def stream_sessions(spark, sf_dir) -> DataFrame:
     return _rounded(_edges_us(out, "session_start", "session_end"))
 
 
-# The sketch's percentile has no SQL counterpart.
-@query("stream_percentile")
+@query(
+    "stream_percentile",
+    f"""WITH {P} SELECT ingest_us // 86400000000 * 86400000000 AS window_start_us, true AS p95_ms
+FROM P GROUP BY 1 HAVING ingest_us // 86400000000 * 86400000000 + 86400000000 <= {_CLOSED}
+  AND count(*) > count(error_message)""",
+)
 def stream_percentile(spark, sf_dir) -> DataFrame:
+    """Whether the sketch's percentile of each closed day is of a rank within its stated bound."""
     rows = windows.windowed_metrics(_watermarked(spark, sf_dir), "1 day")
-    return sinks.run_to_table(rows, "percentile")
+    found = _edges_us(sinks.run_to_table(rows, "percentile"), "window_start", "window_end")
+    day = (times.micros("ingest_ts") / 86_400_000_000).cast("bigint") * 86_400_000_000
+    sent = predictions(spark, sf_dir).filter("error_message IS NULL")
+    sent = sent.withColumn("window_start_us", day)
+    return rank_checks(
+        sent, found, ["window_start_us"], {"p95_ms": 0.95}, "inference_time_ms", 10_000
+    )
 
 
 @query("stream_dedup", f"WITH {P} SELECT request_id, ingest_us FROM P")

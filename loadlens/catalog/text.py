@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from loadlens.catalog.registry import query
 from loadlens.catalog.views import P, predictions, table
+from loadlens.functions import paths, text
 from loadlens.operators import labels, metrics, reports
 from loadlens.plans import gallery
 
 # Answers of a classifier made from whole turns: an assistant's first word is replaced by a class
-# word, other turns keep theirs. Letters outside a-z leave, as engines upper-case them differently.
+# word, other turns keep theirs, and every third turn stays without an answer. Letters outside a-z
+# leave, as engines upper-case them differently.
 _ANSWERS_SQL = r"""A AS (SELECT concat(conv_id, '-', turn) AS image_id,
-  CASE role WHEN 'assistant' THEN concat('Pneumonia., ', t) WHEN 'system' THEN concat('  abnormal ', t)
+  CASE WHEN turn % 3 = 2 THEN ' ' WHEN role = 'assistant' THEN concat('Pneumonia., ', t) WHEN role = 'system' THEN concat('  abnormal ', t)
   ELSE t END AS raw_text
   FROM (SELECT *, regexp_replace(text, '[^A-Za-z\s.,]', '', 'g') AS t FROM conversations))"""
 _PARSED_SQL = rf"""{_ANSWERS_SQL},
@@ -27,7 +29,8 @@ def _answers(spark, sf_dir) -> DataFrame:
     t = F.regexp_replace("text", r"[^A-Za-z\s.,]", "")
     return table(spark, sf_dir, "conversations").select(
         F.concat("conv_id", F.lit("-"), "turn").alias("image_id"),
-        F.when(F.col("role") == "assistant", F.concat(F.lit("Pneumonia., "), t))
+        F.when(F.col("turn") % 3 == 2, F.lit(" "))
+        .when(F.col("role") == "assistant", F.concat(F.lit("Pneumonia., "), t))
         .when(F.col("role") == "system", F.concat(F.lit("  abnormal "), t))
         .otherwise(t)
         .alias("raw_text"),
@@ -195,7 +198,8 @@ def gallery_rows(spark, sf_dir) -> DataFrame:
   concat('CXR-TRAIN-IM-', lpad(CAST(doc_id AS VARCHAR), 4, '0')) AS case_id,
   'January 01, 2024' AS report_date, round(n_chars / 100.0, 2) AS latency_sec,
   CASE WHEN n_chars < 500 THEN 'fast' WHEN n_chars < 1500 THEN 'medium' ELSE 'slow' END AS latency_class,
-  round(100.0 / n_chars, 2) AS throughput_per_sec, source AS device,
+  round(100.0 / n_chars, 2) AS throughput_per_sec,
+  CASE WHEN doc_id % 7 = 0 THEN 'Unknown' ELSE source END AS device,
   to_base64(encode(text)) AS image_base64
 FROM documents""",
 )
@@ -205,8 +209,32 @@ def gallery_all_rows(spark, sf_dir) -> DataFrame:
         "text AS report_text",
         "TIMESTAMP'2024-01-01 12:00:00' AS timestamp",
         "CAST(n_chars * 10 AS DOUBLE) AS inference_time_ms",
-        "concat(source, '-80GB') AS gpu_used",
+        "CASE WHEN doc_id % 7 <> 0 THEN concat(source, '-80GB') END AS gpu_used",
         "CAST(text AS BINARY) AS content",
     )
     rows = gallery.gallery_rows(scored, None, content="content")
     return rows.drop("report_html")
+
+
+# CRC-32 of a text, bit by bit: the SQL side has no function for it.
+_CRC = """xor(list_reduce([CAST(CAST('0x' || substr(hex(stem), 2 * i + 1, 2) AS INTEGER) AS BIGINT)
+  FOR i IN range(strlen(stem))], lambda c, b: list_reduce(range(8), lambda x, k:
+  xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END), xor(c, b)), 4294967295), 4294967295)"""
+
+
+@query(
+    "study_id_made",
+    f"""WITH S AS (SELECT page_id, regexp_replace(split_part(url, '/', -1), '^(.+)\\.[^.]+$', '\\1') AS stem
+  FROM pages)
+SELECT page_id, concat('STUDY-', lpad(CAST(({_CRC}) % 100000 AS VARCHAR), 5, '0')) AS study_id
+FROM S WHERE stem <> '' """,
+)
+def study_id_made(spark, sf_dir) -> DataFrame:
+    """Ids made from the file stem where it holds no number of its own."""
+    pages = table(spark, sf_dir, "pages").filter(paths.file_stem("url") != "")
+    return pages.select("page_id", paths.study_id("url").alias("study_id"))
+
+
+@query("clipped_texts", "SELECT doc_id, substr(text, 1, 100) AS shown FROM documents")
+def clipped_texts(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", text.clip("text").alias("shown"))

@@ -35,9 +35,9 @@ SELECT run, request_id, inference_time_ms, mean_latency_ms,
        ELSE (done_us - s) / 1000000.0 END AS x FROM S"""
 
 
-def _adaptive_rows(spark, sf_dir, run, span: float, **sizes) -> DataFrame:
+def _adaptive_rows(spark, sf_dir, run, span: float) -> DataFrame:
     rows = predictions(spark, sf_dir).withColumn("run", run)
-    out = timeline.timeline_adaptive(rows, ["run"], min_span_sec=span, **sizes)
+    out = timeline.timeline_adaptive(rows, ["run"], min_span_sec=span)
     return out.withColumn("mean_latency_ms", F.round("mean_latency_ms", 9))
 
 
@@ -54,7 +54,23 @@ def timeline_adaptive(spark, sf_dir) -> DataFrame:
 def timeline_sequence(spark, sf_dir) -> DataFrame:
     hour = F.expr("CAST(unix_micros(ingest_ts) DIV 3600000000 AS STRING)")
     run = F.concat("gpu_used", F.lit("/"), hour)
-    return _adaptive_rows(spark, sf_dir, run, 3300.0, small_rows=0)
+    return _adaptive_rows(spark, sf_dir, run, 3300.0)
+
+
+# The first run of each device has no times at all; its rows are placed by their number.
+@query(
+    "timeline_null_times",
+    f"""WITH {P}, Q AS (SELECT *, run_label = 'run_001' AS blank FROM P),
+S AS (SELECT *, min(done_us) OVER (PARTITION BY run_label) AS s,
+  row_number() OVER (PARTITION BY run_label ORDER BY request_id) AS rn FROM Q)
+SELECT run_label, request_id, CASE WHEN blank THEN 'Image Number' ELSE 'Time Elapsed (sec)' END AS x_label,
+  CASE WHEN blank THEN CAST(rn AS DOUBLE) ELSE (done_us - s) / 1000000.0 END AS x FROM S""",
+)
+def timeline_null_times(spark, sf_dir) -> DataFrame:
+    known = F.when(F.col("run_label") != "run_001", F.col("timestamp"))
+    rows = predictions(spark, sf_dir).withColumn("timestamp", known)
+    out = timeline.timeline_adaptive(rows, ["run_label"])
+    return out.select("run_label", "request_id", "x_label", "x")
 
 
 _ELAPSED = f"""{P}, E AS (SELECT run_label, inference_time_ms AS y,

@@ -4,24 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loadlens.functions.times import from_ntz
 from loadlens.plans.runs import run_view
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # Naive timestamps of the tables are UTC.
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def as_predictions(events: DataFrame) -> DataFrame:
     """Events as prediction rows. Only column expressions, so it works on streams as well."""
     wait = "CAST(event_id % 1000 AS DOUBLE)"
-    start = "unix_micros(CAST(ts AS TIMESTAMP))"
-    return events.selectExpr(
+    start = "unix_micros(moment)"
+    # Naive timestamps of the tables are UTC.
+    return events.withColumn("moment", from_ntz("ts")).selectExpr(
         "concat('req_', lpad(CAST(event_id AS STRING), 8, '0')) AS request_id",
         "concat('file:/data/', event_type, '/img_', user_id, '.png') AS file_path",
         "CASE WHEN event_id % 97 <> 0 THEN event_type END AS true_label",
-        "CAST(ts AS TIMESTAMP) AS ingest_ts",
+        "moment AS ingest_ts",
         f"timestamp_micros({start} + (event_id % 1000) * 1000) AS dequeue_ts",
         f"timestamp_micros({start} + CAST(round(({wait} + value) * 1000) AS BIGINT)) AS timestamp",
         "value AS inference_time_ms",

@@ -49,12 +49,14 @@ def normalize_path(path: Column | str) -> Column:
     """One spelling for one file, so that both join sides agree.
 
     ``/a``, ``file:/a``, ``file:///a`` become ``/a``; ``s3a://`` and ``s3n://`` become ``s3://``;
-    doubled slashes inside the path and surrounding blanks go away.
+    doubled slashes inside a local path and surrounding blanks go away. In an object store
+    ``a//b`` and ``a/b`` are two keys, so a path with a scheme keeps its slashes.
     """
     p = F.trim(_c(path))
     p = F.regexp_replace(p, r"^file:/+(?=[^/]|$)", "/")
     p = F.regexp_replace(p, r"^s3[an]://", "s3://")
-    return F.regexp_replace(p, r"(?<!:)/{2,}", "/")
+    local = ~p.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://")
+    return F.when(local, F.regexp_replace(p, r"/{2,}", "/")).otherwise(p)
 
 
 def uri_container(uri: Column | str) -> Column:

@@ -7,14 +7,31 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A few MB at the row widths used here, far below the 8 GB broadcast limit.
-MAX_BROADCAST_ROWS = 100_000
+from loadlens.scratch import checkpointed
 
+# Counted bytes up to which a side is sent to every executor.
+MAX_BROADCAST_BYTES = 16 << 20
 
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows."""
-    return df.count() <= max_rows
+
+def row_bytes(df: DataFrame):
+    """The size of a row as a column: its texts, binaries and arrays as they are, 16 bytes each else."""
+    parts = []
+    for field in df.schema.fields:
+        c = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.StringType | T.BinaryType):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)) + 16)
+        elif isinstance(field.dataType, T.ArrayType | T.MapType | T.StructType):
+            parts.append(F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + 16)
+        else:
+            parts.append(F.lit(16))
+    return reduce(lambda a, b: a + b, parts).cast("long")
+
+
+def fits_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether ``df``, summed over its rows, has at most ``max_bytes`` bytes. Reads it once."""
+    return (df.agg(F.sum(row_bytes(df))).first()[0] or 0) <= max_bytes
 
 
 def null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]):
@@ -28,13 +45,13 @@ def attach_groups(
     by: Sequence[str],
     *,
     known_small: bool = False,
-    max_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Add per-group columns to every row (inner join on ``by``, NULL keys included).
 
-    If the checked row count of ``groups`` allows, they are kept and broadcast, so the rows do not
-    move and a hot group stays spread out. Beyond the bound it is a shuffle join, whose hot
-    partitions adaptive execution splits. ``known_small`` skips the check where the size follows
+    The groups are computed once. If their counted bytes allow they are broadcast, so the rows do
+    not move and a hot group stays spread out. Beyond the bound it is a shuffle join, whose hot
+    partitions adaptive execution splits. ``known_small`` skips all that where the size follows
     from the plan, e.g. one row of a global aggregate per requested column.
     """
     renamed = groups.select(
@@ -44,10 +61,8 @@ def attach_groups(
     if known_small:
         renamed = F.broadcast(renamed)
     else:
-        renamed = renamed.persist()
-        if fits_broadcast(renamed, max_rows):
+        renamed = checkpointed(renamed)
+        if fits_broadcast(renamed, max_bytes):
             renamed = F.broadcast(renamed)
-        else:
-            renamed.unpersist()
     joined = rows.join(renamed, null_safe(rows, renamed, [(k, f"__g_{k}") for k in by]))
     return joined.drop(*[f"__g_{k}" for k in by])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadlens.functions.paths import normalize_path
-from loadlens.joins import MAX_BROADCAST_ROWS, fits_broadcast
+from loadlens.joins import MAX_BROADCAST_BYTES, fits_broadcast
 
 
 def _keyed(df: DataFrame, path: str = "file_path") -> DataFrame:
@@ -22,13 +22,15 @@ def match_assets(requests: DataFrame, listing: DataFrame, salts: int = 1) -> Dat
 
     Repeated requests for one file all stay. Spark picks the strategy: rows are narrow, and
     adaptive execution splits the partition of a much requested file. Streams lack that; for
-    them ``salts`` spreads each file's requests over as many copies of its listing row.
+    them ``salts`` spreads each file's requests over as many copies of its listing row. A file that
+    is listed in two spellings counts once.
     """
     extra = [c for c in listing.columns if c not in ("file_path", "content")]
     clash = [c for c in extra if c in requests.columns]
     if clash:
         raise ValueError(f"both sides have {clash}")
     files = _keyed(listing).select("_key", F.col("file_path").alias("asset_path"), *extra)
+    files = files.dropDuplicates(["_key"])
     wanted, keys = _keyed(requests), ["_key"]
     if salts > 1:
         keys = ["_key", "_salt"]
@@ -47,7 +49,7 @@ def join_assets(
     requests: DataFrame,
     assets: DataFrame,
     content: str = "content",
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Requests with the bytes of their file (inner join, one row per request).
 
@@ -56,44 +58,71 @@ def join_assets(
     large should then use :func:`match_assets` and :func:`fetch_content`, which moves no bytes.
     """
     keyed = _keyed(requests)
-    if fits_broadcast(requests, max_broadcast_rows):
+    if fits_broadcast(requests, max_broadcast_bytes):
         keyed = F.broadcast(keyed)
     files = _keyed(assets).select("_key", content)
     return files.join(keyed, "_key").select(*requests.columns, content)
 
 
+def _open(systems: dict, name: str):
+    """A file's stream. The path is taken as it is: blanks, ``%`` and ``#`` are part of names."""
+    from pyarrow import fs
+
+    scheme, found, rest = name.partition("://")
+    if not found or scheme == "file":
+        place, inner = "file", "/" + (rest if found else name.removeprefix("file:")).lstrip("/")
+    else:
+        scheme = "s3" if scheme in ("s3a", "s3n") else scheme
+        container, _, key = rest.partition("/")
+        place = f"{scheme}://{container}"
+        inner = f"{container}/{key}" if scheme in ("s3", "gs", "abfs", "abfss") else f"/{key}"
+    if place not in systems:  # one connection per store and task
+        local = place == "file"
+        systems[place] = fs.LocalFileSystem() if local else fs.FileSystem.from_uri(place + "/")[0]
+    return systems[place].open_input_stream(inner)
+
+
 def fetch_content(
     requests: DataFrame, path: str = "asset_path", max_chunk_bytes: int = 64 << 20
 ) -> DataFrame:
     """Read each request's file inside the task that holds the request.
 
     Narrow rows are what Spark partitions; bytes are read once by the task that scores them and
-    never shuffled. Output leaves in chunks of bounded size. An unreadable file gives NULL.
+    never shuffled. Output leaves in chunks of bounded size. ``fetch_error`` says why ``content``
+    is NULL: there is no path, or no such file. Any other failure to read fails the task, so that
+    Spark tries it again and nothing is lost without a word.
     """
-    schema = T.StructType([*requests.schema.fields, T.StructField("content", T.BinaryType())])
+    schema = T.StructType(
+        [
+            *requests.schema.fields,
+            T.StructField("content", T.BinaryType()),
+            T.StructField("fetch_error", T.StringType()),
+        ]
+    )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
+        systems: dict = {}
 
-        def load(name: str) -> bytes | None:
-            local = name.startswith(("/", "file:/"))
-            uri = "file:///" + name.removeprefix("file:").lstrip("/") if local else name
+        def load(name: str | None) -> tuple[bytes | None, str | None]:
+            if name is None:
+                return None, "no path"
             try:
-                system, inner = fs.FileSystem.from_uri(uri)
-                with system.open_input_stream(inner) as stream:
-                    return stream.read()
-            except OSError:
-                return None
+                with _open(systems, name) as stream:
+                    return stream.read(), None
+            except FileNotFoundError:
+                return None, "not found"
 
         def with_bytes(batch: pa.RecordBatch, start: int, held: list) -> pa.RecordBatch:
             part = batch.slice(start, len(held))
-            return part.append_column("content", pa.array(held, pa.binary()))
+            content, problems = zip(*held, strict=True)
+            part = part.append_column("content", pa.array(content, pa.binary()))
+            return part.append_column("fetch_error", pa.array(problems, pa.string()))
 
         for batch in batches:
             start, held, size = 0, [], 0
             for name in batch.column(path).to_pylist():
                 held.append(load(name))
-                size += len(held[-1] or b"")
+                size += len(held[-1][0] or b"")
                 if size >= max_chunk_bytes:
                     yield with_bytes(batch, start, held)
                     start, held, size = start + len(held), [], 0

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadlens.functions.numbers import ratio, rounded, status, succeeded
-from loadlens.operators.quantiles import ACCURACY, SMALL_ROWS, grouped_with_percentiles
+from loadlens.operators.quantiles import ACCURACY, grouped_with_percentiles
 
 PERCENTILES = (0.5, 0.95, 0.99)
 
@@ -30,7 +30,6 @@ def value_stats(
     digits: int | None = 2,
     method: str = "exact",
     accuracy: int = ACCURACY,
-    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """mean, min, max and percentiles of ``value``; all NULL where nothing was measured."""
     by = list(by)
@@ -46,7 +45,7 @@ def value_stats(
         for i, name in enumerate(names.values()):
             out = out.withColumn(name, F.get("_pct", F.lit(i)))
     elif method == "exact":
-        out = grouped_with_percentiles(df, by, aggs, {"v": value}, names, accuracy, small_rows)
+        out = grouped_with_percentiles(df, by, aggs, {"v": value}, names, accuracy)
     else:
         raise ValueError(f"unknown method {method}")
     figures = [f"{x}_{unit}" for x in ("mean", "min", "max")] + list(names.values())

@@ -2,35 +2,29 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed values of the sizing rule.
+# Fixed value: rows of one scoring task.
 ROWS_PER_TASK = 200
-LEAST_ROWS_PER_TASK = 50
-REFERENCE_RATE = 10.0
 
 
-def partitions_for(
-    rows: int, most: int, rate: float | None = REFERENCE_RATE, rows_per_task: int = ROWS_PER_TASK
-) -> int:
-    """Tasks for ``rows`` rows, at most ``most``; a higher wanted rate means fewer rows per task."""
-    if rows <= 0:
-        return 1
-    per_task = rows_per_task
-    if rate and rate > 0:
-        per_task = max(LEAST_ROWS_PER_TASK, int(rows_per_task * (REFERENCE_RATE / rate)))
-    return max(1, min(most, math.ceil(rows / per_task)))
+def waves(rows: int, slots: int, rows_per_task: int = ROWS_PER_TASK) -> int:
+    """Tasks for ``rows`` rows on ``slots`` task slots: equal waves that keep every slot busy.
+
+    There are as many waves as keep a task at ``rows_per_task`` rows or fewer, so neither a slot
+    idles in the last one nor does a lost task cost much. Few rows get a task each.
+    """
+    per_wave = slots * rows_per_task
+    return max(1, min(rows, slots * -(-rows // per_wave)))
 
 
-def tasks_for(rows: Column, most: int, rows_per_task: int = ROWS_PER_TASK) -> Column:
-    """:func:`partitions_for` at the reference rate, for a column of row counts."""
-    wanted = F.ceil(rows / F.lit(float(rows_per_task))).cast("int")
-    return F.greatest(F.lit(1), F.least(F.lit(most), wanted))
+def tasks_for(rows: Column, limit: int, rows_per_task: int = ROWS_PER_TASK) -> Column:
+    """Tasks of ``rows_per_task`` rows for a column of row counts, 1 to ``limit``."""
+    full = F.ceil(rows / F.lit(float(rows_per_task)))
+    return F.greatest(F.lit(1), F.least(full, F.lit(limit))).cast("int")
 
 
-def spread_for_scoring(df: DataFrame, rows: int, most: int, **rule) -> DataFrame:
+def spread_for_scoring(df: DataFrame, tasks: int) -> DataFrame:
     """Round-robin repartition, so scoring time does not follow the input's file sizes."""
-    return df.repartition(partitions_for(rows, most, **rule))
+    return df.repartition(tasks)

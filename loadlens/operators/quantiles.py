@@ -1,13 +1,16 @@
-"""Discrete percentiles per group: a bounded sketch, or the exact value at any size.
+"""Exact discrete percentiles per group, at any size and by one definition.
 
 A percentile here is always a value of the data: the smallest one whose rank reaches ``p * n``.
 
-``sketch`` is one scan with Spark's ``percentile_approx``. ``exact`` counts the rows first. Up to
-``SMALL_ROWS`` one scan with ``percentile_disc`` holds all their values. Beyond, no task holds a
-group: a sketch brackets every wanted rank, a second scan counts rows in equal-width cells of the
-brackets (a few thousand counters per group, combined before the shuffle), and a third scan
-counts the distinct values of the one cell each rank falls in. The cell counts cover all rows,
-so the answer stays exact even where a sketch misses its bracket.
+The first scan computes the caller's aggregates and, with a sketch, a bracket around every wanted
+rank. The second counts rows in equal-width cells of the brackets (a few thousand counters per
+group, combined before the shuffle) and names the cell each rank falls in; the counts cover all
+rows, so the answer is exact even where the sketch misses. The third counts the distinct values
+of those cells. A cell that holds too many rows, because a bracket spans a gap of the data, is
+cut into cells again first. So neither a hot group nor an odd distribution gathers rows in a task.
+
+What is kept between the scans has one row per group; it is checkpointed. The input is read once
+per scan: write rows that are costly or not repeatable, such as scores, before measuring them.
 """
 
 from __future__ import annotations
@@ -19,10 +22,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadlens.joins import attach_groups, null_safe
+from loadlens.scratch import checkpointed
 
 ACCURACY = 10_000
 CELLS = 1024
-SMALL_ROWS = 250_000  # percentile_disc keeps every distinct value; beyond this it is the slower way
+CELL_ROWS = 1_000_000  # rows of one cell whose distinct values one task may order
 _SCALE = 1_000_000  # probabilities are read to six places, so ranks are whole-number arithmetic
 
 
@@ -51,37 +55,29 @@ def _running(cells: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     return cells.withColumn("_upto", F.sum("_n").over(w))
 
 
-def exact_percentiles(
-    df: DataFrame,
-    columns: Mapping[str, Column],
-    probabilities: Sequence[float],
-    by: Sequence[str] = (),
-    accuracy: int = ACCURACY,
-    cells: int = CELLS,
-) -> DataFrame:
-    """Long form: by..., metric, p, value."""
-    by, probs = list(by), sorted(probabilities)
-    keys = [*by, "_m"]
-    rows = _long_form(df, columns, by)
+def _reached(ranked: DataFrame, rank: Column) -> DataFrame:
+    return ranked.filter((rank <= F.col("_upto")) & (rank > F.col("_upto") - F.col("_n")))
 
-    margin = 2.0 / accuracy
-    cuts = [x for p in probs for x in (max(0.0, p - margin), min(1.0, p + margin))]
-    brackets = rows.groupBy(*keys).agg(
-        F.array_sort(F.percentile_approx("_v", [float(c) for c in cuts], accuracy)).alias("_cuts")
-    )
-    edges = [F.get("_cuts", F.lit(i)) for i in range(len(cuts))]
 
+def _cells_of(value: Column, low: Column, high: Column, cells: int) -> Column:
+    part = F.floor(F.try_divide(value - low, high - low) * cells).cast("int")
+    return F.coalesce(F.least(part, F.lit(cells)), F.lit(0))
+
+
+def _first_cells(
+    rows: DataFrame, brackets: DataFrame, probs: Sequence[float], keys: Sequence[str], cells: int
+) -> DataFrame:
+    """The cell of every wanted rank: keys..., _p, _need (rank within it), _n, _lo, _hi."""
+    edges = [F.get("_cuts", F.lit(i)) for i in range(2 * len(probs))]
     # Zone 2i+1 is the closed bracket of probability i, even zones lie between brackets.
-    placed = attach_groups(rows, brackets, keys, known_small=not by)
+    placed = attach_groups(rows, brackets, keys)
     passed = [F.col("_v") >= e if i % 2 == 0 else F.col("_v") > e for i, e in enumerate(edges)]
     zone = reduce(lambda a, b: a + b, [x.cast("int") for x in passed])
     placed = placed.withColumn("_zone", zone)
-    low = F.get("_cuts", F.col("_zone") - 1)
-    width = F.get("_cuts", F.col("_zone")) - low
-    cell = F.floor(F.try_divide(F.col("_v") - low, width) * cells).cast("int")
+    low, high = F.get("_cuts", F.col("_zone") - 1), F.get("_cuts", F.col("_zone"))
     inside = F.col("_zone") % 2 == 1
-    placed = placed.withColumn("_cell", F.when(inside, F.coalesce(cell, F.lit(0))).otherwise(0))
-    counted = placed.groupBy(*keys, "_zone", "_cell").agg(
+    cell = F.when(inside, _cells_of(F.col("_v"), low, high, cells)).otherwise(0)
+    counted = placed.groupBy(*keys, "_zone", cell.alias("_cell")).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
     )
     # At most cells * probabilities + probabilities + 1 rows per group reach this window.
@@ -90,60 +86,107 @@ def exact_percentiles(
         Window.unboundedPreceding, Window.unboundedFollowing
     )
     ranked = ranked.withColumn("_total", F.sum("_n").over(every))
-    wanted = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(float(p)).alias("_p"), _rank(p, F.col("_total")).alias("_rank"))
-                for p in probs
-            ]
-        )
+    wanted = [
+        F.struct(F.lit(float(p)).alias("_p"), _rank(p, F.col("_total")).alias("_rank"))
+        for p in probs
+    ]
+    ranked = ranked.withColumn("_w", F.explode(F.array(*wanted)))
+    return _reached(ranked, F.col("_w._rank")).select(
+        *keys,
+        F.col("_w._p").alias("_p"),
+        (F.col("_w._rank") - (F.col("_upto") - F.col("_n"))).alias("_need"),
+        "_n",
+        "_lo",
+        "_hi",
+    )
+
+
+def _rows_within(rows: DataFrame, hits: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of the open cells, with the cell's columns; a row may be in several."""
+    packed = hits.groupBy(*keys).agg(  # one entry per wanted percentile
+        F.collect_list(F.struct("_p", "_need", "_lo", "_hi")).alias("_open")
     )
-    hits = (
-        ranked.withColumn("_w", wanted)
-        .filter(
-            (F.col("_w._rank") <= F.col("_upto"))
-            & (F.col("_w._rank") > F.col("_upto") - F.col("_n"))
-        )
-        .select(
-            *keys,
-            F.col("_w._p").alias("_p"),
-            (F.col("_w._rank") - (F.col("_upto") - F.col("_n"))).alias("_need"),
-            "_lo",
-            "_hi",
-        )
+    near = attach_groups(rows, packed, keys)
+    near = near.select(*keys, "_v", F.explode("_open").alias("_o")).select(*keys, "_v", "_o.*")
+    return near.filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+
+
+def _finer_cells(rows: DataFrame, hits: DataFrame, keys: Sequence[str], cells: int) -> DataFrame:
+    """The same ranks in cells of the cells they are in."""
+    groups = [*keys, "_p", "_need"]
+    cell = _cells_of(F.col("_v"), F.col("_lo"), F.col("_hi"), cells)
+    counted = (
+        _rows_within(rows, hits, keys)
+        .groupBy(*groups, cell.alias("_cell"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     )
-    if by:
-        packed = hits.groupBy(*keys).agg(
-            F.collect_list(F.struct("_p", "_need", "_lo", "_hi")).alias("_open")
-        )
-        near = attach_groups(rows, packed, keys)
-        near = near.select(*keys, "_v", F.explode("_open").alias("_o")).filter(
-            (F.col("_v") >= F.col("_o._lo")) & (F.col("_v") <= F.col("_o._hi"))
-        )
-        near = near.select(
-            *keys, F.col("_o._p").alias("_p"), F.col("_o._need").alias("_need"), "_v"
-        )
-    else:
-        few = F.broadcast(hits.withColumnRenamed("_m", "__m"))  # columns * probabilities rows
-        near = rows.join(
-            few,
-            null_safe(rows, few, [("_m", "__m")])
-            & rows["_v"].between(few["_lo"], few["_hi"]),
-        ).select("_m", "_p", "_need", rows["_v"])
+    return _reached(_running(counted, groups, ["_cell"]), F.col("_need")).select(
+        *keys,
+        "_p",
+        (F.col("_need") - (F.col("_upto") - F.col("_n"))).alias("_need"),
+        "_n",
+        "_lo",
+        "_hi",
+    )
+
+
+def _values_at(
+    rows: DataFrame,
+    brackets: DataFrame,
+    probs: Sequence[float],
+    keys: Sequence[str],
+    cells: int,
+    cell_rows: int,
+) -> DataFrame:
+    """keys..., _p, _v."""
+    hits = checkpointed(_first_cells(rows, brackets, probs, keys, cells))
+    wide_cells = (F.col("_n") > cell_rows) & (F.col("_lo") < F.col("_hi"))
+    while hits.filter(wide_cells).take(1):
+        hits = checkpointed(_finer_cells(rows, hits, keys, cells))
+    single = hits.filter("_lo = _hi").select(*keys, "_p", F.col("_lo").alias("_v"))
+    several = hits.filter("NOT _lo = _hi")
+    near = _rows_within(rows, several, keys)
     values = near.groupBy(*keys, "_p", "_need", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    found = (
-        _running(values, [*keys, "_p"], ["_v"])
-        .filter(
-            (F.col("_need") <= F.col("_upto")) & (F.col("_need") > F.col("_upto") - F.col("_n"))
-        )
-        .select(*keys, "_p", "_v")
+    ranked = _running(values, [*keys, "_p", "_need"], ["_v"])
+    return single.unionByName(_reached(ranked, F.col("_need")).select(*keys, "_p", "_v"))
+
+
+def _cuts(probs: Sequence[float], accuracy: int) -> list[float]:
+    margin = 2.0 / accuracy
+    return [float(x) for p in probs for x in (max(0.0, p - margin), min(1.0, p + margin))]
+
+
+def _bracket(value: Column, probs: Sequence[float], accuracy: int) -> Column:
+    return F.array_sort(
+        F.percentile_approx(value.cast("double"), _cuts(probs, accuracy), accuracy)
     )
+
+
+def _named(found: DataFrame, columns: Mapping[str, Column], by: Sequence[str]) -> DataFrame:
     metric = F.get(F.array(*[F.lit(name) for name in columns]), F.col("_m"))
     return found.select(
         *by, metric.alias("metric"), F.col("_p").alias("p"), F.col("_v").alias("value")
     )
 
 
+def exact_percentiles(
+    df: DataFrame,
+    columns: Mapping[str, Column],
+    probabilities: Sequence[float],
+    by: Sequence[str] = (),
+    accuracy: int = ACCURACY,
+    cells: int = CELLS,
+    cell_rows: int = CELL_ROWS,
+) -> DataFrame:
+    """Long form: by..., metric, p, value."""
+    by, probs = list(by), sorted(probabilities)
+    keys = [*by, "_m"]
+    rows = _long_form(df, columns, by)
+    brackets = rows.groupBy(*keys).agg(_bracket(F.col("_v"), probs, accuracy).alias("_cuts"))
+    found = _values_at(rows, checkpointed(brackets), probs, keys, cells, cell_rows)
+    return _named(found, columns, by)
+
+
 def wide(long: DataFrame, names: Mapping[tuple[str, float], str], by: Sequence[str]) -> DataFrame:
     """One row per group, one column per (metric, probability)."""
     return long.groupBy(*by).agg(
@@ -161,27 +204,26 @@ def grouped_with_percentiles(
     columns: Mapping[str, Column],
     names: Mapping[tuple[str, float], str],
     accuracy: int = ACCURACY,
-    small_rows: int = SMALL_ROWS,
+    cells: int = CELLS,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """``df.groupBy(by).agg(aggs)`` with exact percentile columns.
 
     ``columns`` are the measured values, ``names`` maps (column, probability) to output names.
     """
-    by = list(by)
-    if df.count() <= small_rows:
-        held = df.select("*", *[c.cast("double").alias(f"__q_{n}") for n, c in columns.items()])
-        marks = [
-            F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY `__q_{m}`)").alias(name)
-            for (m, p), name in names.items()
-        ]
-        return held.groupBy(*by).agg(*aggs, *marks)
-    stats = df.groupBy(*by).agg(*aggs)
-    probabilities = sorted({p for _, p in names})
-    pct = wide(exact_percentiles(df, columns, probabilities, by, accuracy), names, by)
+    by, probs = list(by), sorted({p for _, p in names})
+    marks = [_bracket(c, probs, accuracy).alias(f"__cuts_{i}") for i, c in enumerate(columns.values())]
+    stats = checkpointed(df.groupBy(*by).agg(*aggs, *marks))
+    cuts = F.array(*[F.col(f"__cuts_{i}") for i in range(len(columns))])
+    brackets = stats.select(*by, F.posexplode(cuts).alias("_m", "_cuts")).filter("_cuts IS NOT NULL")
+    rows = _long_form(df, columns, by)
+    found = _values_at(rows, brackets, probs, [*by, "_m"], cells, cell_rows)
+    pct = wide(_named(found, columns, by), names, by)
+    plain = stats.drop(*[f"__cuts_{i}" for i in range(len(columns))])
     if not by:
         # Both are global aggregates: one row each.
         one = pct.select(F.lit(0).alias("_one"), *names.values())
-        return stats.withColumn("_one", F.lit(0)).join(F.broadcast(one), "_one").drop("_one")
+        return plain.withColumn("_one", F.lit(0)).join(F.broadcast(one), "_one").drop("_one")
     renamed = pct.select(*[F.col(k).alias(f"__p_{k}") for k in by], *names.values())
-    joined = stats.join(renamed, null_safe(stats, renamed, [(k, f"__p_{k}") for k in by]), "left")
+    joined = plain.join(renamed, null_safe(plain, renamed, [(k, f"__p_{k}") for k in by]), "left")
     return joined.drop(*[f"__p_{k}" for k in by])

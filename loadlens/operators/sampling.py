@@ -10,42 +10,31 @@ from pyspark.sql import functions as F
 from loadlens.functions.paths import run_label
 from loadlens.operators.sequence import dense_sequence
 
-# Up to this k Spark itself keeps only k rows per group and task before the shuffle
-# (spark.sql.optimizer.windowGroupLimitThreshold).
-_GROUP_LIMIT = 1000
-# Up to this k each class is first cut within 256 parts; beyond, all rows are numbered.
-_SALTED_LIMIT = 10_000
-_SALTS = 256
-# Sorting this many rows in one task is fine; larger ladders number the rows in parallel.
-_SINGLE_TASK_ROWS = 1_000_000
 
+def _numbered_first(df: DataFrame, n: int, order: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """The rows that can be among the first ``n`` of their group, with their number ``_rn``.
 
-def first_n(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
-    """The first ``n`` rows in ``order``; each task keeps only its own ``n``."""
-    return df.orderBy(*order).limit(n)
-
+    Every input partition is cut to its own first ``n`` per group, so a task sees no more of a
+    group than one partition held. What is left is numbered over all tasks.
+    """
+    within = Window.partitionBy(*by, "_part").orderBy(*order)
+    cut = (
+        df.withColumn("_part", F.spark_partition_id())
+        .withColumn("_rn", F.row_number().over(within))
+        .filter(F.col("_rn") <= n)
+        .drop("_part", "_rn")
+    )
+    return dense_sequence(cut, order, by, name="_rn").filter(F.col("_rn") <= n)
 
-def balanced_sample(df: DataFrame, per_class: int, label: str, order: Sequence[str]) -> DataFrame:
-    """The first ``per_class`` rows of every class.
 
-    A class may hold most of the rows. For small samples each task sends at most ``per_class``
-    rows per class. For larger ones every class is first cut within 256 parts, so one task
-    sees at most ``256 * per_class`` rows of it. Very large ones number the sorted rows of all
-    tasks, so that no task sees a class.
-    """
-    if per_class > _SALTED_LIMIT:
-        numbered = dense_sequence(df, order, [label], name="_rn")
-        return numbered.filter(F.col("_rn") <= per_class).drop("_rn")
+def first_n(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
+    """The first ``n`` rows in ``order``, which should end in a unique key."""
+    return _numbered_first(df, n, order, []).drop("_rn")
 
-    def first_of(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        ranked = rows.withColumn("_rn", F.row_number().over(w))
-        return ranked.filter(F.col("_rn") <= per_class).drop("_rn")
 
-    if per_class <= _GROUP_LIMIT:
-        return first_of(df, [label])
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(_SALTS)))
-    return first_of(first_of(salted, [label, "_salt"]), [label]).drop("_salt")
+def balanced_sample(df: DataFrame, per_class: int, label: str, order: Sequence[str]) -> DataFrame:
+    """The first ``per_class`` rows of every class, of which one may hold most of the rows."""
+    return _numbered_first(df, per_class, order, [label]).drop("_rn")
 
 
 def two_class_sample(
@@ -56,37 +45,47 @@ def two_class_sample(
     return balanced_sample(wanted, total // 2, label, order)
 
 
-def ladder_sizes(sizes: Sequence[int], available: int, fallback: int = 20) -> list[int]:
-    """Run sizes that the data can fill, smallest first; else one run of up to ``fallback``."""
-    fitting = sorted(n for n in sizes if n <= available)
-    if fitting:
-        return fitting
-    return [min(fallback, available)] if available > 0 else []
+def runnable_sizes(sizes: Sequence[int], rows: int, otherwise: int | None = None) -> list[int]:
+    """The sizes that ``rows`` rows can fill, from small to large.
+
+    Where none can be filled, one run of ``otherwise`` rows, or of all rows if there are fewer. A
+    test of another size than asked for is only what the caller names: without ``otherwise`` it
+    is an error.
+    """
+    possible = sorted({n for n in sizes if 0 < n <= rows})
+    if not possible and otherwise is not None and rows:
+        possible = [min(otherwise, rows)]
+    if not possible:
+        raise ValueError(f"none of the sizes {list(sizes)} can be filled with {rows} rows")
+    return possible
+
+
+def runs_of(
+    df: DataFrame, sizes: Sequence[int], order: Sequence[str], otherwise: int | None = None
+) -> tuple[list[int], DataFrame]:
+    """The run sizes, and the rows that any run needs with their number ``_rn``.
+
+    One numbering serves all runs; run ``i`` is the rows numbered up to ``sizes[i]``.
+    """
+    chosen = runnable_sizes(sizes, df.count(), otherwise)
+    return chosen, _numbered_first(df, chosen[-1], order, [])
 
 
 def size_ladder(
-    df: DataFrame, sizes: Sequence[int], order: Sequence[str], unit: str = "reqs"
+    df: DataFrame,
+    sizes: Sequence[int],
+    order: Sequence[str],
+    unit: str = "reqs",
+    otherwise: int | None = None,
 ) -> DataFrame:
     """All runs of a load test in one table: row copies with ``run_label`` and ``run_size``.
 
     Run ``i`` holds the first ``sizes[i]`` rows in ``order``.
     """
-    chosen = ladder_sizes(sizes, df.count())
-    if not chosen:
-        return df.limit(0).select("*", F.lit("").alias("run_label"), F.lit(0).alias("run_size"))
-    if chosen[-1] <= _SINGLE_TASK_ROWS:
-        w = Window.orderBy(*order)  # over at most the largest run
-        numbered = first_n(df, chosen[-1], order).withColumn("_rn", F.row_number().over(w))
-    else:
-        numbered = dense_sequence(df, order, name="_rn")
-    runs = F.array(
-        *[
-            F.struct(F.lit(i + 1).alias("index"), F.lit(n).alias("size"))
-            for i, n in enumerate(chosen)
-        ]
-    )
+    chosen, numbered = runs_of(df, sizes, order, otherwise)
+    runs = [F.struct(F.lit(i).alias("index"), F.lit(n).alias("size")) for i, n in enumerate(chosen, 1)]
     return (
-        numbered.withColumn("_run", F.explode(runs))
+        numbered.withColumn("_run", F.explode(F.array(*runs)))
         .filter(F.col("_rn") <= F.col("_run.size"))
         .select(
             *df.columns,

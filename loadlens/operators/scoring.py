@@ -65,9 +65,12 @@ def _timed_groups(scorer: Scorer, model: Any, batch: pd.DataFrame):
         part = batch.iloc[start : start + scorer.micro_batch]
         began, problem, made = scorer.clock(), None, None
         try:
-            made = [str(t) for t in scorer.score(model, part)]
+            made = list(scorer.score(model, part))
             if len(made) != len(part):
                 raise ValueError(f"{len(made)} results for {len(part)} rows")
+            if any(t is None for t in made):
+                raise ValueError("no result")
+            made = [str(t) for t in made]
         except Exception as e:  # a failed micro-batch must not fail the job
             made, problem = [""] * len(part), _describe(e)
         each = (scorer.clock() - began) * 1000.0 / len(part)
@@ -77,7 +80,12 @@ def _timed_groups(scorer: Scorer, model: Any, batch: pd.DataFrame):
     return texts, millis, errors
 
 
-def _run(scorer: Scorer, carried: Sequence[str], batches: Iterator[pa.RecordBatch]):
+def _run(
+    scorer: Scorer,
+    read: Sequence[str],
+    carried: Sequence[str],
+    batches: Iterator[pa.RecordBatch],
+):
     device = scorer.device_name()
     model, broken = None, None
     try:
@@ -87,7 +95,7 @@ def _run(scorer: Scorer, carried: Sequence[str], batches: Iterator[pa.RecordBatc
     for batch in batches:
         dequeued, n = scorer.clock(), batch.num_rows
         if broken is None:
-            texts, millis, errors = _timed_groups(scorer, model, batch.to_pandas())
+            texts, millis, errors = _timed_groups(scorer, model, batch.select(read).to_pandas())
         else:
             texts, millis, errors = [""] * n, [0.0] * n, [broken] * n
         done = scorer.clock()
@@ -136,9 +144,11 @@ def score(
     extra = [c for c in carry if c not in standard]
     carried = ["request_id", "file_path", "true_label", "_ingest_us", *extra]
     schema = T.StructType([*[rows.schema[c] for c in carried], *_RAW.fields])
+    seen = dict.fromkeys(["request_id", "file_path", "true_label", *inputs])
+    read = [c for c in seen if c != "ingest_ts"]
 
     def partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _run(scorer, carried, batches)
+        return _run(scorer, read, carried, batches)
 
     raw = rows.mapInArrow(partition, schema)
     ingest = F.col("_ingest_us")

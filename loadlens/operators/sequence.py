@@ -8,10 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadlens.joins import attach_groups
-from loadlens.scratch import materialize
+from loadlens.scratch import checkpointed
 
-# Up to this many rows in all, one task may hold them.
-SMALL_ROWS = 1_000_000
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition number above, position below
 
 
@@ -21,23 +19,19 @@ def dense_sequence(
     by: Sequence[str] = (),
     start: int = 1,
     name: str = "seq",
-    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Number the rows of each group from ``start`` in ``order``, which should end in a unique key.
 
-    A counted small table is numbered by a window. Beyond that, one range sort on group and order
-    spreads a hot group over many tasks. The sorted rows are written once with their place
-    (partition, position), so both readers below see the same places. Rows per (partition, group)
-    then give each partition its offset: at most one small row per partition and group.
+    One range sort on group and order spreads a hot group over many tasks. The sorted rows are
+    kept once with their place (partition, position), so both readers below see the same places.
+    Rows per (partition, group) then give each partition its offset: at most one small row per
+    partition and group. The kept rows are a checkpoint, which Spark drops once the result is no
+    longer referred to.
     """
     by = list(by)
-    if df.count() <= small_rows:
-        w = Window.partitionBy(*by).orderBy(*order)
-        return df.withColumn(name, (F.row_number().over(w) + (start - 1)).cast("long"))
-    ranged = df.orderBy(*by, *order).withColumn("_mid", F.monotonically_increasing_id())
-    placed = materialize(ranged, "sequence").withColumn(
-        "_part", F.shiftright("_mid", _LOCAL_BITS).cast("int")
-    )
+    placed = checkpointed(
+        df.orderBy(*by, *order).withColumn("_mid", F.monotonically_increasing_id())
+    ).withColumn("_part", F.shiftright("_mid", _LOCAL_BITS).cast("int"))
     counts = placed.groupBy(*by, "_part").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first")
     )

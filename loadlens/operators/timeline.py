@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loadlens.functions.times import elapsed_sec
 from loadlens.joins import attach_groups
-from loadlens.operators.sequence import SMALL_ROWS, dense_sequence
+from loadlens.operators.sequence import dense_sequence
 
 
 def run_bounds(df: DataFrame, ts: str, latency: str, by: Sequence[str]) -> DataFrame:
@@ -40,20 +40,21 @@ def timeline_adaptive(
     key: str = "request_id",
     latency: str = "inference_time_ms",
     min_span_sec: float = 1.0,
-    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Plot position: seconds since the start, or the row number where the whole run is shorter
-    than ``min_span_sec``. Only rows of such short runs are sorted."""
+    than ``min_span_sec`` or has no times at all. Only rows of such runs are sorted; rows without a
+    time come first. In a run plotted by time they have no position."""
     by = list(by)
     bounds = run_bounds(df, ts, latency, by)
     rows = attach_groups(df.select(*by, key, ts, latency), bounds, by, known_small=not by)
     rows = rows.withColumn("_span", elapsed_sec("_start", "_end"))
     keep = [*by, key, latency, "mean_latency_ms"]
-    long_runs = rows.filter(F.col("_span") >= min_span_sec).select(
+    by_time = F.coalesce(F.col("_span") >= min_span_sec, F.lit(False))
+    long_runs = rows.filter(by_time).select(
         *keep, F.lit("Time Elapsed (sec)").alias("x_label"), elapsed_sec("_start", ts).alias("x")
     )
-    short = rows.filter(F.col("_span") < min_span_sec).select(*keep, ts)
-    numbered = dense_sequence(short, [ts, key], by, small_rows=small_rows).select(
+    short = rows.filter(~by_time).select(*keep, ts)
+    numbered = dense_sequence(short, [ts, key], by).select(
         *keep, F.lit("Image Number").alias("x_label"), F.col("seq").cast("double").alias("x")
     )
     return long_runs.unionByName(numbered)

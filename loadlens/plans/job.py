@@ -9,77 +9,114 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadlens.functions.paths import run_label
-from loadlens.operators import metrics
-from loadlens.operators.partitions import spread_for_scoring
-from loadlens.operators.sampling import first_n, ladder_sizes
+from loadlens.operators.assets import fetch_content, match_assets
+from loadlens.operators.partitions import spread_for_scoring, waves
+from loadlens.operators.sampling import balanced_sample, runs_of
 from loadlens.operators.scoring import Scorer, score
 from loadlens.plans.capacity import BURST_LEVELS, REQUEST_SIZE, burst_drain
-from loadlens.plans.runs import run_report
-from loadlens.sinks.files import write_metrics, write_parquet
+from loadlens.plans.runs import demo_summary, load_test_tables
+from loadlens.sinks.files import write_copies, write_metrics, write_parquet
 
 RUN = ["run_label"]
 
 
 @dataclass(frozen=True)
 class LoadTest:
-    """Settings of a load test. Without ``sizes`` there is one run over all requests."""
+    """Settings of a load test. Without ``sizes`` there is one run over all requests.
+
+    ``root`` belongs to this test: what an earlier test left there is replaced. ``otherwise`` is the
+    size of the one run to make where none of ``sizes`` can be filled; without it that is an error.
+    ``slots`` are the task slots of the cluster, as the session names them by default.
+    """
 
     root: str
     sizes: Sequence[int] | None = None
+    otherwise: int | None = None
     order: Sequence[str] = ("request_id",)
     inputs: Sequence[str] = ()
     carry: Sequence[str] = ()
-    most_tasks: int = 4
+    slots: int | None = None
     unit: str = "reqs"
+    formats: Sequence[str] = ("parquet", "csv", "json")
     levels: Sequence[int] = BURST_LEVELS
     request_size: int = REQUEST_SIZE
     mirrors: Sequence[str] = field(default_factory=tuple)
 
 
-def metric_tables(pred: DataFrame, by: Sequence[str] = RUN) -> dict[str, DataFrame]:
-    """The named metric tables of all runs."""
-    return {
-        "inference_latency_stats": metrics.latency_stats(pred, by=by),
-        "queue_wait_stats": metrics.latency_stats(pred, "queue_wait_ms", by),
-        "end_to_end_stats": metrics.latency_stats(pred, "end_to_end_ms", by),
-        "throughput_metrics": metrics.throughput(pred, by),
-        "error_statistics": metrics.status_share(pred, by),
-        "report_length_statistics": metrics.text_length_stats(pred, by=by),
-    }
+def with_content(requests: DataFrame, listing: DataFrame) -> DataFrame:
+    """Requests whose file is listed, with its bytes in ``content``, read where they are used."""
+    return fetch_content(match_assets(requests, listing.select("file_path")))
 
 
-def run_load_test(requests: DataFrame, scorer: Scorer, test: LoadTest) -> dict[str, DataFrame]:
+def run_load_test(
+    requests: DataFrame, scorer: Scorer, test: LoadTest, listing: DataFrame | None = None
+) -> dict[str, DataFrame]:
     """Score one run per size, then compute every table over all runs at once.
 
+    With a ``listing`` of files the requests are matched to it, and every task reads the files of
+    its own rows, which the scorer gets as ``content``.
+
     Runs go one after the other, since what is measured is one load at a time. Each is written
     to its own partition of the prediction table before anything reads it, so no score is
     computed twice and a lost executor costs only its tasks.
     """
     spark, root = requests.sparkSession, test.root.rstrip("/")
-    available = requests.count()
-    sizes = [available] if test.sizes is None else ladder_sizes(test.sizes, available)
-    if not available or not sizes:
+    inputs = list(test.inputs)
+    if listing is not None:
+        requests = match_assets(requests, listing.select("file_path"))
+        inputs.append("content")
+    if test.sizes is None:
+        rows, sizes = requests, [requests.count()]
+    else:
+        sizes, rows = runs_of(requests, test.sizes, test.order, test.otherwise)
+    if not sizes[0]:
         raise ValueError("no requests to score")
+    slots = test.slots or spark.sparkContext.defaultParallelism
     stored = f"{root}/predictions"
     schema = None
     for index, size in enumerate(sizes, start=1):
-        run = requests if size == available else first_n(requests, size, test.order)
+        run = rows if test.sizes is None else rows.filter(F.col("_rn") <= size)
         run = run.withColumn("run_label", run_label(F.lit(index), F.lit(size), test.unit))
-        spread = spread_for_scoring(run, size, test.most_tasks)
-        scored = score(spread, scorer, test.inputs, [*test.carry, "run_label"])
+        run = spread_for_scoring(run, waves(size, slots))
+        run = run if listing is None else fetch_content(run)
+        scored = score(run, scorer, inputs, [*test.carry, "run_label"])
         schema = scored.schema
-        write_parquet(scored, stored, RUN)
+        write_parquet(scored, stored, RUN, keep_others=index > 1)
     # Partition columns come last when read back.
     pred = spark.read.schema(schema).parquet(stored).select(*schema.names)
-    tables = metric_tables(pred)
-    summary = run_report(pred)
-    drain = burst_drain(
-        summary,
+    write_copies(pred, root, test.formats)
+    tables = load_test_tables(pred)
+    tables["burst_drain"] = burst_drain(
+        tables["load_test_summary"],
         "wall_throughput_req_per_sec",
         levels=test.levels,
         request_size=test.request_size,
         unit="requests",
     )
-    written = {**tables, "load_test_summary": summary, "burst_drain": drain}
-    write_metrics(written, [f"{root}/metrics", *test.mirrors])
-    return {"predictions": pred, **written}
+    write_metrics(tables, [f"{root}/metrics", *test.mirrors])
+    return {"predictions": pred, **tables}
+
+
+def run_sample_test(
+    requests: DataFrame,
+    scorer: Scorer,
+    root: str,
+    per_class: int,
+    listing: DataFrame | None = None,
+    label: str = "true_label",
+    order: Sequence[str] = ("file_path", "request_id"),
+    inputs: Sequence[str] = (),
+    from_topic: bool = False,
+) -> dict[str, DataFrame]:
+    """Score a balanced sample and sum the run up: predictions and a summary of one row."""
+    spark, root = requests.sparkSession, root.rstrip("/")
+    rows = balanced_sample(requests, per_class, label, order)
+    inputs = list(inputs)
+    if listing is not None:
+        rows, inputs = with_content(rows, listing), [*inputs, "content"]
+    scored = score(spread_for_scoring(rows, spark.sparkContext.defaultParallelism), scorer, inputs)
+    write_parquet(scored, f"{root}/predictions")
+    pred = spark.read.schema(scored.schema).parquet(f"{root}/predictions")
+    summary = demo_summary(pred, listing is not None, from_topic, by=())
+    write_metrics({"demo_summary": summary}, [f"{root}/metrics"])
+    return {"predictions": pred, "demo_summary": summary}

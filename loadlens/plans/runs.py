@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from loadlens.functions.numbers import SECONDS_PER_DAY, ratio, succeeded
 from loadlens.functions.times import elapsed_sec
-from loadlens.operators.quantiles import SMALL_ROWS, grouped_with_percentiles
+from loadlens.operators.quantiles import grouped_with_percentiles
 from loadlens.schemas import LATENCY_COLUMNS
+from loadlens.scratch import checkpointed
 
 
 def _short(column: str) -> str:
@@ -22,7 +23,6 @@ def run_summary(
     by: Sequence[str] = ("run_label",),
     started: str = "dequeue_ts",
     finished: str = "timestamp",
-    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """One row per run: rows, wall time, wall throughput, mean and p95 of the three latencies.
 
@@ -42,7 +42,7 @@ def run_summary(
     ]
     measured = {c: F.when(ok, F.col(c)) for c in LATENCY_COLUMNS}
     names = {(c, 0.95): f"{_short(c)}_p95_ms" for c in LATENCY_COLUMNS}
-    return grouped_with_percentiles(pred, by, aggs, measured, names, small_rows=small_rows)
+    return grouped_with_percentiles(pred, by, aggs, measured, names)
 
 
 def dataset_summary(pred: DataFrame, **options) -> DataFrame:
@@ -67,7 +67,6 @@ def demo_summary(
     by: Sequence[str] = ("run_label",),
     started: str = "dequeue_ts",
     finished: str = "timestamp",
-    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """One row per end-to-end run: what it read from, counts, latencies with p99, serial rate."""
     by, ok = list(by), succeeded()
@@ -82,7 +81,7 @@ def demo_summary(
         elapsed_sec(F.min(started), F.max(finished)).alias("wall_time_sec"),
     ]
     names = {("v", 0.95): "p95_latency_ms", ("v", 0.99): "p99_latency_ms"}
-    out = grouped_with_percentiles(pred, by, aggs, {"v": ms}, names, small_rows=small_rows)
+    out = grouped_with_percentiles(pred, by, aggs, {"v": ms}, names)
     return out.select(
         *by,
         "timestamp",
@@ -99,9 +98,7 @@ def demo_summary(
     )
 
 
-def run_view(
-    pred: DataFrame, by: str = "run_label", small_rows: int = SMALL_ROWS
-) -> DataFrame:
+def run_view(pred: DataFrame, by: str = "run_label") -> DataFrame:
     """Busy-time view of runs used by the cross-run plans; successful rows only."""
     rows = pred.filter(succeeded())
     n = F.count(F.lit(1))
@@ -113,12 +110,15 @@ def run_view(
         F.avg("inference_time_ms").alias("mean_ms"),
     ]
     value, names = {"v": F.col("inference_time_ms")}, {("v", 0.95): "p95_ms"}
-    return grouped_with_percentiles(rows, [by], aggs, value, names, small_rows=small_rows)
+    return grouped_with_percentiles(rows, [by], aggs, value, names)
 
 
 def run_report(pred: DataFrame, by: Sequence[str] = ("run_label",), **options) -> DataFrame:
     """Every number of the run report: summary, success rate, serial rate and daily capacity."""
-    summary = run_summary(pred, by, **options)
+    return _report_of(run_summary(pred, by, **options))
+
+
+def _report_of(summary: DataFrame) -> DataFrame:
     n_ok = F.col("success_count")
     serial = ratio(n_ok * 1000.0, F.col("inference_mean_ms") * n_ok)
     return summary.select(
@@ -129,24 +129,24 @@ def run_report(pred: DataFrame, by: Sequence[str] = ("run_label",), **options) -
     )
 
 
-def metric_bundle(
-    pred: DataFrame, by: Sequence[str] = ("run_label",), small_rows: int = SMALL_ROWS
-) -> DataFrame:
-    """All metric tables of all runs in long form: by..., metric_table, metric, value.
+_TABLES = {
+    "queue_wait_ms": "queue_wait_stats",
+    "inference_time_ms": "inference_latency_stats",
+    "end_to_end_ms": "end_to_end_stats",
+    "report_chars": "report_length_statistics",
+}
 
-    One aggregation for sums and shares, and one percentile pass over all measured columns,
-    instead of one query per table and run.
+
+def _all_figures(
+    pred: DataFrame, by: Sequence[str], started: str, finished: str
+) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """One row per run with every figure as ``table__metric``, and the names in order.
+
+    One aggregation for sums and shares, and one percentile pass over all measured columns.
     """
-    by = list(by)
     ok = succeeded()
     measured = {c: F.when(ok, F.col(c)) for c in LATENCY_COLUMNS}
     measured["report_chars"] = F.when(ok, F.length("report_text").cast("double"))
-    tables = {
-        "queue_wait_ms": "queue_wait_stats",
-        "inference_time_ms": "inference_latency_stats",
-        "end_to_end_ms": "end_to_end_stats",
-        "report_chars": "report_length_statistics",
-    }
     n, n_ok = F.count(F.lit(1)), F.count_if(ok)
     busy = F.sum(measured["inference_time_ms"]) / 1000
     aggs, placed = [], []
@@ -157,7 +157,7 @@ def metric_bundle(
 
     for name, column in measured.items():
         for metric, f in (("mean", F.avg), ("min", F.min), ("max", F.max)):
-            add(tables[name], metric, f(column))
+            add(_TABLES[name], metric, f(column))
     add("throughput_metrics", "total_requests", n_ok)
     add("throughput_metrics", "num_gpus", F.count_distinct(F.when(ok, F.col("gpu_used"))))
     add("throughput_metrics", "summed_inference_time_sec", busy)
@@ -167,12 +167,20 @@ def metric_bundle(
     add("error_statistics", "success_pct", ratio(n_ok * 100.0, n))
     add("error_statistics", "error_pct", ratio((n - n_ok) * 100.0, n))
     names = {
-        (c, p): f"{tables[c]}__p{round(p * 100)}"
+        (c, p): f"{_TABLES[c]}__p{round(p * 100)}"
         for c in measured
         for p in ((0.5, 0.95) if c == "report_chars" else (0.5, 0.95, 0.99))
     }
     placed += [tuple(n.split("__")) for n in names.values()]
-    flat = grouped_with_percentiles(pred, by, aggs, measured, names, small_rows=small_rows)
+    if started in pred.columns and finished in pred.columns:
+        aggs.append(elapsed_sec(F.min(started), F.max(finished)).alias("wall_time_sec"))
+    return grouped_with_percentiles(pred, by, aggs, measured, names), placed
+
+
+def metric_bundle(pred: DataFrame, by: Sequence[str] = ("run_label",)) -> DataFrame:
+    """All metric tables of all runs in long form: by..., metric_table, metric, value."""
+    by = list(by)
+    flat, placed = _all_figures(pred, by, "", "")
     cells = [
         F.struct(
             F.lit(t).alias("metric_table"),
@@ -182,3 +190,59 @@ def metric_bundle(
         for t, m in placed
     ]
     return flat.select(*by, F.explode(F.array(*cells)).alias("_c")).select(*by, "_c.*")
+
+
+def load_test_tables(
+    pred: DataFrame,
+    by: Sequence[str] = ("run_label",),
+    started: str = "dequeue_ts",
+    finished: str = "timestamp",
+) -> dict[str, DataFrame]:
+    """The named metric tables and the run summary of all runs, all from one percentile pass.
+
+    A run without a success has NULL figures rather than no row.
+    """
+    by = list(by)
+    flat, _ = _all_figures(pred, by, started, finished)
+    flat = checkpointed(flat)  # one row per run; every table below reads it
+
+    def table(name: str, metrics: Sequence[str], unit: str = "") -> DataFrame:
+        return flat.select(
+            *by, *[F.round(f"{name}__{m}", 2).alias(f"{m}{unit}") for m in metrics]
+        )
+
+    plain, marks = ["mean", "min", "max"], ["p50", "p95", "p99"]
+    out = {
+        t: table(t, [*plain, *marks], "_ms") for c, t in _TABLES.items() if c != "report_chars"
+    }
+    out["report_length_statistics"] = table(
+        "report_length_statistics", [*plain, *marks[:2]], "_chars"
+    )
+    counts = ["total_requests", "num_gpus"]
+    rates = table(
+        "throughput_metrics", [*counts, "summed_inference_time_sec", "throughput_req_per_sec"]
+    )
+    out["throughput_metrics"] = rates.withColumns({c: F.col(c).cast("long") for c in counts})
+    shares = [
+        F.struct(
+            F.lit(status).alias("status"),
+            F.col(f"error_statistics__{name}_count").cast("long").alias("count"),
+            F.round(f"error_statistics__{name}_pct", 2).alias("percentage"),
+        )
+        for status, name in (("Success", "success"), ("Error", "error"))
+    ]
+    shown = flat.select(*by, F.explode(F.array(*shares)).alias("_s")).select(*by, "_s.*")
+    out["error_statistics"] = shown.filter("count > 0")
+    n_ok, n_bad = F.col("error_statistics__success_count"), F.col("error_statistics__error_count")
+    summary = flat.select(
+        *by,
+        (n_ok + n_bad).cast("long").alias("num_requests"),
+        n_ok.cast("long").alias("success_count"),
+        n_bad.cast("long").alias("error_count"),
+        "wall_time_sec",
+        ratio(n_ok + n_bad, F.col("wall_time_sec")).alias("wall_throughput_req_per_sec"),
+        *[F.col(f"{_TABLES[c]}__mean").alias(f"{_short(c)}_mean_ms") for c in LATENCY_COLUMNS],
+        *[F.col(f"{_TABLES[c]}__p95").alias(f"{_short(c)}_p95_ms") for c in LATENCY_COLUMNS],
+    )
+    out["load_test_summary"] = _report_of(summary)
+    return out

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,19 +10,17 @@ _CONF = "spark.checkpoint.dir"
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by the session.
+    """The folder every executor can reach, as the session names it; without a name, an error.
 
-    A folder of our own is made only where the session names none and the master is local:
-    a temporary folder of one machine is useless to the other machines of a cluster.
+    A folder of the driver's machine would be useless to the others, so none is made up.
     """
-    named = spark.conf.get(_CONF, None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
+    made = spark.sparkContext.getCheckpointDir()
+    named = spark.conf.get(_CONF, None) or made
+    if not named:
         raise RuntimeError(f"set {_CONF} to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="loadlens-")
-    spark.sparkContext.setCheckpointDir(made)
-    return made
+    if not made:
+        spark.sparkContext.setCheckpointDir(named)
+    return named
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
@@ -31,11 +28,11 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/loadlens/{tag}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared scratch folder and read it back.
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the scratch folder, whatever becomes of the executors.
 
-    Survives the loss of executors, and later column pruning still works on it.
+    Spark drops the files once nothing refers to the table any more, if the session has
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` set; nobody has to release them.
     """
-    path = scratch_path(df.sparkSession, tag)
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    scratch_root(df.sparkSession)
+    return df.checkpoint()

@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
+from loadlens.scratch import checkpointed
+
 # Text with quotes, line breaks and outer blanks must come back as it was.
 _CSV = {
     "header": "true",
@@ -17,15 +19,20 @@ _CSV = {
 
 
 def write_parquet(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), max_rows_per_file: int = 0
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    max_rows_per_file: int = 0,
+    keep_others: bool = True,
 ) -> None:
-    """Overwrite ``path``; with partition columns only the partitions that ``df`` has.
+    """Overwrite ``path``; with partition columns and ``keep_others`` only the partitions of ``df``.
 
     Each task writes its own file per partition value, so no value is gathered in one task.
     """
     writer = df.write.mode("overwrite").option("maxRecordsPerFile", max_rows_per_file)
     if partition_by:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+        mode = "dynamic" if keep_others else "static"
+        writer = writer.option("partitionOverwriteMode", mode).partitionBy(*partition_by)
     writer.parquet(path)
 
 
@@ -52,25 +59,28 @@ def write_predictions(
     paths = {f: f"{root.rstrip('/')}/predictions_{f}" for f in ("parquet", *formats)}
     write_parquet(pred, paths["parquet"], partition_by)
     stored = pred.sparkSession.read.schema(pred.schema).parquet(paths["parquet"])
+    write_copies(stored, root, formats)
+    return paths
+
+
+def write_copies(stored: DataFrame, root: str, formats: Sequence[str]) -> None:
+    """The other formats of a prediction table that is stored as Parquet already."""
     for name in formats:
+        path = f"{root.rstrip('/')}/predictions_{name}"
         if name == "csv":
-            write_csv(stored, paths["csv"])
+            write_csv(stored, path)
         elif name == "json":
-            write_json(stored, paths["json"])
+            write_json(stored, path)
         elif name != "parquet":
             raise ValueError(f"unknown format {name}")
-    return paths
 
 
 def write_metrics(tables: Mapping[str, DataFrame], targets: Sequence[str]) -> None:
     """Each metric table as one CSV file under every target folder, computed once."""
     for name, table in tables.items():
-        kept = table.coalesce(1).persist()
-        try:
-            for target in targets:
-                write_csv(kept, f"{target.rstrip('/')}/{name}", single_file=True)
-        finally:
-            kept.unpersist()
+        kept = checkpointed(table)
+        for target in targets:
+            write_csv(kept, f"{target.rstrip('/')}/{name}", single_file=True)
 
 
 def write_manifest(manifest: DataFrame, path: str) -> None:

@@ -23,6 +23,7 @@ class SourceSpec:
     tree: str | None = None
     labels: Sequence[str] | None = None
     suffixes: Sequence[str] = IMAGE_SUFFIXES
+    manifest_layout: str = "auto"
     topic_options: dict[str, str] = field(default_factory=dict)
 
 
@@ -35,7 +36,7 @@ def load_requests(spark: SparkSession, spec: SourceSpec) -> DataFrame:
         raw = topics.read_topic(spark, spec.servers, spec.topic, **spec.topic_options)
         return decode_requests(raw)
     if spec.manifest:
-        return tables.read_manifest(spark, spec.manifest)
+        return tables.read_manifest(spark, spec.manifest, spec.manifest_layout)
     if spec.tree:
         return files.list_labelled(spark, spec.tree, spec.labels, spec.suffixes)
     raise ValueError("name an object store, a topic, a manifest or a tree")

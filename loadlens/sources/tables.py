@@ -9,6 +9,8 @@ from pyspark.sql.types import StructType
 
 from loadlens import schemas
 
+# Fixed value: what stands in for a missing 95th percentile.
+P95_OVER_MEAN = 1.2
 # Quoted multi-line text is only read whole with these.
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
 
@@ -34,13 +36,23 @@ def read_optional_csv(spark: SparkSession, path: str, schema: StructType) -> Dat
         return spark.createDataFrame([], schema)
 
 
-def read_manifest(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def _starts_with_array(spark: SparkSession, path: str) -> bool:
+    first = spark.read.text(path).filter("trim(value) <> ''").take(1)
+    return bool(first) and first[0].value.lstrip("\ufeff \t").startswith("[")
+
+
+def read_manifest(spark: SparkSession, path: str, layout: str = "auto") -> DataFrame:
     """Requests of a manifest: local_path and label of its entries.
 
-    ``multi_line`` reads one JSON array per file; without it, one JSON object per line, which
-    Spark can split and which :func:`loadlens.sinks.files.write_manifest` writes.
+    ``array`` is one JSON array per file, ``lines`` one JSON object per line, which Spark can split
+    and which :func:`loadlens.sinks.files.write_manifest` writes. ``auto`` looks at the first
+    character. Text that does not fit the layout is an error, never a missing row.
     """
-    rows = spark.read.schema(schemas.MANIFEST).option("multiLine", multi_line).json(path)
+    if layout not in ("auto", "array", "lines"):
+        raise ValueError(f"unknown manifest layout {layout}")
+    whole = layout == "array" or layout == "auto" and _starts_with_array(spark, path)
+    reader = spark.read.schema(schemas.MANIFEST).option("mode", "FAILFAST")
+    rows = reader.option("multiLine", whole).json(path)
     return rows.select(F.col("local_path").alias("file_path"), F.col("label").alias("true_label"))
 
 
@@ -48,13 +60,13 @@ def backfill_summary(summary: DataFrame) -> DataFrame:
     """Add the columns older run summaries lack.
 
     All images count as successes and none as errors; mean latency is the inverse of throughput
-    and the 95th percentile 1.2 times the mean.
+    and the 95th percentile a fixed multiple of the mean.
     """
     fills = {
         "success_count": F.col("num_images"),
         "error_count": F.lit(0).cast("long"),
         "mean_latency_ms": F.lit(1000.0) / F.col("wall_throughput_img_per_sec"),
-        "p95_latency_ms": F.col("mean_latency_ms") * 1.2,
+        "p95_latency_ms": F.col("mean_latency_ms") * P95_OVER_MEAN,
     }
     for name, value in fills.items():
         if name not in summary.columns:

@@ -7,7 +7,7 @@ from pyspark.sql.types import StructType
 
 from loadlens.operators.decode import decode_requests
 
-# A job sets these before it starts a query: state of keyed operators on disk, and bursts of one
+# What every stream of this package runs with: state of keyed operators on disk, and bursts of one
 # key merged within a task before the shuffle.
 STREAM_OPTIONS = {
     "spark.sql.streaming.stateStore.providerClass": (
@@ -17,6 +17,16 @@ STREAM_OPTIONS = {
 }
 
 
+def prepare_session(spark: SparkSession) -> None:
+    """Set ``STREAM_OPTIONS`` for the queries the session starts from now on."""
+    for name, value in STREAM_OPTIONS.items():
+        spark.conf.set(name, value)
+
+
+def is_prepared(spark: SparkSession) -> bool:
+    return all(spark.conf.get(k, None) == v for k, v in STREAM_OPTIONS.items())
+
+
 def stream_parquet(
     spark: SparkSession,
     folder: str,

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadlens.functions.numbers import ratio, succeeded
+from loadlens.streaming.requests import is_prepared
 
 
 def _figures(latency: str, percentile: float | None) -> list[Column]:
@@ -54,9 +55,15 @@ def session_metrics(
     ts: str = "ingest_ts",
     latency: str = "inference_time_ms",
 ) -> DataFrame:
-    """The same figures per burst of one key, bursts being separated by ``gap``."""
+    """The same figures per burst of one key, bursts being separated by ``gap``.
+
+    On a stream the session must be prepared (:func:`prepare_session`), so that a task merges the
+    rows of a hot key into bursts before it sends them on.
+    """
     if not by:
         raise ValueError("a session needs a key")
+    if pred.isStreaming and not is_prepared(pred.sparkSession):
+        raise RuntimeError("call prepare_session first: a hot key would gather all its rows")
     out = pred.groupBy(F.session_window(ts, gap).alias("_w"), *by).agg(*_figures(latency, None))
     names = [c for c in out.columns if c not in ("_w", *by)]
     return out.select(

@@ -9,6 +9,7 @@ import glob
 import math
 import os
 import sys
+import tempfile
 import time
 from datetime import datetime
 from decimal import Decimal
@@ -69,7 +70,7 @@ def differences(spark_df, con, sql: str, limit: int = 3) -> list[str]:
     return out
 
 
-def session(cores: int = 8):
+def session(cores: int = 4):
     from pyspark.sql import SparkSession
 
     spark = (
@@ -79,6 +80,8 @@ def session(cores: int = 8):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="loadlens-test-"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

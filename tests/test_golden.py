@@ -32,14 +32,14 @@ DRAIN = [
 ]
 
 
-@pytest.mark.parametrize("options", [{}, {"small_rows": 0}, {"method": "sketch"}])
+@pytest.mark.parametrize("options", [{}, {"method": "sketch"}])
 def test_latency_of_twenty(spark, options):
     pred = preds(spark, [pred_row(i, ms) for i, ms in enumerate(TWENTY)])
     got = rows(metrics.latency_stats(pred, **options))
     assert got == [(1614.8, 398.66, 4020.2, 589.37, 3378.27, 4020.2)]
 
 
-@pytest.mark.parametrize("options", [{}, {"small_rows": 0}, {"method": "sketch"}])
+@pytest.mark.parametrize("options", [{}, {"method": "sketch"}])
 def test_latency_of_five(spark, options):
     pred = preds(spark, [pred_row(i, ms) for i, ms in enumerate(FIVE)])
     got = rows(metrics.latency_stats(pred, **options))

@@ -14,7 +14,7 @@ def test_errors_do_not_count_as_latency(spark):
     assert share == [("Error", 1, 9.09), ("Success", 10, 90.91)]
 
 
-@pytest.mark.parametrize("options", [{}, {"small_rows": 0}, {"method": "sketch"}])
+@pytest.mark.parametrize("options", [{}, {"method": "sketch"}])
 def test_all_failed_run_gives_nulls(spark, options):
     pred = preds(spark, [pred_row(i, 0.0, "Model load failed: x") for i in range(5)])
     assert rows(metrics.latency_stats(pred, **options)) == [(None,) * 6]
@@ -37,9 +37,8 @@ def test_zero_time_gives_no_rate(spark):
 
 def test_null_group_is_a_group(spark):
     data = [pred_row(1, label="A"), pred_row(2, label=None), pred_row(4, label=None)]
-    for options in ({}, {"small_rows": 0}):
-        got = rows(metrics.latency_stats(preds(spark, data), by=["true_label"], **options), "true_label")
-        assert [(r[0], r[1], r[4]) for r in got] == [(None, 3.0, 2.0), ("A", 1.0, 1.0)]
+    got = rows(metrics.latency_stats(preds(spark, data), by=["true_label"]), "true_label")
+    assert [(r[0], r[1], r[4]) for r in got] == [(None, 3.0, 2.0), ("A", 1.0, 1.0)]
     by_run = rows(metrics.share(preds(spark, data), F.col("true_label"), "l", ["run_label"]), "l")
     assert by_run == [("run_001", None, 2, 66.67), ("run_001", "A", 1, 33.33)]
 
@@ -90,16 +89,34 @@ def test_bundle_equals_single_tables(spark):
     data = [pred_row(i, run=f"run_{i % 3}", wait=i, text="x" * i) for i in range(60)]
     data += [pred_row(100 + i, 1.0, "E: e", run="run_1") for i in range(5)]
     pred = preds(spark, data)
-    for options in ({}, {"small_rows": 0}):
-        got = {
-            (r.run_label, r.metric_table, r.metric): r.value
-            for r in runs.metric_bundle(pred, **options).collect()
-        }
-        for r in metrics.latency_stats(pred, "end_to_end_ms", ["run_label"]).collect():
-            for name in ("mean", "min", "max", "p50", "p95", "p99"):
-                assert got[(r.run_label, "end_to_end_stats", name)] == r[f"{name}_ms"]
-        assert got[("run_1", "error_statistics", "error_count")] == 5
-        assert got[("run_0", "throughput_metrics", "total_requests")] == 20
+    got = {
+        (r.run_label, r.metric_table, r.metric): r.value for r in runs.metric_bundle(pred).collect()
+    }
+    for r in metrics.latency_stats(pred, "end_to_end_ms", ["run_label"]).collect():
+        for name in ("mean", "min", "max", "p50", "p95", "p99"):
+            assert got[(r.run_label, "end_to_end_stats", name)] == r[f"{name}_ms"]
+    assert got[("run_1", "error_statistics", "error_count")] == 5
+    assert got[("run_0", "throughput_metrics", "total_requests")] == 20
+
+
+def test_tables_of_one_pass_equal_single_tables(spark):
+    data = [pred_row(i, run=f"run_{i % 3}", wait=i, text="x" * i) for i in range(60)]
+    data += [pred_row(100 + i, 1.0, "E: e", run="run_1") for i in range(5)]
+    pred = preds(spark, data).withColumn("dequeue_ts", F.lit(MOMENT))
+    pred = pred.withColumn("timestamp", F.expr("dequeue_ts + INTERVAL 2 SECONDS"))
+    made = runs.load_test_tables(pred)
+    by = ["run_label"]
+    single = {
+        "inference_latency_stats": metrics.latency_stats(pred, by=by),
+        "queue_wait_stats": metrics.latency_stats(pred, "queue_wait_ms", by),
+        "throughput_metrics": metrics.throughput(pred, by),
+        "error_statistics": metrics.status_share(pred, by),
+        "report_length_statistics": metrics.text_length_stats(pred, by=by),
+        "load_test_summary": runs.run_report(pred),
+    }
+    for name, table in single.items():
+        assert made[name].columns == table.columns, name
+        assert rows(made[name], *table.columns[:2]) == rows(table, *table.columns[:2]), name
 
 
 def timed(spark, offsets, run="r"):
@@ -117,10 +134,22 @@ def test_timeline(spark):
     assert {r[-2] for r in got} == {1.0}
 
 
-@pytest.mark.parametrize("small_rows", [0, 1000])
-def test_short_runs_are_numbered(spark, small_rows):
+def test_runs_without_times_keep_their_rows(spark):
+    blank = timed(spark, [0.0, 9.0], "blank").withColumn("timestamp", F.lit(None).cast("timestamp"))
+    mixed = timed(spark, [0.0, 9.0, 3.0], "mixed").withColumn(
+        "timestamp", F.when(F.col("request_id") != "k002", F.col("timestamp"))
+    )
+    got = timeline.timeline_adaptive(blank.unionByName(mixed)).collect()
+    found = {(r.run_label, r.request_id): r.x for r in got}
+    assert found == {
+        ("blank", "k000"): 1.0, ("blank", "k001"): 2.0,
+        ("mixed", "k000"): 0.0, ("mixed", "k001"): 9.0, ("mixed", "k002"): None,
+    }
+
+
+def test_short_runs_are_numbered(spark):
     df = timed(spark, [0.3, 0.1, 0.2], "short").unionByName(timed(spark, [0.0, 5.0], "long"))
-    out = timeline.timeline_adaptive(df, small_rows=small_rows)
+    out = timeline.timeline_adaptive(df)
     got = {(r.run_label, r.request_id): (r.x_label, r.x) for r in out.collect()}
     assert got[("short", "k000")] == ("Image Number", 3.0)
     assert got[("short", "k001")] == ("Image Number", 1.0)

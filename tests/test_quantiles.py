@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from loadlens.operators.quantiles import exact_percentiles, wide
+from loadlens.operators.quantiles import exact_percentiles, grouped_with_percentiles, wide
 
 PROBS = [0.5, 0.95, 0.99]
 
@@ -66,6 +66,33 @@ def test_any_values(spark, data):
     check(spark, data)
 
 
+def test_two_humps(spark):
+    """The bracket of the median spans the gap, so one cell holds a hump and is cut again."""
+    rnd = random.Random(5)
+    data = [("h", rnd.gauss(0, 1)) for _ in range(3000)]
+    data += [("h", rnd.gauss(1e9, 1)) for _ in range(3000)] + [("c", 7.0)] * 2000
+    check(spark, data, accuracy=50, cell_rows=40)
+    check(spark, data, accuracy=50, cells=3, cell_rows=5)
+
+
+def test_rank_is_that_of_whole_numbers(spark):
+    df = spark.range(1, 101).select(F.col("id").cast("double").alias("v"))
+    probs = [0.07, 0.14, 0.28, 0.55, 0.56]
+    got = {r.p: r.value for r in exact_percentiles(df, {"v": F.col("v")}, probs).collect()}
+    assert got == {0.07: 7.0, 0.14: 14.0, 0.28: 28.0, 0.55: 55.0, 0.56: 56.0}
+
+
+def test_scans(spark, tmp_path):
+    """The aggregates, the cells and the values: three reads of the input, one of them done."""
+    spark.range(5000).selectExpr("id % 3 AS g", "rand(1) AS v").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    names = {("v", p): f"p{i}" for i, p in enumerate(PROBS)}
+    out = grouped_with_percentiles(df, ["g"], [F.avg("v").alias("m")], {"v": F.col("v")}, names)
+    assert out.count() == 3
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") <= 3
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
 def test_several_columns_without_groups(spark):
     df = spark.range(1, 1001).select(F.col("id").cast("double").alias("a"), (-F.col("id")).alias("b"))
     long = exact_percentiles(df, {"a": F.col("a"), "b": F.col("b")}, PROBS)

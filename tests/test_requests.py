@@ -69,6 +69,12 @@ def test_earliest_of_an_id(spark):
         (TS + "Z", MOMENT),
         ("2025-12-10T06:35:45.410891+02:00", MOMENT),
         (f"  {TS} ", MOMENT),
+        (TS.replace("T", " ") + " UTC", MOMENT),
+        ("2025-12-10", datetime(2025, 12, 10)),
+        ("12:30", None),
+        ("T07:00:00", None),
+        ("2025", None),
+        ("2025-12", None),
         ("garbage", None),
         ("", None),
         (None, None),
@@ -76,7 +82,31 @@ def test_earliest_of_an_id(spark):
 )
 def test_iso(spark, text, want):
     df = spark.createDataFrame([(text,)], "t string")
-    assert df.select(times.parse_iso("t")).first()[0] == want
+    parsed = df.select(F.unix_micros(times.parse_iso("t")))
+    want = want and round((want - datetime(1970, 1, 1)).total_seconds() * 1_000_000)
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert df.select(F.unix_micros(times.parse_iso("t"))).first()[0] == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert parsed.first()[0] == want
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_texts_are_utc_in_any_zone(spark, zone):
+    # Half past two does not exist on that day in New York.
+    df = spark.sql("SELECT timestamp_micros(1741487400000001L) AS t, TIMESTAMP_NTZ'2025-03-09 02:30:00.000001' AS n")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        got = df.select(
+            times.iso_text("t"), times.long_date("t"), times.run_stamp("t"),
+            F.unix_micros(times.from_ntz("n")),
+        ).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    want = ("2025-03-09T02:30:00.000001", "March 09, 2025", "20250309_023000", 1741487400000001)
+    assert tuple(got) == want
 
 
 def one(spark, column):
@@ -90,7 +120,8 @@ def one(spark, column):
         ("file:/data/a.png", "/data/a.png"),
         ("file:///data//a.png", "/data/a.png"),
         (" /data/a.png ", "/data/a.png"),
-        ("s3a://b/k//x.png", "s3://b/k/x.png"),
+        ("s3a://b/k//x.png", "s3://b/k//x.png"),
+        ("hdfs://nn/a//b", "hdfs://nn/a//b"),
         ("s3n://b/k", "s3://b/k"),
         ("hdfs://nn:8020/a", "hdfs://nn:8020/a"),
     ],
@@ -175,7 +206,7 @@ def test_assets_join_across_spellings(spark, tree, limit):
     p = str(tree / "train" / "NORMAL" / "name0.png")
     wanted = requests_for(spark, [p, f"file://{p}", "/nowhere.png", p])
     stored = files.read_assets(spark, str(tree))
-    got = assets.join_assets(wanted, stored, max_broadcast_rows=limit)
+    got = assets.join_assets(wanted, stored, max_broadcast_bytes=limit)
     assert [r.request_id for r in got.orderBy("request_id").collect()] == ["r0", "r1", "r3"]
     assert {bytes(r.content) for r in got.collect()} == {b"x"}
     listing = files.list_assets(spark, str(tree))
@@ -198,6 +229,53 @@ def test_fetch_reads_in_the_task(spark, tree):
     assert got.count() == 25
     assert got.agg(F.sum(F.octet_length("content"))).first()[0] == 6 * 7
     assert got.filter("content IS NULL").count() == 1
+    assert got.filter("fetch_error = 'not found'").count() == 1
+
+
+def test_fetch_takes_paths_as_they_are(spark, tmp_path):
+    names = ["a b.png", "c%20d.png", "e#f.png", "g?h.png", "é.png"]
+    for name in names:
+        (tmp_path / name).write_bytes(name.encode())
+    listed = files.list_assets(spark, str(tmp_path))
+    got = assets.fetch_content(listed, "file_path").collect()
+    assert {bytes(r.content).decode() for r in got} == set(names)
+    assert {bytes(r.content).decode() for r in got if bytes(r.content).decode() == r.image_id} == set(names)
+    missing = spark.createDataFrame([("r", None)], "request_id string, asset_path string")
+    row = assets.fetch_content(missing).first()
+    assert (row.content, row.fetch_error) == (None, "no path")
+
+
+def test_an_unreadable_file_fails_the_task(spark, tmp_path):
+    folder = spark.createDataFrame([("r", str(tmp_path))], "request_id string, asset_path string")
+    with pytest.raises(Exception, match="(?i)directory|not a regular file"):
+        assets.fetch_content(folder).collect()
+
+
+def test_stores_are_opened_once_and_by_their_scheme(monkeypatch):
+    from pyarrow import fs
+
+    opened = []
+
+    class Store:
+        def open_input_stream(self, inner):
+            opened.append(inner)
+
+    seen = []
+    monkeypatch.setattr(fs.FileSystem, "from_uri", lambda uri: seen.append(uri) or (Store(), ""))
+    systems = {}
+    for name in ("s3a://b/x y%20#.png", "s3n://b/k//z", "s3://b/q", "hdfs://nn:8020/a b"):
+        assets._open(systems, name)
+    assert seen == ["s3://b/", "hdfs://nn:8020/"]
+    assert opened == ["b/x y%20#.png", "b/k//z", "b/q", "/a b"]
+
+
+def test_keys_that_differ_by_a_slash_stay_apart(spark):
+    wanted = requests_for(spark, ["s3a://b/a//x.png", "s3://b/a/x.png"])
+    listing = spark.createDataFrame([("s3a://b/a/x.png",), ("s3a://b/a//x.png",)], "file_path string")
+    got = {r.file_path: r.asset_path for r in assets.match_assets(wanted, listing).collect()}
+    assert got == {"s3a://b/a//x.png": "s3a://b/a//x.png", "s3://b/a/x.png": "s3a://b/a/x.png"}
+    twice = spark.createDataFrame([("file:/q.png",), ("/q.png",)], "file_path string")
+    assert assets.match_assets(requests_for(spark, ["/q.png"]), twice).count() == 1
 
 
 def test_request_generation(spark):
@@ -221,6 +299,13 @@ def test_dispatch(spark, tree, tmp_path):
     path.write_text('[{"s3_key":"k","s3_uri":"u","local_path":"/p","label":"NORMAL"},\n {"local_path":"/q"}]')
     got = load_requests(spark, SourceSpec(manifest=str(path)))
     assert sorted(rows(got), key=str) == [("/p", "NORMAL"), ("/q", None)]
+    lines = tmp_path / "lines.json"
+    lines.write_text('\n{"local_path":"/p","label":"A"}\n{"local_path":"/q"}\n{"local_path":"/r"}\n')
+    assert load_requests(spark, SourceSpec(manifest=str(lines))).count() == 3
+    assert load_requests(spark, SourceSpec(manifest=str(lines), manifest_layout="lines")).count() == 3
+    lines.write_text('{"local_path":"/p"}\n{"local_pa')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        load_requests(spark, SourceSpec(manifest=str(lines))).collect()
     with pytest.raises(ValueError):
         load_requests(spark, SourceSpec(topic="t"))
     with pytest.raises(ValueError):

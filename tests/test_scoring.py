@@ -66,6 +66,20 @@ def test_wrong_number_of_results_is_an_error(spark):
     assert {r.error_message for r in out.collect()} == {"ValueError: 1 results for 2 rows"}
 
 
+def test_no_result_is_an_error(spark):
+    out = score(table(spark, ["a"]), Scorer(lambda m, p: [None]), ["word"])
+    assert out.first().error_message == "ValueError: no result"
+
+
+def test_only_inputs_reach_the_scorer(spark):
+    def columns(model, part):
+        return [",".join(part.columns)] * len(part)
+
+    df = table(spark, ["a"]).withColumn("wide", F.lit("x" * 1000))
+    out = score(df, Scorer(columns), ["word"], ["wide"]).first()
+    assert out.report_text == "request_id,file_path,true_label,word" and len(out.wide) == 1000
+
+
 def test_time_is_shared_in_a_micro_batch(spark):
     class Clock:
         now = 1_000_000.0
@@ -120,6 +134,14 @@ def test_load_test(spark, tmp_path):
         ("run_001_10reqs", 10, 9),
         ("run_002_25reqs", 25, 24),
     ]
+    for name in ("parquet", "csv", "json"):
+        folder = tmp_path / "out" / ("predictions" if name == "parquet" else f"predictions_{name}")
+        assert folder.is_dir()
+    again = LoadTest(str(tmp_path / "out"), [5], inputs=["word"], formats=[])
+    made = run_load_test(table(spark, words, 3), Scorer(shout, lambda: "", 1), again)
+    assert [r.run_label for r in made["load_test_summary"].collect()] == ["run_001_5reqs"]
+    with pytest.raises(ValueError, match="none of the sizes"):
+        run_load_test(table(spark, words), Scorer(shout), LoadTest(str(tmp_path / "no"), [100]))
     everything = run_load_test(
         table(spark, words), Scorer(shout, lambda: "", 1), LoadTest(str(tmp_path / "all"), inputs=["word"])
     )

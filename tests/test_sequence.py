@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loadlens.operators import sampling
-from loadlens.operators.partitions import partitions_for, spread_for_scoring
+from loadlens.operators.partitions import spread_for_scoring, tasks_for, waves
 from loadlens.operators.sequence import dense_sequence
 from tests.helpers import plan, rows
 
@@ -15,11 +15,10 @@ def hot(spark, n=3000):
     )
 
 
-@pytest.mark.parametrize("small_rows", [0, 10_000])
 @pytest.mark.parametrize("by", [[], ["g"]])
-def test_dense_numbers(spark, small_rows, by):
+def test_dense_numbers(spark, by):
     df = hot(spark)
-    got = dense_sequence(df, ["t", "id"], by, start=0, small_rows=small_rows).collect()
+    got = dense_sequence(df, ["t", "id"], by, start=0).collect()
     groups = {}
     for r in got:
         groups.setdefault(tuple(r[c] for c in by), []).append((r.t, r.id, r.seq))
@@ -28,8 +27,8 @@ def test_dense_numbers(spark, small_rows, by):
         assert [m[2] for m in sorted(members)] == list(range(len(members)))
 
 
-def test_large_numbering_has_no_group_window_over_rows(spark):
-    out = dense_sequence(hot(spark), ["t", "id"], ["g"], small_rows=0)
+def test_numbering_has_no_group_window_over_rows(spark):
+    out = dense_sequence(hot(spark), ["t", "id"], ["g"])
     assert "row_number" not in plan(out)
 
 
@@ -44,16 +43,21 @@ def test_balanced_sample(spark, k):
     assert {(r.g, r.t, r.id) for r in got} == want and len(got) == len(want)
 
 
-def test_small_sample_is_cut_before_the_shuffle(spark):
-    text = plan(sampling.balanced_sample(hot(spark), 5, "g", ["t", "id"]))
-    assert "WindowGroupLimit" in text and "Partial" in text
+def test_nothing_is_kept_after_numbers_and_samples(spark):
+    assert sampling.first_n(hot(spark), 7, ["t", "id"]).count() == 7
+    assert dense_sequence(hot(spark), ["t", "id"], ["g"]).count() == 3000
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
 
 
-def test_ladder_sizes():
-    assert sampling.ladder_sizes([100, 20, 50], 60) == [20, 50]
-    assert sampling.ladder_sizes([100], 60) == [20]
-    assert sampling.ladder_sizes([100], 7) == [7]
-    assert sampling.ladder_sizes([100], 0) == []
+def test_runnable_sizes():
+    assert sampling.runnable_sizes([100, 20, 50, 20, 0], 60) == [20, 50]
+    assert sampling.runnable_sizes([100], 60, otherwise=20) == [20]
+    assert sampling.runnable_sizes([100], 7, otherwise=20) == [7]
+    for rows_there in (60, 0):
+        with pytest.raises(ValueError, match="none of the sizes"):
+            sampling.runnable_sizes([100], rows_there)
+    with pytest.raises(ValueError, match="none of the sizes"):
+        sampling.runnable_sizes([100], 0, otherwise=20)
 
 
 def test_size_ladder(spark):
@@ -63,7 +67,10 @@ def test_size_ladder(spark):
     assert counts == [("run_001_20reqs", 20, 20), ("run_002_50reqs", 50, 50)]
     first = got.filter("run_size = 20").agg(F.max("request_id")).first()[0]
     assert first == "req_00000019"
-    assert sampling.size_ladder(df.limit(0), [5], ["request_id"]).count() == 0
+    with pytest.raises(ValueError):
+        sampling.size_ladder(df.limit(0), [5], ["request_id"])
+    text = plan(got)
+    assert "TakeOrdered" not in text
 
 
 def test_two_class_sample(spark):
@@ -72,17 +79,17 @@ def test_two_class_sample(spark):
     assert rows(got, "l", "p") == [("A", "p0"), ("A", "p1"), ("A", "p2"), ("B", "q")]
 
 
-@pytest.mark.parametrize("n,want", [(0, 1), (-1, 1), (5, 1), (200, 1), (201, 2), (500, 3), (1000, 4), (9999, 4)])
-def test_partitions(n, want):
-    assert partitions_for(n, 4) == want
+def test_waves_keep_every_slot_busy():
+    assert [waves(n, 4) for n in (0, 1, 3, 100, 800, 801, 10_000)] == [1, 1, 3, 4, 4, 8, 52]
+    for n in (5, 799, 12_345, 10**9):
+        tasks = waves(n, 16)
+        assert -(-n // tasks) <= 200 and (tasks % 16 == 0 or tasks == n)
 
 
-def test_partitions_follow_the_rate():
-    assert partitions_for(1000, 100, rate=40.0) == 20
-    assert partitions_for(1000, 100, rate=1000.0) == 20
-    assert partitions_for(1000, 100, rate=5.0) == 3
-    assert partitions_for(1000, 100, rate=None) == 5
+def test_tasks_for(spark):
+    df = spark.createDataFrame([(0,), (200,), (201,), (10**9,)], "n long")
+    assert [r[0] for r in df.select(tasks_for(F.col("n"), 64)).collect()] == [1, 1, 2, 64]
 
 
 def test_spread(spark):
-    assert spread_for_scoring(spark.range(500), 500, 4).rdd.getNumPartitions() == 3
+    assert spread_for_scoring(spark.range(500), 3).rdd.getNumPartitions() == 3

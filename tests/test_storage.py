@@ -1,7 +1,7 @@
 import pytest
 
 from loadlens import schemas
-from loadlens.scratch import materialize, scratch_path, scratch_root
+from loadlens.scratch import checkpointed, scratch_path, scratch_root
 from loadlens.sinks import files as sinks
 from loadlens.sinks import messages
 from loadlens.sources import tables
@@ -74,16 +74,25 @@ def test_scratch(spark):
     root = scratch_root(spark)
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
     assert scratch_path(spark, "x").startswith(root.rstrip("/"))
-    assert materialize(spark.range(5), "five").count() == 5
+    assert checkpointed(spark.range(5)).count() == 5
 
 
-def test_cluster_without_shared_folder_is_refused():
+def test_second_write_without_others_replaces_the_table(spark, tmp_path):
+    df = spark.range(4).selectExpr("id", "id % 2 AS part")
+    sinks.write_parquet(df, str(tmp_path / "t"), ["part"])
+    sinks.write_parquet(df.filter("part = 1"), str(tmp_path / "t"), ["part"])
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 4
+    sinks.write_parquet(df.filter("part = 1"), str(tmp_path / "t"), ["part"], keep_others=False)
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 2
+
+
+@pytest.mark.parametrize("master", ["spark://host:7077", "local[8]"])
+def test_a_session_without_shared_folder_is_refused(master):
     class Conf:
         def get(self, key, default):
             return default
 
     class Context:
-        master = "spark://host:7077"
 
         def getCheckpointDir(self):
             return None

@@ -2,6 +2,7 @@
 
 from datetime import timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from loadlens.operators import decode
@@ -57,6 +58,7 @@ def test_late_rows_leave(spark, tmp_path):
 def test_sessions(spark, tmp_path):
     data = [row(i, m) for i, m in enumerate([0, 3, 6, 30, 31, 200])]
     path = folder(spark, tmp_path, [data])
+    sreq.prepare_session(spark)
     live = stream(spark, path).withWatermark("ingest_ts", "1 minute")
     got = rows(sinks.run_to_table(windows.session_metrics(live, "5 minutes", ["dev"]), "s"), "session_start")
     assert [r[3] for r in got] == [3, 2]
@@ -76,9 +78,11 @@ def test_options_are_known_to_spark(spark, tmp_path):
     path = folder(spark, tmp_path, [[row(1, 0), row(1, 1)], [row(2, 30)]])
     before = {k: spark.conf.get(k) for k in sreq.STREAM_OPTIONS}
     try:
-        for name, value in sreq.STREAM_OPTIONS.items():
-            spark.conf.set(name, value)
+        spark.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "false")
         live = stream(spark, path).withWatermark("ingest_ts", "1 minute")
+        with pytest.raises(RuntimeError, match="prepare_session"):
+            windows.session_metrics(live, "5 minutes", ["dev"])
+        sreq.prepare_session(spark)
         out = sinks.run_to_table(windows.session_metrics(live, "5 minutes", ["dev"]), "o")
         assert [r[3] for r in rows(out)] == [2]
     finally:
