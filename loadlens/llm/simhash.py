@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadlens.llm.common import cut, text_of
-from loadlens.llm.components import connected_components
+from loadlens.llm.components import connected_components, packed
 
 SEED = 42
 #: Shingles counted at a time; bounds a task's memory on very long texts.
@@ -114,7 +114,7 @@ def simhash_dedup(
     prints = cut(fingerprints(docs, id_col, text_col, shingle=shingle))
     points = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = connected_components(ball_links(points.select("fp")))
-    linked = points.join(roots, points["fp"] == roots["node"]).select("fp", "least", "root")
+    linked, _ = packed(points.join(roots, F.col("fp") == F.col("node")).select("fp", "least", "root"))
     smallest = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     named = linked.select("fp", "root").join(smallest, "root").select("fp", "component_id")
     named = points.join(named, "fp", "left").select(
