@@ -18,21 +18,24 @@ from pyspark.sql.pandas.types import to_arrow_type
 from loadlens.llm.common import text_of
 
 #: Texts of so many characters form one batch, whose words are encoded once.
-BATCH = 12 << 20
+BATCH = 32 << 20
 #: Words of more bytes are merged with a heap: a fold costs the square of the length.
 LONGEST = 64
+_REST = LONGEST + 2  # no state of the fold is longer
 
 
 class Vocabulary(NamedTuple):
     """Token ids and the merges that make them, as arrays that Spark keeps as literals.
 
-    ``place[a] + b`` is the slot of the pair of tokens a, b; the slot holds ``a << 16 | id`` if the
-    pair merges into ``id``, which is also its rank. Rows of few merges fill the gaps of others.
+    ``place[a] + b`` is the slot of the pair of tokens a, b: ``owner`` of the slot is a if the pair
+    merges, and ``made`` is the id it merges into, which is also its rank. Rows of few merges fill
+    the gaps of others.
     """
 
     pieces: list[bytes]
     place: np.ndarray
-    slots: np.ndarray
+    owner: np.ndarray
+    made: np.ndarray
     merges: dict[tuple[int, int], int]
 
 
@@ -64,9 +67,11 @@ def vocabulary(path: str) -> Vocabulary:
                 break
         else:
             raise ValueError("the merges do not fit the table")
-        slots[place[left] + offsets] = [left << 16 | merges[left, int(r)] for r in offsets]
+        slots[place[left] + offsets] = [left << 32 | merges[left, int(r)] for r in offsets]
     room = int(place.max()) + len(pieces)  # no pair of tokens points beyond the end
-    return Vocabulary(pieces, place, slots[:room], merges)
+    slots = slots[:room]
+    owner = np.where(slots > 0, slots >> 32, -1)
+    return Vocabulary(pieces, place, owner, slots & 0xFFFFFFFF, merges)
 
 
 def _merged(ids: list[int], merges: dict[tuple[int, int], int]) -> list[int]:
@@ -90,9 +95,10 @@ def _merged(ids: list[int], merges: dict[tuple[int, int], int]) -> list[int]:
     return [x for x in ids if x >= 0]
 
 
-def _longs(values) -> Column:
-    """An array literal; Catalyst folds the cast and the split once."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+def _ints(values) -> Column:
+    """An array literal, null for an empty text; Catalyst folds the cast and the split once."""
+    split = F.split(F.lit(",".join(map(str, values))), ",")
+    return F.transform(split, lambda x: F.when(x != "", x).cast("int"))
 
 
 def _let(value: Column, body) -> Column:
@@ -100,46 +106,73 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def fold_word(word: Column, byte_ids: Column, place: Column, slots: Column) -> Column:
+class Tables(NamedTuple):
+    """The literal tables, each bound to a variable of the expression."""
+
+    byte_ids: Column  # token of a byte
+    pairs: Column  # rank of two bytes, at 256 * first + second
+    place: Column
+    owner: Column
+    made: Column
+
+
+def fold_word(word: Column, tables: Tables) -> Column:
     """The token ids of a word given as an array of byte values.
 
-    The word's bytes are their tokens at first. Each step of the fold looks up the ranks of all
-    neighbours, joins the leftmost pair of the lowest rank, and leaves the word alone once nothing
-    merges. A word of n bytes merges at most n - 1 times, so its own tail counts the steps.
+    The state is the tokens, at first one for each byte, with an edge of -1 at both ends, and the
+    ranks of all neighbours, null where a pair does not merge. Each step joins the leftmost pair
+    of the lowest rank and looks up the two pairs that are new; a word in which nothing merges
+    any more stays as it is. A word of n bytes merges at most n - 1 times, so its own tail counts
+    the steps.
     """
 
     def rank(a: Column, b: Column) -> Column:
-        return _let(
-            F.get(slots, (F.get(place, a.cast("int")) + b).cast("int")),
-            lambda slot: F.when(F.shiftright(slot, 16) == a, slot.bitwiseAND(F.lit(0xFFFF))),
-        )
-
-    def step(ids: Column, _: Column) -> Column:
-        def joined(ranks: Column) -> Column:
-            lowest = F.array_min(ranks)
-            at = F.array_position(ranks, lowest).cast("int")
-            return F.when(lowest.isNull(), ids).otherwise(
-                F.concat(
-                    F.slice(ids, F.lit(1), at - 1),
-                    F.array(lowest),
-                    F.slice(ids, at + 2, F.lit(LONGEST)),
-                )
+        slot = F.get(tables.place, a) + b
+        return F.when(F.get(tables.owner, slot) == a, F.get(tables.made, slot))
+
+    def state(ids: Column, ranks: Column) -> Column:
+        return F.struct(ids.alias("ids"), ranks.alias("ranks"))
+
+    def step(now: Column, _: Column) -> Column:
+        ids, ranks = now["ids"], now["ranks"]
+
+        def joined(at: Column) -> Column:
+            lowest = F.get(ranks, at - 1)
+            new = F.array(rank(F.get(ids, at - 2), lowest), rank(lowest, F.get(ids, at + 1)))
+            rest = F.lit(_REST)
+            return state(
+                F.concat(F.slice(ids, F.lit(1), at - 1), F.array(lowest), F.slice(ids, at + 2, rest)),
+                F.concat(F.slice(ranks, F.lit(1), at - 2), new, F.slice(ranks, at + 2, rest)),
             )
 
-        pairs = F.zip_with(ids, F.slice(ids, 2, LONGEST), rank)
-        return F.when(F.size(ids) < 2, ids).otherwise(_let(pairs, joined))
+        place = F.array_position(ranks, F.array_min(ranks)).cast("int")
+        return _let(place, lambda at: F.when(at.isNull(), now).otherwise(joined(at)))
 
-    start = F.transform(word, lambda b: F.get(byte_ids, b.cast("int")))
-    return F.aggregate(F.slice(word, 2, LONGEST), start, step)
+    edge, no_rank = F.array(F.lit(-1)), F.array(F.lit(None).cast("int"))
+    first = F.transform(word, lambda b: F.get(tables.byte_ids, b))
+    # With null after the last byte its pair is null, which is the rank of the edge.
+    ranks = F.zip_with(word, F.slice(word, 2, _REST), lambda a, b: F.get(tables.pairs, a * 256 + b))
+    start = state(F.concat(edge, first, edge), F.concat(no_rank, ranks))
+    ids = F.aggregate(F.slice(word, 2, _REST), start, step, lambda end: end["ids"])
+    return F.slice(ids, F.lit(2), F.size(ids) - 2)
 
 
-# What follows does the same as the general pattern on texts of these characters, several times faster.
-_PLAIN = re.compile(r"[\t\n\x0b\x0c\r -~\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-ɏ]*")
+# What follows does the same as the general pattern on texts of these characters, several times
+# faster: Latin-1 without controls that only one of the two takes for white space, and without the
+# numerals among its letters.
+_PLAIN = bytes({9, 10, 11, 12, 13, *range(32, 127), *range(160, 256)} - {*b"\xb2\xb3\xb9\xbc\xbd\xbe"})
 _PLAIN_WORDS = re.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
 )
 
 
+def _is_plain(text: str) -> bool:
+    try:
+        return not text.encode("latin-1").translate(None, _PLAIN)
+    except UnicodeEncodeError:
+        return False
+
+
 class _Words(dict):
     """Numbers words in the order in which they are first seen."""
 
@@ -167,9 +200,9 @@ def _segmenter(schema: pa.Schema, pattern: str, gpt: bool, path: str):
             [pa.array(ids, schema.field("docs").type.value_type[0].type), _lists(rows, pa.int32())],
             fields=list(schema.field("docs").type.value_type),
         )
-        spelled = _lists([np.frombuffer(w, np.uint8) for w in short], pa.int16())
+        spelled = _lists([np.frombuffer(w, np.uint8) for w in short], pa.int32())
         made = pa.StructArray.from_arrays(
-            [pa.array(list(long), pa.int32()), pa.array(list(long.values()), pa.list_(pa.int64()))],
+            [pa.array(list(long), pa.int32()), pa.array(list(long.values()), pa.list_(pa.int32()))],
             fields=list(schema.field("long").type.value_type),
         )
         columns = [pa.ListArray.from_arrays([0, len(x)], x) for x in (docs, spelled, made)]
@@ -182,7 +215,7 @@ def _segmenter(schema: pa.Schema, pattern: str, gpt: bool, path: str):
         for b in batches:
             for i, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 text = text.as_py()
-                fast = gpt and _PLAIN.fullmatch(text)
+                fast = gpt and _is_plain(text)
                 found = (_PLAIN_WORDS if fast else general).findall(text)
                 rows.append(np.fromiter(map(words.__getitem__, found), np.int32, len(found)))
                 ids.append(i)
@@ -218,7 +251,7 @@ def encode(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """``doc_id, ids`` (array of long) of every row: the byte-level BPE of its whole text.
+    """``doc_id, ids`` (array of int) of every row: the byte-level BPE of its whole text.
 
     Each match of ``pattern`` is encoded by itself, as the tiktoken library does without special
     tokens. Within a task, texts are gathered to batches of ``BATCH`` characters (one longer text
@@ -236,19 +269,13 @@ def encode(
     known = vocabulary(path)
     base = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     shape = (
-        f"docs array<struct<doc_id: {kind}, words: array<int>>>, words array<array<smallint>>, "
-        "long array<struct<at: int, ids: array<bigint>>>"
+        f"docs array<struct<doc_id: {kind}, words: array<int>>>, words array<array<int>>, "
+        "long array<struct<at: int, ids: array<int>>>"
     )
     made = docs.sparkSession.createDataFrame([], shape).schema
     arrow = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in made])
     batches = base.mapInArrow(_segmenter(arrow, pattern, pattern == GPT_PATTERN, path), made)
 
-    def encoded(tables: Column) -> Column:
-        return F.transform(
-            F.col("words"),
-            lambda w: fold_word(w, tables["bytes"], tables["place"], tables["slots"]),
-        )
-
     def with_long(ids: Column) -> Column:
         placed = F.map_from_entries(F.col("long"))
         whole = F.transform(ids, lambda x, i: F.coalesce(F.element_at(placed, i), x))
@@ -263,12 +290,17 @@ def encode(
             ),
         )
 
-    tables = F.struct(
-        _longs(_byte_ids(known)).alias("bytes"),
-        _longs(known.place).alias("place"),
-        _longs(known.slots).alias("slots"),
-    )
-    whole = _let(tables, lambda t: _let(_let(encoded(t), with_long), texts))
+    byte_ids = _byte_ids(known)
+    pairs = [known.merges.get((a, b), "") for a in byte_ids for b in byte_ids]
+    values = [byte_ids, pairs, known.place, known.owner, known.made]
+
+    def bound(rest: list, *found: Column) -> Column:
+        if rest:
+            return _let(_ints(rest[0]), lambda t: bound(rest[1:], *found, t))
+        words = F.transform(F.col("words"), lambda w: fold_word(w, Tables(*found)))
+        return _let(_let(words, with_long), texts)
+
+    whole = bound(values)
     return batches.select(F.inline(whole))
 
 
@@ -277,7 +309,7 @@ def decode(ids: Column, path: str) -> Column:
     pieces = F.split(F.lit(",".join(p.hex() for p in vocabulary(path).pieces)), ",")
     return _let(
         pieces,
-        lambda p: F.unhex(F.array_join(F.transform(ids, lambda i: F.get(p, i.cast("int"))), "")),
+        lambda p: F.unhex(F.array_join(F.transform(ids, lambda i: F.get(p, i)), "")),
     )
 
 
@@ -286,5 +318,5 @@ def little_endian(ids: Column, most: int = 1 << 16) -> Column:
     spelled = F.split(F.lit(",".join(i.to_bytes(4, "little").hex() for i in range(most))), ",")
     return _let(
         spelled,
-        lambda p: F.unhex(F.array_join(F.transform(ids, lambda i: F.get(p, i.cast("int"))), "")),
+        lambda p: F.unhex(F.array_join(F.transform(ids, lambda i: F.get(p, i)), "")),
     )
