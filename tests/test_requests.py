@@ -261,7 +261,14 @@ def test_stores_are_opened_once_and_by_their_scheme(monkeypatch):
             opened.append(inner)
 
     seen = []
-    monkeypatch.setattr(fs.FileSystem, "from_uri", lambda uri: seen.append(uri) or (Store(), ""))
+
+    class Systems:
+        @staticmethod
+        def from_uri(uri):
+            seen.append(uri)
+            return Store(), ""
+
+    monkeypatch.setattr(fs, "FileSystem", Systems)
     systems = {}
     for name in ("s3a://b/x y%20#.png", "s3n://b/k//z", "s3://b/q", "hdfs://nn:8020/a b"):
         assets._open(systems, name)
