@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,14 +11,18 @@ _CONF = "spark.checkpoint.dir"
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the session names it; without a name, an error.
+    """The folder every executor can reach, as the session names it.
 
-    A folder of the driver's machine would be useless to the others, so none is made up.
+    Where none is named, a master in this process gets a temporary one. On a cluster that is an
+    error: a folder of the driver's machine would be useless to the others.
     """
     made = spark.sparkContext.getCheckpointDir()
     named = spark.conf.get(_CONF, None) or made
     if not named:
-        raise RuntimeError(f"set {_CONF} to a folder shared by all executors")
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"set {_CONF} to a folder shared by all executors")
+        named = tempfile.mkdtemp(prefix="loadlens-")
     if not made:
         spark.sparkContext.setCheckpointDir(named)
     return named

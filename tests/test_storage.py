@@ -86,13 +86,14 @@ def test_second_write_without_others_replaces_the_table(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t")).count() == 2
 
 
-@pytest.mark.parametrize("master", ["spark://host:7077", "local[8]"])
-def test_a_session_without_shared_folder_is_refused(master):
+@pytest.mark.parametrize("address", ["spark://host:7077", "local-cluster[2,1,1024]", "yarn"])
+def test_a_cluster_without_shared_folder_is_refused(address):
     class Conf:
         def get(self, key, default):
             return default
 
     class Context:
+        master = address
 
         def getCheckpointDir(self):
             return None
