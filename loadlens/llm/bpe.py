@@ -1,4 +1,10 @@
-"""Byte-level BPE: ranked merges folded over the bytes of distinct words by higher-order functions."""
+"""Byte-level BPE: ranked merges folded over the bytes of distinct words, and decoding by pieces.
+
+The fold exists twice, with equal results. ``fold_word`` is made of higher-order functions over
+literal rank tables; ``merge_word`` does the same steps in the Arrow function that splits the texts.
+The first needs several times the CPU seconds (the README has the figures), so ``encode`` takes the
+second unless it is told otherwise.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +12,7 @@ import base64
 import heapq
 import re
 from functools import lru_cache
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -13,12 +20,15 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from loadlens.llm.common import text_of
 
-#: Texts of so many characters form one batch, whose words are encoded once.
-BATCH = 32 << 20
+#: Texts of so many characters form one batch, whose words are numbered and encoded once.
+BATCH = 8 << 20
+#: Words whose tokens a worker remembers from batch to batch.
+MOST_WORDS = 300_000
 #: Words of more bytes are merged with a heap: a fold costs the square of the length.
 LONGEST = 64
 _REST = LONGEST + 2  # no state of the fold is longer
@@ -40,18 +50,88 @@ class Vocabulary(NamedTuple):
 
 
 @lru_cache(maxsize=2)
-def vocabulary(path: str) -> Vocabulary:
+def rank_map(path: str) -> dict[bytes, int]:
+    """Pieces and their ranks, from lines of base64 and number."""
     with open(path, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+
+
+def pieces_of(path: str) -> list[bytes]:
+    ranks = rank_map(path)
     pieces = [b""] * (max(ranks.values()) + 1)
     for piece, rank in ranks.items():
         pieces[rank] = piece
+    return pieces
+
+
+def merge_word(raw: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The token ids of a word: the leftmost pair of the lowest rank joins until none is known."""
+    if raw in ranks:
+        return [ranks[raw]]
+    if len(raw) > LONGEST:
+        return _merge_long(raw, ranks)
+    parts, known = [raw[i : i + 1] for i in range(len(raw))], ranks.get
+    found = [known(raw[i : i + 2], _NONE) for i in range(len(raw) - 1)]
+    while found and (lowest := min(found)) != _NONE:
+        at = found.index(lowest)
+        joined = parts[at] + parts[at + 1]
+        parts[at] = joined
+        del parts[at + 1], found[at]
+        if at:
+            found[at - 1] = known(parts[at - 1] + joined, _NONE)
+        if at < len(found):
+            found[at] = known(joined + parts[at + 1], _NONE)
+    return [ranks[p] for p in parts]
+
+
+_NONE = 1 << 62
+
+
+def _merge_long(raw: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The same with a heap and a linked list, for words whose length squared would be too much."""
+    n = len(raw)
+    ends = list(range(1, n + 1))  # of the part that starts here; 0 once it is joined to the left
+    starts = list(range(-1, n))  # of the part that ends before here
+    heap = [(r, i) for i in range(n - 1) if (r := ranks.get(raw[i : i + 2])) is not None]
+    heapq.heapify(heap)
+    while heap:
+        rank, i = heapq.heappop(heap)
+        j = ends[i]
+        if not j or j >= n or ranks.get(raw[i : ends[j]]) != rank:
+            continue
+        ends[i], ends[j] = ends[j], 0
+        starts[ends[i]] = i
+        for a, b in ((starts[i], i), (i, ends[i])):
+            if a >= 0 and b < n and (r := ranks.get(raw[a : ends[b]])) is not None:
+                heapq.heappush(heap, (r, a))
+    out, at = [], 0
+    while at < n:
+        out.append(ranks[raw[at : ends[at]]])
+        at = ends[at]
+    return out
+
+
+def _below(raw: bytes, rank: int, ranks: dict[bytes, int]) -> list[int]:
+    """The tokens of ``raw`` with the merges below ``rank`` only."""
+    parts = [raw[i : i + 1] for i in range(len(raw))]
+    while True:
+        found = [ranks.get(a + b, _NONE) for a, b in zip(parts, parts[1:], strict=False)]
+        lowest = min(found, default=_NONE)
+        if lowest >= rank:
+            return [ranks[p] for p in parts]
+        at = found.index(lowest)
+        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+
+
+@lru_cache(maxsize=2)
+def vocabulary(path: str) -> Vocabulary:
+    ranks, pieces = rank_map(path), pieces_of(path)
     merges: dict[tuple[int, int], int] = {}
     rows: dict[int, list[int]] = {}
     for rank, piece in enumerate(pieces):
         if len(piece) > 1:
             # The last merge joins the two parts that the lower ranks leave of the piece.
-            parts = _merged([ranks[bytes([c])] for c in piece], merges)
+            parts = _below(piece, rank, ranks)
             if len(parts) == 2:
                 merges[parts[0], parts[1]] = rank
                 rows.setdefault(parts[0], []).append(parts[1])
@@ -74,27 +154,6 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(pieces, place, owner, slots & 0xFFFFFFFF, merges)
 
 
-def _merged(ids: list[int], merges: dict[tuple[int, int], int]) -> list[int]:
-    """The ids after all merges, lowest rank first and then from the left: a heap and a linked list."""
-    ids, n = list(ids), len(ids)
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    heap = [(merges[p], i) for i, p in enumerate(zip(ids, ids[1:], strict=False)) if p in merges]
-    heapq.heapify(heap)
-    while heap:
-        rank, i = heapq.heappop(heap)
-        j = after[i] if ids[i] >= 0 else n
-        if j >= n or merges.get((ids[i], ids[j])) != rank:
-            continue
-        ids[i], ids[j] = rank, -1
-        after[i] = after[j]
-        if after[i] < n:
-            before[after[i]] = i
-        for a, b in ((before[i], i), (i, after[i])):
-            if a >= 0 and b < n and (ids[a], ids[b]) in merges:
-                heapq.heappush(heap, (merges[ids[a], ids[b]], a))
-    return [x for x in ids if x >= 0]
-
-
 def _ints(values) -> Column:
     """An array literal, null for an empty text; Catalyst folds the cast and the split once."""
     split = F.split(F.lit(",".join(map(str, values))), ",")
@@ -181,50 +240,95 @@ class _Words(dict):
         return number
 
 
-def _segmenter(schema: pa.Schema, pattern: str, gpt: bool, path: str):
+@lru_cache(maxsize=2)
+def _remembered(path: str) -> dict[str, list[int]]:
+    return {}
+
+
+def _word_ids(words: _Words, path: str) -> list[list[int]]:
+    """The tokens of a batch's words, those that the worker has met before from memory."""
+    ranks, memory = rank_map(path), _remembered(path)
+    if len(memory) > MOST_WORDS:
+        memory.clear()
+    out = []
+    for word in words:
+        ids = memory.get(word)
+        if ids is None:
+            ids = merge_word(word.encode(), ranks)
+            if len(word) <= LONGEST:
+                memory[word] = ids
+        out.append(ids)
+    return out
+
+
+def _batches(pattern: str, fast: bool, batches, make):
+    """``make`` of (ids, word numbers, words) for every ``BATCH`` characters of a task's texts."""
     general = regex.compile(pattern)
+    ids, rows, words, size = [], [], _Words(), 0
+    for b in batches:
+        for i, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            text = text.as_py()
+            found = (_PLAIN_WORDS if fast and _is_plain(text) else general).findall(text)
+            rows.append(np.fromiter(map(words.__getitem__, found), np.int32, len(found)))
+            ids.append(i)
+            size += len(text)
+            if size >= BATCH:
+                yield make(ids, rows, words)
+                ids, rows, words, size = [], [], _Words(), 0
+    if ids:
+        yield make(ids, rows, words)
+
+
+def _encoder(schema: pa.Schema, pattern: str, path: str):
+    """Texts to (id, token ids)."""
+
+    def make(ids: list, rows: list[np.ndarray], words: _Words) -> pa.RecordBatch:
+        spelled = _word_ids(words, path)
+        sizes = np.fromiter(map(len, spelled), np.int64, len(spelled))
+        tokens = np.fromiter(chain.from_iterable(spelled), np.int32, int(sizes.sum()))
+        numbers = np.concatenate(rows)
+        lengths = sizes[numbers]
+        ends = np.cumsum(lengths)
+        # The place of every token: where its word begins among the tokens, and how far in it is.
+        begin = (np.cumsum(sizes) - sizes)[numbers] - (ends - lengths)
+        flat = tokens[np.repeat(begin, lengths) + np.arange(int(lengths.sum()))]
+        bounds = np.concatenate(([0], ends))[np.cumsum([0, *map(len, rows)])]
+        lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int32()))
+        columns = [pa.array(ids, schema.types[0]), lists.cast(schema.types[1])]
+        return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    def run(batches):
+        return _batches(pattern, pattern == GPT_PATTERN, batches, make)
+
+    return run
+
 
-    def batch(ids: list, rows: list[np.ndarray], words: _Words) -> pa.RecordBatch:
-        merges, byte_ids = None, None
+def _segmenter(schema: pa.Schema, pattern: str, path: str):
+    """Texts to batches of one row: texts as word numbers, and the words as byte arrays."""
+
+    def make(ids: list, rows: list[np.ndarray], words: _Words) -> pa.RecordBatch:
         short, long = [], {}
         for number, word in enumerate(words):
             raw = word.encode()
             if len(raw) > LONGEST:
-                if merges is None:
-                    known = vocabulary(path)
-                    merges, byte_ids = known.merges, _byte_ids(known)
-                long[number] = _merged([byte_ids[c] for c in raw], merges)
-                raw = b""
-            short.append(raw)
+                long[number], raw = merge_word(raw, rank_map(path)), b""
+            short.append(np.frombuffer(raw, np.uint8))
         docs = pa.StructArray.from_arrays(
             [pa.array(ids, schema.field("docs").type.value_type[0].type), _lists(rows, pa.int32())],
             fields=list(schema.field("docs").type.value_type),
         )
-        spelled = _lists([np.frombuffer(w, np.uint8) for w in short], pa.int32())
         made = pa.StructArray.from_arrays(
             [pa.array(list(long), pa.int32()), pa.array(list(long.values()), pa.list_(pa.int32()))],
             fields=list(schema.field("long").type.value_type),
         )
-        columns = [pa.ListArray.from_arrays([0, len(x)], x) for x in (docs, spelled, made)]
+        parts = (docs, _lists(short, pa.int32()), made)
+        columns = [pa.ListArray.from_arrays([0, len(x)], x) for x in parts]
         return pa.RecordBatch.from_arrays(
             [c.cast(t) for c, t in zip(columns, schema.types, strict=True)], schema=schema
         )
 
     def run(batches):
-        ids, rows, words, size = [], [], _Words(), 0
-        for b in batches:
-            for i, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                text = text.as_py()
-                fast = gpt and _is_plain(text)
-                found = (_PLAIN_WORDS if fast else general).findall(text)
-                rows.append(np.fromiter(map(words.__getitem__, found), np.int32, len(found)))
-                ids.append(i)
-                size += len(text)
-                if size >= BATCH:
-                    yield batch(ids, rows, words)
-                    ids, rows, words, size = [], [], _Words(), 0
-        if ids:
-            yield batch(ids, rows, words)
+        return _batches(pattern, pattern == GPT_PATTERN, batches, make)
 
     return run
 
@@ -250,31 +354,45 @@ def encode(
     pattern: str,
     id_col: str = "doc_id",
     text_col: str = "text",
+    *,
+    functions: bool = False,
 ) -> DataFrame:
     """``doc_id, ids`` (array of int) of every row: the byte-level BPE of its whole text.
 
     Each match of ``pattern`` is encoded by itself, as the tiktoken library does without special
     tokens. Within a task, texts are gathered to batches of ``BATCH`` characters (one longer text
-    is its own batch) and their words numbered; a batch is one row with its distinct words as byte
-    arrays and its texts as word numbers. The fold over the literal rank table then runs once per
-    distinct word in the JVM, and the texts pick its results by number. Nothing is shuffled, and a
-    lost task is made again from its input. Words of over ``LONGEST`` bytes are merged in the
-    segmenter, by the same merges with a heap.
+    is its own batch) and their words numbered; the merges are folded once over each distinct
+    word, and the texts pick the results by number. Nothing is shuffled, and a lost task is made
+    again from its input.
+
+    With ``functions`` a batch becomes one row of byte arrays and word numbers, and the fold runs in
+    the JVM by higher-order functions over literal rank tables. Else the Arrow function folds, and
+    a worker remembers ``MOST_WORDS`` words.
 
     Null and empty texts have no tokens. Rows that repeat, and null ids, stay as they are. An empty
     table gives no rows. Other columns are not read. ``path`` names a rank file of lines of base64
     and rank; it must be readable by the driver and the executors.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
-    known = vocabulary(path)
     base = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    if functions:
+        return _encode_by_functions(base, path, pattern)
+    schema = T.StructType(
+        [base.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType()))]
+    )
+    arrow = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in schema])
+    return base.mapInArrow(_encoder(arrow, pattern, path), schema)
+
+
+def _encode_by_functions(base: DataFrame, path: str, pattern: str) -> DataFrame:
+    kind = base.schema["doc_id"].dataType.simpleString()
+    known = vocabulary(path)
     shape = (
         f"docs array<struct<doc_id: {kind}, words: array<int>>>, words array<array<int>>, "
         "long array<struct<at: int, ids: array<int>>>"
     )
-    made = docs.sparkSession.createDataFrame([], shape).schema
+    made = base.sparkSession.createDataFrame([], shape).schema
     arrow = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in made])
-    batches = base.mapInArrow(_segmenter(arrow, pattern, pattern == GPT_PATTERN, path), made)
+    batches = base.mapInArrow(_segmenter(arrow, pattern, path), made)
 
     def with_long(ids: Column) -> Column:
         placed = F.map_from_entries(F.col("long"))
@@ -306,7 +424,7 @@ def encode(
 
 def decode(ids: Column, path: str) -> Column:
     """The bytes of an array of token ids: its pieces, one after the other. Null gives null."""
-    pieces = F.split(F.lit(",".join(p.hex() for p in vocabulary(path).pieces)), ",")
+    pieces = F.split(F.lit(",".join(p.hex() for p in pieces_of(path))), ",")
     return _let(
         pieces,
         lambda p: F.unhex(F.array_join(F.transform(ids, lambda i: F.get(p, i)), "")),

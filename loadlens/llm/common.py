@@ -28,7 +28,7 @@ def scratch_dir(spark: SparkSession) -> str:
         return found
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not context.master.startswith("local["):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="loadlens-llm-")
     context.setCheckpointDir(named)

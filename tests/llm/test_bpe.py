@@ -39,21 +39,25 @@ def test_the_pattern_with_the_fast_form():
                 assert bpe._PLAIN_WORDS.findall(text) == regex.findall(PATTERN, text), code
 
 
-def test_heap_merges_as_the_library_does(library):
-    known = bpe.vocabulary(RANKS)
-    byte_ids = bpe._byte_ids(known)
+def test_words_merge_as_in_the_library(library):
+    ranks = bpe.rank_map(RANKS)
     rng = random.Random(2)
     for _ in range(500):
-        raw = "".join(rng.choices("etaoinsh rdlu", k=rng.randint(1, 40))).encode()
-        found = bpe._merged([byte_ids[c] for c in raw], known.merges)
-        assert found == library._encode_single_piece(raw)
+        raw = "".join(rng.choices("etaoinsh rdlué", k=rng.randint(1, 90))).encode()
+        want = library._encode_single_piece(raw)
+        assert bpe.merge_word(raw, ranks) == want
+        if raw not in ranks:
+            assert bpe._merge_long(raw, ranks) == want
 
 
+@pytest.mark.parametrize("functions", [False, True])
 @pytest.mark.parametrize("batch", [1000, bpe.BATCH])
-def test_whole_texts(spark, library, monkeypatch, batch):
+def test_whole_texts(spark, library, monkeypatch, batch, functions):
+    """Folded in the Arrow function and by higher-order functions, in many batches and in one."""
     monkeypatch.setattr(bpe, "BATCH", batch)
+    monkeypatch.setattr(bpe, "MOST_WORDS", batch)
     rows = list(enumerate(texts())) + [(None, "null id"), (3, "again"), (3, "again")]
-    found = bpe.encode(documents(spark, rows), RANKS, PATTERN)
+    found = bpe.encode(documents(spark, rows), RANKS, PATTERN, functions=functions)
     found = found.withColumn("raw", bpe.decode(F.col("ids"), RANKS))
     found = found.withColumn("le", bpe.little_endian(F.col("ids")))
     got = sorted(((r.doc_id, r.ids, bytes(r.raw), bytes(r.le)) for r in found.collect()), key=str)
@@ -66,4 +70,6 @@ def test_whole_texts(spark, library, monkeypatch, batch):
 
 
 def test_empty_table(spark):
-    assert bpe.encode(documents(spark, [(1, "a")]).limit(0), RANKS, PATTERN).collect() == []
+    empty = documents(spark, [(1, "a")]).limit(0)
+    for functions in (False, True):
+        assert bpe.encode(empty, RANKS, PATTERN, functions=functions).collect() == []
