@@ -119,9 +119,7 @@ def link_quotations(
         .groupBy("thread", F.unhex(F.sha2("unit", 256)).alias("hash"))
         .agg(F.min("at").alias("source"))
     )
-    quoted = split.select(
-        "thread", "at", F.posexplode("quotes").alias("nth", "quote")
-    ).dropDuplicates(["thread", "at", "nth"])
+    quoted = split.select("thread", "at", F.posexplode("quotes").alias("nth", "quote"))
     quoted = quoted.select(
         "thread",
         "at",
@@ -136,7 +134,7 @@ def link_quotations(
         "level",
         (F.col("unit") == F.col("whole")).cast("int").alias("is_whole"),
         F.unhex(F.sha2("unit", 256)).alias("hash"),
-    )
+    ).distinct()  # of repeated rows; only hashes move
     votes = (
         quoted.join(index, ["thread", "hash"])
         .filter("source < at")
@@ -152,9 +150,9 @@ def link_quotations(
         )
     )
     chains = _follow(parents.select("thread", "at", "parent"))
+    replies = parents.join(chains, ["thread", "at"], "left")  # narrow, so the texts move once
     return (
-        split.join(parents, ["thread", "at"], "left")
-        .join(chains, ["thread", "at"], "left")
+        split.join(replies, ["thread", "at"], "left")
         .select(
             "thread",
             "at",
