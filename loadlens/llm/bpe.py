@@ -26,9 +26,9 @@ from pyspark.sql.pandas.types import to_arrow_type
 from loadlens.llm.common import text_of
 
 #: Texts of so many characters form one batch, whose words are numbered and encoded once.
-BATCH = 8 << 20
-#: Words whose tokens a worker remembers from batch to batch.
-MOST_WORDS = 300_000
+BATCH = 4 << 20
+#: Words whose tokens a task remembers from batch to batch.
+MOST_WORDS = 200_000
 #: Words of more bytes are merged with a heap: a fold costs the square of the length.
 LONGEST = 64
 _REST = LONGEST + 2  # no state of the fold is longer
@@ -240,14 +240,9 @@ class _Words(dict):
         return number
 
 
-@lru_cache(maxsize=2)
-def _remembered(path: str) -> dict[str, list[int]]:
-    return {}
-
-
-def _word_ids(words: _Words, path: str) -> list[list[int]]:
-    """The tokens of a batch's words, those that the worker has met before from memory."""
-    ranks, memory = rank_map(path), _remembered(path)
+def _word_ids(words: _Words, path: str, memory: dict[str, list[int]]) -> list[list[int]]:
+    """The tokens of a batch's words, those that the task has met before from its memory."""
+    ranks = rank_map(path)
     if len(memory) > MOST_WORDS:
         memory.clear()
     out = []
@@ -282,23 +277,26 @@ def _batches(pattern: str, fast: bool, batches, make):
 def _encoder(schema: pa.Schema, pattern: str, path: str):
     """Texts to (id, token ids)."""
 
+    memory: dict[str, list[int]] = {}
+
     def make(ids: list, rows: list[np.ndarray], words: _Words) -> pa.RecordBatch:
-        spelled = _word_ids(words, path)
-        sizes = np.fromiter(map(len, spelled), np.int64, len(spelled))
+        spelled = _word_ids(words, path, memory)
+        sizes = np.fromiter(map(len, spelled), np.int32, len(spelled))
         tokens = np.fromiter(chain.from_iterable(spelled), np.int32, int(sizes.sum()))
         numbers = np.concatenate(rows)
         lengths = sizes[numbers]
-        ends = np.cumsum(lengths)
+        ends = np.cumsum(lengths, dtype=np.int32)
         # The place of every token: where its word begins among the tokens, and how far in it is.
-        begin = (np.cumsum(sizes) - sizes)[numbers] - (ends - lengths)
-        flat = tokens[np.repeat(begin, lengths) + np.arange(int(lengths.sum()))]
+        begin = (np.cumsum(sizes, dtype=np.int32) - sizes)[numbers] - (ends - lengths)
+        flat = tokens[np.repeat(begin, lengths) + np.arange(len(lengths) and ends[-1], dtype=np.int32)]
         bounds = np.concatenate(([0], ends))[np.cumsum([0, *map(len, rows)])]
         lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int32()))
         columns = [pa.array(ids, schema.types[0]), lists.cast(schema.types[1])]
         return pa.RecordBatch.from_arrays(columns, schema=schema)
 
     def run(batches):
-        return _batches(pattern, pattern == GPT_PATTERN, batches, make)
+        yield from _batches(pattern, pattern == GPT_PATTERN, batches, make)
+        memory.clear()  # the worker lives on for other tasks
 
     return run
 
@@ -367,7 +365,7 @@ def encode(
 
     With ``functions`` a batch becomes one row of byte arrays and word numbers, and the fold runs in
     the JVM by higher-order functions over literal rank tables. Else the Arrow function folds, and
-    a worker remembers ``MOST_WORDS`` words.
+    a task remembers ``MOST_WORDS`` words.
 
     Null and empty texts have no tokens. Rows that repeat, and null ids, stay as they are. An empty
     table gives no rows. Other columns are not read. ``path`` names a rank file of lines of base64

@@ -7,8 +7,8 @@ from typing import NamedTuple
 
 #: Characters that stand for letters at no cost. Fixed values.
 LOOKALIKES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
-MOST_STATES = 20_000
-MOST_WORDS = 200_000
+MOST_STATES = 5_000
+MOST_WORDS = 50_000
 
 
 class Term(NamedTuple):

@@ -113,7 +113,9 @@ def simhash_dedup(
     """
     prints = cut(fingerprints(docs, id_col, text_col, shingle=shingle))
     points = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = connected_components(ball_links(points.select("fp")))
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = points.select("fp").repartition(tasks, "fp")  # each becomes 65 rows
+    roots = connected_components(ball_links(spread))
     linked, _ = packed(points.join(roots, F.col("fp") == F.col("node")).select("fp", "least", "root"))
     smallest = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     named = linked.select("fp", "root").join(smallest, "root").select("fp", "component_id")

@@ -18,6 +18,8 @@ from loadlens.llm.lexicon import Lexicon, Term
 
 #: The classifier is fitted on at most so many labelled rows of either class, chosen by hash.
 POSITIVES, NEGATIVES = 2_000, 6_000
+#: Tasks that the sampled texts are dealt to; a task sees a hundred or two of them.
+SAMPLE_TASKS = 64
 #: At most so many terms, those with the most different contexts first.
 MOST_TERMS = 2_000
 #: Words either side of a term that its context score reads.
@@ -33,7 +35,7 @@ REPORTING = frozenset(
     "citation dijo escribió llamó cita".split()
 )
 ADDRESS = frozenset("you your youre du dich dein ihr tu toi vous ton eres tú usted tu".split())
-_N_FEATURES = 5
+_N_FEATURES = 3
 
 
 class Model(NamedTuple):
@@ -87,13 +89,12 @@ def hits(lexicon: Lexicon, text: str) -> list[tuple[int, int, float]]:
 
 
 def features(found: list[tuple[int, int, float]]) -> list[float]:
-    exact = [c for _, e, c in found if e == 0]
-    fuzzy = [c for _, e, c in found if e]
+    """What the classifier sees of a text. A misspelled term counts four fifths per edit; terms
+    whose misspellings occur in clean texts have none (see ``train``)."""
+    weights = [c * 0.8**e for _, e, c in found]
     return [
-        math.log1p(sum(exact)),
-        float(any(c > 0.5 for c in exact)),
-        math.log1p(sum(fuzzy)),
-        float(any(c > 0.5 for c in fuzzy)),
+        math.log1p(sum(weights)),
+        float(any(w > 0.5 for w in weights)),
         math.log1p(len({t for t, _, _ in found})),
     ]
 
@@ -111,17 +112,21 @@ def _beginnings(word: str) -> list[str]:
 @F.arrow_udf(_PAIRS)
 def _candidates(texts: pa.Array) -> pa.Array:
     """Terms that a text may teach, each with the word before it."""
-    out = []
-    for text in texts.to_pylist():
-        words = _WORD.findall(text.lower())
+    terms, contexts, ends = [], [], [0]
+    for text in texts:
+        words = _WORD.findall(text.as_py().lower())
         pairs = {
             (t, before)
             for before, w in zip(["", *words], words, strict=False)
             if SHORTEST <= len(w) <= 40
             for t in _beginnings(w)
         }
-        out.append([{"term": t, "context": c} for t, c in pairs])
-    return pa.array(out, pa.list_(pa.struct([("term", pa.string()), ("context", pa.string())])))
+        terms += [t for t, _ in pairs]
+        contexts += [c for _, c in pairs]
+        ends.append(len(terms))
+    columns = [pa.array(terms, pa.string()), pa.array(contexts, pa.string())]
+    pairs = pa.StructArray.from_arrays(columns, ["term", "context"])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
 
 
 def _own(labels: DataFrame) -> DataFrame:
@@ -139,7 +144,7 @@ def _sample(docs: DataFrame, own: DataFrame) -> DataFrame:
         for y, most in ((1, POSITIVES), (0, NEGATIVES))
     ]
     chosen = F.broadcast(parts[0].union(parts[1]))  # POSITIVES + NEGATIVES rows at most
-    return cut(docs.join(chosen, "doc_id").select("text", "toxic"))
+    return cut(docs.join(chosen, "doc_id").select("text", "toxic").repartition(SAMPLE_TASKS))
 
 
 def _learn_terms(sample: DataFrame) -> list[Term]:
