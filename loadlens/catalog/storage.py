@@ -33,6 +33,10 @@ _COLUMNS = [
 ]
 
 
+#: Pages in one file of a written tree, and entries in one array of a manifest, at most.
+FILE_PAGES, ARRAY_ENTRIES = 200, 1_000
+
+
 def _rows(spark, sf_dir) -> DataFrame:
     rows = predictions(spark, sf_dir).withColumn("ingest_us", times.micros("ingest_ts"))
     return rows.select(*_COLUMNS)
@@ -119,12 +123,15 @@ def manifest_lines(spark, sf_dir) -> DataFrame:
 
 @query("manifest_array", _MANIFEST)
 def manifest_array(spark, sf_dir) -> DataFrame:
-    """One JSON array per file, through the dispatcher. A file per site keeps the arrays small."""
+    """One JSON array per file, through the dispatcher. A file holds ``ARRAY_ENTRIES`` of a site at most."""
     path = scratch_path(spark, "manifest")
     entries = ingest.manifest(_page_listing(spark, sf_dir), "scans").select(
         F.substring_index("local_path", "/", 3).alias("site"), F.struct("*").alias("entry")
     )
-    arrays = entries.groupBy("site").agg(F.to_json(F.collect_list("entry")).alias("value"))
+    # Row numbers with gaps, so that a bucket holds so many rows at most, however many a site has.
+    bucket = F.floor(F.monotonically_increasing_id() / ARRAY_ENTRIES)
+    arrays = entries.withColumn("bucket", bucket).groupBy("site", "bucket")
+    arrays = arrays.agg(F.to_json(F.collect_list("entry")).alias("value"))
     arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
     return load_requests(spark, SourceSpec(manifest=path))
 
@@ -136,8 +143,8 @@ def _page_tree(spark, sf_dir) -> str:
         "html", "element_at(array('train', 'test', 'val'), CAST(page_id % 3 AS INT) + 1) AS split",
         "split(url, '/')[3] AS label",
     )
-    # A file for each folder, so that what a file holds is known.
-    pages.repartition("split", "label").write.partitionBy("split", "label").text(path)
+    # Every task writes what it reads, so no folder is written by one task or into one file.
+    pages.write.option("maxRecordsPerFile", FILE_PAGES).partitionBy("split", "label").text(path)
     return path
 
 
@@ -218,15 +225,11 @@ def optional_csv(spark, sf_dir) -> DataFrame:
     return found.unionByName(absent).groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def _digest(model: None, rows) -> list[str]:
-    """A stand-in scorer that reads the file: the digest of its lines in order."""
-    import hashlib
-
-    made = []
-    for content in rows["content"]:
-        lines = sorted(bytes(content).split(b"\n")[:-1])
-        made.append(hashlib.md5(b"\n".join(lines)).hexdigest())
-    return made
+def _sorted_lines(model: None, rows) -> list[str]:
+    """A stand-in scorer that reads the file: its lines in order."""
+    return [
+        b"\n".join(sorted(bytes(content).split(b"\n")[:-1])).decode() for content in rows["content"]
+    ]
 
 
 _FILES = """L AS (SELECT concat('split=', CASE page_id % 3 WHEN 0 THEN 'train' WHEN 1 THEN 'test'
@@ -247,14 +250,52 @@ def _content_requests(spark, sf_dir):
     return requests, listing
 
 
+def _digests(batches):
+    """``split, label, digest, error_message`` of each folder from its lines in order, one at a time."""
+    import hashlib
+
+    import pyarrow as pa
+
+    def made():
+        text = None if errors else digest.hexdigest()
+        values = [*folder, text, min(errors, default=None)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([v], pa.string()) for v in values], ["split", "label", "digest", "error_message"]
+        )
+
+    folder, digest, errors, first = None, hashlib.md5(), set(), True
+    for batch in batches:
+        for split, label, line, error in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (split, label) != folder:
+                if folder is not None:
+                    yield made()
+                folder, digest, errors, first = (split, label), hashlib.md5(), set(), True
+            if error is not None:
+                errors.add(error)
+                continue
+            digest.update((line if first else "\n" + line).encode())
+            first = False
+    if folder is not None:
+        yield made()
+
+
 def _scored_files(pred: DataFrame) -> DataFrame:
+    """The digest of all lines of each folder, from the scores of its files.
+
+    Lines are sorted by Spark, which spills, and digested one by one. An MD5 is made in sequence, so
+    the last step has one task a folder.
+    """
     folder = F.split("file_path", "/")
-    return pred.select(
+    lines = pred.select(
         F.element_at(folder, -3).alias("split"),
         F.element_at(folder, -2).alias("label"),
-        F.col("report_text").alias("digest"),
+        F.explode(F.split("report_text", "\n", -1)).alias("line"),
         "error_message",
     )
+    dealt = lines.repartition("split", "label").sortWithinPartitions("split", "label", "line")
+    return dealt.mapInArrow(
+        _digests, "split string, label string, digest string, error_message string"
+    )
 
 
 _SCORED = f"WITH {_FILES} SELECT split, label, digest, CAST(NULL AS VARCHAR) AS error_message FROM T"
@@ -265,7 +306,7 @@ def score_content(spark, sf_dir) -> DataFrame:
     """Requests matched to a listing, their bytes read in the scoring tasks, and scored."""
     requests, listing = _content_requests(spark, sf_dir)
     found = job.with_content(requests, listing)
-    return _scored_files(scoring.score(found, scoring.Scorer(_digest), ["content"]))
+    return _scored_files(scoring.score(found, scoring.Scorer(_sorted_lines), ["content"]))
 
 
 @query("load_test_content", _SCORED)
@@ -273,7 +314,7 @@ def load_test_content(spark, sf_dir) -> DataFrame:
     """The same as a whole load test, read back from its predictions."""
     requests, listing = _content_requests(spark, sf_dir)
     test = job.LoadTest(scratch_path(spark, "job"))
-    return _scored_files(job.run_load_test(requests, scoring.Scorer(_digest), test, listing)["predictions"])
+    return _scored_files(job.run_load_test(requests, scoring.Scorer(_sorted_lines), test, listing)["predictions"])
 
 
 def _sized_test(spark, sf_dir, root: str, sizes) -> dict:
