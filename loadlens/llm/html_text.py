@@ -36,6 +36,8 @@ _NAMED = re.compile(
     r"newsletter|subscribe|signup|login|widget|toolbar|skip-link|copyright|legal)(?:$|[\s_-])",
     re.I,
 )
+#: An article is named by how a class begins: "comment-body", but not "has-comments" or "tag-legal".
+_ARTICLE_NAMED = re.compile(_NAMED.pattern.replace(r"[\s_-]", r"\s", 1), re.I)
 # The most frequent words of four languages.
 STOP_WORDS = {
     "en": "the of and to a in is that for it as was with be by on not he i this are or his from at "
@@ -141,9 +143,10 @@ class _Blocks(HTMLParser):
             return True
         if (named.get("role") or "").lower() in ROLES:
             return True
-        if tag in CONTENT:
+        if tag == "main":  # the one main part of a page, whatever its name
             return False
-        return any(_NAMED.search(named.get(k) or "") for k in ("class", "id"))
+        names = _ARTICLE_NAMED if tag == "article" else _NAMED
+        return any(names.search(named.get(k) or "") for k in ("class", "id"))
 
     def handle_startendtag(self, tag: str, attrs) -> None:
         self.handle_starttag(tag, attrs)  # a slash does not close an element of HTML
@@ -205,7 +208,10 @@ def settle(block: Block, lang: str) -> bool | None:
 
 def classify(found: list[Block], lang: str) -> list[bool]:
     """Second pass: an unsettled block goes with the nearest settled one of the same article, main
-    or body; with the one before it if both are as near, and text if there is none."""
+    or body; with the one before it if both are as near, and text if there is none.
+
+    Blocks outside articles and main go if those hold at least half of the text that the first pass
+    settled; a teaser beside a longer text takes nothing away."""
     first = [settle(b, lang) for b in found]
     nearest: list[tuple[int, bool] | None] = [None] * len(found)
     for order in (range(len(found)), range(len(found) - 1, -1, -1)):
@@ -221,10 +227,12 @@ def classify(found: list[Block], lang: str) -> list[bool]:
     out = []
     for b, own, near in zip(found, first, nearest, strict=True):
         if own is None:
-            # Links next to short text in an article do not make it a menu.
-            own = near is None or near[1] or b.content
+            own = near is None or near[1]
         out.append(own)
-    if any(b.content for b, keep in zip(found, out, strict=True) if keep):
+    settled = [0, 0]  # characters of settled text outside and inside
+    for b, own in zip(found, first, strict=True):
+        settled[b.content] += len(b.text) if own else 0
+    if settled[1] and settled[1] >= settled[0]:
         out = [keep and b.content for b, keep in zip(found, out, strict=True)]
     return out
 
@@ -246,7 +254,8 @@ def extract_text(html_col: str | Column = "html") -> Column:
     Scripts, styles, menus, headers and footers of the page, sidebars, notices, adverts, forms and
     comments are dropped by element, role and name. The other blocks are settled by link density,
     length and the share of stop words; unsettled short ones take the label of the nearest settled
-    block of the same article. If a page has an article or main element with text, only that counts.
+    block of the same article. If articles and main hold at least half of the settled text of a page,
+    only they count. An article whose class or id names a comment or another part is dropped.
     White space inside a block becomes one space; character references are decoded. Null and empty
     pages, and pages without text, give an empty text. Whole pages are read, row by row; nothing is
     shuffled.
