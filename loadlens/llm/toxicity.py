@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections import Counter
 from typing import NamedTuple
 
 import numpy as np
@@ -24,10 +25,13 @@ SAMPLE_TASKS = 64
 MOST_TERMS = 2_000
 #: Words either side of a term that its context score reads.
 REACH = 6
-#: A stem is at least and at most so long; longer terms are whole words.
+#: A stem is at least and at most so long; shorter and longer terms are whole words. Words from the
+#: shortest length on may be misspelled.
 SHORTEST, LONGEST = 4, 8
 
 _WORD = re.compile(r"[^\W_]+(?:[@$][^\W_]+)*")
+#: A word with the signs that are written for letters, wherever they stand.
+_MASKED = re.compile(r"(?:[^\W_]|[@$*])+")
 _QUOTE = re.compile(r"[\"“”„«»]")
 # Words that report what others said, and words of direct address (en de fr es).
 REPORTING = frozenset(
@@ -77,17 +81,28 @@ def context_score(text: str, start: int, end: int) -> float:
 def hits(lexicon: Lexicon, text: str) -> list[tuple[int, int, float]]:
     """(term, edits, context score) of every occurrence of a term."""
     match = lexicon.match
-    found = {w for w in set(_WORD.findall(text.lower())) if match(w)}
-    if not found:
+    if not any(_read(match, w) for w in set(_MASKED.findall(text.lower()))):
         return []
     out = []
-    for m in _WORD.finditer(text):  # lowered word by word, so offsets are those of the text
-        hit = match(m.group().lower())
-        if hit:
-            out.append((*hit, context_score(text, *m.span())))
+    for m in _MASKED.finditer(text):  # lowered word by word, so offsets are those of the text
+        for term, e, start, end in _read(match, m.group()):
+            out.append((term, e, context_score(text, m.start() + start, m.start() + end)))
     return out
 
 
+def _read(match, word: str) -> list[tuple[int, int, int, int]]:
+    """(term, edits, start, end) of a word with its signs, or of its parts if they are as close."""
+    whole = match(word.lower())
+    if word.isalnum():
+        return [(*whole, 0, len(word))] if whole else []
+    parts = [
+        (*hit, m.start(), m.end()) for m in _WORD.finditer(word) if (hit := match(m.group().lower()))
+    ]
+    if whole and all(whole[1] < e for _, e, _, _ in parts):
+        return [(*whole, 0, len(word))]
+    return parts
+
+
 def features(found: list[tuple[int, int, float]]) -> list[float]:
     """What the classifier sees of a text. A misspelled term counts four fifths per edit; terms
     whose misspellings occur in clean texts have none (see ``train``)."""
@@ -118,7 +133,7 @@ def _candidates(texts: pa.Array) -> pa.Array:
         pairs = {
             (t, before)
             for before, w in zip(["", *words], words, strict=False)
-            if SHORTEST <= len(w) <= 40
+            if len(w) <= 40
             for t in _beginnings(w)
         }
         terms += [t for t, _ in pairs]
@@ -164,7 +179,7 @@ def _learn_terms(sample: DataFrame) -> list[Term]:
         )
     )
     counted = cut(counted)
-    each = f"length(term) = {SHORTEST} AND NOT term LIKE '%$'"  # one such term a word
+    each = f"length(term) <= {SHORTEST}"  # one such term a word: its shortest stem, or all of it
     total = counted.agg(
         F.expr(f"sum(ones) FILTER (WHERE {each})"),
         F.expr(f"sum(zeros) FILTER (WHERE {each})"),
@@ -194,12 +209,17 @@ def _learn_terms(sample: DataFrame) -> list[Term]:
     kept = sorted(set(support) - longer)
     stems = [t for t in kept if t[-1] != "$"]
     return [
-        Term(t.rstrip("$"), t[-1] != "$", (len(t.rstrip("$")) >= 5) + (len(t.rstrip("$")) >= 9))
+        _loosest(t.rstrip("$"), t[-1] != "$")
         for t in kept
         if not any(t != s and t.startswith(s) for s in stems)
     ]
 
 
+def _loosest(text: str, stem: bool) -> Term:
+    edits = (len(text) >= SHORTEST) + (len(text) >= 9)
+    return Term(text, stem, edits, edits > 0)
+
+
 def _sampled_hits(sample: DataFrame, terms: list[Term]) -> list[tuple[int, list]]:
     schema = T.ArrayType(T.ArrayType(T.DoubleType()))
 
@@ -213,6 +233,13 @@ def _sampled_hits(sample: DataFrame, terms: list[Term]) -> list[tuple[int, list]
     return [(r.toxic, [(int(k), int(e), c) for k, e, c in r.found]) for r in rows]
 
 
+def _loose(rows: list[tuple[int, list]]) -> set[int]:
+    """The terms whose misspellings occur in more than a few of the clean texts."""
+    clean = max(1, sum(y == 0 for y, _ in rows))
+    seen = Counter(k for y, found in rows if not y for k in {k for k, e, _ in found if e})
+    return {k for k, n in seen.items() if n > 0.002 * clean}
+
+
 def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Logistic regression with a small quadratic penalty, by Newton's method."""
     x = np.hstack([np.ones((len(x), 1)), x])
@@ -230,8 +257,8 @@ def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, text_col: str = "text") -> Model:
     """Terms and weights from labelled rows whose crc32(doc_id as text) mod 5 is not 0.
 
-    At most ``POSITIVES`` and ``NEGATIVES`` rows are used. A term's misspellings count only if they
-    hardly occur in the sampled clean texts. Rows without label or id, and labels other than 0 and
+    At most ``POSITIVES`` and ``NEGATIVES`` rows are used. A term's misspellings, and those of its
+    first letter, count only if they hardly occur in the sampled clean texts. Rows without label or id, and labels other than 0 and
     1, are not learned from; repeated labels of an id count once, as toxic if any says so. With no
     toxic or no clean row the model has no terms and gives every text the same score.
     """
@@ -240,14 +267,13 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str = "text") -> Model:
     sample = _sample(texts, own)
     terms = _learn_terms(sample)
     rows = _sampled_hits(sample, terms)
-    clean = max(1, sum(y == 0 for y, _ in rows))
-    loose = [0] * len(terms)
-    for y, found in rows:
-        for k in {k for k, e, _ in found if e}:
-            loose[k] += y == 0
-    strict = [t._replace(edits=0) if n > 0.002 * clean else t for t, n in zip(terms, loose, strict=True)]
-    if strict != terms:
-        terms, rows = strict, _sampled_hits(sample, strict)
+    loose = _loose(rows)
+    if loose:  # fewer misspellings of these: the first letter as it is, or none
+        fixed = [t._replace(first=False) for t in terms]
+        still = _loose(_sampled_hits(sample, fixed))
+        for k in loose:
+            terms[k] = fixed[k]._replace(edits=0) if k in still else fixed[k]
+        rows = _sampled_hits(sample, terms)
     y = np.array([y for y, _ in rows], float)
     if not len(y) or y.min() == y.max():
         share = float(y.mean()) if len(y) else 0.0
