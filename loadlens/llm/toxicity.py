@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import re
@@ -33,6 +34,8 @@ _WORD = re.compile(r"[^\W_]+(?:[@$][^\W_]+)*")
 #: A word with the signs that are written for letters, wherever they stand.
 _MASKED = re.compile(r"(?:[^\W_]|[@$*])+")
 _QUOTE = re.compile(r"[\"“”„«»]")
+#: What may close a quotation that a mark opens.
+_CLOSING = {'"': '"', "“": "”", "„": "“”", "«": "»", "»": "«", "”": "”"}
 # Words that report what others said, and words of direct address (en de fr es).
 REPORTING = frozenset(
     "said says wrote writes called calls quoted quote sagte schrieb nannte zitat dit écrit appelé "
@@ -59,17 +62,48 @@ def _lexicon(terms: list[Term]) -> Lexicon:
     return _LEXICONS[key]
 
 
-def context_score(text: str, start: int, end: int) -> float:
-    """How much of a term counts as abuse: less in quotation or report, all in direct address."""
-    line = text.rfind("\n", 0, start) + 1
-    before = text[max(line, start - 400) : start]
-    after = text[end : end + 400].split("\n", 1)[0]
-    near = {
-        w.lower()
-        for w in _WORD.findall(before[-80:])[-REACH:] + _WORD.findall(after[:80])[:REACH]
-    }
+def quotations(line: str) -> list[tuple[int, int]]:
+    """Start and end of the quotations of a line, in order. A mark that nothing closes opens none.
+
+    One pass from the right finds the next mark of each kind, one from the left pairs them.
+    """
+    marks = [(m.start(), m.group()) for m in _QUOTE.finditer(line)]
+    following: dict[str, int] = {}
+    closed = [0] * len(marks)
+    for i in range(len(marks) - 1, -1, -1):
+        at, mark = marks[i]
+        # Marks that close as a rule open only where a word may begin.
+        opens = mark not in "”»" or not at or not (line[at - 1].isalnum() or line[at - 1] in ".,!?;:…")
+        closed[i] = min((following[c] for c in _CLOSING[mark] if c in following), default=0) if opens else 0
+        following[mark] = i
+    out, i = [], 0
+    while i < len(marks):
+        if closed[i]:
+            out.append((marks[i][0], marks[closed[i]][0] + 1))
+            i = closed[i]
+        i += 1
+    return out
+
+
+def _inside(spans: list[tuple[int, int]], at: int) -> bool:
+    k = bisect.bisect_right(spans, (at, math.inf)) - 1
+    return k >= 0 and at < spans[k][1]
+
+
+def context_score(text: str, start: int, end: int, quoted: bool | None = None) -> float:
+    """How much of a term counts as abuse: less in quotation or report, all in direct address.
+
+    ``quoted`` says whether the term stands in a quotation of its line, if that is known.
+    """
+    if quoted is None:
+        line = text.rfind("\n", 0, start) + 1
+        stop = text.find("\n", end)
+        quoted = _inside(quotations(text[line : stop if stop >= 0 else len(text)]), start - line)
+    before = text[max(0, start - 80) : start].rsplit("\n", 1)[-1]
+    after = text[end : end + 80].split("\n", 1)[0]
+    near = {w.lower() for w in _WORD.findall(before)[-REACH:] + _WORD.findall(after)[:REACH]}
     score = 1.0
-    if len(_QUOTE.findall(before)) % 2 and _QUOTE.search(after):
+    if quoted:
         score -= 0.5
     if near & REPORTING:
         score -= 0.25
@@ -83,10 +117,17 @@ def hits(lexicon: Lexicon, text: str) -> list[tuple[int, int, float]]:
     match = lexicon.match
     if not any(_read(match, w) for w in set(_MASKED.findall(text.lower()))):
         return []
-    out = []
+    out, line, stop = [], 0, -1
+    spans: list[tuple[int, int]] = []
     for m in _MASKED.finditer(text):  # lowered word by word, so offsets are those of the text
         for term, e, start, end in _read(match, m.group()):
-            out.append((term, e, context_score(text, m.start() + start, m.start() + end)))
+            at = m.start() + start
+            if at > stop:  # in another line: its quotations are found once
+                line = text.rfind("\n", 0, at) + 1
+                stop = text.find("\n", at)
+                stop = stop if stop >= 0 else len(text)
+                spans = quotations(text[line:stop])
+            out.append((term, e, context_score(text, at, m.start() + end, _inside(spans, at - line))))
     return out
 
 
