@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadlens.llm.common import cut, text_of
+from loadlens.llm.common import cut, is_empty, text_of
 
 #: Characters before the text of a quoted line: one mark a level, a blank after each at most.
 _MARKS = r"^(?:> ?)+"
@@ -78,10 +78,9 @@ def link_quotations(
     every conversation with each reply after what it replies to.
 
     The text is cut into passages of one quotation level. The normalised own text of a message, and
-    each of its lines, is hashed (SHA-256); per thread and hash the earliest message is kept, so the
-    index has one row a key however often a line is repeated, and the join gives a quote at most
-    one message per line. A quoted passage is linked to the earlier message that has it as a whole,
-    or else to the one that has most of its lines, the earliest of equals. The parent is that of
+    each of its lines, is hashed (SHA-256). A quoted passage is linked to the earliest earlier
+    message that has it as a whole, by an index of one row a thread and hash, or else to the one
+    that has most of its lines, the earliest of equals (``_partial``). The parent is that of
     the first linked passage of the lowest level. Chains of parents are followed by pointer
     doubling. A thread or a message with many replies is a key of many small rows on one side of a
     join only, which adaptive execution splits.
@@ -113,36 +112,31 @@ def link_quotations(
         every = F.concat(F.array(text), F.split(text, "\n"))
         return F.array_distinct(F.filter(F.transform(every, normal), lambda x: x != ""))
 
-    index = (
+    held = (
         split.filter("thread IS NOT NULL AND at IS NOT NULL")
         .select("thread", "at", F.explode(units(F.col("text"))).alias("unit"))
-        .groupBy("thread", F.unhex(F.sha2("unit", 256)).alias("hash"))
-        .agg(F.min("at").alias("source"))
+        .select("thread", F.unhex(F.sha2("unit", 256)).alias("hash"), F.col("at").alias("source"))
     )
+    index = held.groupBy("thread", "hash").agg(F.min("source").alias("source"))
     quoted = split.select("thread", "at", F.posexplode("quotes").alias("nth", "quote"))
     quoted = quoted.select(
         "thread",
         "at",
         "nth",
         F.col("quote.level").alias("level"),
-        normal(F.col("quote.text")).alias("whole"),
-        F.explode(units(F.col("quote.text"))).alias("unit"),
-    ).select(
-        "thread",
-        "at",
-        "nth",
-        "level",
-        (F.col("unit") == F.col("whole")).cast("int").alias("is_whole"),
-        F.unhex(F.sha2("unit", 256)).alias("hash"),
-    ).distinct()  # of repeated rows; only hashes move
-    votes = (
-        quoted.join(index, ["thread", "hash"])
-        .filter("source < at")
-        .groupBy("thread", "at", "nth", "level", "source")
-        .agg(F.max("is_whole").alias("is_whole"), F.count("*").alias("lines"))
+        F.unhex(F.sha2(normal(F.col("quote.text")), 256)).alias("hash"),
+        F.transform(
+            units(F.col("quote.text")), lambda x: F.unhex(F.sha2(x, 256))
+        ).alias("units"),
+    ).filter("size(units) > 0").distinct()  # of repeated rows; only hashes move
+    whole = quoted.join(index, ["thread", "hash"], "left").withColumn(
+        "to", F.when(F.col("source") < F.col("at"), F.col("source"))
     )
-    best = F.struct(F.col("is_whole"), F.col("lines"), (-F.col("source")).alias("early"))
-    linked = votes.groupBy("thread", "at", "nth", "level").agg(F.max_by("source", best).alias("to"))
+    whole = cut(whole.drop("source"))
+    linked = whole.filter("to IS NOT NULL").select("thread", "at", "nth", "level", "to")
+    rest = whole.filter("to IS NULL AND thread IS NOT NULL AND at IS NOT NULL AND size(units) > 1")
+    if not is_empty(rest):
+        linked = linked.unionByName(_partial(rest, held.distinct()))
     parents = cut(
         linked.groupBy("thread", "at").agg(
             F.count("*").alias("n_linked"),
@@ -166,6 +160,71 @@ def link_quotations(
     )
 
 
+def _partial(rest: DataFrame, held: DataFrame) -> DataFrame:
+    """``thread, at, nth, level, to`` of passages that no earlier message has as a whole.
+
+    Every message that holds a line counts as a holder. Equal passages of a thread are counted once,
+    against all holders; a passage then takes the best one before it. So that a greeting held by a
+    whole thread is not paired with every passage that begins with it, holders are looked up in
+    two rounds: those of the rarest line give a count that is reached, and any message that reaches
+    it has one of as many of the rarest lines as leave too few others. Only messages found so are
+    counted in full. A line is left out of the look-up if it alone decides nothing: a message of one
+    common line is seen by the earliest holder of any line. Only passages whose lines are all
+    frequent meet long lists, and there are few different ones.
+    """
+    lines = F.array_sort(F.array_except("units", F.array("hash")))
+    rest = rest.withColumn("key", F.sha2(F.array_join(F.transform(lines, F.hex), ","), 256))
+    each = rest.groupBy("thread", "key").agg(
+        F.min("at").alias("first"), F.max("at").alias("last"), F.first(lines).alias("lines")
+    )
+    each = each.select("thread", "key", "first", "last", F.explode("lines").alias("hash"))
+    counts = held.join(each.select("thread", "hash").distinct(), ["thread", "hash"], "left_semi")
+    counts = counts.groupBy("thread", "hash").agg(
+        F.count("*").alias("holders"), F.min("source").alias("earliest")
+    )
+    of_passage = Window.partitionBy("thread", "key")
+    ranked = cut(
+        each.join(counts, ["thread", "hash"])
+        .withColumn("rank", F.row_number().over(of_passage.orderBy("holders", "hash")))
+        .withColumn("n", F.count("*").over(of_passage))
+    )
+
+    def counted(looked_up: DataFrame) -> DataFrame:
+        """``thread, key, source, lines``, all lines counted, of the holders of some."""
+        found = looked_up.join(held, ["thread", "hash"]).filter("source < last")
+        found = found.select("thread", "key", "source", "first").distinct()
+        every = found.join(ranked.select("thread", "key", "hash"), ["thread", "key"])
+        return (
+            every.join(held, ["thread", "hash", "source"])
+            .groupBy("thread", "key", "source", "first")
+            .agg(F.count("*").alias("lines"))
+        )
+
+    reached = counted(ranked.filter("rank = 1")).filter("source < first")
+    reached = reached.groupBy("thread", "key").agg(F.max("lines").alias("reached"))
+    needed = F.greatest(F.coalesce("reached", F.lit(1)), F.lit(2))
+    looked_up = ranked.join(reached, ["thread", "key"], "left").filter(
+        F.col("rank") <= F.greatest(F.col("n") - needed + 1, F.lit(1))
+    )
+    alone = ranked.select("thread", "key", F.col("earliest").alias("source"), F.lit(1).alias("lines"))
+    # Of each number of lines the earliest message is enough, whichever message quotes.
+    steps = (
+        counted(looked_up)
+        .select("thread", "key", "source", "lines")
+        .unionByName(alone)
+        .groupBy("thread", "key", "lines")
+        .agg(F.min("source").alias("source"))
+    )
+    best = F.struct(F.col("lines"), (-F.col("source")).alias("early"))
+    return (
+        rest.select("thread", "at", "nth", "level", "key")
+        .join(steps, ["thread", "key"])
+        .filter("source < at")
+        .groupBy("thread", "at", "nth", "level")
+        .agg(F.max_by("source", best).alias("to"))
+    )
+
+
 def _follow(parents: DataFrame) -> DataFrame:
     """``thread, at, root, depth`` from ``thread, at, parent``, by doubling the reach a round."""
     reach = parents.select(
