@@ -6,11 +6,13 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loadlens.joins import attach_groups
 from loadlens.llm import (
     bpe,
     decontaminate,
     exact_dedup,
     html_text,
+    mixing,
     quotes,
     secrets,
     simhash,
@@ -253,3 +255,41 @@ SELECT t.conv_id, t.turn, coalesce(n_quotes, 0) AS n_quotes, coalesce(n_linked,
        CAST(coalesce(r.depth, 0) AS BIGINT) AS depth,
        sha256(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) AS text_sha256
 FROM t LEFT JOIN p USING (conv_id, turn) LEFT JOIN r USING (conv_id, turn)"""
+
+
+@_query
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = mixing.mix_sources(table(spark, sf_dir, "documents"))
+    rows = made.documents.withColumn("source", F.element_at("sources", 1))
+    sources = made.sources.select("source", "source_size", "target")
+    return attach_groups(rows, sources, ["source"]).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
+#: A document belongs to one source, so its quota is met by whole passes and the start of one more.
+ORACLES["op11_source_mix"] = """
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                  substr(md5('0:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15) AS key
+           FROM documents),
+s AS (SELECT source, sum(size) AS size, row_number() OVER (ORDER BY source NULLS LAST) AS n
+      FROM d GROUP BY source),
+w AS (SELECT *, CASE n % 3 WHEN 1 THEN 5 WHEN 2 THEN 2 ELSE 1 END AS w FROM s),
+b AS (SELECT *, sum(size) OVER () AS total, sum(w) OVER () AS weights,
+             coalesce(sum(3 * size) OVER before, 0) AS cap_before, coalesce(sum(w) OVER before, 0) AS w_before
+      FROM w WINDOW before AS (ORDER BY size * 10 / w, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+f AS (SELECT *, 3 * size * (weights - w_before) <= w * (total - cap_before) AS is_full FROM b),
+r AS (SELECT *, total - coalesce(sum(3 * size) FILTER (is_full) OVER (), 0) AS remaining,
+             coalesce(sum(w) FILTER (NOT is_full) OVER (), 0) AS sharing FROM f),
+t AS (SELECT source, size AS source_size,
+             CASE WHEN is_full THEN CAST(3 * size AS DOUBLE)
+                  ELSE CAST(w * remaining AS DOUBLE) / CAST(sharing AS DOUBLE) END AS target FROM r),
+q AS (SELECT *, CAST(floor(target + 0.5) AS BIGINT) AS quota FROM t),
+x AS (SELECT d.*, q.source_size, q.target, q.quota,
+             sum(d.size) OVER (PARTITION BY d.source ORDER BY key ROWS UNBOUNDED PRECEDING) - d.size AS before
+      FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS source_size, target,
+       CASE WHEN source_size = 0 THEN 0
+            ELSE CAST(size * (quota // source_size) + CASE WHEN 2 * before + size < 2 * (quota % source_size)
+                                                          THEN size ELSE 0 END AS BIGINT) END AS taken
+FROM x"""
