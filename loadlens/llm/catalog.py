@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from loadlens.joins import attach_groups
 from loadlens.llm import (
+    alignment,
     bpe,
     decontaminate,
     exact_dedup,
@@ -293,3 +294,12 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS sour
             ELSE CAST(size * (quota // source_size) + CASE WHEN 2 * before + size < 2 * (quota % source_size)
                                                           THEN size ELSE 0 END AS BIGINT) END AS taken
 FROM x"""
+
+
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@_query
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = alignment.Tokenizers(RANKS, public_tokenizers.PATTERN, MODEL)
+    return alignment.align_tokenizers(table(spark, sf_dir, "documents"), names)
