@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from loadlens.llm import (
     html_text,
     mixing,
     quotes,
+    repair,
     secrets,
     simhash,
     token_counts,
@@ -303,3 +306,96 @@ MODEL = public_tokenizers.path("piece_bpe_32k.model")
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = alignment.Tokenizers(RANKS, public_tokenizers.PATTERN, MODEL)
     return alignment.align_tokenizers(table(spark, sf_dir, "documents"), names)
+
+
+_EMPTY_SHA256 = hashlib.sha256().hexdigest()
+
+
+@_query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    made = repair.repair_conversations(repair.damaged(conversations))
+    every = conversations.select("conv_id").distinct()
+    digests = repair.digests(made.rows).withColumnRenamed("conv_id", "c")
+    found = made.report.join(digests, F.col("conv_id").eqNullSafe(F.col("c")), "left").drop("c")
+    found = found.withColumnRenamed("conv_id", "c")
+    found = every.join(found, F.col("conv_id").eqNullSafe(F.col("c")), "left")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return found.select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.lit(_EMPTY_SHA256)).alias("repaired_sha256"),
+    )
+
+
+def _best_sql(*options: tuple[str, str, int, str]) -> str:
+    """The least of (condition, state before, added cost, edit)."""
+    made = [
+        f"CASE WHEN {v} IS NOT NULL AND {when} THEN {{'c': {v}.c + {cost}, 'a': {v}.a || '{edit}'}} END"
+        for when, v, cost, edit in options
+    ]
+    return f"list_min([{', '.join(made)}])"
+
+
+def _row_sql(state: int, before: str, initial: str) -> str:
+    """The least way to a state by the next row: deleted, kept or given another role."""
+    keep = [(f"NOT r.unwanted AND r.initial = '{initial}'", v, "r.extra", "K") for v in before.split()]
+    other = [("NOT r.unwanted", v, "r.extra + 1", "R") for v in before.split() if initial != "s"]
+    return _best_sql(("TRUE", f"v{state}", 2, "D"), *keep, *other)
+
+
+_CRC_STEP = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+
+#: From left to right in a recursion: the least edits that lead to each state after each row.
+ORACLES["op12_conversation_repair"] = f"""
+WITH RECURSIVE tab AS (SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, k: {_CRC_STEP}, n)) AS t),
+k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+      FROM conversations),
+m AS (SELECT k.*, xor(list_reduce(list_transform(string_split(key, ''), lambda x: CAST(ord(x) AS BIGINT)),
+                      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) % 20 AS kind
+      FROM k, tab),
+d AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+             CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+      FROM m, unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS u(x)),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+             right(regexp_replace(text, '[\x20\x09-\x0D]+$', ''), 1) AS last_char FROM d),
+f AS (SELECT *, CASE WHEN last_char = '' THEN 'blank'
+                     WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                     WHEN last_char NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+             lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS two FROM n),
+r AS (SELECT *, left(role, 1) AS initial, fault IN ('blank', 'duplicate') AS unwanted,
+             CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS extra FROM f),
+w AS (SELECT conv_id, CAST(0 AS BIGINT) AS i, {{'c': CAST(0 AS BIGINT), 'a': ''}} AS v0,
+             CAST(NULL AS STRUCT(c BIGINT, a VARCHAR)) AS v1,
+             {{'c': CAST(5 AS BIGINT), 'a': 'I'}} AS v2, {{'c': CAST(10 AS BIGINT), 'a': 'II'}} AS v3
+      FROM r GROUP BY conv_id
+      UNION ALL
+      SELECT conv_id, i, n0, n1,
+             {_best_sql(("TRUE", "n2", 0, ""), ("TRUE", "n0", 5, "I"), ("TRUE", "n1", 5, "I"), ("TRUE", "n3", 5, "I"))},
+             {_best_sql(("TRUE", "n3", 0, ""), ("TRUE", "n2", 5, "I"), ("TRUE", "n0", 10, "II"), ("TRUE", "n1", 10, "II"))}
+      FROM (SELECT w.conv_id, r.i, {_best_sql(("TRUE", "v0", 2, "D"))} AS n0, {_row_sql(1, "v0", "s")} AS n1,
+                   {_row_sql(2, "v0 v1 v3", "u")} AS n2, {_row_sql(3, "v2", "a")} AS n3
+            FROM w JOIN r ON w.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = w.i + 1)),
+e AS (SELECT conv_id, arg_max(list_min([v0, v3]), i) AS best FROM w GROUP BY conv_id),
+j AS (SELECT conv_id, best.a AS audit, p, best.a[p] AS edit, len(replace(best.a[:p], 'I', '')) AS i,
+             len(replace(best.a[:p], 'D', '')) AS place FROM e, unnest(range(1, len(best.a) + 1)) AS u(p)),
+o AS (SELECT j.*, r.role, r.text, r.initial,
+             max(CASE WHEN place = 1 AND edit = 'K' AND initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY j.conv_id) AS s
+      FROM j LEFT JOIN r ON j.conv_id IS NOT DISTINCT FROM r.conv_id AND j.i = r.i AND edit <> 'I'),
+h AS (SELECT conv_id, sha256(string_agg(
+             CASE WHEN edit = 'K' THEN role WHEN (place - s) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' ||
+             CASE edit WHEN 'I' THEN '' ELSE text END, chr(10) ORDER BY p)) AS digest
+      FROM o WHERE edit <> 'D' GROUP BY conv_id),
+g AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+             count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+             count(*) FILTER (fault = 'truncated') AS truncated,
+             count(*) FILTER (two NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY conv_id)
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank,
+       coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit, coalesce(digest, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS c
+LEFT JOIN g ON c.conv_id IS NOT DISTINCT FROM g.conv_id
+LEFT JOIN e ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+LEFT JOIN h ON c.conv_id IS NOT DISTINCT FROM h.conv_id"""
