@@ -45,6 +45,8 @@ def attach_groups(
     by: Sequence[str],
     *,
     known_small: bool = False,
+    kept: bool = False,
+    size: int | None = None,
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Add per-group columns to every row (inner join on ``by``, NULL keys included).
@@ -52,7 +54,8 @@ def attach_groups(
     The groups are computed once. If their counted bytes allow they are broadcast, so the rows do
     not move and a hot group stays spread out. Beyond the bound it is a shuffle join, whose hot
     partitions adaptive execution splits. ``known_small`` skips all that where the size follows
-    from the plan, e.g. one row of a global aggregate per requested column.
+    from the plan, e.g. one row of a global aggregate per requested column. ``kept`` says that the
+    groups are already computed, ``size`` how many bytes their rows have, if that was counted.
     """
     renamed = groups.select(
         *[F.col(k).alias(f"__g_{k}") for k in by],
@@ -61,8 +64,9 @@ def attach_groups(
     if known_small:
         renamed = F.broadcast(renamed)
     else:
-        renamed = checkpointed(renamed)
-        if fits_broadcast(renamed, max_bytes):
+        if not kept and size is None:
+            renamed = checkpointed(renamed)
+        if size <= max_bytes if size is not None else fits_broadcast(renamed, max_bytes):
             renamed = F.broadcast(renamed)
     joined = rows.join(renamed, null_safe(rows, renamed, [(k, f"__g_{k}") for k in by]))
     return joined.drop(*[f"__g_{k}" for k in by])

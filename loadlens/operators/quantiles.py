@@ -3,11 +3,15 @@
 A percentile here is always a value of the data: the smallest one whose rank reaches ``p * n``.
 
 The first scan computes the caller's aggregates and, with a sketch, a bracket around every wanted
-rank. The second counts rows in equal-width cells of the brackets (a few thousand counters per
-group, combined before the shuffle) and names the cell each rank falls in; the counts cover all
-rows, so the answer is exact even where the sketch misses. The third counts the distinct values
-of those cells. A cell that holds too many rows, because a bracket spans a gap of the data, is
-cut into cells again first. So neither a hot group nor an odd distribution gathers rows in a task.
+rank. The second counts rows in cells of the brackets (a few thousand counters per group, combined
+before the shuffle) and names the cell each rank falls in; the counts cover all rows, so the
+answer is exact even where the sketch misses. The third counts the distinct values of those cells.
+A cell that holds too many rows, because a bracket spans a gap of the data, is cut into cells again
+first. So neither a hot group nor an odd distribution gathers rows in a task.
+
+Cells are ranges of whole numbers that order as the doubles do (``ordered_key``), infinities and NaN
+included: NaN is above all, as in SQL, and the zeros are one value. A cell of 64 bits falls apart into
+``cells`` of them at a time, so with 1024 cells at most seven rounds lead to a single value.
 
 What is kept between the scans has one row per group; it is checkpointed. The input is read once
 per scan: write rows that are costly or not repeatable, such as scores, before measuring them.
@@ -21,12 +25,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadlens.joins import attach_groups, null_safe
+from loadlens.joins import attach_groups, null_safe, row_bytes
 from loadlens.scratch import checkpointed
 
 ACCURACY = 10_000
 CELLS = 1024
 CELL_ROWS = 1_000_000  # rows of one cell whose distinct values one task may order
+_FRACTION = 1 << 52  # of the bits of a double
+_SMALLEST, _SMALLEST_NORMAL = 5e-324, 2.2250738585072014e-308
 _SCALE = 1_000_000  # probabilities are read to six places, so ranks are whole-number arithmetic
 
 
@@ -59,24 +65,57 @@ def _reached(ranked: DataFrame, rank: Column) -> DataFrame:
     return ranked.filter((rank <= F.col("_upto")) & (rank > F.col("_upto") - F.col("_n")))
 
 
-def _cells_of(value: Column, low: Column, high: Column, cells: int) -> Column:
-    part = F.floor(F.try_divide(value - low, high - low) * cells).cast("int")
-    return F.coalesce(F.least(part, F.lit(cells)), F.lit(0))
+def ordered_key(value: Column) -> Column:
+    """A whole number for each double, in the order of the doubles: its bits, negated below zero.
+
+    The bits come from the exponent and the fraction. The logarithm may be off by one near a power of
+    two and is put right; scaling by powers of two is exact.
+    """
+    size = F.abs(value)
+    guess = F.greatest(F.least(F.floor(F.log2(size)), F.lit(1023)), F.lit(-1022)).cast("int")
+    scaled = size / F.pow(F.lit(2.0), guess)
+    off = F.when(scaled >= 2, 1).when(scaled < 1, -1).otherwise(0)
+    part = F.when(scaled >= 2, scaled / 2).when(scaled < 1, scaled * 2).otherwise(scaled)
+    fraction = ((part - 1) * _FRACTION).cast("long")
+    bits = (guess + off + 1023).cast("long") * F.lit(_FRACTION) + fraction
+    bits = (
+        F.when(F.isnan(value), F.lit(2047 * _FRACTION + 1))
+        .when(size == float("inf"), F.lit(2047 * _FRACTION))
+        .when(size < _SMALLEST_NORMAL, (size / _SMALLEST).cast("long"))
+        .otherwise(bits)
+    )
+    return F.when(value < 0, -bits).otherwise(bits)
+
+
+def _cells_of(key: Column, low: Column, high: Column, cells: int) -> Column:
+    """The cell of a key between two others: the bits that remain if so many are shifted out that
+    the ends are about ``cells`` apart. Ends that differ are in different cells."""
+    half = F.shiftright(high, 1) - F.shiftright(low, 1)  # the whole difference may not fit a long
+    wanted = max(2, cells.bit_length() - 1)
+    shift = F.ceil(F.log2(half.cast("double") + 1)).cast("int") + 1 - wanted
+    shift = F.greatest(shift, F.lit(0))
+    return F.call_function("shiftright", key, shift) - F.call_function("shiftright", low, shift)
 
 
 def _first_cells(
-    rows: DataFrame, brackets: DataFrame, probs: Sequence[float], keys: Sequence[str], cells: int
+    rows: DataFrame,
+    brackets: DataFrame,
+    size: int,
+    probs: Sequence[float],
+    keys: Sequence[str],
+    cells: int,
 ) -> DataFrame:
     """The cell of every wanted rank: keys..., _p, _need (rank within it), _n, _lo, _hi."""
     edges = [F.get("_cuts", F.lit(i)) for i in range(2 * len(probs))]
     # Zone 2i+1 is the closed bracket of probability i, even zones lie between brackets.
-    placed = attach_groups(rows, brackets, keys)
+    placed = attach_groups(rows, brackets, keys, size=size)
     passed = [F.col("_v") >= e if i % 2 == 0 else F.col("_v") > e for i, e in enumerate(edges)]
     zone = reduce(lambda a, b: a + b, [x.cast("int") for x in passed])
     placed = placed.withColumn("_zone", zone)
     low, high = F.get("_cuts", F.col("_zone") - 1), F.get("_cuts", F.col("_zone"))
     inside = F.col("_zone") % 2 == 1
-    cell = F.when(inside, _cells_of(F.col("_v"), low, high, cells)).otherwise(0)
+    key = [ordered_key(c) for c in (F.col("_v"), low, high)]
+    cell = F.when(inside, _cells_of(*key, cells)).otherwise(0)
     counted = placed.groupBy(*keys, "_zone", cell.alias("_cell")).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
     )
@@ -101,22 +140,24 @@ def _first_cells(
     )
 
 
-def _rows_within(rows: DataFrame, hits: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _rows_within(rows: DataFrame, hits: DataFrame, size: int, keys: Sequence[str]) -> DataFrame:
     """The rows of the open cells, with the cell's columns; a row may be in several."""
     packed = hits.groupBy(*keys).agg(  # one entry per wanted percentile
         F.collect_list(F.struct("_p", "_need", "_lo", "_hi")).alias("_open")
     )
-    near = attach_groups(rows, packed, keys)
+    near = attach_groups(rows, packed, keys, size=size)
     near = near.select(*keys, "_v", F.explode("_open").alias("_o")).select(*keys, "_v", "_o.*")
     return near.filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
 
 
-def _finer_cells(rows: DataFrame, hits: DataFrame, keys: Sequence[str], cells: int) -> DataFrame:
+def _finer_cells(
+    rows: DataFrame, hits: DataFrame, size: int, keys: Sequence[str], cells: int
+) -> DataFrame:
     """The same ranks in cells of the cells they are in."""
     groups = [*keys, "_p", "_need"]
-    cell = _cells_of(F.col("_v"), F.col("_lo"), F.col("_hi"), cells)
+    cell = _cells_of(*[ordered_key(F.col(c)) for c in ("_v", "_lo", "_hi")], cells)
     counted = (
-        _rows_within(rows, hits, keys)
+        _rows_within(rows, hits, size, keys)
         .groupBy(*groups, cell.alias("_cell"))
         .agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     )
@@ -138,19 +179,28 @@ def _values_at(
     cells: int,
     cell_rows: int,
 ) -> DataFrame:
-    """keys..., _p, _v."""
-    hits = checkpointed(_first_cells(rows, brackets, probs, keys, cells))
-    wide_cells = (F.col("_n") > cell_rows) & (F.col("_lo") < F.col("_hi"))
-    while hits.filter(wide_cells).take(1):
-        hits = checkpointed(_finer_cells(rows, hits, keys, cells))
+    """keys..., _p, _v. ``brackets`` are computed already."""
+    (size,) = _counted(brackets)
+    hits = checkpointed(_first_cells(rows, brackets, size, probs, keys, cells))
+    wide = F.max(F.when(F.col("_lo") < F.col("_hi"), F.col("_n")))
+    size, most = _counted(hits, wide)
+    while (most or 0) > cell_rows:
+        hits = checkpointed(_finer_cells(rows, hits, size, keys, cells))
+        size, most = _counted(hits, wide)
     single = hits.filter("_lo = _hi").select(*keys, "_p", F.col("_lo").alias("_v"))
     several = hits.filter("NOT _lo = _hi")
-    near = _rows_within(rows, several, keys)
+    near = _rows_within(rows, several, size, keys)
     values = near.groupBy(*keys, "_p", "_need", "_v").agg(F.count(F.lit(1)).alias("_n"))
     ranked = _running(values, [*keys, "_p", "_need"], ["_v"])
     return single.unionByName(_reached(ranked, F.col("_need")).select(*keys, "_p", "_v"))
 
 
+def _counted(kept: DataFrame, *more: Column) -> tuple:
+    """The bytes of a table that is computed already, and other figures of it, in one job."""
+    size, *found = kept.agg(F.sum(row_bytes(kept)), *more).first()
+    return size or 0, *found
+
+
 def _cuts(probs: Sequence[float], accuracy: int) -> list[float]:
     margin = 2.0 / accuracy
     return [float(x) for p in probs for x in (max(0.0, p - margin), min(1.0, p + margin))]

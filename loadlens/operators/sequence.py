@@ -25,7 +25,7 @@ def dense_sequence(
     One range sort on group and order spreads a hot group over many tasks. The sorted rows are
     kept once with their place (partition, position), so both readers below see the same places.
     Rows per (partition, group) then give each partition its offset: at most one small row per
-    partition and group. The kept rows are a checkpoint, which Spark drops once the result is no
+    partition and group, and without groups one row a partition, which is broadcast. The kept rows are a checkpoint, which Spark drops once the result is no
     longer referred to.
     """
     by = list(by)
@@ -39,6 +39,6 @@ def dense_sequence(
     offsets = counts.select(
         *by, "_part", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
     )
-    numbered = attach_groups(placed, offsets, [*by, "_part"])
+    numbered = attach_groups(placed, offsets, [*by, "_part"], known_small=not by)
     value = F.col("_mid") - F.col("_first") + F.col("_before") + F.lit(start)
     return numbered.select(*df.columns, value.cast("long").alias(name))

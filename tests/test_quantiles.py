@@ -2,13 +2,20 @@
 
 import math
 import random
+import struct
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from loadlens.operators.quantiles import exact_percentiles, grouped_with_percentiles, wide
+from loadlens.operators import quantiles
+from loadlens.operators.quantiles import (
+    exact_percentiles,
+    grouped_with_percentiles,
+    ordered_key,
+    wide,
+)
 
 PROBS = [0.5, 0.95, 0.99]
 
@@ -113,3 +120,45 @@ def test_no_single_task_holds_rows(spark):
     text = exact_percentiles(df, {"v": F.col("v")}, PROBS)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in text
     assert "collect_list(v" not in text
+
+
+def test_keys_order_as_doubles(spark):
+    hard = [0.0, -0.0, 5e-324, 2.2250738585072009e-308, 2.2250738585072014e-308, 1.0, 0.1, 1 / 3]
+    hard += [2.0**k for k in range(-1074, 1024, 13)] + [math.nextafter(2.0**k, 0) for k in range(-1022, 1024, 7)]
+    hard += [math.nextafter(2.0**k, math.inf) for k in range(-1022, 1024, 11)] + [1.7976931348623157e308]
+    rnd = random.Random(2)
+    hard += [struct.unpack("<d", struct.pack("<Q", rnd.getrandbits(63)))[0] for _ in range(3000)]
+    values = [v for v in hard + [-v for v in hard] if v == v] + [math.inf, -math.inf]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for v, key in df.select("v", ordered_key(F.col("v"))).collect():
+        bits = struct.unpack("<q", struct.pack("<d", abs(v)))[0]
+        assert key == (-bits if v < 0 else bits), v
+    nan = spark.range(1).select(ordered_key(F.lit(float("nan")))).first()[0]
+    assert nan > struct.unpack("<q", struct.pack("<d", math.inf))[0]
+
+
+ODD = [math.nan, math.inf, -math.inf, 1.7976931348623157e308, -1.7976931348623157e308, 0.0, -0.0]
+
+
+def as_sql(v):
+    """NaN above all, as SQL orders it."""
+    return (v != v, 0.0 if v != v else v)
+
+
+@pytest.mark.parametrize("few", [3, 40])
+def test_infinities_and_nan_end_in_few_rounds(spark, monkeypatch, few):
+    rnd = random.Random(1)
+    values = [float(i) for i in range(1, 101)] + ODD * few + [rnd.gauss(0, 1e300) for _ in range(60)]
+    df = spark.createDataFrame([("hot", v) for v in values] + [("other", math.nan)], "g string, v double")
+    rounds = []
+    real = quantiles._finer_cells
+    monkeypatch.setattr(quantiles, "_finer_cells", lambda *a: rounds.append(1) or real(*a))
+    probs = [0.01, 0.1, 0.5, 0.9, 0.95, 0.99, 1.0]
+    found = exact_percentiles(df, {"v": F.col("v")}, probs, ["g"], accuracy=10, cell_rows=5)
+    got = {(r.g, r.p): r.value for r in found.collect()}
+    ordered = sorted(values, key=as_sql)
+    for p in probs:
+        want = ordered[max(1, -(-round(p * 1e6) * len(ordered) // 1_000_000)) - 1]
+        assert as_sql(got["hot", p]) == as_sql(want), p
+        assert math.isnan(got["other", p])
+    assert len(rounds) <= 6
