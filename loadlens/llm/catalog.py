@@ -266,7 +266,7 @@ def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = mixing.mix_sources(table(spark, sf_dir, "documents"))
     rows = made.documents.withColumn("source", F.element_at("sources", 1))
     sources = made.sources.select("source", "source_size", "target")
-    return attach_groups(rows, sources, ["source"]).select(
+    return attach_groups(rows, sources, ["source"], kept=True).select(
         "doc_id", "size", "source_size", "target", "taken"
     )
 

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadlens.joins import attach_groups
+from loadlens.joins import attach_groups, row_bytes
 from loadlens.llm.common import cut, is_empty, text_of
 from loadlens.llm.components import connected_components
 from loadlens.operators.sequence import dense_sequence
@@ -152,18 +152,21 @@ def _flows(patterns: DataFrame, sources: DataFrame, most: int) -> DataFrame:
     Sources that share no document do not concern each other, so every component of sources is
     routed by itself; a task sees the patterns of one component, never documents.
     """
+    size = _bytes(sources)
     member = patterns.select("pattern", "size", F.explode("sources").alias("source"))
-    member = attach_groups(member, sources.select("source", "rank", "quota"), ["source"])
-    ranks = member.groupBy("pattern").agg(F.sort_array(F.collect_set("rank")).alias("r"))
-    links = ranks.select(F.explode(F.expr("zip_with(slice(r, 1, size(r) - 1), slice(r, 2, size(r)), (a, b) -> struct(a, b))")).alias("l"))
-    found = connected_components(links.select("l.a", "l.b"))
+    member = attach_groups(member, sources.select("source", "rank", "quota"), ["source"], size=size)
+    member = cut(member)
+    neighbours = Window.partitionBy("pattern").orderBy("rank")
+    links = member.select(F.col("rank").alias("a"), F.lead("rank").over(neighbours).alias("b"))
+    found = connected_components(links.filter("b IS NOT NULL"))
     routed = member.join(found.withColumnRenamed("node", "rank"), "rank", "left").withColumn(
         "component", F.coalesce("root", "rank")
     )
 
     def solve(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["pattern", "rank"])
-        ids = {p: k for k, p in enumerate(rows.pattern.unique())}
+        sets = rows.groupby("pattern")["rank"].agg(tuple).sort_values()
+        ids = {p: k for k, p in enumerate(sets.index)}
         capacity, members = [0] * len(ids), [[] for _ in ids]
         for p, size, rank in zip(rows.pattern, rows["size"], rows["rank"], strict=True):
             capacity[ids[p]] = int(size)
@@ -177,7 +180,11 @@ def _flows(patterns: DataFrame, sources: DataFrame, most: int) -> DataFrame:
     made = numbers.groupBy("component").applyInPandas(
         solve, "pattern long, rank long, size long, words long"
     )
-    return attach_groups(made, sources.select("rank", "source"), ["rank"])
+    return attach_groups(made, sources.select("rank", "source"), ["rank"], size=size)
+
+
+def _bytes(kept: DataFrame) -> int:
+    return kept.agg(F.sum(row_bytes(kept))).first()[0] or 0
 
 
 def _boundaries(placed: DataFrame, ends: DataFrame) -> DataFrame:
@@ -187,13 +194,14 @@ def _boundaries(placed: DataFrame, ends: DataFrame) -> DataFrame:
     key; each window holds at most 2**15 cells, or the distinct keys of one cell of 2**30. Adds
     ``key, ties, of``: how many of the ``of`` equal rows under the key are taken.
     """
+    size = _bytes(ends)  # three numbers an end, of which two are attached to the rows
     now = ends.withColumn("prefix", F.lit(0).cast("long")).withColumn("before", F.lit(0).cast("long"))
     above = _BITS
     order = Window.partitionBy("pattern", "rank").orderBy("cell")
     for shift in (*_CELLS, 0):
         wanted = now.select("pattern", "prefix").distinct()
         rows = placed.select("pattern", "key", "size", F.shiftright("key", above).alias("prefix"))
-        rows = attach_groups(rows, wanted, ["pattern", "prefix"])
+        rows = attach_groups(rows, wanted, ["pattern", "prefix"], size=size)
         cells = rows.groupBy("pattern", "prefix", F.shiftright("key", shift).alias("cell")).agg(
             F.sum("size").alias("words"), F.count(F.lit(1)).alias("of")
         )
@@ -205,8 +213,8 @@ def _boundaries(placed: DataFrame, ends: DataFrame) -> DataFrame:
         )
         above = shift
     # Of equal rows, those are taken whose middle lies below the end.
-    size = F.col("words") / F.col("of")
-    ties = F.ceil((F.col("rest") - F.col("before") - size / 2) / size)
+    each = F.col("words") / F.col("of")
+    ties = F.ceil((F.col("rest") - F.col("before") - each / 2) / each)
     return now.select(
         "pattern", "rank", F.col("prefix").alias("key"), "of",
         F.least(F.greatest(ties, F.lit(0)), F.col("of")).cast("long").alias("ties"),
@@ -256,8 +264,9 @@ def mix_sources(
         )
     )
     patterns = base.groupBy("sources").agg(F.sum("size").alias("size"))
-    patterns = cut(dense_sequence(patterns, ["sources"], name="pattern"))
-    total = patterns.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    patterns = cut(patterns.withColumn("pattern", F.monotonically_increasing_id()))
+    total, size = patterns.agg(F.sum("size"), F.sum(row_bytes(patterns))).first()
+    total, size = total or 0, size or 0
     sizes = patterns.select(F.explode("sources").alias("source"), "size").groupBy("source")
     sizes = sizes.agg(F.sum("size").alias("source_size"))
     ranked = dense_sequence(sizes.withColumn("none", F.col("source").isNull()), ["none", "source"], name="rank")
@@ -271,8 +280,8 @@ def mix_sources(
             "pattern", "rank", "source", F.expr("end div size").alias("passes"), F.expr("end % size").alias("rest")
         )
     )
-    placed = attach_groups(base, patterns.select("sources", "pattern"), ["sources"])
-    found = cut(_boundaries(placed, ends.filter("rest > 0").select("pattern", "rank", "rest")))
+    placed = attach_groups(base, patterns.select("sources", "pattern"), ["sources"], size=size)
+    found = cut(_boundaries(placed, cut(ends.filter("rest > 0").select("pattern", "rank", "rest"))))
     ends = ends.join(found, ["pattern", "rank"], "left").groupBy("pattern").agg(
         F.sort_array(
             F.collect_list(
@@ -280,7 +289,7 @@ def mix_sources(
             )
         ).alias("ends")
     )
-    ends = patterns.select("pattern").join(ends, "pattern", "left")
+    ends = cut(patterns.select("pattern").join(ends, "pattern", "left"))
     torn = cut(found.filter("ties > 0 AND ties < of").select("pattern", "key").distinct())
     numbered = placed.withColumn("tie", F.lit(0).cast("long"))
     if not is_empty(torn):
@@ -290,7 +299,7 @@ def mix_sources(
         numbered = rest.unionByName(
             dense_sequence(tied, ["doc_id", "size"], by=["pattern", "key"], start=0, name="tie")
         )
-    marked = attach_groups(numbered, ends, ["pattern"])
+    marked = attach_groups(numbered, ends, ["pattern"], kept=True)
 
     def before(e: Column) -> Column:
         inside = (F.col("key") < e["key"]) | ((F.col("key") == e["key"]) & (F.col("tie") < e["ties"]))
