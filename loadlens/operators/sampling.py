@@ -4,27 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadlens.functions.paths import run_label
+from loadlens.operators.selection import rows_up_to
 from loadlens.operators.sequence import dense_sequence
 
 
 def _numbered_first(df: DataFrame, n: int, order: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """The rows that can be among the first ``n`` of their group, with their number ``_rn``.
+    """The first ``n`` rows of every group, with their number ``_rn``.
 
-    Every input partition is cut to its own first ``n`` per group, so a task sees no more of a
-    group than one partition held. What is left is numbered over all tasks.
+    The n-th keys are found by counting, so that about ``n`` rows of a group are left before anything
+    is shuffled (``rows_up_to``); these are numbered over all tasks.
     """
-    within = Window.partitionBy(*by, "_part").orderBy(*order)
-    cut = (
-        df.withColumn("_part", F.spark_partition_id())
-        .withColumn("_rn", F.row_number().over(within))
-        .filter(F.col("_rn") <= n)
-        .drop("_part", "_rn")
-    )
-    return dense_sequence(cut, order, by, name="_rn").filter(F.col("_rn") <= n)
+    near = rows_up_to(df, n, order, by)
+    return dense_sequence(near, order, by, name="_rn").filter(F.col("_rn") <= n)
 
 
 def first_n(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:

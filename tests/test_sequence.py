@@ -1,7 +1,9 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
-from loadlens.operators import sampling
+from loadlens.operators import sampling, selection
 from loadlens.operators.partitions import spread_for_scoring, tasks_for, waves
 from loadlens.operators.sequence import dense_sequence
 from tests.helpers import plan, rows
@@ -93,3 +95,60 @@ def test_tasks_for(spark):
 
 def test_spread(spark):
     assert spread_for_scoring(spark.range(500), 3).rdd.getNumPartitions() == 3
+
+
+@pytest.mark.parametrize("by", [[], ["g"]])
+@pytest.mark.parametrize("n", [3, 700])
+def test_rows_up_to_the_nth_key(spark, monkeypatch, by, n):
+    monkeypatch.setattr(selection, "SPARE", 60)
+    monkeypatch.setattr(selection, "SAMPLE", 200)
+    df = hot(spark, 20_000).withColumn("t", F.when(F.col("t") % 9 > 0, F.col("t")))
+    got = selection.rows_up_to(df, n, ["t", "id"], by).collect()
+    groups = {}
+    for r in df.collect():
+        groups.setdefault(tuple(r[c] for c in by), []).append((r.t is not None, r.t or 0, r.id))
+    left = {}
+    for r in got:
+        left.setdefault(tuple(r[c] for c in by), []).append((r.t is not None, r.t or 0, r.id))
+    assert set(left) == set(groups)
+    for g, members in groups.items():
+        members.sort()
+        assert sorted(left[g]) == members[: len(left[g])]
+        assert min(n, len(members)) <= len(left[g]) <= n + 120
+
+
+def test_equal_keys_end_the_selection(spark, monkeypatch):
+    monkeypatch.setattr(selection, "SPARE", 10)
+    df = spark.range(3000).select((F.col("id") % 3).alias("k"), F.lit(float("nan")).alias("v"))
+    assert selection.rows_up_to(df, 1200, ["k", "v"]).groupBy("k").count().count() == 2
+    assert selection.rows_up_to(df, 5, ["v"]).count() == 3000
+    assert selection.rows_up_to(df.limit(0), 5, ["v"]).count() == 0
+
+
+def above_the_scan(text):
+    """The steps that rows take from the file on: the lines above the scan, parent by parent."""
+
+    def depth(line):
+        return re.search(r"[A-Za-z*(]", line).start()
+
+    lines = [line for line in text.splitlines() if re.search("[A-Za-z]", line)]
+    at = next(i for i, line in enumerate(lines) if "FileScan" in line)
+    found, least = [], depth(lines[at])
+    for line in reversed(lines[:at]):
+        if depth(line) < least:
+            found.append(line)
+            least = depth(line)
+    return found
+
+
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_first_rows_are_chosen_before_the_shuffle(spark, monkeypatch, tmp_path, by):
+    """What is left is about n rows a group, and it is a filter of what is read: no row has moved."""
+    monkeypatch.setattr(selection, "SPARE", 2_000)
+    hot(spark, 200_000).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    near = selection.rows_up_to(df, 5_000, ["t", "id"], by)
+    assert not [line for line in above_the_scan(plan(near)) if "Exchange" in line]
+    groups = near.groupBy(*by).count().collect()
+    assert all(r["count"] <= 7_100 for r in groups)
+    assert sampling.first_n(df, 5_000, ["t", "id"]).count() == 5_000
