@@ -16,7 +16,7 @@ from loadlens.operators.scoring import Scorer
 from loadlens.scratch import scratch_path
 from loadlens.sinks.messages import as_messages
 from loadlens.streaming import requests as stream_requests
-from loadlens.streaming import sinks, windows
+from loadlens.streaming import answers, inflight, sinks, windows
 from loadlens.streaming.scoring import score_stream
 
 _DELAY = "10 minutes"
@@ -180,3 +180,67 @@ def stream_batch_metrics(spark, sf_dir) -> DataFrame:
     return batches.groupBy("run_label").agg(
         F.sum("success_count").alias("success_count"), F.sum("error_count").alias("error_count")
     )
+
+
+# One request in thirteen is never answered, the others after up to two hours.
+_ANSWER_SECONDS = "event_id % 1000 * 7 + 1"
+_TIMEOUT, _TICK = 3600, 1800
+
+
+def _sent_and_answered(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    rows = _stream(spark, sf_dir)
+    number = F.substring("request_id", 5, 20).cast("bigint")
+    seconds = F.expr(_ANSWER_SECONDS.replace("event_id", "CAST(substr(request_id, 5) AS BIGINT)"))
+    made = rows.filter(number % 13 != 0)
+    made = made.withColumn("timestamp", F.col("ingest_ts") + F.make_dt_interval(secs=seconds))
+    return rows, made
+
+
+_SENT_SQL = f"""{P}, S AS (SELECT request_id, gpu_used AS device, ingest_us AS sent_us,
+  CASE WHEN n % 13 <> 0 THEN ingest_us + ({_ANSWER_SECONDS.replace("event_id", "n")}) * 1000000 END AS done_us
+  FROM (SELECT *, CAST(substr(request_id, 5) AS BIGINT) AS n FROM P)),
+M AS (SELECT (greatest(max(sent_us), max(done_us)) - 600000000) // 1000 * 1000 AS mark FROM S),
+E AS (SELECT *, coalesce(done_us <= sent_us + {_TIMEOUT}000000, false) AS answered,
+  CASE WHEN done_us <= sent_us + {_TIMEOUT}000000 THEN done_us ELSE sent_us + {_TIMEOUT}000000 END AS end_us FROM S)"""
+
+
+def _tracked(spark, sf_dir) -> DataFrame:
+    events = inflight.request_events(*_sent_and_answered(spark, sf_dir))
+    return sinks.run_to_table(inflight.track_requests(events, _TIMEOUT, _TICK, _DELAY), "tracked")
+
+
+@query(
+    "stream_ended_requests",
+    f"""WITH {_SENT_SQL} SELECT device, request_id, sent_us, end_us,
+  CASE WHEN answered THEN 'answered' ELSE 'timeout' END AS outcome
+FROM E, M WHERE (end_us + {_TICK}000000 - 1) // {_TICK}000000 * {_TICK}000000 <= mark""",
+)
+def stream_ended_requests(spark, sf_dir) -> DataFrame:
+    return inflight.ended(_tracked(spark, sf_dir))
+
+
+@query(
+    "stream_in_flight",
+    f"""WITH {_SENT_SQL}, T AS (SELECT device, mark, unnest(range((sent_us + {_TICK}000000 - 1) // {_TICK}000000 * {_TICK}000000,
+  end_us, {_TICK}000000)) AS tick_us FROM E, M)
+SELECT device, tick_us, count(*) AS in_flight FROM T WHERE tick_us <= mark GROUP BY ALL""",
+)
+def stream_in_flight(spark, sf_dir) -> DataFrame:
+    return inflight.levels(_tracked(spark, sf_dir))
+
+
+@query(
+    "stream_answers",
+    f"""WITH {_SENT_SQL}, W AS (SELECT (least(max(sent_us), max(done_us)) - 600000000) // 1000 * 1000 AS mark FROM S)
+SELECT request_id, sent_us, CASE WHEN answered THEN done_us - sent_us END AS answer_us
+FROM E, W WHERE answered OR sent_us + {_TIMEOUT}000000 < mark""",
+)
+def stream_answers(spark, sf_dir) -> DataFrame:
+    """Requests and their predictions, joined as two streams; those without one in time leave alone."""
+    sent, made = _sent_and_answered(spark, sf_dir)
+    found = answers.match_answers(
+        sent.select("request_id", "ingest_ts"), made.select("request_id", "timestamp"), f"{_TIMEOUT} SECONDS"
+    )
+    out = sinks.run_to_table(found, "answers")
+    sent_us, done_us = times.micros("ingest_ts"), times.micros("timestamp")
+    return out.select("request_id", sent_us.alias("sent_us"), (done_us - sent_us).alias("answer_us"))
