@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from loadlens.catalog.registry import query
 from loadlens.catalog.views import P, predictions, table
 from loadlens.operators import reports, scoring
-from loadlens.operators.partitions import spread_for_scoring
+from loadlens.operators.partitions import spread_by_bytes, spread_for_scoring
 
 
 def double_value(model: float, rows: pd.DataFrame) -> list[str]:
@@ -34,11 +34,11 @@ _KEPT = [
 ]
 
 
-def _scored(spark, sf_dir, init, micro_batch: int = 1) -> DataFrame:
+def _scored(spark, sf_dir, init, micro_batch: int = 1, halve: bool = False) -> DataFrame:
     rows = predictions(spark, sf_dir).withColumn("kind", F.split("file_path", "/")[2])
     # Scoring is what takes time, so its tasks follow the rows and not the input's files.
     rows = spread_for_scoring(rows, spark.sparkContext.defaultParallelism)
-    scorer = scoring.Scorer(double_value, init, micro_batch, device="cpu-test")
+    scorer = scoring.Scorer(double_value, init, micro_batch, device="cpu-test", halve=halve)
     return scoring.score(rows, scorer, ["inference_time_ms", "kind"], ["run_label"])
 
 
@@ -87,6 +87,41 @@ def score_micro_batches(spark, sf_dir) -> DataFrame:
     )
 
 
+# With halving, micro-batches of sixteen give what rows scored one by one give.
+@query(
+    "score_halved",
+    f"""WITH {P}, K AS (SELECT *, file_path LIKE '%/error/%' AS bad FROM P)
+SELECT request_id, CASE WHEN bad THEN '' ELSE CAST(CAST(round(inference_time_ms * 100) AS BIGINT) * 2 AS VARCHAR)
+  END AS report_text, CASE WHEN bad THEN 'ValueError: cannot read image' END AS error_message FROM K""",
+)
+def score_halved(spark, sf_dir) -> DataFrame:
+    return _scored(spark, sf_dir, lambda: 2.0, 16, True).select("request_id", "report_text", "error_message")
+
+
+# 24 tasks: none has more bytes than its share and one file, which is twice the mean for most.
+@query(
+    "scoring_tasks_by_bytes",
+    """WITH B AS (SELECT greatest(strlen(html), 1) * CASE WHEN page_id % 97 = 0 THEN 50 ELSE 1 END AS b FROM pages)
+SELECT count(*) AS files, CAST(sum(b) AS BIGINT) AS bytes, true AS balanced, true AS in_few_tasks FROM B""",
+)
+def scoring_tasks_by_bytes(spark, sf_dir) -> DataFrame:
+    times = F.when(F.col("page_id") % 97 == 0, 50).otherwise(1)
+    listing = table(spark, sf_dir, "pages").select(
+        "url", (F.greatest(F.octet_length("html"), F.lit(1)) * times).cast("bigint").alias("size")
+    )
+    dealt = spread_by_bytes(listing, "size", 24).withColumn("task", F.spark_partition_id())
+    tasks = dealt.groupBy("task").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"), F.max("size").alias("largest")
+    )
+    share = F.sum("bytes") / 24
+    return tasks.agg(
+        F.sum("files").alias("files"),
+        F.sum("bytes").alias("bytes"),
+        (F.max("bytes") <= share + F.max("largest")).alias("balanced"),
+        ((F.count(F.lit(1)) <= 24) & (F.max("task") < 24)).alias("in_few_tasks"),
+    )
+
+
 def first_word_class(model, rows: pd.DataFrame) -> list[str]:
     """A class name from the row's own text."""
     return [f"{'Pneumonia' if 'e' in t[:1].lower() else 'Normal'}. {len(t)}" for t in rows["text"]]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +17,7 @@ from loadlens.operators import assets, metrics, scoring
 from loadlens.plans import ingest, job
 from loadlens.scratch import scratch_path
 from loadlens.sinks import files as sinks
+from loadlens.sinks import snapshots
 from loadlens.sources import files, tables
 from loadlens.sources.dispatch import SourceSpec, load_requests
 
@@ -235,8 +238,8 @@ def _sorted_lines(model: None, rows) -> list[str]:
 _FILES = """L AS (SELECT concat('split=', CASE page_id % 3 WHEN 0 THEN 'train' WHEN 1 THEN 'test'
   ELSE 'val' END) AS split, concat('label=', split_part(url, '/', 4)) AS label,
   unnest(string_split(html, chr(10))) AS line FROM pages),
-T AS (SELECT split, label, md5(string_agg(line, chr(10) ORDER BY line COLLATE "binary")) AS digest
-  FROM L GROUP BY ALL)"""
+T AS (SELECT split, label, count(*) AS lines,
+  CAST(sum(CAST('0x' || substr(md5(line), 1, 8) AS BIGINT)) AS BIGINT) AS line_hashes FROM L GROUP BY ALL)"""
 
 
 def _content_requests(spark, sf_dir):
@@ -250,41 +253,8 @@ def _content_requests(spark, sf_dir):
     return requests, listing
 
 
-def _digests(batches):
-    """``split, label, digest, error_message`` of each folder from its lines in order, one at a time."""
-    import hashlib
-
-    import pyarrow as pa
-
-    def made():
-        text = None if errors else digest.hexdigest()
-        values = [*folder, text, min(errors, default=None)]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([v], pa.string()) for v in values], ["split", "label", "digest", "error_message"]
-        )
-
-    folder, digest, errors, first = None, hashlib.md5(), set(), True
-    for batch in batches:
-        for split, label, line, error in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if (split, label) != folder:
-                if folder is not None:
-                    yield made()
-                folder, digest, errors, first = (split, label), hashlib.md5(), set(), True
-            if error is not None:
-                errors.add(error)
-                continue
-            digest.update((line if first else "\n" + line).encode())
-            first = False
-    if folder is not None:
-        yield made()
-
-
 def _scored_files(pred: DataFrame) -> DataFrame:
-    """The digest of all lines of each folder, from the scores of its files.
-
-    Lines are sorted by Spark, which spills, and digested one by one. An MD5 is made in sequence, so
-    the last step has one task a folder.
-    """
+    """Number and hash sum of all lines of each folder, from the scores of its files, in any order."""
     folder = F.split("file_path", "/")
     lines = pred.select(
         F.element_at(folder, -3).alias("split"),
@@ -292,13 +262,16 @@ def _scored_files(pred: DataFrame) -> DataFrame:
         F.explode(F.split("report_text", "\n", -1)).alias("line"),
         "error_message",
     )
-    dealt = lines.repartition("split", "label").sortWithinPartitions("split", "label", "line")
-    return dealt.mapInArrow(
-        _digests, "split string, label string, digest string, error_message string"
+    hashed = F.conv(F.substring(F.md5("line"), 1, 8), 16, 10).cast("bigint")
+    return lines.groupBy("split", "label").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.sum(hashed).alias("line_hashes"),
+        F.min("error_message").alias("error_message"),
     )
 
 
-_SCORED = f"WITH {_FILES} SELECT split, label, digest, CAST(NULL AS VARCHAR) AS error_message FROM T"
+_SCORED = f"""WITH {_FILES} SELECT split, label, lines, line_hashes, CAST(NULL AS VARCHAR) AS error_message
+FROM T"""
 
 
 @query("score_content", _SCORED)
@@ -387,3 +360,33 @@ def sample_test(spark, sf_dir) -> DataFrame:
         from_topic=True,
     )["demo_summary"]
     return made.select("s3_enabled", "kafka_enabled", "total_images", "success_count", "error_count")
+
+
+@query(
+    "published_test",
+    f"""WITH {_RUNS} SELECT run_label, count(*) AS num_requests, true AS as_before, 2 AS versions
+FROM Q GROUP BY run_label""",
+)
+def published_test(spark, sf_dir) -> DataFrame:
+    """A test, then one that breaks after its runs: readers find the first, whole and unchanged."""
+    root = scratch_path(spark, "job")
+    _sized_test(spark, sf_dir, root, [10, 20])
+    first = snapshots.current(spark, root)
+
+    def broken(version: str) -> None:
+        snapshots.read_published(spark, root, "predictions").limit(3).write.parquet(f"{version}/predictions")
+        raise RuntimeError("the driver is lost")
+
+    with contextlib.suppress(RuntimeError):
+        snapshots.publish(spark, root, broken)
+    same = snapshots.current(spark, root) == first
+    found = snapshots.read_published(spark, root, "predictions").groupBy("run_label")
+    folders = files_of(spark, f"{root}/versions")
+    return found.agg(F.count(F.lit(1)).alias("num_requests")).select(
+        "run_label", "num_requests", F.lit(same).alias("as_before"), F.lit(folders).alias("versions")
+    )
+
+
+def files_of(spark, folder: str) -> int:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return len(path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path))

@@ -30,6 +30,8 @@ class Scorer:
     micro_batch: int = 1
     device: str | Callable[[], str] = "CPU"
     clock: Callable[[], float] = time.time
+    #: Whether a failed micro-batch is halved until the rows that fail are alone; else all its rows fail.
+    halve: bool = False
 
     def device_name(self) -> str:
         return self.device() if callable(self.device) else self.device
@@ -53,30 +55,56 @@ def _describe(problem: Exception) -> str:
     return f"{type(problem).__name__}: {problem}"
 
 
+def _texts(scorer: Scorer, model: Any, part: pd.DataFrame) -> list[str]:
+    made = list(scorer.score(model, part))
+    if len(made) != len(part):
+        raise ValueError(f"{len(made)} results for {len(part)} rows")
+    if any(t is None for t in made):
+        raise ValueError("no result")
+    return [str(t) for t in made]
+
+
+def _halved(scorer: Scorer, model: Any, part: pd.DataFrame) -> tuple[list[str], list[str | None]]:
+    """Texts and errors of rows that failed together: only those that fail alone keep the error.
+
+    The halves are scored again, and halved where they fail, so a culprit among b rows costs at most
+    2 * log2(b) further calls. Rows that only fail in company are scored without it.
+    """
+    texts: list[str] = []
+    errors: list[str | None] = []
+    middle = len(part) // 2
+    for half in (part.iloc[:middle], part.iloc[middle:]):
+        found, problems = _scored_part(scorer, model, half)
+        texts += found
+        errors += problems
+    return texts, errors
+
+
+def _scored_part(scorer: Scorer, model: Any, part: pd.DataFrame) -> tuple[list[str], list[str | None]]:
+    try:
+        return _texts(scorer, model, part), [None] * len(part)
+    except Exception as e:  # a failed micro-batch must not fail the job
+        if scorer.halve and len(part) > 1:
+            return _halved(scorer, model, part)
+        return [""] * len(part), [_describe(e)] * len(part)
+
+
 def _timed_groups(scorer: Scorer, model: Any, batch: pd.DataFrame):
     """Texts, milliseconds and errors of one Arrow batch, one micro-batch after the other.
 
-    All rows of a micro-batch share its time evenly, and its error if it fails.
+    All rows of a micro-batch share its time evenly, and its error if it fails and is not halved.
     """
     texts: list[str] = []
     millis: list[float] = []
     errors: list[str | None] = []
     for start in range(0, len(batch), scorer.micro_batch):
         part = batch.iloc[start : start + scorer.micro_batch]
-        began, problem, made = scorer.clock(), None, None
-        try:
-            made = list(scorer.score(model, part))
-            if len(made) != len(part):
-                raise ValueError(f"{len(made)} results for {len(part)} rows")
-            if any(t is None for t in made):
-                raise ValueError("no result")
-            made = [str(t) for t in made]
-        except Exception as e:  # a failed micro-batch must not fail the job
-            made, problem = [""] * len(part), _describe(e)
+        began = scorer.clock()
+        made, problems = _scored_part(scorer, model, part)
         each = (scorer.clock() - began) * 1000.0 / len(part)
         texts += made
         millis += [each] * len(part)
-        errors += [problem] * len(part)
+        errors += problems
     return texts, millis, errors
 
 

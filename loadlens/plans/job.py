@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 
 from loadlens.functions.paths import run_label
 from loadlens.operators.assets import fetch_content, match_assets
-from loadlens.operators.partitions import spread_for_scoring, waves
+from loadlens.operators.partitions import spread_by_bytes, spread_for_scoring, waves
 from loadlens.operators.sampling import balanced_sample, runs_of
 from loadlens.operators.scoring import Scorer, score
 from loadlens.plans.capacity import BURST_LEVELS, REQUEST_SIZE, burst_drain
 from loadlens.plans.runs import demo_summary, load_test_tables
 from loadlens.sinks.files import write_copies, write_metrics, write_parquet
+from loadlens.sinks.snapshots import publish
 
 RUN = ["run_label"]
 
@@ -24,7 +25,9 @@ RUN = ["run_label"]
 class LoadTest:
     """Settings of a load test. Without ``sizes`` there is one run over all requests.
 
-    ``root`` belongs to this test: what an earlier test left there is replaced. ``otherwise`` is the
+    ``root`` holds published tests (``sinks.snapshots``): this one takes the place of an earlier one when
+    all of it is written, and until then, or if it breaks, the earlier one is what readers find. The
+    ``mirrors`` get the metric tables afterwards. ``otherwise`` is the
     size of the one run to make where none of ``sizes`` can be filled; without it that is an error.
     ``slots`` are the task slots of the cluster, as the session names them by default.
     """
@@ -58,12 +61,15 @@ def run_load_test(
 
     Runs go one after the other, since what is measured is one load at a time. Each is written
     to its own partition of the prediction table before anything reads it, so no score is
-    computed twice and a lost executor costs only its tasks.
+    computed twice and a lost executor costs only its tasks. Where the listing has
+    ``file_size_bytes``, tasks get equal shares of bytes, else of rows.
     """
-    spark, root = requests.sparkSession, test.root.rstrip("/")
+    spark = requests.sparkSession
     inputs = list(test.inputs)
+    sized = listing is not None and "file_size_bytes" in listing.columns
     if listing is not None:
-        requests = match_assets(requests, listing.select("file_path"))
+        size = [F.col("file_size_bytes").alias("_length")] if sized else []
+        requests = match_assets(requests, listing.select("file_path", *size))
         inputs.append("content")
     if test.sizes is None:
         rows, sizes = requests, [requests.count()]
@@ -72,29 +78,38 @@ def run_load_test(
     if not sizes[0]:
         raise ValueError("no requests to score")
     slots = test.slots or spark.sparkContext.defaultParallelism
-    stored = f"{root}/predictions"
-    schema = None
-    for index, size in enumerate(sizes, start=1):
-        run = rows if test.sizes is None else rows.filter(F.col("_rn") <= size)
-        run = run.withColumn("run_label", run_label(F.lit(index), F.lit(size), test.unit))
-        run = spread_for_scoring(run, waves(size, slots))
-        run = run if listing is None else fetch_content(run)
-        scored = score(run, scorer, inputs, [*test.carry, "run_label"])
-        schema = scored.schema
-        write_parquet(scored, stored, RUN, keep_others=index > 1)
-    # Partition columns come last when read back.
-    pred = spark.read.schema(schema).parquet(stored).select(*schema.names)
-    write_copies(pred, root, test.formats)
-    tables = load_test_tables(pred)
-    tables["burst_drain"] = burst_drain(
-        tables["load_test_summary"],
-        "wall_throughput_req_per_sec",
-        levels=test.levels,
-        request_size=test.request_size,
-        unit="requests",
-    )
-    write_metrics(tables, [f"{root}/metrics", *test.mirrors])
-    return {"predictions": pred, **tables}
+    made: dict[str, DataFrame] = {}
+
+    def write(root: str) -> None:
+        stored = f"{root}/predictions"
+        schema = None
+        for index, size in enumerate(sizes, start=1):
+            run = rows if test.sizes is None else rows.filter(F.col("_rn") <= size)
+            run = run.withColumn("run_label", run_label(F.lit(index), F.lit(size), test.unit))
+            tasks = waves(size, slots)
+            run = spread_by_bytes(run, "_length", tasks) if sized else spread_for_scoring(run, tasks)
+            run = run if listing is None else fetch_content(run)
+            scored = score(run, scorer, inputs, [*test.carry, "run_label"])
+            schema = scored.schema
+            write_parquet(scored, stored, RUN, keep_others=index > 1)
+        # Partition columns come last when read back.
+        pred = spark.read.schema(schema).parquet(stored).select(*schema.names)
+        write_copies(pred, root, test.formats)
+        tables = load_test_tables(pred)
+        tables["burst_drain"] = burst_drain(
+            tables["load_test_summary"],
+            "wall_throughput_req_per_sec",
+            levels=test.levels,
+            request_size=test.request_size,
+            unit="requests",
+        )
+        write_metrics(tables, [f"{root}/metrics"])
+        made.update({"predictions": pred, **tables})
+
+    publish(spark, test.root, write)
+    if test.mirrors:
+        write_metrics({n: t for n, t in made.items() if n != "predictions"}, test.mirrors)
+    return made
 
 
 def run_sample_test(

@@ -29,8 +29,37 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
-    """A new folder name under the scratch root; no two calls give the same one."""
-    return f"{scratch_root(spark).rstrip('/')}/loadlens/{tag}-{uuid.uuid4().hex}"
+    """A new folder name under the scratch root; no two calls give the same one.
+
+    All of a session's lie in one folder, which goes when the session's driver ends. ``discard``
+    removes one earlier.
+    """
+    folder = f"{scratch_root(spark).rstrip('/')}/loadlens-{spark.sparkContext.applicationId}"
+    if folder not in _FOLDERS:
+        remove_on_exit(spark, folder)
+        _FOLDERS.add(folder)
+    return f"{folder}/{tag}-{uuid.uuid4().hex}"
+
+
+_FOLDERS: set[str] = set()
+
+
+def _located(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def remove_on_exit(spark: SparkSession, folder: str) -> None:
+    """Make ``folder`` and have the driver remove it, with all that is in it, when it ends."""
+    files, path = _located(spark, folder)
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    """Remove a folder whose tables nobody reads any more."""
+    files, path = _located(spark, folder)
+    files.delete(path, True)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -1,4 +1,5 @@
 from datetime import datetime
+from pathlib import Path
 
 import pandas as pd
 import pytest
@@ -6,8 +7,10 @@ from pyspark.sql import functions as F
 
 from loadlens import schemas
 from loadlens.operators import metrics
+from loadlens.operators.partitions import spread_by_bytes
 from loadlens.operators.scoring import Scorer, score
 from loadlens.plans.job import LoadTest, run_load_test
+from loadlens.sinks import snapshots
 from loadlens.sources import tables
 from tests.helpers import rows
 
@@ -135,14 +138,77 @@ def test_load_test(spark, tmp_path):
         ("run_002_25reqs", 25, 24),
     ]
     for name in ("parquet", "csv", "json"):
-        folder = tmp_path / "out" / ("predictions" if name == "parquet" else f"predictions_{name}")
-        assert folder.is_dir()
+        version = Path(snapshots.current(spark, str(tmp_path / "out")))
+        assert (version / ("predictions" if name == "parquet" else f"predictions_{name}")).is_dir()
     again = LoadTest(str(tmp_path / "out"), [5], inputs=["word"], formats=[])
     made = run_load_test(table(spark, words, 3), Scorer(shout, lambda: "", 1), again)
     assert [r.run_label for r in made["load_test_summary"].collect()] == ["run_001_5reqs"]
+    assert snapshots.read_published(spark, str(tmp_path / "out"), "predictions").count() == 5
     with pytest.raises(ValueError, match="none of the sizes"):
         run_load_test(table(spark, words), Scorer(shout), LoadTest(str(tmp_path / "no"), [100]))
     everything = run_load_test(
         table(spark, words), Scorer(shout, lambda: "", 1), LoadTest(str(tmp_path / "all"), inputs=["word"])
     )
     assert everything["predictions"].select(F.count_distinct("run_label")).first()[0] == 1
+
+
+class Calls:
+    """Fails on every call whose rows hold a bad word, and counts the calls."""
+
+    def __init__(self, path):
+        self.path = path
+
+    def __call__(self, model, part):
+        with open(self.path, "a") as f:
+            f.write(f"{len(part)}\n")
+        if any(w.startswith("bad") for w in part["word"]):
+            raise ValueError("cannot read")
+        return part["word"].tolist()
+
+
+@pytest.mark.parametrize("bad", [[], [0], [15], [5, 6], [0, 7, 8, 15], range(16)])
+def test_halving_finds_the_rows_that_fail(spark, tmp_path, bad):
+    words = [f"{'bad' if i in bad else 'w'}{i}" for i in range(16)]
+    calls = tmp_path / "calls"
+    scorer = Scorer(Calls(str(calls)), None, 16, halve=True)
+    found = score(table(spark, words, 1), scorer, ["word"], ["word"]).collect()
+    assert {r.word for r in found if r.error_message} == {w for w in words if w.startswith("bad")}
+    assert all(r.report_text == ("" if r.error_message else r.word) for r in found)
+    assert {r.error_message for r in found} <= {None, "ValueError: cannot read"}
+    assert len(calls.read_text().split()) <= 1 + 2 * 4 * len(bad)
+
+
+def test_tasks_of_equal_bytes(spark):
+    sizes = [1] * 5000 + [10**9] + [1000] * 300 + [None, 0]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(sizes)], "i long, s long").repartition(3)
+    found = spread_by_bytes(df, "s", 10).select("i", "s", F.spark_partition_id().alias("t")).collect()
+    assert sorted(r.i for r in found) == list(range(len(sizes)))
+    even = [10 + i % 7 for i in range(4000)]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(even)], "i long, s long").repartition(3)
+    found = spread_by_bytes(df, "s", 10).groupBy(F.spark_partition_id()).agg(F.sum("s")).collect()
+    assert len(found) == 10 and max(r[1] for r in found) <= sum(even) / 10 + 16
+    assert spread_by_bytes(df.limit(0), "s", 4).count() == 0
+
+
+def test_a_broken_test_leaves_the_one_before(spark, tmp_path):
+    root = str(tmp_path / "out")
+    words = [f"w{i}" for i in range(12)]
+    settings = dict(inputs=["word"], formats=[])
+    run_load_test(table(spark, words, 2), Scorer(shout, lambda: "", 1), LoadTest(root, [4, 8], **settings))
+    first = snapshots.current(spark, root)
+    with pytest.raises(Exception, match="no clock"):  # the second run never ends
+        run_load_test(table(spark, words, 2), Scorer(shout, lambda: "", 1, clock=no_clock), LoadTest(root, [12], **settings))
+    assert snapshots.current(spark, root) == first
+    found = snapshots.read_published(spark, root, "predictions")
+    assert rows(found.groupBy("run_label").count(), "run_label") == [("run_001_4reqs", 4), ("run_002_8reqs", 8)]
+    for _ in range(3):
+        snapshots.publish_tables(root, {"a": spark.range(3), "b": spark.range(4)})
+    assert snapshots.read_published(spark, root, "b").count() == 4
+    assert len(list((tmp_path / "out" / "versions").iterdir())) == 2
+    assert snapshots.current(spark, str(tmp_path / "none")) is None
+    with pytest.raises(FileNotFoundError):
+        snapshots.read_published(spark, str(tmp_path / "none"), "a")
+
+
+def no_clock():
+    raise RuntimeError("no clock")
