@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from loadlens.catalog.registry import query
 from loadlens.catalog.views import P, predictions, table
-from loadlens.operators import labels, metrics
+from loadlens.operators import labels, metrics, sketches
+from loadlens.operators.quantiles import exact_percentiles
 from loadlens.plans.runs import metric_bundle
+from loadlens.scratch import scratch_path
 
 
 def _stats(column: str, unit: str = "ms", percentiles=(50, 95, 99), digits: int = 2) -> str:
@@ -30,6 +32,57 @@ def latency_stats(spark, sf_dir) -> DataFrame:
     return metrics.latency_stats(predictions(spark, sf_dir))
 
 
+_ODD_SQL = """CASE event_id % 97 WHEN 1 THEN CAST('nan' AS DOUBLE) WHEN 2 THEN CAST('inf' AS DOUBLE)
+  WHEN 3 THEN CAST('-inf' AS DOUBLE) ELSE CASE WHEN event_id % 3 = 0 THEN 250.0 ELSE value END END"""
+
+
+@query(
+    "latency_stats_odd",
+    f"""WITH O AS (SELECT event_type, {_ODD_SQL} AS v FROM events),
+Q AS (SELECT event_type, unnest([0.005, 0.5, 0.95, 0.985, 0.99]) AS p, count(*) AS n FROM O GROUP BY 1),
+K AS (SELECT event_type, v, row_number() OVER (PARTITION BY event_type ORDER BY v) AS k FROM O)
+SELECT event_type, p, CASE WHEN isnan(v) THEN 'nan' WHEN isinf(v) THEN CASE WHEN v > 0 THEN 'inf' ELSE '-inf' END
+  ELSE CAST(CAST(round(v * 100) AS BIGINT) AS VARCHAR) END AS cents
+FROM Q JOIN K USING (event_type) WHERE k = greatest(1, CAST(ceil(round(p * 1000) * n / 1000) AS BIGINT))""",
+)
+def latency_stats_odd(spark, sf_dir) -> DataFrame:
+    """Latencies with NaN, both infinities and one value that a third of the rows have."""
+    hot = F.when(F.col("event_id") % 3 == 0, F.lit(250.0)).otherwise(F.col("value"))
+    kind = F.col("event_id") % 97
+    odd = F.when(kind == 1, float("nan")).when(kind == 2, float("inf")).when(kind == 3, float("-inf"))
+    rows = table(spark, sf_dir, "events").select("event_type", odd.otherwise(hot).alias("v"))
+    probs = [0.005, 0.5, 0.95, 0.985, 0.99]
+    found = exact_percentiles(rows, {"v": F.col("v")}, probs, ["event_type"], cell_rows=5)
+    value = F.col("value")
+    text = F.when(F.isnan(value), "nan").when(value == float("inf"), "inf").when(value == float("-inf"), "-inf")
+    cents = F.round(value * 100).cast("long").cast("string")
+    return found.select("event_type", "p", text.otherwise(cents).alias("cents"))
+
+
+@query(
+    "merged_latency_states",
+    f"""WITH {P}, S AS (SELECT run_label, unnest(['end_to_end_ms', 'inference_time_ms']) AS metric,
+  unnest([end_to_end_ms, inference_time_ms]) AS v FROM P)
+SELECT run_label, metric, count(*) AS rows, round(avg(v), 6) AS mean, min(v) AS min, max(v) AS max,
+  true AS p50, true AS p95, true AS p99 FROM S GROUP BY ALL""",
+)
+def merged_latency_states(spark, sf_dir) -> DataFrame:
+    """States per run and day, stored, merged per run: exact figures, and percentiles whose rank in all
+    rows is within the stated bound."""
+    rows = predictions(spark, sf_dir).withColumn("day", F.to_date("ingest_ts"))
+    columns = {c: F.col(c) for c in ("end_to_end_ms", "inference_time_ms")}
+    path = scratch_path(spark, "states")
+    sketches.latency_states(rows, columns, ["run_label", "day"]).write.parquet(path)
+    merged = sketches.merged_states(spark.read.parquet(path), ["run_label"])
+    found = sketches.state_stats(merged).withColumn("mean", F.round("mean", 6))
+    long = rows.select(
+        "run_label", F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), c.alias("v")) for n, c in columns.items()])).alias("x")
+    ).select("run_label", "x.*")
+    names = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    checks = rank_checks(long, found, ["run_label", "metric"], names, "v", round(1 / sketches.RANK_ERROR))
+    return found.drop(*names).join(checks, ["run_label", "metric"])
+
+
 @query("queue_wait_stats", _latency("queue_wait_ms"))
 def queue_wait_stats(spark, sf_dir) -> DataFrame:
     return metrics.latency_stats(predictions(spark, sf_dir), "queue_wait_ms")

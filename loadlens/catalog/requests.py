@@ -11,7 +11,7 @@ from loadlens.functions import messages, numbers, paths, times
 from loadlens.operators import assets, decode, metrics, partitions, sampling
 from loadlens.plans import ingest
 from loadlens.sinks.messages import as_messages
-from loadlens.sources import files
+from loadlens.sources import files, offsets
 
 _SIZES = (20, 50, 100, 200, 500, 1000)
 
@@ -333,6 +333,17 @@ def first_n(spark, sf_dir) -> DataFrame:
     return sampling.first_n(rows, 20, ["file_path", "request_id"])
 
 
+@query(
+    "first_n_huge",
+    """SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate FROM lineitem
+ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice LIMIT 5000""",
+)
+def first_n_huge(spark, sf_dir) -> DataFrame:
+    order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    out = sampling.first_n(table(spark, sf_dir, "lineitem").select(*order), 5000, order)
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+
+
 @query("request_count", f"WITH {P} SELECT count(*) AS rows FROM P")
 def request_count(spark, sf_dir) -> DataFrame:
     return predictions(spark, sf_dir).agg(F.count(F.lit(1)).alias("rows"))
@@ -522,3 +533,65 @@ def latency_class(spark, sf_dir) -> DataFrame:
         numbers.micro_batch_for_memory(F.col("o_totalprice") / 3000).alias("micro_batch"),
         F.round(numbers.rate_of(F.col("ms") / 1000), 6).alias("rate"),
     )
+
+
+# Four topic partitions; some offsets are missing and some were read twice or three times.
+def _read_messages(spark, sf_dir) -> DataFrame:
+    n = F.col("event_id")
+    times = F.when(n % 1000 < 40, 0).when(n % 300 < 20, 2 + n % 2).otherwise(1).cast("int")
+    rows = table(spark, sf_dir, "events").withColumn("_copy", F.explode(F.array_repeat(F.lit(0), times)))
+    return rows.select(
+        F.lit("requests").alias("topic"), (n % 4).cast("int").alias("partition"), F.expr("event_id div 4").alias("offset")
+    )
+
+
+_MESSAGES = """M AS (SELECT 'requests' AS topic, CAST(event_id % 4 AS INTEGER) AS partition, event_id // 4 AS pos,
+  CASE WHEN event_id % 1000 < 40 THEN 0 WHEN event_id % 300 < 20 THEN 2 + event_id % 2 ELSE 1 END AS times FROM events),
+R AS (SELECT *, pos - row_number() OVER (PARTITION BY partition ORDER BY pos) AS run FROM M WHERE times > 0),
+I AS (SELECT topic, partition, min(pos) AS first, max(pos) AS last FROM R GROUP BY topic, partition, run)"""
+
+
+@query("offset_ranges", f"WITH {_MESSAGES} SELECT * FROM I")
+def offset_ranges(spark, sf_dir) -> DataFrame:
+    return offsets.read_ranges(_read_messages(spark, sf_dir))
+
+
+@query(
+    "offset_gaps",
+    f"""WITH {_MESSAGES}, G AS (SELECT *, pos - row_number() OVER (PARTITION BY partition ORDER BY pos) AS run
+  FROM M WHERE times = 0)
+SELECT topic, partition, min(pos) AS first, max(pos) AS last FROM G GROUP BY topic, partition, run""",
+)
+def offset_gaps(spark, sf_dir) -> DataFrame:
+    """What a reader of all offsets missed, the beginning and the end of each partition included."""
+    ends = table(spark, sf_dir, "events").groupBy((F.col("event_id") % 4).cast("int").alias("partition"))
+    ends = ends.agg((F.max(F.expr("event_id div 4")) + 1).alias("end"))
+    expected = ends.select(F.lit("requests").alias("topic"), "partition", F.lit(0).cast("bigint").alias("start"), "end")
+    return offsets.missing_ranges(offsets.read_ranges(_read_messages(spark, sf_dir)), expected)
+
+
+@query(
+    "offset_repeats",
+    f"""WITH {_MESSAGES}, D AS (SELECT *, pos - row_number() OVER (PARTITION BY partition, times ORDER BY pos) AS run
+  FROM M WHERE times > 1)
+SELECT topic, partition, min(pos) AS first, max(pos) AS last, times FROM D GROUP BY topic, partition, times, run""",
+)
+def offset_repeats(spark, sf_dir) -> DataFrame:
+    return offsets.repeated_ranges(_read_messages(spark, sf_dir))
+
+
+@query(
+    "offset_resume",
+    f"""WITH {_MESSAGES}, E AS (SELECT topic, partition, min(first) AS f, arg_min(last, first) AS l FROM I GROUP BY ALL),
+N AS (SELECT topic, partition, l + 1 AS next FROM E)
+SELECT partition, count(*) AS still_to_read FROM M JOIN N USING (topic, partition) WHERE pos >= next GROUP BY partition""",
+)
+def offset_resume(spark, sf_dir) -> DataFrame:
+    """How many messages lie at or beyond the first gap, where a reader goes on."""
+    ranges = offsets.read_ranges(_read_messages(spark, sf_dir))
+    resume = offsets.resume_offsets(ranges, offsets.missing_ranges(ranges))
+    n = F.col("event_id")
+    every = table(spark, sf_dir, "events").select(
+        F.lit("requests").alias("topic"), (n % 4).cast("int").alias("partition"), F.expr("event_id div 4").alias("offset")
+    )
+    return offsets.beyond(every, resume).groupBy("partition").agg(F.count(F.lit(1)).alias("still_to_read"))

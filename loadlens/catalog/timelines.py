@@ -73,6 +73,27 @@ def timeline_null_times(spark, sf_dir) -> DataFrame:
     return out.select("run_label", "request_id", "x_label", "x")
 
 
+_PIXELS = 40
+
+# The four corners of every pixel column, by windows over all rows.
+@query(
+    "plot_points",
+    f"""WITH {P}, X AS (SELECT run_label, inference_time_ms AS y, done_us - min(done_us) OVER w AS x,
+  max(done_us) OVER w - min(done_us) OVER w AS span FROM P WINDOW w AS (PARTITION BY run_label)),
+C AS (SELECT *, CAST(CASE WHEN span > 0 THEN least(x * {_PIXELS} // span, {_PIXELS} - 1) ELSE 0 END AS INTEGER) AS pixel FROM X),
+N AS (SELECT *, row_number() OVER (PARTITION BY run_label, pixel ORDER BY x, y) AS a,
+  row_number() OVER (PARTITION BY run_label, pixel ORDER BY x DESC, y DESC) AS b,
+  row_number() OVER (PARTITION BY run_label, pixel ORDER BY y, x) AS c,
+  row_number() OVER (PARTITION BY run_label, pixel ORDER BY y DESC, x DESC) AS d FROM C)
+SELECT run_label, pixel, point, x / 1000000.0 AS elapsed_sec, y AS inference_time_ms FROM (
+  SELECT *, 'first' AS point FROM N WHERE a = 1 UNION ALL SELECT *, 'last' FROM N WHERE b = 1
+  UNION ALL SELECT *, 'lowest' FROM N WHERE c = 1 UNION ALL SELECT *, 'highest' FROM N WHERE d = 1)""",
+)
+def plot_points(spark, sf_dir) -> DataFrame:
+    rows = predictions(spark, sf_dir).select("run_label", "timestamp", "inference_time_ms")
+    return timeline.plot_points(rows, width=_PIXELS)
+
+
 _ELAPSED = f"""{P}, E AS (SELECT run_label, inference_time_ms AS y,
   (done_us - min(done_us) OVER (PARTITION BY run_label)) / 1000000.0 AS x FROM P)"""
 

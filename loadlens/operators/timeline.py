@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loadlens.functions.times import elapsed_sec
 from loadlens.joins import attach_groups
+from loadlens.operators.quantiles import ordered_key
 from loadlens.operators.sequence import dense_sequence
 
 
@@ -58,3 +59,51 @@ def timeline_adaptive(
         *keep, F.lit("Image Number").alias("x_label"), F.col("seq").cast("double").alias("x")
     )
     return long_runs.unionByName(numbered)
+
+
+def plot_points(
+    df: DataFrame,
+    by: Sequence[str] = ("run_label",),
+    ts: str = "timestamp",
+    latency: str = "inference_time_ms",
+    width: int = 1000,
+) -> DataFrame:
+    """The points that draw the same line as all rows on a plot ``width`` pixels wide.
+
+    Of each pixel column of a run the first, last, lowest and highest row (M4): ``by..., pixel, point,
+    elapsed_sec, latency``, at most ``4 * width`` rows a run whatever its size. All four come from
+    one aggregate, combined within a task before the shuffle: ties are broken by one number made of
+    both coordinates (equal times by the lower latency first, equal latencies by the earlier row for
+    the lowest and by the later for the highest). Rows without time or latency are not drawn; NaN is
+    above all numbers. A run of a single moment is one column.
+    """
+    by = list(by)
+    rows = df.filter(F.col(ts).isNotNull() & F.col(latency).isNotNull())
+    rows = rows.select(*by, F.unix_micros(F.col(ts).cast("timestamp")).alias("_x"), F.col(latency).cast("double").alias("_y"))
+    bounds = rows.groupBy(*by).agg(F.min("_x").alias("_first"), F.max("_x").alias("_end"))
+    placed = attach_groups(rows, bounds, by, known_small=not by)
+    x, span = F.col("_x") - F.col("_first"), F.col("_end") - F.col("_first")
+    pixel = F.when(span > 0, F.least(F.floor(x * F.lit(width).cast("decimal(9,0)") / span), F.lit(width - 1)))
+    placed = placed.select(*by, F.coalesce(pixel, F.lit(0)).cast("int").alias("pixel"), x.alias("_x"), "_y")
+    # Whole numbers of 38 digits hold both coordinates; a time is below 2**53 microseconds.
+    high = F.lit(1 << 53).cast("decimal(17,0)")
+    far = F.lit(str(1 << 64)).cast("decimal(20,0)")
+    key = ordered_key(F.col("_y")).cast("decimal(19,0)")
+    by_time = (F.col("_x").cast("decimal(17,0)") * far + key).cast("decimal(38,0)")
+    by_value = (key * high + F.col("_x").cast("decimal(17,0)")).cast("decimal(38,0)")
+    marked = placed.withColumn("_t", by_time).withColumn("_v", by_value)
+    corners = marked.groupBy(*by, "pixel").agg(
+        F.min("_x").alias("x_first"), F.min_by("_y", "_t").alias("y_first"),
+        F.max("_x").alias("x_last"), F.max_by("_y", "_t").alias("y_last"),
+        F.min_by("_x", "_v").alias("x_lowest"), F.min("_y").alias("y_lowest"),
+        F.max_by("_x", "_v").alias("x_highest"), F.max("_y").alias("y_highest"),
+    )
+    points = [
+        F.struct(
+            F.lit(name).alias("point"),
+            (F.col(f"x_{name}") / 1_000_000).alias("elapsed_sec"),
+            F.col(f"y_{name}").alias(latency),
+        )
+        for name in ("first", "last", "lowest", "highest")
+    ]
+    return corners.select(*by, "pixel", F.explode(F.array(*points)).alias("_p")).select(*by, "pixel", "_p.*")
