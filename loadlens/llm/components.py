@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadlens.llm.common import scratch_dir
+from loadlens.llm.common import own_folder
 
 #: Rows of links to a partition. A table this small is worked on in one task, without shuffles.
 ROWS = 500_000
@@ -20,7 +18,7 @@ def packed(df: DataFrame) -> tuple[DataFrame, int]:
     the columns from round to round, which grows beyond measure.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/links-{uuid.uuid4().hex}"
+    path = own_folder(spark, "links")
     df.write.parquet(path)
     kept = spark.read.schema(df.schema).parquet(path)
     rows = kept.count()
