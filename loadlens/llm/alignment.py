@@ -5,7 +5,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-import uuid
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -16,16 +15,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from loadlens.llm.common import cut, scratch_dir, text_of
+from loadlens.llm.common import cut, release, own_folder, text_of
 
 #: Texts of so many bytes are encoded to one batch; so many tokens of either side aligned at once.
-TEXT_BYTES, TOKENS = 4 << 20, 1 << 20
+TEXT_BYTES, TOKENS = 1 << 20, 1 << 18
 #: Pairs whose counts are held at a time. More are counted in blocks, each in its own passes.
 BLOCK_PAIRS = 2 << 20
 #: Pairs that share a bucket of the hash, and of those, pairs that share a seed, on average.
 BUCKET_PAIRS, SEED_PAIRS = 4096, 4
 #: Pairs a task gathers before it hands on those that differ.
-GATHERED = 4 << 20
+GATHERED = 1 << 20
 #: Entries of a piece of a count vector, and vectors added up by one step of the sum.
 PIECE, FAN_IN = 1 << 16, 16
 
@@ -74,11 +73,17 @@ class Tokenizers(NamedTuple):
         return byte_side(self.ranks, self.pattern), piece_side(self.model)
 
 
+def _width(sizes: tuple[int, int]) -> type:
+    """The type that token ids are stored in."""
+    return np.uint16 if max(sizes) <= 1 << 16 else np.uint32
+
+
 def _encoder(names: Tokenizers, schema: pa.Schema):
-    """Texts to the ids of both sides, as 32-bit integers in bytes."""
+    """Texts to the ids of both sides, as unsigned integers in bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sides = names.sides()
+        width = _width([len(s.pieces) for s in sides])
         for batch in batches:
             rows: list[tuple] = []
             size = 0
@@ -89,13 +94,15 @@ def _encoder(names: Tokenizers, schema: pa.Schema):
                 joined = [b"".join(map(s.pieces.__getitem__, i)) for s, i in zip(sides, ids, strict=True)]
                 if not text or joined != [raw, raw]:
                     ids = [[], []]
-                rows.append((row.as_py(), key, *(np.array(i, np.uint32).tobytes() for i in ids)))
+                rows.append((row.as_py(), key, *(np.array(i, width).tobytes() for i in ids)))
                 size += len(raw)
                 if size >= TEXT_BYTES:
                     yield _record(rows, schema)
                     rows, size = [], 0
             if rows:
                 yield _record(rows, schema)
+        del sides
+        release()
 
     return run
 
@@ -129,7 +136,7 @@ def align(a: list[np.ndarray], b: list[np.ndarray], lengths: tuple[np.ndarray, n
     two marks, so every mark is the end of exactly one link, and a mark of both sides ends a group.
     """
     of_a, of_b = (np.array([len(x) for x in side], np.int64) for side in (a, b))
-    ids = [np.concatenate(side) if side else np.empty(0, np.uint32) for side in (a, b)]
+    ids = [np.concatenate(side).astype(np.int64) if side else np.empty(0, np.int64) for side in (a, b)]
     ends = [np.cumsum(n[i], dtype=np.int64) for n, i in zip(lengths, ids, strict=True)]
     marks = np.zeros(int(ends[0][-1]) + 1 if len(ends[0]) else 1, np.uint8)
     marks[ends[0]] = 1
@@ -141,7 +148,7 @@ def align(a: list[np.ndarray], b: list[np.ndarray], lengths: tuple[np.ndarray, n
     # The token of a side that holds the byte before a mark: as many of its tokens end before it.
     at_a, at_b = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b
     group = np.cumsum(whole) - whole
-    pairs = ids[0][at_a].astype(np.int64) << 32 | ids[1][at_b]
+    pairs = ids[0][at_a] << 32 | ids[1][at_b]
     # The mark at which a document ends, from its tokens on the first side.
     stops = np.concatenate(([0], np.flatnonzero(in_a) + 1))[np.concatenate(([0], np.cumsum(of_a)))]
     groups = np.concatenate(([0], np.cumsum(whole)))[stops]
@@ -177,17 +184,18 @@ def _names(n_a: int, n_b: int) -> tuple[int, np.ndarray]:
 
 def _parts(batches: Iterator[pa.RecordBatch], lengths) -> Iterator[tuple[pa.RecordBatch, Aligned]]:
     """Rows of about ``TOKENS`` tokens and what their ids align to."""
+    width = _width([len(side) for side in lengths])
     for batch in batches:
-        ids = [
-            [np.frombuffer(x.as_buffer(), np.uint32) for x in batch.column(name)] for name in ("a", "b")
-        ]
+        ids: tuple[list, list] = ([], [])
         start = size = 0
-        for at in range(batch.num_rows):
-            size += len(ids[0][at])
+        for at, row in enumerate(zip(batch.column("a"), batch.column("b"), strict=True)):
+            for side, x in zip(ids, row, strict=True):
+                side.append(np.frombuffer(x.as_buffer(), width))
+            size += len(ids[0][-1])
             if size >= TOKENS or at == batch.num_rows - 1:
-                stop = at + 1
-                yield batch.slice(start, stop - start), align(ids[0][start:stop], ids[1][start:stop], lengths)
-                start, size = stop, 0
+                yield batch.slice(start, at + 1 - start), align(*ids, lengths)
+                ids, start, size = ([], []), at + 1, 0
+    release()
 
 
 # The hash. A pair belongs to the block of its first id, within it to a bucket, and there to a
@@ -480,7 +488,7 @@ def align_tokenizers(
     fields = [base.schema["row"], base.schema["doc_id"]]
     stored = T.StructType([*fields, T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
     arrow = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in stored])
-    folder = f"{scratch_dir(spark)}/aligned-{uuid.uuid4().hex}"
+    folder = own_folder(spark, "aligned")
     encoded = base.mapInArrow(_encoder(tokenizers, arrow), stored)
     encoded.write.option("compression", "zstd").parquet(f"{folder}/ids")
     ids = spark.read.schema(stored).parquet(f"{folder}/ids")
