@@ -4,6 +4,7 @@ import random
 
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 from pyspark.sql import functions as F
 
@@ -31,12 +32,14 @@ def texts():
 
 def test_the_pattern_with_the_fast_form():
     assert PATTERN == bpe.GPT_PATTERN
-    for code in range(0x250):
-        for text in (chr(code), f"a{chr(code)} b{chr(code)}1{chr(code)}  "):
-            if bpe._is_plain(text):
-                import regex
-
-                assert bpe._PLAIN_WORDS.findall(text) == regex.findall(PATTERN, text), code
+    general, plain = regex.compile(PATTERN), 0
+    for code in [*range(0xD800), *range(0xE000, 0x20400)]:
+        text = f"{chr(code)} a{chr(code)} b{chr(code)}1{chr(code)}  "
+        if bpe._is_plain(text):
+            plain += 1
+            assert bpe._PLAIN_WORDS.findall(text) == general.findall(text), code
+    assert plain > 100_000 and all(map(bpe._is_plain, ("“naïve” – 日本語 💥 Ωж €", "a\n\t b")))
+    assert not any(map(bpe._is_plain, ("a\x1cb", "x²", "Ⅻ", "①")))
 
 
 def test_words_merge_as_in_the_library(library):
@@ -55,7 +58,7 @@ def test_words_merge_as_in_the_library(library):
 def test_whole_texts(spark, library, monkeypatch, batch, functions):
     """Folded in the Arrow function and by higher-order functions, in many batches and in one."""
     monkeypatch.setattr(bpe, "BATCH", batch)
-    monkeypatch.setattr(bpe, "MOST_WORDS", batch)
+    monkeypatch.setattr(bpe, "MEMORY", 20 * batch)
     rows = list(enumerate(texts())) + [(None, "null id"), (3, "again"), (3, "again")]
     found = bpe.encode(documents(spark, rows), RANKS, PATTERN, functions=functions)
     found = found.withColumn("raw", bpe.decode(F.col("ids"), RANKS))
@@ -67,9 +70,13 @@ def test_whole_texts(spark, library, monkeypatch, batch, functions):
         spelled = b"".join(x.to_bytes(4, "little") for x in ids)
         want.append((i, ids, (text or "").encode(), spelled))
     assert got == sorted(want, key=str)
+    there = bpe.round_trip(documents(spark, rows), RANKS, PATTERN).collect()
+    there = sorted(((r.doc_id, bytes(r.decoded), bytes(r.ids)) for r in there), key=str)
+    assert there == sorted(((i, raw, le) for i, _, raw, le in want), key=str)
 
 
 def test_empty_table(spark):
     empty = documents(spark, [(1, "a")]).limit(0)
     for functions in (False, True):
         assert bpe.encode(empty, RANKS, PATTERN, functions=functions).collect() == []
+    assert bpe.round_trip(empty, RANKS, PATTERN).collect() == []
