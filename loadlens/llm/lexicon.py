@@ -7,8 +7,8 @@ from typing import NamedTuple
 
 #: Characters that stand for letters at no cost. Fixed values.
 LOOKALIKES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
-MOST_STATES = 5_000
-MOST_WORDS = 50_000
+#: Places of terms that the states of a task hold together; about a hundred bytes each.
+MOST_PLACES = 300_000
 
 
 class Term(NamedTuple):
@@ -24,8 +24,8 @@ class Lexicon:
     A state is a set of (trie node, edits so far, whether one was at the first letter): the
     Levenshtein automata of all terms running side by side on the trie, so a common beginning is
     walked once. Branches die when no term below a node allows so many edits. States and their
-    transitions are kept, so a word costs a dictionary look-up a character; both tables, and that
-    of whole words, are emptied at a fixed size.
+    transitions are kept, so a word costs a dictionary look-up a character, and are emptied when they
+    hold ``MOST_PLACES`` places.
     """
 
     def __init__(self, terms: Iterable[Term]):
@@ -55,7 +55,7 @@ class Lexicon:
         self.ids: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
         self.moves: list[dict[str, int]] = []
-        self.words: dict[str, tuple[int, int] | None] = {}
+        self.places = 0
         self.start = self._closed([(0, 0, False)] if self.terms else [])
 
     def _closed(self, todo: list[tuple[int, int, bool]]) -> int:
@@ -73,6 +73,7 @@ class Lexicon:
         )
         if key not in self.ids:
             self.ids[key] = len(self.sets)
+            self.places += len(key) + 1
             self.sets.append(key)
             self.moves.append({})
         return self.ids[key]
@@ -115,10 +116,6 @@ class Lexicon:
         return k, e
 
     def match(self, word: str) -> tuple[int, int] | None:
-        try:
-            return self.words[word]
-        except KeyError:
-            if len(self.sets) > MOST_STATES or len(self.words) > MOST_WORDS:
-                self._forget()
-            found = self.words[word] = self._walk(word)
-            return found
+        if self.places > MOST_PLACES:
+            self._forget()
+        return self._walk(word)

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import bisect
-import hashlib
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -15,17 +15,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadlens.llm.common import cut, text_of
+from loadlens.llm.common import cut, release, text_of
 from loadlens.llm.lexicon import Lexicon, Term
 
 #: The classifier is fitted on at most so many labelled rows of either class, chosen by hash.
 POSITIVES, NEGATIVES = 2_000, 6_000
 #: Tasks that the sampled texts are dealt to; a task sees a hundred or two of them.
 SAMPLE_TASKS = 64
-#: At most so many terms, those with the most different contexts first.
-MOST_TERMS = 2_000
 #: Words either side of a term that its context score reads.
 REACH = 6
+#: Bytes of words whose reading a task remembers, roughly.
+MEMORY = 24 << 20
 #: A stem is at least and at most so long; shorter and longer terms are whole words. Words from the
 #: shortest length on may be misspelled.
 SHORTEST, LONGEST = 4, 8
@@ -34,6 +34,8 @@ _WORD = re.compile(r"[^\W_]+(?:[@$][^\W_]+)*")
 #: A word with the signs that are written for letters, wherever they stand.
 _MASKED = re.compile(r"(?:[^\W_]|[@$*])+")
 _QUOTE = re.compile(r"[\"“”„«»]")
+#: Between paragraphs: a line without anything.
+_BREAK = re.compile(r"\n[^\S\n]*\n")
 #: What may close a quotation that a mark opens.
 _CLOSING = {'"': '"', "“": "”", "„": "“”", "«": "»", "»": "«", "”": "”"}
 # Words that report what others said, and words of direct address (en de fr es).
@@ -50,20 +52,27 @@ class Model(NamedTuple):
     weights: list[float]  # of 1 and the features
 
 
-_LEXICONS: dict[bytes, Lexicon] = {}
+class Reader:
+    """A lexicon, and what it found in the words that a task has met."""
 
+    def __init__(self, terms: list[Term]):
+        self.lexicon = Lexicon(terms)
+        self.known: dict[str, list] = {}
+        self.size = 0
 
-def _lexicon(terms: list[Term]) -> Lexicon:
-    """Built once in each Python worker."""
-    key = hashlib.sha256(repr(terms).encode()).digest()
-    if key not in _LEXICONS:
-        _LEXICONS.clear()
-        _LEXICONS[key] = Lexicon(terms)
-    return _LEXICONS[key]
+    def has_hits(self, words: set[str]) -> bool:
+        new = words.difference(self.known)
+        if self.size > MEMORY:
+            self.known.clear()
+            self.size, new = 0, words
+        for word in new:
+            self.known[word] = _read(self.lexicon.match, word)
+            self.size += 2 * len(word) + 150
+        return any(map(self.known.__getitem__, words))
 
 
 def quotations(line: str) -> list[tuple[int, int]]:
-    """Start and end of the quotations of a line, in order. A mark that nothing closes opens none.
+    """Start and end of the quotations of a text, in order. A mark that nothing closes opens none.
 
     One pass from the right finds the next mark of each kind, one from the left pairs them.
     """
@@ -72,8 +81,8 @@ def quotations(line: str) -> list[tuple[int, int]]:
     closed = [0] * len(marks)
     for i in range(len(marks) - 1, -1, -1):
         at, mark = marks[i]
-        # Marks that close as a rule open only where a word may begin.
-        opens = mark not in "”»" or not at or not (line[at - 1].isalnum() or line[at - 1] in ".,!?;:…")
+        # Marks that may close open only where a word may begin.
+        opens = mark not in "”»\"" or not at or not (line[at - 1].isalnum() or line[at - 1] in ".,!?;:…")
         closed[i] = min((following[c] for c in _CLOSING[mark] if c in following), default=0) if opens else 0
         following[mark] = i
     out, i = [], 0
@@ -90,44 +99,62 @@ def _inside(spans: list[tuple[int, int]], at: int) -> bool:
     return k >= 0 and at < spans[k][1]
 
 
-def context_score(text: str, start: int, end: int, quoted: bool | None = None) -> float:
-    """How much of a term counts as abuse: less in quotation or report, all in direct address.
+class Paragraph:
+    """The lines between two empty ones: where its quotations and words are."""
 
-    ``quoted`` says whether the term stands in a quotation of its line, if that is known.
-    """
-    if quoted is None:
-        line = text.rfind("\n", 0, start) + 1
-        stop = text.find("\n", end)
-        quoted = _inside(quotations(text[line : stop if stop >= 0 else len(text)]), start - line)
-    before = text[max(0, start - 80) : start].rsplit("\n", 1)[-1]
-    after = text[end : end + 80].split("\n", 1)[0]
-    near = {w.lower() for w in _WORD.findall(before)[-REACH:] + _WORD.findall(after)[:REACH]}
-    score = 1.0
-    if quoted:
-        score -= 0.5
-    if near & REPORTING:
-        score -= 0.25
-    if near & ADDRESS:
-        score += 0.25
-    return min(1.0, score)
-
-
-def hits(lexicon: Lexicon, text: str) -> list[tuple[int, int, float]]:
+    def __init__(self, text: str, start: int, stop: int):
+        self.text, self.start, self.stop = text, start, stop
+        self.quoted = [(start + i, start + j) for i, j in quotations(text[start:stop])]
+        words = [m.span() for m in _WORD.finditer(text, start, stop)]
+        self.starts, self.ends = [i for i, _ in words], [j for _, j in words]
+
+    def score(self, start: int, end: int) -> float:
+        """How much of a term counts as abuse: less in quotation or report, all in direct address."""
+        before, after = bisect.bisect_right(self.ends, start), bisect.bisect_left(self.starts, end)
+        near = [*range(max(0, before - REACH), before), *range(after, min(len(self.ends), after + REACH))]
+        words = {self.text[self.starts[k] : self.ends[k]].lower() for k in near}
+        score = 1.0
+        if _inside(self.quoted, start):
+            score -= 0.5
+        if words & REPORTING:
+            score -= 0.25
+        if words & ADDRESS:
+            score += 0.25
+        return min(1.0, score)
+
+
+def paragraphs(text: str) -> Iterator[tuple[int, int]]:
+    start = 0
+    for m in _BREAK.finditer(text):
+        yield start, m.start()
+        start = m.end()
+    yield start, len(text)
+
+
+def context_score(text: str, start: int, end: int) -> float:
+    """The context score of the term at ``start`` in its paragraph."""
+    own = next(p for p in paragraphs(text) if start < p[1])
+    return Paragraph(text, *own).score(start, end)
+
+
+def hits(reader: Reader, text: str) -> list[tuple[int, int, float]]:
     """(term, edits, context score) of every occurrence of a term."""
-    match = lexicon.match
-    if not any(_read(match, w) for w in set(_MASKED.findall(text.lower()))):
+    if not reader.has_hits(set(_MASKED.findall(text.lower()))):
         return []
-    out, line, stop = [], 0, -1
-    spans: list[tuple[int, int]] = []
+    out, match = [], reader.lexicon.match
+    parts = paragraphs(text)
+    start, stop = next(parts)
+    own = None
     for m in _MASKED.finditer(text):  # lowered word by word, so offsets are those of the text
-        for term, e, start, end in _read(match, m.group()):
-            at = m.start() + start
-            if at > stop:  # in another line: its quotations are found once
-                line = text.rfind("\n", 0, at) + 1
-                stop = text.find("\n", at)
-                stop = stop if stop >= 0 else len(text)
-                spans = quotations(text[line:stop])
-            out.append((term, e, context_score(text, at, m.start() + end, _inside(spans, at - line))))
+        word = m.group()
+        low = word.lower()
+        found = reader.known.get(low) if len(low) == len(word) else None
+        for term, e, i, j in _read(match, word) if found is None else found:
+            while m.start() >= stop:
+                start, stop = next(parts)
+            if own is None or own.start != start:
+                own = Paragraph(text, start, stop)
+            out.append((term, e, own.score(m.start() + i, m.start() + j)))
     return out
 
 
@@ -174,7 +201,6 @@ def _candidates(texts: pa.Array) -> pa.Array:
         pairs = {
             (t, before)
             for before, w in zip(["", *words], words, strict=False)
-            if len(w) <= 40
             for t in _beginnings(w)
         }
         terms += [t for t, _ in pairs]
@@ -237,9 +263,8 @@ def _learn_terms(sample: DataFrame) -> list[Term]:
     )
     rows = (
         counted.filter((F.col("ones") >= 4) & (share >= 0.9) & (excess >= bar))
-        .orderBy(F.desc("ones"), "term")
-        .limit(MOST_TERMS)
-        .collect()
+        .select("term", "ones")
+        .collect()  # words of the sample, of which a toxic text has as many as it may hold
     )
     support = {r.term: r.ones for r in rows}
     longer = set()  # a stem gives way to a longer term that nearly all its contexts belong to
@@ -265,10 +290,13 @@ def _sampled_hits(sample: DataFrame, terms: list[Term]) -> list[tuple[int, list]
     schema = T.ArrayType(T.ArrayType(T.DoubleType()))
 
     @F.arrow_udf(schema)
-    def scan(texts: pa.Array) -> pa.Array:
-        lexicon = _lexicon(terms)
-        found = [[list(map(float, h)) for h in hits(lexicon, t)] for t in texts.to_pylist()]
-        return pa.array(found, pa.list_(pa.list_(pa.float64())))
+    def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        reader = Reader(terms)
+        for texts in batches:
+            found = [[list(map(float, h)) for h in hits(reader, t.as_py())] for t in texts]
+            yield pa.array(found, pa.list_(pa.list_(pa.float64())))
+        del reader
+        release()
 
     rows = sample.select("toxic", scan("text").alias("found")).collect()
     return [(r.toxic, [(int(k), int(e), c) for k, e, c in r.found]) for r in rows]
@@ -330,13 +358,16 @@ def score(model: Model, text_col: str | Column = "text") -> Column:
     terms, weights = model
 
     @F.arrow_udf(T.DoubleType())
-    def scored(texts: pa.Array) -> pa.Array:
-        lexicon = _lexicon(terms)
-        out = []
-        for text in texts:
-            found = features(hits(lexicon, text.as_py()))
-            z = weights[0] + sum(a * b for a, b in zip(weights[1:], found, strict=True))
-            out.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
-        return pa.array(out, pa.float64())
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        reader = Reader(terms)
+        for texts in batches:
+            out = []
+            for text in texts:
+                found = features(hits(reader, text.as_py()))
+                z = weights[0] + sum(a * b for a, b in zip(weights[1:], found, strict=True))
+                out.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
+            yield pa.array(out, pa.float64())
+        del reader
+        release()
 
     return scored(text_of(text_col))

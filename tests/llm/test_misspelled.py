@@ -49,10 +49,12 @@ def test_terms_that_keep_their_first_letter_beside_others():
 
 
 def test_signs_anywhere_in_a_word():
-    lexicon = Lexicon([Term("stupid", False, 1, True), Term("idiot", False, 1, True), Term("ass", False, 0)])
+    reader = toxicity.Reader(
+        [Term("stupid", False, 1, True), Term("idiot", False, 1, True), Term("ass", False, 0)]
+    )
 
     def found(text):
-        return [(k, e) for k, e, _ in toxicity.hits(lexicon, text)]
+        return [(k, e) for k, e, _ in toxicity.hits(reader, text)]
 
     assert found("so $tupid") == [(0, 0)] and found("an id*ot") == [(1, 1)]
     assert found("*idiot* @idiot idiot*stupid") == [(1, 0), (1, 0), (1, 0), (0, 0)]

@@ -3,14 +3,14 @@
 import time
 
 from loadlens.llm import toxicity
-from loadlens.llm.lexicon import Lexicon, Term
+from loadlens.llm.lexicon import Term
 
-LEXICON = Lexicon([Term("idiot", False, 0)])
+READER = toxicity.Reader([Term("idiot", False, 0)])
 FAR = "word " * 200
 
 
 def contexts(text):
-    found = [c for _, _, c in toxicity.hits(LEXICON, text)]
+    found = [c for _, _, c in toxicity.hits(READER, text)]
     at = text.index("idiot")
     assert found[0] == toxicity.context_score(text, at, at + 5)
     return found
@@ -35,3 +35,9 @@ def test_many_quoted_terms_in_one_line():
     began = time.time()
     assert contexts('"idiot" idiot ' * 20_000) == [0.5, 1.0] * 20_000
     assert time.time() - began < 20
+
+
+def test_quotations_over_lines_end_with_their_paragraph():
+    assert contexts('He said: "one\ntwo an idiot\nthree" idiot') == [0.25, 0.75]
+    assert contexts(f'"{FAR}\n\n idiot {FAR}"') == [1.0]
+    assert contexts(f"idiot\n\n{FAR}\n \t\nidiot “idiot” {FAR}\n\n") == [1.0, 1.0, 0.5]

@@ -62,7 +62,13 @@ def test_context_separates_quotation_from_abuse():
     abuse, plain = score("you are an idiot"), score("such an idiot here")
     reported, quoted = score("he called them an idiot"), score('he said "what an idiot" and left')
     assert quoted < reported < plain <= abuse
-    assert score('"first line\nan idiot" here') == plain  # a quotation does not go over lines
+    assert score('"first line\nan idiot" here') == plain - 0.5  # over lines, not over paragraphs
+    assert score('"first line\n \nan idiot" here') == plain
+    long = "word" * 30
+    assert score(f"quoted {long} {long} idiot") == score(f"idiot {long} {long} quoted") == reported
+    assert score(f"misquoted {'x' * 75} idiot") == plain
+    assert score("quoted a b c d e f idiot") == plain  # beyond six words
+    assert score('a 5" pipe, an idiot, a 6" pipe') == plain  # no word begins after these marks
 
 
 def corpus(n=1500):
