@@ -24,33 +24,47 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 LEAST_ASSIGN, LEAST_ACCESS = 6, 20
 KINDS = ("assign", "access", "hex", "random")
 
-ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_="
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 _N = len(ALPHABET) + 1  # state 0 is the beginning of a token
 _CODE = np.zeros(256, np.uint8)
 _CODE[np.frombuffer(ALPHABET.encode(), np.uint8)] = np.arange(1, _N)
-_TOKEN = re.compile(r"[A-Za-z0-9+/_=]{8,}")
-#: Tokens shorter than this are not judged.
+#: Runs of letters, digits and signs, with dashes and points inside them.
+_TOKEN = re.compile(r"[A-Za-z0-9+/_=]+(?:[-.][A-Za-z0-9+/_=]+)*")
+#: Shorter tokens are neither learned from nor judged; those below the second are only learned from.
+LEAST_TOKEN = 8
 LEAST_RANDOM = 16
 #: A token is random from this log-likelihood ratio on: odds of about 160,000 to 1.
 LEAST_RATIO = 12.0
 
 
-def base_spans(text: str) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of the base patterns' matches, leftmost and non-overlapping per kind."""
+def base_matches(text: str) -> list[tuple[int, int, int, int]]:
+    """(start, kind, end, start of the secret) of the base patterns' matches, leftmost and
+    non-overlapping per kind. The secret of an assignment is its value, without name and sign."""
     out = []
     lowered = text.lower()
     if any(w in lowered for w in ("passw", "secret", "token", "apikey", "api_key")):
         for m in ASSIGN.finditer(text):
             if len(m[2]) >= LEAST_ASSIGN:
-                out.append((m.start(), 0, m.end()))
+                out.append((m.start(), 0, m.end(), m.start(2)))
     if "AKIA" in text:
         for m in ACCESS.finditer(text):
             if len(m[0]) >= LEAST_ACCESS:
-                out.append((m.start(), 1, m.end()))
-    out += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
+                out.append((m.start(), 1, m.end(), m.start()))
+    out += [(m.start(), 2, m.end(), m.start()) for m in HEX.finditer(text)]
     return sorted(out)
 
 
+def base_spans(text: str) -> list[tuple[int, int, int]]:
+    return [found[:3] for found in base_matches(text)]
+
+
+def training_tokens(text: str) -> tuple[list[str], list[str]]:
+    """The secrets of a text, and all its other tokens."""
+    found = base_matches(text)
+    rest = _outside(text, [m[:3] for m in found]) if found else text
+    return [text[m[3] : m[2]] for m in found], [t for t in _TOKEN.findall(rest) if len(t) >= LEAST_TOKEN]
+
+
 class Markov(NamedTuple):
     """Log-likelihood ratio, random against ordinary, of each character after each other."""
 
@@ -89,12 +103,7 @@ def _count(batches):
     totals = np.zeros((2, _N * _N), np.int64)
     for b in batches:
         for x in b.column(0):
-            text = x.as_py()
-            spans = base_spans(text)
-            values = [text[s:e] for s, _, e in spans]
-            # Of an assignment the value is the secret, its last run of the alphabet.
-            secret = [t[-1] for t in map(_TOKEN.findall, values) if t]
-            rest = _TOKEN.findall(_outside(text, spans) if spans else text)
+            secret, rest = training_tokens(x.as_py())
             if secret:
                 totals[1] += _pairs(secret)
             if rest:
@@ -117,7 +126,7 @@ def train(docs: DataFrame, text_col: str = "text") -> Markov:
     counted = docs.select(text_of(text_col)).mapInArrow(_count, _COUNTS)
     summed = counted.groupBy("random", "before", "after").agg(F.sum("n").alias("n"))
     seen = np.zeros((2, _N, _N))
-    for r in summed.collect():  # 2 * 67 * 67 rows at most
+    for r in summed.collect():  # 2 * 69 * 69 rows at most
         seen[r.random, r.before, r.after] = r.n
     logs = []
     for k in (0, 1):

@@ -3,6 +3,7 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from loadlens.llm import secrets
@@ -81,3 +82,27 @@ def test_no_texts(spark):
     model = secrets.train(empty)
     assert not model.ratio.any()
     assert empty.select(secrets.find_secrets(model)).collect() == []
+
+
+def test_the_value_of_an_assignment_is_what_is_learned():
+    text = "password: hunter2 PASSWD='abc123x' my token = x9.Yz-Q1_ is AKIA" + "B" * 16 + " internationalised"
+    secret, rest = secrets.training_tokens(text)
+    assert secret == ["hunter2", "abc123x", "x9.Yz-Q1_", "AKIA" + "B" * 16]
+    assert rest == ["internationalised"]
+    pairs = [b.to_pydict() for b in secrets._count([_batch("password=zzzzzz")])][0]
+    z = secrets.ALPHABET.index("z") + 1
+    assert {(a, b): n for a, b, n in zip(pairs["before"], pairs["after"], pairs["n"], strict=True)} == {
+        (0, z): 1,
+        (z, z): 5,
+    }
+
+
+def _batch(text):
+    return pa.RecordBatch.from_arrays([pa.array([text])], names=["text"])
+
+
+def test_dashed_keys_are_judged_whole(model):
+    rng = random.Random(4)
+    key = "-".join(random_string(rng, 7) for _ in range(5))
+    text = f"use {key} now, state-of-the-art.configuration"
+    assert secrets.all_spans(text, model) == [(4, 3, 4 + len(key))]
