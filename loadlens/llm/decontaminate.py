@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import hashlib
 import re
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import chain
 
 import ahocorasick
 import pyarrow as pa
@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from loadlens.llm.common import text_of
+from loadlens.llm.common import release, text_of
 
 WINDOW = 10
 #: One automaton holds benchmark texts of at most so many bytes; more texts are scanned in blocks.
 BLOCK_BYTES = 8 << 20
+#: Bytes of texts that are scanned with all blocks before the next.
+HELD_BYTES = 64 << 20
 
 # Bytes that end a word become blanks, A-Z are lowered. Bytes from 0x80 on belong to words.
 _NORMAL = bytes(
@@ -74,18 +76,6 @@ class Automaton:
         return len(words), ranges, names
 
 
-_BUILT: dict[bytes, Automaton] = {}
-
-
-def _automaton(items: Sequence[tuple[str, bytes]], window: int) -> Automaton:
-    """Built once in each Python worker; the one of the last block is let go."""
-    key = hashlib.sha256(repr((window, items)).encode()).digest()
-    if key not in _BUILT:
-        _BUILT.clear()
-        _BUILT[key] = Automaton(items, window)
-    return _BUILT[key]
-
-
 def _spans(text: str, ranges: list[list[int]]) -> list[dict]:
     """Word ranges as code points of the original text."""
     if not ranges:
@@ -94,16 +84,65 @@ def _spans(text: str, ranges: list[list[int]]) -> list[dict]:
     return [{"start": at[i][0], "end": at[j - 1][1]} for i, j in ranges]
 
 
-def _scanner(shipped, window: int):
+def scanned(texts: list[pa.Buffer | bytes], blocks: Iterable[Sequence], window: int) -> list[list]:
+    """Number of words, hit ranges and items of each text, by one automaton after the other."""
+    found: list[list] = [[0, [], set()] for _ in texts]
+    for items in blocks:
+        automaton = Automaton(items, window)
+        for row, text in zip(found, texts, strict=True):
+            n, ranges, names = automaton.scan(text)
+            row[0] = n
+            row[1] += ranges
+            row[2] |= names
+    return [[n, merged(ranges), names] for n, ranges, names in found]
+
+
+def merged(ranges: list[list[int]]) -> list[list[int]]:
+    out: list[list[int]] = []
+    for start, end in sorted(ranges):
+        if out and start <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], end)
+        else:
+            out.append([start, end])
+    return out
+
+
+def _items(shipped) -> Iterator[Sequence]:
+    """The blocks one by one; a worker keeps none that it has scanned with."""
+    for block in shipped:
+        yield block.value
+        vars(block).pop("_value", None)
+
+
+def _scanner(shipped: list, window: int):
+    def results(texts: list[pa.Array], found: list[list]) -> Iterator[pa.Array]:
+        found_ = iter(found)
+        for batch in texts:
+            out = []
+            for x in batch:
+                n, ranges, names = next(found_)
+                spans = _spans(x.as_py(), ranges) if ranges else []
+                hit = sum(j - i for i, j in ranges)
+                out.append({"n_words": n, "n_hit": hit, "items": sorted(names), "spans": spans})
+            yield pa.array(out, _TYPE)
+
     @F.arrow_udf(_HIT)
-    def scan(texts: pa.Array) -> pa.Array:
-        automaton, out = _automaton(shipped.value, window), []
-        for x in texts:
-            n, ranges, names = automaton.scan(x.as_buffer())
-            spans = _spans(x.as_py(), ranges) if ranges else []
-            hit = sum(j - i for i, j in ranges)
-            out.append({"n_words": n, "n_hit": hit, "items": sorted(names), "spans": spans})
-        return pa.array(out, _TYPE)
+    def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        if len(shipped) == 1:
+            automaton = Automaton(next(_items(shipped)), window)
+            for batch in batches:
+                yield from results([batch], [automaton.scan(x.as_buffer()) for x in batch])
+            del automaton
+        else:
+            held: list[pa.Array] = []
+            for batch in chain(batches, [None]):
+                if batch is not None:
+                    held.append(batch)
+                if held and (batch is None or sum(b.nbytes for b in held) >= HELD_BYTES):
+                    texts = [x.as_buffer() for b in held for x in b]
+                    yield from results(held, scanned(texts, _items(shipped), window))
+                    held = []
+        release()
 
     return scan
 
@@ -143,8 +182,9 @@ def find_contamination(
     points of the original text, ``items`` the ids with an occurring window, sorted as strings.
 
     The benchmark is the query set: it is read by the driver and broadcast, at most
-    ``block_bytes`` of it in one automaton. A larger one is scanned block after block, each in one
-    pass over the documents, and the passages are united within the row; no row ever moves.
+    ``block_bytes`` of it in one automaton. With a larger one a task gathers ``HELD_BYTES`` of texts
+    and scans them with one automaton after the other, so one is in memory at a time and each is
+    built once for so many texts; the passages are united within the row. No row ever moves.
 
     Null and empty texts, in either table, have no words and match nothing. An item without an id
     has the empty id. Repeated items and items that share windows are all named. All other columns
@@ -154,27 +194,5 @@ def find_contamination(
     context = docs.sparkSession.sparkContext
     blocks = _blocks(benchmark, item_col, item_text_col, block_bytes)
     kept = [c for c in docs.columns if c.lower() != out.lower()]
-    found = [_scanner(context.broadcast(b), window)(text_of(text_col)) for b in blocks]
-    if len(found) == 1:
-        return docs.select(*kept, found[0].alias(out))
-    marked = docs.select(*kept, F.array(*found).alias(out))
-    return marked.withColumn(out, _united(F.col(out), text_of(text_col)))
-
-
-@F.arrow_udf(_HIT)
-def _united(blocks: pa.Array, texts: pa.Array) -> pa.Array:
-    """The blocks' results of a row as one: passages united, words in them counted once."""
-    out = []
-    for parts, text in zip(blocks, texts, strict=True):
-        parts = parts.as_py()
-        spans: list[dict] = []
-        for s in sorted((s for p in parts for s in p["spans"]), key=lambda s: s["start"]):
-            if spans and s["start"] <= spans[-1]["end"]:
-                spans[-1]["end"] = max(spans[-1]["end"], s["end"])
-            else:
-                spans.append(dict(s))
-        whole = text.as_py() if spans else ""
-        hit = sum(len(_WORD.findall(whole[s["start"] : s["end"]])) for s in spans)
-        items = sorted({i for p in parts for i in p["items"]})
-        out.append({"n_words": parts[0]["n_words"], "n_hit": hit, "items": items, "spans": spans})
-    return pa.array(out, _TYPE)
+    scan = _scanner([context.broadcast(b) for b in blocks], window)
+    return docs.select(*kept, scan(text_of(text_col)).alias(out))

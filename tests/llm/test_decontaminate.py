@@ -3,6 +3,7 @@
 import random
 import re
 
+from loadlens.llm import decontaminate
 from loadlens.llm.decontaminate import find_contamination
 from tests.llm.helpers import documents
 
@@ -73,3 +74,13 @@ def test_empty_tables_and_clashing_names(spark):
     assert find_contamination(frame.limit(0), benchmark).collect() == []
     again = find_contamination(find_contamination(frame, benchmark), benchmark)
     assert again.columns.count("contamination") == 1 and "key" in again.columns
+
+
+def test_an_automaton_is_built_once_a_block(monkeypatch):
+    built = []
+    real = decontaminate.Automaton.__init__
+    monkeypatch.setattr(decontaminate.Automaton, "__init__", lambda self, *a: built.append(1) or real(self, *a))
+    blocks = [[("p", b"one two three")], [("q", b"three four"), ("r", b"nine")], [("s", b"absent")]]
+    found = decontaminate.scanned([b"One two three four"] * 500 + [b"", b"nine nine"], blocks, 10)
+    assert len(built) == 3
+    assert found[0] == [4, [[0, 4]], {"p", "q"}] and found[500:] == [[0, [], set()], [2, [[0, 2]], {"r"}]]
