@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -55,7 +56,7 @@ def test_components_of_near_fingerprints(spark):
                 at ^= 1 << rng.randrange(64)
     values = sorted({v - (1 << 64) if v >> 63 else v for v in values} | {0, -(1 << 63), 1})
     points = spark.createDataFrame([(v,) for v in values], "fp long")
-    for segments in (1, 2, 4):
+    for segments in (1, 2, 3, 4):
         links = ball_links(points, segments=segments)
         found = {r.node: r.root for r in connected_components(links).collect()}
         want = plain_components([v & (1 << 64) - 1 for v in values])
@@ -82,6 +83,39 @@ def test_documents(spark):
     for (i, _), value, c in zip(rows, values, classes, strict=True):
         ids = [r[0] for r, k in zip(rows, classes, strict=True) if k == c and r[0] is not None]
         want.append((i, f"{value:016x}", min(ids, default=None)))
-    found = simhash_dedup(documents(spark, rows))
+    found = simhash_dedup(documents(spark, rows)).drop("root")
     assert sorted(map(tuple, found.collect()), key=str) == sorted(want, key=str)
     assert simhash_dedup(documents(spark, rows).limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("hot", [2, 64])
+@pytest.mark.parametrize("segments,distance", [(1, 1), (2, 0), (2, 1), (2, 2), (2, 3), (3, 2), (3, 3), (5, 2), (7, 3)])
+def test_every_pair_within_the_distance_is_met_once(spark, segments, distance, hot):
+    """Dense families share segments, so with ``hot=2`` their values are split again and again."""
+    rng = random.Random(distance)
+    values = {0, -(1 << 63), 1, (1 << 63) - 1, -1}
+    for _ in range(6):
+        at = rng.getrandbits(64)
+        low = rng.randrange(48)
+        for _ in range(25):
+            v = at
+            for _ in range(rng.randint(0, 4)):
+                v ^= 1 << (low + rng.randrange(16))
+            values.add(v - (1 << 64) if v >> 63 else v)
+    points = spark.createDataFrame([(v,) for v in values], "fp long")
+    found = [(r.a, r.b) for r in ball_links(points, segments=segments, distance=distance, hot=hot).collect()]
+    full = (1 << 64) - 1
+    want = {
+        frozenset((a, b))
+        for a in values
+        for b in values
+        if a != b and ((a ^ b) & full).bit_count() <= distance
+    }
+    assert set(map(frozenset, found)) == want and len(found) == len(want)
+
+
+def test_components_of_repeated_ids(spark):
+    rows = [(0, "a b c d"), (1, "a b c D"), (1, "quite another text here"), (None, "x"), (None, "Y")]
+    found = simhash_dedup(documents(spark, rows), carry={"n": F.length("text")}).collect()
+    assert {(r.doc_id, r.component_id, r.n) for r in found} == {(0, 0, 7), (1, 0, 7), (1, 1, 23), (None, None, 1)}
+    assert len({r.root for r in found}) == 4
