@@ -2,24 +2,25 @@
 
 from __future__ import annotations
 
-import gzip
-import uuid
+import zlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadlens.llm.common import cut, scratch_dir, text_of
+from loadlens.joins import fits_broadcast
+from loadlens.llm.common import cut, own_folder, text_of
 
 CRLF = b"\r\n"
 #: Bytes of a record's block; longer responses are continued in further records.
-SEGMENT = 1 << 15
+SEGMENT = 1 << 12
 #: Bytes of a chunk of the transfer coding.
 CHUNK = 1 << 13
 #: Records in one file, so that a file is at most about 16 MB.
-FILE_RECORDS = 512
+FILE_RECORDS = 4096
 #: Bytes of rows that the reader hands on at a time.
 READ_BYTES = 4 << 20
 _URN = "urn:loadlens:page:"
@@ -112,18 +113,48 @@ def records(
     return out
 
 
+def inflated(archive: bytes) -> bytes:
+    """All members of a gzip file; of one that is cut short or damaged, what comes before that."""
+    parts = []
+    while archive[:2] == b"\x1f\x8b":
+        member = zlib.decompressobj(31)
+        try:
+            parts.append(member.decompress(archive))
+        except zlib.error:
+            break
+        archive = member.unused_data
+    return b"".join(parts)
+
+
 def parse(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields (names in lower case) and block of every record, by the stated lengths."""
+    """Header fields (names in lower case) and block of every record, by the stated lengths.
+
+    A record without a length, or whose length is no number, is left out, and reading goes on with
+    the next record that begins after an empty line. One that is cut short ends the archive.
+    """
     if archive[:2] == b"\x1f\x8b":
-        archive = gzip.decompress(archive)
-    at = 0
-    while (at := archive.find(b"WARC/", at)) >= 0:
-        end = archive.index(CRLF + CRLF, at)
+        archive = inflated(archive)
+    at = archive.find(b"WARC/")
+    while at >= 0:
+        end = archive.find(CRLF + CRLF, at)
+        if end < 0:
+            return
         lines = archive[at:end].decode("utf-8", "replace").split("\r\n")[1:]
         fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-        start = end + 4
-        at = start + int(fields["content-length"])
-        yield fields, archive[start:at]
+        start, length = end + 4, _number(fields.get("content-length"))
+        if length is None:
+            at = archive.find(CRLF + CRLF + b"WARC/", end)
+            at = at + 4 if at >= 0 else -1
+            continue
+        if start + length > len(archive):
+            return
+        yield fields, archive[start : start + length]
+        at = archive.find(b"WARC/", start + length)
+
+
+def _number(text: str | None) -> int | None:
+    """A whole number of the range of a record's fields, or None."""
+    return int(text) if text and text.isascii() and text.isdigit() and len(text) < 19 else None
 
 
 def base32(hex_digest: Column) -> Column:
@@ -164,8 +195,8 @@ def write_archives(
     Of rows with equal payloads of at least ``least_bytes`` bytes the one with the largest id is
     the response; the others are revisits of it, without payload. Rows are paired by a narrow table
     of ids and SHA-256 digests, combined before its shuffle; only ids and digests go through the
-    join of a digest that many rows share, which adaptive execution splits. Payloads move once, by
-    id. A null html is an empty payload, a null url an empty one. Rows of a null id are never
+    join of a digest that many rows share, which adaptive execution splits. Payloads stay where they are
+    read, or move by id if there are very many revisits. Ids may be any text. A null html is an empty payload, a null url an empty one. Rows of a null id are never
     referred to. Repeated rows have records of their own. Files are bounded in records and a
     record in bytes; the writer is Spark's, so a lost task's files are not seen.
     """
@@ -181,14 +212,17 @@ def write_archives(
     revisits = (
         prints.join(last, "strong").filter("page_id <> first").select("page_id", "strong", "first")
     ).dropDuplicates(["page_id", "strong"])
+    revisits = cut(revisits)
+    if fits_broadcast(revisits):  # by its counted bytes; then no payload moves
+        revisits = F.broadcast(revisits)
     marked = base.withColumn("strong", strong).join(revisits, ["page_id", "strong"], "left")
     made = _records(
-        F.coalesce(F.col("page_id").cast("string"), F.lit("")),
+        F.coalesce(_spelled("page_id"), F.lit("")),
         F.uuid(),
         "url",
         F.when(F.col("first").isNull(), F.col("payload")).otherwise(F.lit(b"")),
         base32(F.sha1("payload")),
-        F.col("first").cast("string"),
+        _spelled("first"),
         F.lit(segment),
     )
     lines = marked.select(F.explode(made).alias("r")).select(F.col("r").cast("string"))
@@ -196,6 +230,11 @@ def write_archives(
     writer.option("compression", "gzip").text(folder)
 
 
+def _spelled(column: str) -> Column:
+    """An id as it stands in a record id, after a sign that tells an empty one from none."""
+    return F.concat(F.lit("="), F.url_encode(F.col(column).cast("string")))
+
+
 _READ = T.StructType(
     [
         T.StructField("record_id", T.StringType()),
@@ -222,7 +261,10 @@ def _read(batches):
                     fields.get(f"warc-segment-{k}") for k in ("number", "total-length")
                 )
                 row = [fields.get(n) for n in names]
-                row += [number and int(number), total and int(total), block]
+                row += [_number(number), _number(total), block]
+                if number is None:  # a record of its own is its only segment
+                    row[6:8] = 1, len(block)
+                row[5] = row[5] or row[0]
                 rows.append(dict(zip(_READ.names, row, strict=True)))
                 size += len(block) + 500
                 if size >= READ_BYTES:
@@ -238,57 +280,70 @@ _ARROW = pa.schema(
 )
 
 
-@F.arrow_udf(T.BinaryType())
-def _payload(blocks: pa.Array) -> pa.Array:
-    return pa.array([payload_of(b.as_py()) for b in blocks], pa.binary())
+def whole_block(segments: list[tuple[int | None, int | None, bytes]]) -> bytes | None:
+    """The blocks of segments (number, total, block) in order; None unless 1 to n are there and their
+    bytes add up to the total. A segment that is there twice with equal content counts once."""
+    found = sorted(set(segments), key=lambda s: s[0] or 0)
+    block = b"".join(s[2] for s in found)
+    totals = {s[1] for s in found if s[1] is not None}
+    numbered = [s[0] for s in found] == list(range(1, len(found) + 1))
+    return block if numbered and totals == {len(block)} else None
 
 
-@F.arrow_udf(T.BinaryType())
-def _joined(parts: pa.Array) -> pa.Array:
-    """Blocks of the segments 1 to n in order; null if one lacks, is double, or the sum is wrong."""
-    out = []
-    for segments in parts:
-        found = sorted(segments.as_py(), key=lambda s: s["segment"])
-        block = b"".join(s["block"] for s in found)
-        totals = {s["total"] for s in found if s["total"] is not None}
-        whole = [s["segment"] for s in found] == list(range(1, len(found) + 1))
-        out.append(block if whole and totals == {len(block)} else None)
-    return pa.array(out, pa.binary())
+_WHOLE = T.StructType([*_READ.fields[:5], T.StructField("payload", T.BinaryType())])
+
+
+def _assembled(batches):
+    """Segments in the order of their origins to responses and revisits; one origin is held at a time."""
+
+    def rows():
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                yield from batch.slice(at, 256).to_pylist()
+
+    out, size = [], 0
+    for origin, own in groupby(rows(), lambda r: r["origin"]):
+        own = list(own)
+        first = next((r for r in own if r["segment"] == 1), None)
+        if first is None or first["type"] not in ("response", "revisit"):
+            continue
+        row = {n: first[n] for n in _WHOLE.names[1:5]} | {"record_id": origin, "payload": None}
+        if first["type"] == "response":
+            block = whole_block([(r["segment"], r["total"], r["block"]) for r in own])
+            row["payload"] = payload_of(block)
+        out.append(row)
+        size += len(row["payload"] or b"") + 500
+        if size >= READ_BYTES:
+            yield pa.RecordBatch.from_pylist(out, _WHOLE_ARROW)
+            out, size = [], 0
+    if out:
+        yield pa.RecordBatch.from_pylist(out, _WHOLE_ARROW)
+
+
+_WHOLE_ARROW = pa.schema([(n, pa.string()) for n in _WHOLE.names[:5]] + [("payload", pa.binary())])
 
 
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     """``record_id, type, uri, digest, refers_to, payload`` of every response and revisit.
 
-    Files are read whole by Spark and parsed by the stated lengths, so a payload may hold anything.
-    Records that are not segmented go straight through. Segments are grouped by the id of their
-    origin, which holds one payload, ordered by number, and joined if all are there once and their
-    bytes add up to the stated total length; else the payload is null. Segments that appear twice
-    with equal content count once. Chunked transfer coding is removed; a body that is cut short has
-    a null payload, and so has a revisit. Other record types are left out.
+    Files are read whole by Spark, once, and parsed by the stated lengths, so a payload may hold
+    anything. Segments are dealt to tasks by the id of their origin and sorted by it and their number; a
+    record that is not segmented is its own only segment. The blocks of an origin, which are one
+    payload, are joined if all are there once and their bytes add up to the stated total length; else
+    the payload is null. Segments that appear twice with equal content count once. Chunked transfer
+    coding is removed; a body that is cut short has a null payload, and so has a revisit. Other record
+    types are left out, and broken records as ``parse`` says. An empty folder gives no rows.
     """
     files = spark.read.format("binaryFile").load(folder).select("content")
-    rows = files.mapInArrow(_read, _READ)
-    kept = ["record_id", "type", "uri", "digest", "refers_to", "block"]
-    single = rows.filter("segment IS NULL AND type IN ('response', 'revisit')").select(kept)
-    parts = rows.filter("segment IS NOT NULL").withColumn(
-        "origin", F.coalesce("origin", "record_id")
-    )
-    whole = (
-        parts.groupBy("origin")
-        .agg(
-            *[F.max(F.when(F.col("segment") == 1, F.col(c))).alias(c) for c in kept[1:5]],
-            F.collect_set(F.struct("segment", "total", "block")).alias("parts"),
-        )
-        .filter("type IN ('response', 'revisit')")
-        .select(F.col("origin").alias("record_id"), *kept[1:5], _joined("parts").alias("block"))
-    )
-    response = F.when(F.col("type") == "response", F.col("block"))
-    return single.unionByName(whole).select(*kept[:5], _payload(response).alias("payload"))
+    rows = files.mapInArrow(_read, _READ).filter("origin IS NOT NULL")
+    dealt = rows.repartition("origin").sortWithinPartitions("origin", "segment")
+    return dealt.mapInArrow(_assembled, _WHOLE)
 
 
 def page_of(urn: str | Column) -> Column:
-    """The page id within a record id of ``write_archives``."""
-    return F.regexp_extract(urn, f"^<{_URN}([^:>]*)", 1)
+    """The page id within a record id of ``write_archives``; null if the page had none."""
+    found = F.regexp_extract(urn, f"^<{_URN}(=[^:>]*)", 1)
+    return F.when(found != "", F.url_decode(F.substring(found, 2, 1 << 20)))
 
 
 def round_trip(pages: DataFrame, id_col: str = "page_id", *, segment: int = SEGMENT) -> DataFrame:
@@ -299,12 +354,12 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", *, segment: int = SEGM
     revisit's own; else they are null. One row per record.
     """
     spark = pages.sparkSession
-    folder = f"{scratch_dir(spark)}/warc-{uuid.uuid4().hex}"
+    folder = own_folder(spark, "warc")
     write_archives(pages, folder, id_col=id_col, segment=segment)
     kind = pages.schema[id_col].dataType
     read = cut(
         read_archives(spark, folder).select(
-            F.when(page_of("record_id") != "", page_of("record_id")).cast(kind).alias("page_id"),
+            page_of("record_id").cast(kind).alias("page_id"),
             F.col("type").alias("record_type"),
             page_of("refers_to").cast(kind).alias("refers_to"),
             F.substring("digest", 6, 32).alias("stated"),

@@ -1,6 +1,7 @@
 """WARC archives: a round trip, segments in any order, broken segments, chunked bodies."""
 
 import base64
+import gzip
 import hashlib
 
 import pytest
@@ -79,3 +80,37 @@ def test_chunks():
     for broken in (b"", b"zz\r\n", b"4\r\nabc", b"4\r\nabcd\r\n", b"-1\r\n\r\n"):
         assert warc.unchunked(broken) is None
     assert warc.payload_of(b"HTTP/1.1 200 OK\r\n\r\nplain") == b"plain"
+
+
+def test_ids_of_any_text(spark):
+    ids = ["a:b", "a>c", "a", "", "=", "%3A", "é +&", None]
+    pages = spark.createDataFrame([(i, "u", f"<p>{k % 3}</p>") for k, i in enumerate(ids)], "page_id string, url string, html string")
+    found = warc.round_trip(pages).collect()
+    assert sorted((r.page_id for r in found), key=str) == sorted(ids, key=str)
+    best = {k: max(i for n, i in enumerate(ids) if n % 3 == k and i is not None) for k in range(3)}
+    want = {i: None if i in (None, best[k % 3]) else best[k % 3] for k, i in enumerate(ids)}
+    assert {r.page_id: r.refers_to for r in found} == want
+
+
+def test_most_pages_are_segmented():
+    for size in (4000, 9000, 40_000):
+        assert len(warc.records("1", "k", "u", b"x" * size, "D", None, warc.SEGMENT)) > size // 4096
+
+
+def test_broken_records(spark, tmp_path):
+    good = [warc.records(str(k), "k", "u", b"abc" * 2000, "D", None, 4096) for k in range(3)]
+    assert all(len(g) == 2 for g in good)
+    lost = good[1][0].replace(b"Content-Length", b"Content-Size")
+    odd = good[1][1].replace(b"Segment-Number: 2", b"Segment-Number: two")
+    archive(tmp_path, "a.warc", [*good[0], lost, odd, *good[2]])
+    whole = b"".join(r + b"\r\n\r\n" for r in good[0])
+    (tmp_path / "cut.warc").write_bytes(whole.replace(b"page:0", b"page:7")[:-1000])
+    (tmp_path / "cut.warc.gz").write_bytes(gzip.compress(whole.replace(b"page:0", b"page:8")) + gzip.compress(whole)[:-20])
+    (tmp_path / "none.warc").write_bytes(b"no records here")
+    (tmp_path / "empty.warc").write_bytes(b"")
+    found = warc.read_archives(spark, str(tmp_path)).collect()
+    got = {r.record_id: r.payload and bytes(r.payload) for r in found}
+    want = {f"<urn:loadlens:page:{k}:k>": b"abc" * 2000 for k in (0, 2, 8)}
+    assert got == want | {"<urn:loadlens:page:7:k>": None}
+    for broken in (b"WARC/1.1\r\nContent-Length: 9", b"WARC/1.1\r\n\r\n", b"WARC/1.1\r\nContent-Length: -4\r\n\r\nx", b"\x1f\x8bxx"):
+        assert list(warc.parse(broken)) == []
