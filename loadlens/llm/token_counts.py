@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -10,14 +11,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadlens.llm.common import text_of
+from loadlens.llm.common import release, text_of
 
 #: Bytes of text handed to the tokenizer at a time.
 BATCH_BYTES = 1 << 18
 #: Characters of text that are cut and counted at a time.
 TEXT_CHARS = 4 << 20
-#: Pieces whose length a worker remembers.
-MOST_PIECES = 400_000
+#: Bytes of pieces whose length a task remembers, roughly; longer pieces than the second are not.
+MEMORY, LONGEST = 32 << 20, 256
 
 
 @lru_cache(maxsize=2)
@@ -28,24 +29,35 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-@lru_cache(maxsize=2)
-def _lengths(path: str) -> dict[str, int]:
-    return {"": 0}
-
-
-def _learn(path: str, pieces: set[str]) -> None:
-    """Encode pieces in batches of about ``BATCH_BYTES`` and remember only how long they are."""
-    known, encode = _lengths(path), _tokenizer(path).encode_batch_fast
-    batch: list[str] = []
-    size = 0
-    for piece in [*pieces, None]:
-        if piece is None or size >= BATCH_BYTES:
-            for p, e in zip(batch, encode(batch, add_special_tokens=False), strict=True):
-                known[p] = len(e)
-            batch, size = [], 0
-        if piece is not None:
-            batch.append(piece)
-            size += 4 * len(piece) + 16
+class Lengths(dict):
+    """How many tokens the pieces have that a task has met."""
+
+    def __init__(self, path: str):
+        super().__init__({"": 0})
+        self.path, self.size = path, 0
+
+    def learn(self, pieces: set[str]) -> dict[str, int]:
+        """Encode pieces in batches of about ``BATCH_BYTES``; those too long to keep are returned."""
+        encode, rest = _tokenizer(self.path).encode_batch_fast, {}
+        batch: list[str] = []
+        size = 0
+        for piece in [*pieces, None]:
+            if piece is None or size >= BATCH_BYTES:
+                for p, e in zip(batch, encode(batch, add_special_tokens=False), strict=True):
+                    if len(p) <= LONGEST:
+                        self[p] = len(e)
+                        self.size += 2 * len(p) + 120
+                    else:
+                        rest[p] = len(e)
+                batch, size = [], 0
+            if piece is not None:
+                batch.append(piece)
+                size += 4 * len(piece) + 16
+        return rest
+
+    def forget(self) -> None:
+        self.clear()
+        self[""] = self.size = 0
 
 
 def _cuts(text: str):
@@ -60,22 +72,22 @@ def _cuts(text: str):
     yield text[start:]
 
 
-def count_tokens(texts: list[str], path: str) -> list[int]:
+def count_tokens(texts: list[str], known: Lengths) -> list[int]:
     """The number of tokens of each text; see ``token_counts``."""
-    known, out = _lengths(path), []
+    out: list[int] = []
     group: list[list[str]] = []
     owners: list[int] = []
     size = 0
 
     def flush():
-        missing = {p for pieces in group for p in pieces} - known.keys()
-        if len(known) + len(missing) > MOST_PIECES:
-            known.clear()
-            known[""] = 0
-            missing = {p for pieces in group for p in pieces} - known.keys()
-        _learn(path, missing)
+        if known.size > MEMORY:
+            known.forget()
+        rest = known.learn({p for pieces in group for p in pieces} - known.keys())
         for at, pieces in zip(owners, group, strict=True):
-            out[at] += sum(map(known.__getitem__, pieces))
+            if rest:
+                out[at] += sum(rest[p] if p in rest else known[p] for p in pieces)
+            else:
+                out[at] += sum(map(known.__getitem__, pieces))
         group.clear()
         owners.clear()
 
@@ -98,19 +110,23 @@ def token_counts(path: str, text_col: str | Column = "text") -> Column:
 
     ``path`` names a file of the tokenizers library whose normaliser and splitter drop white space.
     No token then reaches over a blank, tab or line end, so these are safe boundaries: texts are cut
-    there, and a piece that a worker has met before is not encoded again. Pieces go to the library in
+    there, and a piece that a task has met before is not encoded again. Pieces go to the library in
     batches of about ``BATCH_BYTES``, whatever the lengths of the texts; a text of any length is
     counted ``TEXT_CHARS`` at a time. The library's defaults hold for special strings inside texts;
     none are added, and nothing is truncated or padded.
 
-    Null and empty texts have no tokens. Only lengths leave the worker; nothing is shuffled.
+    Null and empty texts have no tokens, repeated ones the same number each. Only lengths leave the worker; nothing is shuffled.
     """
 
     @F.arrow_udf(T.LongType())
-    def counted(texts: pa.Array) -> pa.Array:
-        out: list[int] = []
-        for at in range(0, len(texts), 512):
-            out += count_tokens(texts[at : at + 512].to_pylist(), path)
-        return pa.array(out, pa.int64())
+    def counted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = Lengths(path)
+        for texts in batches:
+            out: list[int] = []
+            for at in range(0, len(texts), 512):
+                out += count_tokens(texts[at : at + 512].to_pylist(), known)
+            yield pa.array(out, pa.int64())
+        del known
+        release()
 
     return counted(text_of(text_col))

@@ -29,8 +29,11 @@ def test_whole_texts(spark, monkeypatch):
 def test_small_batches_and_forgetting(monkeypatch):
     """Cuts, batches and the emptied memory do not change a count."""
     plain = [t or "" for t in texts()]
-    want = token_counts.count_tokens(plain, WORDS)
+    want = token_counts.count_tokens(plain, token_counts.Lengths(WORDS))
     monkeypatch.setattr(token_counts, "TEXT_CHARS", 50)
     monkeypatch.setattr(token_counts, "BATCH_BYTES", 100)
-    monkeypatch.setattr(token_counts, "MOST_PIECES", 20)
-    assert token_counts.count_tokens(plain, WORDS) == want
+    monkeypatch.setattr(token_counts, "MEMORY", 2000)
+    monkeypatch.setattr(token_counts, "LONGEST", 5)
+    known = token_counts.Lengths(WORDS)
+    assert token_counts.count_tokens(plain, known) == want
+    assert max(map(len, known)) <= 5 and known.size < 4000
