@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadlens.llm import common, decontaminate, exact_dedup, simhash, toxicity
 from loadlens.llm.catalog import encoded_digests
+from loadlens.scratch import discard
 
 
 def _toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,10 +29,18 @@ def _exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component stays, that with the smallest id."""
-    found = simhash.simhash_dedup(docs)
-    keep = found.filter("doc_id <=> component_id").select(F.col("doc_id").alias("__id"))
-    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    """One document of each SimHash component stays, that with the smallest id (no id comes last); of
+    several with that id the one whose text has the smallest digest."""
+    digest = F.sha2(common.text_of("text"), 256)
+    found = simhash.simhash_dedup(docs, carry={"digest": digest})
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("first")
+    keep = found.groupBy("root").agg(first).select(
+        F.col("first.doc_id").alias("__id"), F.col("first.digest").alias("__kept")
+    )
+    marked = docs.withColumn("__digest", digest)
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__kept"))
+    kept = marked.join(keep, same, "left_semi")
+    return kept.dropDuplicates(["doc_id", "__digest"]).select(docs.columns)
 
 
 def _clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,10 +68,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what one keeps is written to the shared folder."""
-    docs = common.table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        path = f"{common.scratch_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    """All stages over ``documents``. What one keeps is written to the shared folder, and removed when
+    the next has written its own."""
+    docs, before = common.table(spark, sf_dir, "documents"), None
+    for _, stage in STAGES:
+        path = common.own_folder(spark, "pipeline")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before is not None:
+            discard(spark, before)
+        before = path
     return docs

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loadlens.joins import attach_groups
@@ -58,7 +58,7 @@ FROM t WINDOW g AS (PARTITION BY norm)"""
 
 @_query
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.simhash_dedup(table(spark, sf_dir, "documents"))
+    return simhash.simhash_dedup(table(spark, sf_dir, "documents")).drop("root")
 
 
 @_query
@@ -114,12 +114,12 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 def encoded_digests(docs: DataFrame) -> DataFrame:
     """What op1 and the last stage of the pipeline return of the encoded texts."""
-    encoded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN)
+    encoded = bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN)
     return encoded.select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(bpe.little_endian(F.col("ids")), 256).alias("ids_sha256"),
-        F.sha2(bpe.decode(F.col("ids"), RANKS), 256).alias("decoded_sha256"),
+        F.expr("CAST(octet_length(ids) / 4 AS BIGINT)").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 
@@ -194,30 +194,42 @@ SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
 FROM d"""
 
 
+#: Turns of a conversation that a task looks back over at a time.
+_TURNS = 4096
+
+
 def mail_thread(conversations: DataFrame) -> DataFrame:
-    """Conversations as mail: each turn quotes the turn before it, and that one's quotation."""
-    turns = conversations.filter("conv_id IS NOT NULL AND turn IS NOT NULL").groupBy(
-        "conv_id", "turn"
-    )
-    turns = turns.agg(F.max(text_of("text")).alias("text"))
-    before = [
-        turns.select("conv_id", (F.col("turn") + k).alias("turn"), F.col("text").alias(f"text{k}"))
-        for k in (1, 2)
-    ]
-    sent = turns.join(before[0], ["conv_id", "turn"], "left")
-    sent = sent.join(before[1], ["conv_id", "turn"], "left")
+    """Conversations as mail: each turn quotes the turn before it, and that one's quotation.
+
+    Every row is a message. Of several rows of a turn the largest text is quoted; rows without
+    conversation or turn quote nothing. A long conversation is read in blocks of turns, each with
+    the two turns before it, so texts move once and no group is unbounded in turns.
+    """
+    rows = conversations.select("conv_id", "turn", "role", text_of("text").alias("text"))
+    place = F.expr(f"pmod(turn, {_TURNS})")
+    block = F.col("turn") - place
+    also = F.when(place >= _TURNS - 2, F.array(block, block + _TURNS)).otherwise(F.array(block))
+    spread = rows.withColumn("block", F.explode(also))
+    before = Window.partitionBy("conv_id", "block").orderBy("turn")
+    known = F.col("conv_id").isNotNull() & F.col("turn").isNotNull()
+    for k in (1, 2):
+        spread = spread.withColumn(f"text{k}", F.when(known, F.max("text").over(before.rangeBetween(-k, -k))))
+    sent = spread.filter("block IS NULL OR turn >= block AND turn < block + " + str(_TURNS))
     parts = [
         F.when(F.col(f"text{k}") != "", quotes.quote(F.col(f"text{k}"), k)) for k in (2, 1)
     ]
-    return sent.select("conv_id", "turn", F.concat_ws("\n", *parts, "text").alias("text"))
+    return sent.select("conv_id", "turn", "role", F.concat_ws("\n", *parts, "text").alias("text"))
 
 
 @_query
 def op3_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    linked = quotes.link_quotations(mail_thread(table(spark, sf_dir, "conversations")))
+    mail = mail_thread(table(spark, sf_dir, "conversations"))
+    linked = quotes.conversations(quotes.link_quotations(mail, carry=["role"]), ["role", "text"])
     return linked.select(
         F.col("thread").alias("conv_id"),
         F.col("at").alias("turn"),
+        "role",
+        "position",
         "n_quotes",
         "n_linked",
         F.col("parent").alias("parent_turn"),
@@ -237,11 +249,12 @@ def _normal_sql(text: str) -> str:
 
 #: Every quotation is a whole turn, so it links to the earliest turn with that text or line.
 ORACLES["op3_quotation_links"] = f"""
-WITH RECURSIVE t AS (SELECT conv_id, turn, max(coalesce(text, '')) AS text FROM conversations
-                     WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY ALL),
-u AS (SELECT conv_id, turn, {_normal_sql("text")} AS unit FROM t
+WITH RECURSIVE m AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
+t AS (SELECT conv_id, turn, max(text) AS text FROM m WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY ALL),
+u AS (SELECT conv_id, turn, {_normal_sql("text")} AS unit FROM m WHERE conv_id IS NOT NULL AND turn IS NOT NULL
       UNION ALL
-      SELECT conv_id, turn, {_normal_sql("line")} FROM t, unnest(string_split(text, chr(10))) AS l(line)),
+      SELECT conv_id, turn, {_normal_sql("line")} FROM m, unnest(string_split(text, chr(10))) AS l(line)
+      WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
 first AS (SELECT conv_id, unit, min(turn) AS source FROM u WHERE unit <> '' GROUP BY ALL),
 q AS (SELECT t.conv_id, t.turn, k, b.text AS quoted, f.source
       FROM t, unnest([1, 2]) AS n(k) JOIN t AS b ON b.conv_id = t.conv_id AND b.turn = t.turn - k
@@ -253,12 +266,15 @@ c AS (SELECT conv_id, turn, parent, 1 AS depth FROM p WHERE parent IS NOT NULL
       UNION ALL
       SELECT c.conv_id, c.turn, p.parent, c.depth + 1 FROM c JOIN p
       ON p.conv_id = c.conv_id AND p.turn = c.parent WHERE p.parent IS NOT NULL),
-r AS (SELECT conv_id, turn, arg_max(parent, depth) AS root, max(depth) AS depth FROM c GROUP BY ALL)
-SELECT t.conv_id, t.turn, coalesce(n_quotes, 0) AS n_quotes, coalesce(n_linked, 0) AS n_linked,
-       parent AS parent_turn, coalesce(root, t.turn) AS root_turn,
-       CAST(coalesce(r.depth, 0) AS BIGINT) AS depth,
-       sha256(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) AS text_sha256
-FROM t LEFT JOIN p USING (conv_id, turn) LEFT JOIN r USING (conv_id, turn)"""
+r AS (SELECT conv_id, turn, arg_max(parent, depth) AS root, max(depth) AS depth FROM c GROUP BY ALL),
+o AS (SELECT m.conv_id, m.turn, role, coalesce(n_quotes, 0) AS n_quotes, coalesce(n_linked, 0) AS n_linked,
+             parent AS parent_turn, coalesce(root, m.turn) AS root_turn,
+             CAST(coalesce(r.depth, 0) AS BIGINT) AS depth,
+             regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS own
+      FROM m LEFT JOIN p USING (conv_id, turn) LEFT JOIN r USING (conv_id, turn))
+SELECT * EXCLUDE (own), sha256(own) AS text_sha256,
+       row_number() OVER (PARTITION BY conv_id, root_turn ORDER BY turn NULLS FIRST, role NULLS FIRST, own) AS position
+FROM o"""
 
 
 @_query

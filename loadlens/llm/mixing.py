@@ -20,7 +20,7 @@ WEIGHTS = (5, 2, 1)
 MOST = 3
 #: A document's place in the order of its pattern is a number of so many bits, cut in cells of
 #: these bits from above; what is left below the last cell is sorted whole.
-_BITS, _CELLS = 60, (45, 30)
+_BITS, _CELLS = 60, (48, 36)
 
 
 class Mix(NamedTuple):
@@ -191,7 +191,7 @@ def _boundaries(placed: DataFrame, ends: DataFrame) -> DataFrame:
     """For every end ``pattern, rank, rest`` the key at which the sizes in key order reach ``rest``.
 
     Sizes are added up in cells of the keys, then in cells of the one cell that matters, then by
-    key; each window holds at most 2**15 cells, or the distinct keys of one cell of 2**30. Adds
+    key; each window holds at most 2**12 cells, or the distinct keys of one cell of 2**24. Adds
     ``key, ties, of``: how many of the ``of`` equal rows under the key are taken.
     """
     size = _bytes(ends)  # three numbers an end, of which two are attached to the rows

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadlens.llm.common import cut, is_empty, text_of
+from loadlens.operators.sequence import dense_sequence
 
 #: Characters before the text of a quoted line: one mark a level, a blank after each at most.
 _MARKS = r"^(?:> ?)+"
@@ -70,12 +73,13 @@ def link_quotations(
     thread: str = "conv_id",
     order: str = "turn",
     text_col: str = "text",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """One row per message with its reply structure and its text without quotes.
 
-    ``thread, order, text`` (own lines, trimmed), ``n_quotes``, ``n_linked``, ``parent`` (order of
-    the message replied to), ``root`` and ``depth``; ordering by thread, root, depth and order gives
-    every conversation with each reply after what it replies to.
+    ``thread, at, text`` (own lines, trimmed), ``n_quotes``, ``n_linked``, ``parent`` (order of
+    the message replied to), ``root`` and ``depth``, and the columns ``carry``. ``conversations`` puts
+    them in reply order.
 
     The text is cut into passages of one quotation level. The normalised own text of a message, and
     each of its lines, is hashed (SHA-256). A quoted passage is linked to the earliest earlier
@@ -95,6 +99,7 @@ def link_quotations(
         F.col(thread).alias("thread"),
         F.col(order).alias("at"),
         passages(text_of(text_col)).alias("passages"),
+        *[F.col(c).alias(f"_{c}") for c in carry],
     )
     own = F.filter("passages", lambda p: p["level"] == 0)
     own_text = F.trim(F.array_join(F.transform(own, lambda p: p["text"]), "\n"))
@@ -104,6 +109,7 @@ def link_quotations(
             "at",
             F.regexp_replace(own_text, r"^[\s]+|[\s]+$", "").alias("text"),
             F.filter("passages", lambda p: p["level"] > 0).alias("quotes"),
+            *[f"_{c}" for c in carry],
         )
     )
 
@@ -156,10 +162,23 @@ def link_quotations(
             "parent",
             F.coalesce("root", "at").alias("root"),
             F.coalesce("depth", F.lit(0).cast("long")).alias("depth"),
+            *[F.col(f"_{c}").alias(c) for c in carry],
         )
     )
 
 
+def conversations(linked: DataFrame, order: Sequence[str] = ("text",)) -> DataFrame:
+    """The messages of ``link_quotations`` as conversations: ``position`` numbers, from 1 on, those of
+    each thread and root in reply order.
+
+    A message only replies to an earlier one, so by ``at`` every reply comes after what it replies
+    to. Messages of equal place follow ``order``. Numbers come from a range sort, so a conversation
+    with most of the messages is spread over the tasks. Messages that nobody quotes and that quote
+    nobody are conversations of their own.
+    """
+    return dense_sequence(linked, ["at", *order], by=["thread", "root"], name="position")
+
+
 def _partial(rest: DataFrame, held: DataFrame) -> DataFrame:
     """``thread, at, nth, level, to`` of passages that no earlier message has as a whole.
 

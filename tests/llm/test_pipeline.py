@@ -66,4 +66,4 @@ def test_stages_keep_the_columns(spark, folder):
 
 def test_a_query_for_every_number():
     numbers = {int(name.split("_")[0][2:]) for name in QUERIES}
-    assert numbers == set(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+    assert numbers == set(range(1, 14)) and set(ORACLES) <= set(QUERIES)
