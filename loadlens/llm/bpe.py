@@ -222,8 +222,9 @@ def fold_word(word: Column, tables: Tables) -> Column:
 _PLAIN_WORDS = re.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
 )
-#: Characters that are compared; what lies beyond is left to the general pattern.
-_COMPARED = 0x20000
+#: Characters that are compared; of what lies beyond, pictographs are no letter, number or white space
+#: for either kind, and the rest is left to the general pattern.
+_COMPARED, _PICTURES = 0x10000, (0x1F300, 0x1FB00)
 
 
 @lru_cache(maxsize=1)
@@ -234,7 +235,9 @@ def _not_plain() -> re.Pattern:
     other: set[str] = set()
     for general, plain in pairs:
         other |= set(regex.findall(general, every)) ^ set(re.findall(plain, every))
-    return re.compile(f"[{''.join(map(re.escape, sorted(other)))}{chr(_COMPARED)}-\U0010ffff]")
+    # Beyond the first plane a class is searched entry by entry, so it has two ranges there.
+    far = f"{chr(_COMPARED)}-{chr(_PICTURES[0] - 1)}{chr(_PICTURES[1])}-\U0010ffff"
+    return re.compile(f"[{''.join(map(re.escape, sorted(other)))}{far}]")
 
 
 def _is_plain(text: str) -> bool:
@@ -249,33 +252,118 @@ class _Words(dict):
         return number
 
 
+class Merges(NamedTuple):
+    """The rank map of a vocabulary as arrays: tokens of bytes, and ``place``, ``owner``, ``made``."""
+
+    byte_ids: np.ndarray
+    place: np.ndarray
+    owner: np.ndarray
+    made: np.ndarray
+
+    def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """What pairs of tokens merge into, which is their rank; ``_NEVER`` if they do not."""
+        slot = self.place[a] + b
+        known = (a >= 0) & (b >= 0) & (self.owner[slot] == a)
+        return np.where(known, self.made[slot], _NEVER)
+
+
+_NEVER = np.int32(np.iinfo(np.int32).max)
+
+
+def merges_of(path: str) -> Merges:
+    known = vocabulary(path)
+    arrays = (_byte_ids(known), known.place, known.owner, known.made)
+    return Merges(*(np.asarray(x, np.int32) for x in arrays))
+
+
+def fold_words(raws: list[bytes], merges: Merges) -> list[bytes]:
+    """The tokens of words, as 32-bit integers in bytes: the leftmost pair of the lowest rank joins until
+    none is known, in all words of about a length at a time, one merge a step."""
+    out = [b""] * len(raws)
+    lengths = np.fromiter(map(len, raws), np.int64, len(raws))
+    low = 0
+    for width in (4, 8, 12, 16, 24, 32, LONGEST):
+        some = np.flatnonzero((lengths > low) & (lengths <= width))
+        for k in range(0, len(some), 1 << 13):
+            part = some[k : k + (1 << 13)].tolist()
+            for at, found in zip(part, _fold([raws[i] for i in part], width, merges), strict=True):
+                out[at] = found
+        low = width
+    return out
+
+
+def _fold(raws: list[bytes], width: int, merges: Merges) -> list[bytes]:
+    n, columns = len(raws), np.arange(width)
+    given = np.frombuffer(b"".join([r.ljust(width, b"\0") for r in raws]), np.uint8).reshape(n, width)
+    sizes = np.fromiter(map(len, raws), np.int64, n)
+    ids = np.where(columns < sizes[:, None], merges.byte_ids[given], np.int32(-1))
+    done, rows = ids.copy(), np.arange(n)
+    ranks = np.full((n, width), _NEVER)  # of each token with the next; the last has none
+    ranks[:, :-1] = merges.rank(ids[:, :-1], ids[:, 1:])
+    while True:
+        at = ranks.argmin(axis=1)
+        lowest = ranks[np.arange(len(rows)), at]
+        going = lowest != _NEVER
+        if not going.all():
+            done[rows[~going]] = ids[~going]
+            rows, ids, ranks, at, lowest = rows[going], ids[going], ranks[going], at[going], lowest[going]
+        if not len(rows):
+            break
+        every = np.arange(len(rows))
+        ids[every, at] = lowest
+        # What follows the pair moves up by one.
+        source = np.minimum(columns + (columns > at[:, None]), width - 1)
+        last = ids[:, -1].copy()
+        ids = np.take_along_axis(ids, source, 1)
+        ranks = np.take_along_axis(ranks, np.minimum(columns + (columns >= at[:, None]), width - 1), 1)
+        ids[:, -1] = np.where(at == width - 1, last, -1)
+        ranks[:, -1] = _NEVER
+        after = ids[every, np.minimum(at + 1, width - 1)]
+        ranks[every, at] = np.where(at < width - 1, merges.rank(lowest, after), _NEVER)
+        left = np.flatnonzero(at > 0)
+        ranks[left, at[left] - 1] = merges.rank(ids[left, at[left] - 1], lowest[left])
+    there = done >= 0
+    flat = done[there].astype("<u4").tobytes()
+    ends = 4 * np.cumsum(there.sum(axis=1))
+    bounds = [0, *ends.tolist()]
+    return [flat[i:j] for i, j in zip(bounds, bounds[1:], strict=False)]
+
+
 class _Memory:
     """Tokens of words, as 32-bit integers in bytes, of the last words that a task has met."""
 
-    def __init__(self, path: str):
-        self.ranks = rank_map(path)
+    def __init__(self, path: str, merges: Merges):
+        self.path, self.merges = path, merges
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.size = 0
 
     def spelled(self, words: _Words) -> list[bytes]:
         out = list(map(self.young.get, words))
-        for at, word in enumerate(words):
-            if out[at] is None:
-                out[at] = self._learned(word)
+        names = list(words)
+        unknown = []
+        for at, found in enumerate(out):
+            if found is None:
+                out[at] = found = self.old.get(names[at])
+                if found is None:
+                    unknown.append(at)
+                else:
+                    self._keep(names[at], found)
+        raws = [names[at].encode() for at in unknown]
+        for at, raw, found in zip(unknown, raws, fold_words(raws, self.merges), strict=True):
+            if len(raw) > LONGEST:
+                ids = merge_word(raw, rank_map(self.path))
+                out[at] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                out[at] = found
+                self._keep(names[at], found)
         return out
 
-    def _learned(self, word: str) -> bytes:
-        made = self.old.get(word)
-        if made is None:
-            ids = merge_word(word.encode(), self.ranks)
-            made = struct.pack(f"<{len(ids)}I", *ids)
-        if len(word) <= LONGEST:
-            self.size += 2 * len(word) + len(made) + 200
-            self.young[word] = made
-            if self.size > MEMORY:
-                self.old, self.young, self.size = self.young, {}, 0
-        return made
+    def _keep(self, word: str, made: bytes) -> None:
+        self.size += 2 * len(word) + len(made) + 200
+        self.young[word] = made
+        if self.size > MEMORY:
+            self.old, self.young, self.size = self.young, {}, 0
 
 
 def _batches(pattern: str, fast: bool, batches, make):
@@ -322,10 +410,11 @@ def joined_pieces(ids: np.ndarray, pieces: list[bytes], at_once: int = 1 << 16)
 
 def _encoder(schema: pa.Schema, pattern: str, path: str, there_and_back: bool):
     """Texts to (id, token ids), or to (id, token ids in bytes, the bytes they decode to)."""
+    merges = merges_of(path)  # on the driver; a few megabytes that go with the function
 
     def run(batches):
-        memory = _Memory(path)
-        pieces = pieces_of(path)
+        memory = _Memory(path, merges)
+        pieces = pieces_of(path) if there_and_back else []
         widths = np.fromiter(map(len, pieces), np.int64, len(pieces))
 
         def make(ids: list, rows: list[np.ndarray], words: _Words) -> pa.RecordBatch:
