@@ -254,7 +254,10 @@ def _content_requests(spark, sf_dir):
 
 
 def _scored_files(pred: DataFrame) -> DataFrame:
-    """Number and hash sum of all lines of each folder, from the scores of its files, in any order."""
+    """Number and hash sum of all lines of each folder, from the scores of its files, in any order.
+
+    A folder with a file that failed has the error instead.
+    """
     folder = F.split("file_path", "/")
     lines = pred.select(
         F.element_at(folder, -3).alias("split"),
@@ -263,11 +266,18 @@ def _scored_files(pred: DataFrame) -> DataFrame:
         "error_message",
     )
     hashed = F.conv(F.substring(F.md5("line"), 1, 8), 16, 10).cast("bigint")
-    return lines.groupBy("split", "label").agg(
+    found = lines.groupBy("split", "label").agg(
         F.count(F.lit(1)).alias("lines"),
         F.sum(hashed).alias("line_hashes"),
         F.min("error_message").alias("error_message"),
     )
+    whole = F.col("error_message").isNull()
+    return found.select(
+        "split",
+        "label",
+        *[F.when(whole, F.col(c)).alias(c) for c in ("lines", "line_hashes")],
+        "error_message",
+    )
 
 
 _SCORED = f"""WITH {_FILES} SELECT split, label, lines, line_hashes, CAST(NULL AS VARCHAR) AS error_message

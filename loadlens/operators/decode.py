@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from loadlens import schemas
 from loadlens.functions.messages import body_struct
 from loadlens.functions.times import parse_iso
+from loadlens.joins import fits_broadcast
+from loadlens.scratch import checkpointed
 
 REQUIRED = ("file_path", "request_id", "ingest_ts")
 
@@ -69,9 +71,17 @@ def rejected_requests(
 def distinct_requests(requests: DataFrame, key: str = "request_id") -> DataFrame:
     """One request per id: the earliest, then the smallest path.
 
-    An aggregate, so copies of one id meet only after each task has reduced its own.
+    Ids are counted by hash first, so only numbers and ids move. Rows whose id occurs once stay where
+    they are read; only those of repeated ids are compared as whole rows, each task reducing its own
+    first. The repeated ids are sent to all tasks if their counted bytes allow. Reads the input twice.
     """
+    ids = requests.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    repeated = checkpointed(ids.select(F.col(key).alias("_repeated")))
+    if fits_broadcast(repeated):
+        repeated = F.broadcast(repeated)
+    same = requests[key].eqNullSafe(F.col("_repeated"))
     rest = [c for c in requests.columns if c not in (key, "ingest_ts", "file_path")]
     first = F.min(F.struct("ingest_ts", "file_path", *rest)).alias("_first")
-    picked = requests.groupBy(key).agg(first)
-    return picked.select(*[key if c == key else F.col(f"_first.{c}") for c in requests.columns])
+    picked = requests.join(repeated, same, "left_semi").groupBy(key).agg(first)
+    picked = picked.select(*[key if c == key else F.col(f"_first.{c}") for c in requests.columns])
+    return requests.join(repeated, same, "left_anti").unionByName(picked)

@@ -49,9 +49,12 @@ def spread_by_bytes(df: DataFrame, size: str, tasks: int) -> DataFrame:
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     every = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     sums = sums.select(  # one row a partition of the input
-        "_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"), F.sum("_sum").over(every).alias("_all")
+        "_part",
+        F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"),
+        F.sum("_sum").over(every).alias("_all"),
     )
-    placed = attach_groups(rows.withColumn("_upto", F.sum("_bytes").over(upto)), sums, ["_part"], known_small=True)
+    rows = rows.withColumn("_upto", F.sum("_bytes").over(upto))
+    placed = attach_groups(rows, sums, ["_part"], known_small=True)
     start = (F.col("_before") + F.col("_upto") - F.col("_bytes")).cast("decimal(20,0)")
     task = F.floor(start * F.lit(tasks).cast("decimal(10,0)") / F.col("_all")).cast("int")
     return placed.repartitionById(tasks, F.least(task, F.lit(tasks - 1))).select(*df.columns)

@@ -52,5 +52,9 @@ def state_stats(states: DataFrame, percentiles: Sequence[float] = (0.5, 0.95, 0.
     ]
     plain = [c for c in states.columns if c not in ("total", "low", "high", "state")]
     return states.select(
-        *plain, (F.col("total") / F.col("rows")).alias("mean"), F.col("low").alias("min"), F.col("high").alias("max"), *marks
+        *plain,
+        (F.col("total") / F.col("rows")).alias("mean"),
+        F.col("low").alias("min"),
+        F.col("high").alias("max"),
+        *marks,
     )

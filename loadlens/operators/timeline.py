@@ -79,7 +79,8 @@ def plot_points(
     """
     by = list(by)
     rows = df.filter(F.col(ts).isNotNull() & F.col(latency).isNotNull())
-    rows = rows.select(*by, F.unix_micros(F.col(ts).cast("timestamp")).alias("_x"), F.col(latency).cast("double").alias("_y"))
+    moment = F.unix_micros(F.col(ts).cast("timestamp"))
+    rows = rows.select(*by, moment.alias("_x"), F.col(latency).cast("double").alias("_y"))
     bounds = rows.groupBy(*by).agg(F.min("_x").alias("_first"), F.max("_x").alias("_end"))
     placed = attach_groups(rows, bounds, by, known_small=not by)
     x, span = F.col("_x") - F.col("_first"), F.col("_end") - F.col("_first")

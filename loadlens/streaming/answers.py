@@ -21,8 +21,8 @@ def match_answers(
     in the state until the watermarks have passed the end of its time, and then leaves without a
     prediction; a prediction waits for a late request no longer than that either. Both sides are
     spread by the key, which is nearly unique. Rows with a null key or time have no partner, and on a stream
-    those without time never leave. Columns of the predictions other than the key follow those of the requests; clashing
-    names get the ending ``_answer``.
+    those without time never leave. Columns of the predictions other than the key follow those of the
+    requests; clashing names get the ending ``_answer``.
     """
     left = requests.withWatermark(sent, delays[0])
     renamed = {c: f"{c}_answer" for c in predictions.columns if c in requests.columns and c != key}

@@ -110,9 +110,12 @@ def request_events(
     requests: DataFrame, answers: DataFrame, sent: str = "ingest_ts", done: str = "timestamp"
 ) -> DataFrame:
     """Both tables or streams as one of ``device, request_id, kind, at``."""
-    a = requests.select(F.col("gpu_used").alias("device"), "request_id", F.lit(SENT).alias("kind"), F.col(sent).alias("at"))
-    b = answers.select(F.col("gpu_used").alias("device"), "request_id", F.lit(ANSWERED).alias("kind"), F.col(done).alias("at"))
-    return a.unionByName(b)
+
+    def events(rows: DataFrame, kind: str, at: str) -> DataFrame:
+        device = F.col("gpu_used").alias("device")
+        return rows.select(device, "request_id", F.lit(kind).alias("kind"), F.col(at).alias("at"))
+
+    return events(requests, SENT, sent).unionByName(events(answers, ANSWERED, done))
 
 
 def track_requests(

@@ -17,6 +17,10 @@ def pages(spark, tmp_path, n):
     return made
 
 
+def line_hash(line):
+    return int(hashlib.md5(line).hexdigest()[:8], 16)
+
+
 def test_a_large_folder_has_many_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(storage, "FILE_PAGES", 20)
     made = pages(spark, tmp_path, 300)
@@ -28,7 +32,7 @@ def test_a_large_folder_has_many_files(spark, tmp_path, monkeypatch):
     for i, url, html in made:
         key = ("split=" + ["train", "test", "val"][i % 3], "label=" + url.split("/")[3])
         lines.setdefault(key, []).extend(html.encode().split(b"\n"))
-    want = sorted((*k, hashlib.md5(b"\n".join(sorted(v))).hexdigest(), None) for k, v in lines.items())
+    want = sorted((*k, len(v), sum(map(line_hash, v)), None) for k, v in lines.items())
     for query in (storage.score_content, storage.load_test_content):
         assert sorted(rows(query(spark, str(tmp_path)))) == want
 
@@ -38,7 +42,10 @@ def test_a_file_that_fails_is_an_error_of_its_folder(spark):
         [("/a/split=x/label=y/1.txt", "b\nc", None), ("/a/split=x/label=y/2.txt", "", "E: bad")],
         "file_path string, report_text string, error_message string",
     )
-    assert rows(storage._scored_files(pred)) == [("split=x", "label=y", None, "E: bad")]
+    assert rows(storage._scored_files(pred)) == [("split=x", "label=y", None, None, "E: bad")]
+    assert rows(storage._scored_files(pred.limit(1))) == [
+        ("split=x", "label=y", 2, line_hash(b"b") + line_hash(b"c"), None)
+    ]
 
 
 def test_manifest_arrays_are_bounded(spark, tmp_path, monkeypatch):
