@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from loadlens.llm.common import cut, release, own_folder, text_of
+from loadlens.llm.common import cut, own_folder, release, text_of
 
 #: Texts of so many bytes are encoded to one batch; so many tokens of either side aligned at once.
 TEXT_BYTES, TOKENS = 1 << 20, 1 << 18
@@ -94,7 +94,7 @@ def _encoder(names: Tokenizers, schema: pa.Schema):
                 joined = [b"".join(map(s.pieces.__getitem__, i)) for s, i in zip(sides, ids, strict=True)]
                 if not text or joined != [raw, raw]:
                     ids = [[], []]
-                rows.append((row.as_py(), key, *(np.array(i, width).tobytes() for i in ids)))
+                rows.append((row.as_py(), key.as_py(), *(np.array(i, width).tobytes() for i in ids)))
                 size += len(raw)
                 if size >= TEXT_BYTES:
                     yield _record(rows, schema)
@@ -109,10 +109,8 @@ def _encoder(names: Tokenizers, schema: pa.Schema):
 
 def _record(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([v.as_py() if isinstance(v, pa.Scalar) else v for v in c], t) for c, t in zip(columns, schema.types, strict=True)],
-        schema=schema,
-    )
+    arrays = [pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
 class Aligned(NamedTuple):
@@ -447,7 +445,8 @@ def _looked_up(ids: DataFrame, lengths, shipped, counted, sizes, schema: T.Struc
             columns.append(pa.array(digests, pa.string()))
             if text:
                 columns.append(pa.array(spelled, pa.string()))
-            yield pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(columns, arrow.types, strict=True)], schema=arrow)
+            columns = [c.cast(t) for c, t in zip(columns, arrow.types, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     return ids.mapInArrow(run, schema)
 
@@ -478,12 +477,14 @@ def align_tokenizers(
 
     A null or empty text, or one that either side's tokens do not spell, has no tokens: zeros and an
     empty digest. Repeated rows count each as a document; null ids are allowed. An empty table gives
-    no rows. Other columns are not read. A text of any length is aligned in one piece; the files of the tokenizers must be
-    readable by the driver and the executors.
+    no rows. Other columns are not read. A text of any length is aligned in one piece; the files of
+    the tokenizers must be readable by the driver and the executors.
     """
     spark = docs.sparkSession
     base = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")
+        F.monotonically_increasing_id().alias("row"),
+        F.col(id_col).alias("doc_id"),
+        text_of(text_col).alias("text"),
     )
     fields = [base.schema["row"], base.schema["doc_id"]]
     stored = T.StructType([*fields, T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])

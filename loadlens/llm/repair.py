@@ -309,7 +309,11 @@ def repair_conversations(
         .otherwise("")
     )
     leaves = known.select(
-        "conv", "at", F.col("turn").cast("long").alias("turn"), F.left("role", F.lit(1)).alias("initial"), fault.alias("fault")
+        "conv",
+        "at",
+        F.col("turn").cast("long").alias("turn"),
+        F.left("role", F.lit(1)).alias("initial"),
+        fault.alias("fault"),
     )
     spans = cut(_combine(leaves, lambda r: row_span(r["initial"], r["fault"], r["turn"])))
     while spans.agg(F.coalesce(F.max("at"), F.lit(0))).first()[0]:
@@ -326,9 +330,8 @@ def repair_conversations(
     )
     best = spans.withColumn("best", F.array_min(found))
     gaps = F.coalesce(F.col("high") - F.col("low") + 1 - F.col("turns"), F.lit(0))
-    report = cut(
-        best.select(F.col("conv").alias("conv_id"), gaps.alias("gaps"), "blank", "duplicate", "truncated", "illegal", "best.*")
-    )
+    counts = ["blank", "duplicate", "truncated", "illegal"]
+    report = cut(best.select(F.col("conv").alias("conv_id"), gaps.alias("gaps"), *counts, "best.*"))
 
     heads = report.select(F.col("conv_id").alias("conv"), F.lit(-1).cast("long").alias("at"), "audit")
     every = heads.unionByName(placed.select("conv", "at", "role", "text"), allowMissingColumns=True)

@@ -327,8 +327,8 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str = "text") -> Model:
     """Terms and weights from labelled rows whose crc32(doc_id as text) mod 5 is not 0.
 
     At most ``POSITIVES`` and ``NEGATIVES`` rows are used. A term's misspellings, and those of its
-    first letter, count only if they hardly occur in the sampled clean texts. Rows without label or id, and labels other than 0 and
-    1, are not learned from; repeated labels of an id count once, as toxic if any says so. With no
+    first letter, count only if they hardly occur in the sampled clean texts. Rows without label or
+    id, and labels other than 0 and 1, are not learned from; repeated labels of an id count once, as toxic if any says so. With no
     toxic or no clean row the model has no terms and gives every text the same score.
     """
     texts = docs.select("doc_id", text_of(text_col).alias("text"))
