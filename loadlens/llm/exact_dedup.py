@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -10,16 +11,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadlens.llm.common import cut, is_empty, text_of
+from loadlens.llm.common import cut, is_empty, release, text_of
 
 #: A digest is hot from this share of all rows on, so at most 1 / HOT_SHARE digests are hot.
 HOT_SHARE = 1 / 1024
 
 
 @F.arrow_udf(T.BinaryType())
-def _digest(texts: pa.Array) -> pa.Array:
-    lowered = pc.ascii_lower(texts)
-    return pa.array([hashlib.sha256(x.as_buffer()).digest() for x in lowered], pa.binary())
+def _digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for texts in batches:
+        lowered = pc.ascii_lower(texts)
+        yield pa.array([hashlib.sha256(x.as_buffer()).digest() for x in lowered], pa.binary())
+    release()
 
 
 _DIGEST_AND_NORM = T.StructType(
@@ -28,10 +31,12 @@ _DIGEST_AND_NORM = T.StructType(
 
 
 @F.arrow_udf(_DIGEST_AND_NORM)
-def _digest_and_norm(texts: pa.Array) -> pa.Array:
-    lowered = pc.ascii_lower(texts).cast(pa.string())
-    digests = pa.array([hashlib.sha256(x.as_buffer()).digest() for x in lowered], pa.binary())
-    return pa.StructArray.from_arrays([digests, lowered], ["digest", "norm"])
+def _digest_and_norm(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for texts in batches:
+        lowered = pc.ascii_lower(texts).cast(pa.string())
+        digests = pa.array([hashlib.sha256(x.as_buffer()).digest() for x in lowered], pa.binary())
+        yield pa.StructArray.from_arrays([digests, lowered], ["digest", "norm"])
+    release()
 
 
 def text_digest(column: str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from functools import reduce
 from itertools import combinations
 
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadlens.llm.common import cut, text_of
+from loadlens.llm.common import cut, release, text_of
 from loadlens.llm.components import connected_components, packed
 
 SEED = 42
@@ -44,9 +44,11 @@ def fingerprint(text: str | bytes, shingle: int = 3) -> int:
 
 def _fingerprints(shingle: int):
     @F.arrow_udf(T.LongType())
-    def signed(texts: pa.Array) -> pa.Array:
-        found = [fingerprint(x.as_buffer().to_pybytes(), shingle) for x in texts]
-        return pa.array(np.array(found, np.uint64).view(np.int64))
+    def signed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            found = [fingerprint(x.as_buffer().to_pybytes(), shingle) for x in texts]
+            yield pa.array(np.array(found, np.uint64).view(np.int64))
+        release()
 
     return signed
 
