@@ -296,20 +296,26 @@ def _with_pieces(lines: DataFrame, total: int) -> DataFrame:
     return found.select(*lines.columns, F.coalesce("_piece", F.lit(0)).alias("piece"))
 
 
+def _rows_of(batches, at_once: int = 250):
+    """The rows of Arrow batches, of which a few at a time are Python's."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, at_once):
+            yield from zip(*(c.to_pylist() for c in batch.slice(start, at_once).columns), strict=True)
+
+
 def _blocks_of(batches, size: int):
     """Lines in order, joined to texts of ``size`` bytes and one more line of one piece at most."""
     piece, parts, held = None, [], 0
-    for batch in batches:
-        for *of, line, error in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if parts and (of != piece or held >= size):
-                yield *piece, b"".join(parts), None
-                parts, held = [], 0
-            piece = of
-            if error is not None:
-                yield *piece, b"", error
-                continue
-            parts.append(line.encode() + b"\n")
-            held += len(parts[-1])
+    for *of, line, error in _rows_of(batches):
+        if parts and (of != piece or held >= size):
+            yield *piece, b"".join(parts), None
+            parts, held = [], 0
+        piece = of
+        if error is not None:
+            yield *piece, b"", error
+            continue
+        parts.append(line.encode() + b"\n")
+        held += len(parts[-1])
     if parts:
         yield *piece, b"".join(parts), None
 
@@ -342,17 +348,16 @@ def _digests(batches):
         )
 
     folder, digest, errors, end = None, hashlib.md5(), set(), b""
-    for batch in batches:
-        for split, label, text, error in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if (split, label) != folder:
-                if folder is not None:
-                    yield made()
-                folder, digest, errors, end = (split, label), hashlib.md5(), set(), b""
-            if error is not None:
-                errors.add(error)
-                continue
-            digest.update(end)
-            end = text
+    for split, label, text, error in _rows_of(batches):
+        if (split, label) != folder:
+            if folder is not None:
+                yield made()
+            folder, digest, errors, end = (split, label), hashlib.md5(), set(), b""
+        if error is not None:
+            errors.add(error)
+            continue
+        digest.update(end)
+        end = text
     if folder is not None:
         yield made()
 
