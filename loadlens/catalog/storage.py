@@ -147,12 +147,12 @@ def manifest_array(spark, sf_dir) -> DataFrame:
     return load_requests(spark, SourceSpec(manifest=path))
 
 
-def _page_tree(spark, sf_dir) -> str:
+def _page_tree(spark, sf_dir, wanted: str = "true") -> str:
     """Pages written as text files in one folder per split and language."""
     path = scratch_path(spark, "pages")
-    pages = table(spark, sf_dir, "pages").selectExpr(
-        "html", "element_at(array('train', 'test', 'val'), CAST(page_id % 3 AS INT) + 1) AS split",
-        "split(url, '/')[3] AS label",
+    pages = table(spark, sf_dir, "pages").filter(wanted).selectExpr(
+        "html", "CASE page_id % 3 WHEN 0 THEN 'train' WHEN 1 THEN 'test' ELSE 'val' END AS split",
+        "split_part(url, '/', 4) AS label",
     )
     # Every task writes what it reads, so no folder is written by one task or into one file.
     pages.write.option("maxRecordsPerFile", FILE_PAGES).partitionBy("split", "label").text(path)
@@ -251,7 +251,7 @@ T AS (SELECT split, label, md5(string_agg(line, chr(10) ORDER BY line COLLATE "b
 
 
 def _content_requests(spark, sf_dir):
-    tree = _page_tree(spark, sf_dir)
+    tree = _page_tree(spark, sf_dir, "html IS NOT NULL")  # without a text there is no line, not an empty one
     listing = files.list_assets(spark, tree, (".txt",))
     requests = listing.select(
         "file_path",
@@ -362,6 +362,13 @@ def _digests(batches):
         yield made()
 
 
+def _folder(place: int):
+    """The ``column=value`` that a folder of a written tree stands for; an empty value has a name of its own."""
+    name = F.element_at(F.split("file_path", "/"), place)
+    name = F.regexp_replace(name, "=__HIVE_DEFAULT_PARTITION__$", "=")
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
 def _scored_files(pred: DataFrame) -> DataFrame:
     """The digest of all lines of each folder in order, from the stored scores of its files.
 
@@ -369,10 +376,9 @@ def _scored_files(pred: DataFrame) -> DataFrame:
     joined to blocks there. Only the MD5 itself is made in sequence, by one task a folder that holds a
     batch of blocks at a time. ``pred`` is read three times: for its bytes, the cuts and the lines.
     """
-    folder = F.split("file_path", "/")
     lines = pred.select(
-        F.element_at(folder, -3).alias("split"),
-        F.element_at(folder, -2).alias("label"),
+        _folder(-3).alias("split"),
+        _folder(-2).alias("label"),
         "file_path",
         F.posexplode(F.split("report_text", "\n", -1)).alias("place", "line"),
         "error_message",

@@ -5,10 +5,11 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from loadlens.catalog import storage
+from loadlens.catalog import registry, storage
 from loadlens.operators import partitions
 from loadlens.plans import job
 from loadlens.sources import files
+from tests.compare import differences, duck
 from tests.helpers import plan, rows
 
 
@@ -111,6 +112,18 @@ def test_folders_are_cut_by_few_and_short_starts_of_lines(spark, monkeypatch):
     assert len({(r.label, r.piece) for r in storage._with_pieces(flat, total).collect()}) < 20
 
 
+def test_scored_folders_of_odd_pages_agree_with_the_sql(spark, tmp_path):
+    urls = ["en/p", "a b/p", "a+b/p", "a%20b/p", "a=b:c/p", "é#?/p", "/p", ""]
+    made = [(i - 12, f"http://host/{urls[i % 8]}", f"{i}\n\nä\r\n") for i in range(24)]
+    made += [(20, None, "no url"), (21, "http://host", "short"), (None, "http://host/en/p", "no id")]
+    made += [(30, "http://host/en/p", None), (31, "http://host/bare/p", None), (32, "http://host/en/p", "")]
+    pages = spark.createDataFrame(made, "page_id long, url string, html string").coalesce(1)
+    pages.toPandas().astype({"page_id": "Int64"}).to_parquet(tmp_path / "pages.parquet")
+    for name in ("score_content", "load_test_content"):
+        found = registry.QUERIES[name](spark, str(tmp_path))
+        assert differences(found, duck(str(tmp_path)), registry.ORACLES[name], 30) == []
+
+
 def test_manifest_arrays_are_bounded(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(storage, "ARRAY_ENTRIES", 30)
     made = pages(spark, tmp_path, 200)
