@@ -45,7 +45,7 @@ BLOCK_BYTES = 4_096
 _BLOCK = "split string, label string, piece int, text binary, error_message string"
 
 #: Bytes of lines that are sorted together, about; cuts between such pieces, and characters of a cut, at most.
-PIECE_BYTES, MOST_CUTS, CUT_CHARS = 1 << 20, 2_000, 16_384
+PIECE_BYTES, MOST_CUTS, CUT_CHARS = 2 << 20, 1_000, 16_384
 
 
 def _rows(spark, sf_dir) -> DataFrame:
